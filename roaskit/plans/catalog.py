@@ -23,13 +23,51 @@ def register(name: str, sql: str | None = None):
     def deco(fn):
         QUERIES[name] = fn
         if sql is not None:
-            ORACLE[name] = with_views(sql)
+            ORACLE[name] = sql_round4(with_views(sql))
         return fn
     return deco
 
 
 def r4(c) -> F.Column:
-    return F.round(F.col(c) if isinstance(c, str) else c, 4)
+    """Round to four places with plain IEEE arithmetic, ``floor(x * 1e4 + 0.5) / 1e4``.
+
+    Spark's ``round`` (decimal HALF_UP) and DuckDB's ``round`` break exact
+    halves differently; this formula gives bit-identical doubles in both."""
+    x = F.col(c) if isinstance(c, str) else c
+    return F.floor(x * F.lit(10000.0) + F.lit(0.5)).cast("double") / F.lit(10000.0)
+
+
+def sql_round4(sql: str) -> str:
+    """Rewrite every ``round(<expr>, 4)`` of the oracle SQL into the ``r4`` formula."""
+    out, i, low = [], 0, sql.lower()
+    while True:
+        j = low.find("round(", i)
+        if j < 0 or (j > 0 and (low[j - 1].isalnum() or low[j - 1] == "_")):
+            if j < 0:
+                out.append(sql[i:])
+                return "".join(out)
+            out.append(sql[i:j + 6])
+            i = j + 6
+            continue
+        depth, k, last_comma = 0, j + 5, -1
+        while k < len(sql):
+            ch = sql[k]
+            if ch == "(":
+                depth += 1
+            elif ch == ")":
+                depth -= 1
+                if depth == 0:
+                    break
+            elif ch == "," and depth == 1:
+                last_comma = k
+            k += 1
+        arg = sql[last_comma + 1:k].strip() if last_comma > 0 else ""
+        if arg == "4":
+            inner = sql_round4(sql[j + 6:last_comma])
+            out.append(sql[i:j] + f"(floor(({inner}) * 10000.0 + 0.5) / 10000.0)")
+        else:
+            out.append(sql[i:j] + "round(" + sql_round4(sql[j + 6:k]) + ")")
+        i = k + 1
 
 
 def _enriched(spark, sf):
@@ -240,3 +278,235 @@ FROM d_sessions""")
 def q_seeded_sample_size(spark, sf):
     s = seeded_sample(ad.sessions(spark, sf), SAMPLE_N, SAMPLE_SEED, ["session_id"])
     return s.agg(F.count(F.lit(1)).alias("sample_rows"), F.countDistinct("session_id").alias("distinct_ids"))
+
+
+# --- channel profitability ------------------------------------------------------
+
+from roaskit.plans import channels as ch  # noqa: E402
+from roaskit.plans import modules as mod  # noqa: E402
+from roaskit.plans.sqlviews import canon  # noqa: E402
+
+# Analysis cut-off: the first month left out (all inputs capped at the same month).
+CAP_END = "2001-07-01"
+
+
+def _mspend(spark, sf):
+    return ch.monthly_spend(ad.media_spend(spark, sf))
+
+
+@register("channel_roas", """
+SELECT marketing_channel, round(total_ad_spend, 4) AS total_ad_spend, round(total_revenue, 4) AS total_revenue,
+  mapping_key, round(agency_fees, 4) AS agency_fees, round(true_total_ad_spend, 4) AS true_total_ad_spend,
+  round(corrected_roas, 4) AS corrected_roas FROM d_croas""")
+def q_channel_roas(spark, sf):
+    r = ch.channel_roas(ad.channel_breakdown(spark, sf), ad.media_spend(spark, sf))
+    return r.select("marketing_channel", r4("total_ad_spend").alias("total_ad_spend"),
+                    r4("total_revenue").alias("total_revenue"), "mapping_key", r4("agency_fees").alias("agency_fees"),
+                    r4("true_total_ad_spend").alias("true_total_ad_spend"),
+                    r4("corrected_roas").alias("corrected_roas"))
+
+
+@register("monthly_spend", """
+SELECT date, mapping_key, round(value_media, 4) AS value_media, round(value_agency, 4) AS value_agency,
+  round(total_spend, 4) AS total_spend FROM d_mspend""")
+def q_monthly_spend(spark, sf):
+    m = _mspend(spark, sf)
+    return m.select("date", "mapping_key", r4("value_media").alias("value_media"),
+                    r4("value_agency").alias("value_agency"), r4("total_spend").alias("total_spend"))
+
+
+@register("spend_overrides_applied", f"""
+SELECT s.date, s.mapping_key, round(coalesce(CASE WHEN s.total_spend = 0 THEN CAST(o.spend_override AS DOUBLE)
+    ELSE s.total_spend END, 0.0), 4) AS total_spend
+FROM d_mspend s LEFT JOIN (SELECT month, {canon('channel')} AS k, spend_override FROM d_overrides) o
+  ON CAST(date_trunc('month', s.date) AS DATE) = o.month AND s.mapping_key = o.k""")
+def q_spend_overrides_applied(spark, sf):
+    m = ch.apply_spend_overrides(_mspend(spark, sf), ad.spend_overrides(spark, sf))
+    return m.select("date", "mapping_key", r4("total_spend").alias("total_spend"))
+
+
+@register("monthly_roas", """
+SELECT date, mapping_key, round(total_spend, 4) AS total_spend, round(net_revenue, 4) AS net_revenue,
+  imputed_revenue, round(monthly_roas, 4) AS monthly_roas FROM d_mroas""")
+def q_monthly_roas(spark, sf):
+    r = ch.monthly_roas(_mspend(spark, sf), ad.topsheet(spark, sf))
+    return r.select("date", "mapping_key", r4("total_spend").alias("total_spend"),
+                    r4("net_revenue").alias("net_revenue"), "imputed_revenue", r4("monthly_roas").alias("monthly_roas"))
+
+
+@register("monthly_cac", """
+SELECT date, mapping_key, round(total_spend, 4) AS total_spend, round(new_customers, 4) AS new_customers,
+  imputed_customers, round(monthly_cac, 4) AS monthly_cac FROM d_mcac""")
+def q_monthly_cac(spark, sf):
+    c = ch.monthly_cac(_mspend(spark, sf), ad.customers_new(spark, sf))
+    return c.select("date", "mapping_key", r4("total_spend").alias("total_spend"),
+                    r4("new_customers").alias("new_customers"), "imputed_customers",
+                    r4("monthly_cac").alias("monthly_cac"))
+
+
+def _trends(spark, sf):
+    return ch.monthly_trends(_mspend(spark, sf), ad.topsheet(spark, sf), ad.customers_new(spark, sf))
+
+
+@register("monthly_trends", """
+SELECT date, mapping_key, round(total_spend, 4) AS total_spend, round(net_revenue, 4) AS net_revenue,
+  imputed_revenue, round(monthly_roas, 4) AS monthly_roas, round(new_customers, 4) AS new_customers,
+  imputed_customers, round(monthly_cac, 4) AS monthly_cac FROM d_trends""")
+def q_monthly_trends(spark, sf):
+    t = _trends(spark, sf)
+    return t.select("date", "mapping_key", r4("total_spend").alias("total_spend"),
+                    r4("net_revenue").alias("net_revenue"), "imputed_revenue", r4("monthly_roas").alias("monthly_roas"),
+                    r4("new_customers").alias("new_customers"), "imputed_customers",
+                    r4("monthly_cac").alias("monthly_cac"))
+
+
+@register("low_roas_label", """
+SELECT date, mapping_key, round(monthly_roas, 4) AS monthly_roas, CAST(monthly_roas < 1.5 AS INTEGER) AS churned
+FROM d_trends""")
+def q_low_roas_label(spark, sf):
+    t = ch.low_roas_label(_trends(spark, sf))
+    return t.select("date", "mapping_key", r4("monthly_roas").alias("monthly_roas"), "churned")
+
+
+@register("spend_gaps", """
+SELECT date, mapping_key, round(total_spend, 4) AS total_spend FROM d_trends
+WHERE NOT (total_spend > 0) OR total_spend IS NULL""")
+def q_spend_gaps(spark, sf):
+    return ch.spend_gaps(_trends(spark, sf)).select("date", "mapping_key", r4("total_spend").alias("total_spend"))
+
+
+_OVERALL_CAC_SQL = f"""
+oc_s AS (SELECT {canon('channel_name')} AS k, sum(value) AS total_spend FROM d_media_spend
+         WHERE date < DATE '{CAP_END}' GROUP BY 1),
+oc_c AS (SELECT {canon('channel_name')} AS k, sum(value) AS total_new_customers FROM d_cust_new
+         WHERE date < DATE '{CAP_END}' GROUP BY 1),
+oc AS (SELECT * FROM (SELECT coalesce(oc_s.k, oc_c.k) AS channel, oc_s.total_spend, oc_c.total_new_customers,
+         CASE WHEN oc_c.total_new_customers > 0 THEN oc_s.total_spend / oc_c.total_new_customers ELSE 0.0 END AS cac
+       FROM oc_s FULL JOIN oc_c ON oc_s.k = oc_c.k) t WHERE cac > 0)"""
+
+
+@register("overall_cac", "WITH " + _OVERALL_CAC_SQL + """
+SELECT channel, round(total_spend, 4) AS total_spend, round(total_new_customers, 4) AS total_new_customers,
+  round(cac, 4) AS cac FROM oc""")
+def q_overall_cac(spark, sf):
+    c = ch.overall_cac(ad.media_spend(spark, sf), ad.customers_new(spark, sf), CAP_END)
+    return c.select("channel", r4("total_spend").alias("total_spend"),
+                    r4("total_new_customers").alias("total_new_customers"), r4("cac").alias("cac"))
+
+
+@register("kpi_summary", "WITH " + _OVERALL_CAC_SQL + """
+SELECT round(sum(total_revenue), 4) AS total_revenue,
+  round(CASE WHEN sum(CASE WHEN true_total_ad_spend > 0 THEN true_total_ad_spend END) > 0
+    THEN sum(total_revenue) / sum(CASE WHEN true_total_ad_spend > 0 THEN true_total_ad_spend END) ELSE 0.0 END, 4)
+    AS blended_roas,
+  (SELECT round(CASE WHEN sum(total_new_customers) > 0 THEN sum(total_spend) / sum(total_new_customers)
+    ELSE 0.0 END, 4) FROM oc) AS blended_cac,
+  (SELECT round(coalesce(sum(total_new_customers), 0.0), 4) FROM oc) AS total_new_customers,
+  arg_max(marketing_channel, (corrected_roas, marketing_channel)) AS best_roas_channel,
+  (SELECT arg_min(channel, (cac, channel)) FROM oc) AS lowest_cac_channel
+FROM d_croas""")
+def q_kpi_summary(spark, sf):
+    r = ch.channel_roas(ad.channel_breakdown(spark, sf), ad.media_spend(spark, sf))
+    c = ch.overall_cac(ad.media_spend(spark, sf), ad.customers_new(spark, sf), CAP_END)
+    k = ch.kpi_summary(r, c)
+    return k.select(r4("total_revenue").alias("total_revenue"), r4("blended_roas").alias("blended_roas"),
+                    r4("blended_cac").alias("blended_cac"), r4("total_new_customers").alias("total_new_customers"),
+                    "best_roas_channel", "lowest_cac_channel")
+
+
+@register("best_channels", "WITH " + _OVERALL_CAC_SQL + """
+SELECT * FROM (SELECT 'roas' AS metric, marketing_channel AS channel, round(corrected_roas, 4) AS value FROM d_croas
+               ORDER BY corrected_roas DESC, marketing_channel LIMIT 3)
+UNION ALL
+SELECT * FROM (SELECT 'cac' AS metric, channel, round(cac, 4) AS value FROM oc ORDER BY cac, channel LIMIT 3)""")
+def q_best_channels(spark, sf):
+    r = ch.channel_roas(ad.channel_breakdown(spark, sf), ad.media_spend(spark, sf))
+    c = ch.overall_cac(ad.media_spend(spark, sf), ad.customers_new(spark, sf), CAP_END)
+    best = top_k(r, 3, [F.col("corrected_roas").desc(), F.col("marketing_channel")]).select(
+        F.lit("roas").alias("metric"), F.col("marketing_channel").alias("channel"),
+        r4("corrected_roas").alias("value"))
+    low = top_k(c, 3, [F.col("cac"), F.col("channel")]).select(
+        F.lit("cac").alias("metric"), "channel", r4("cac").alias("value"))
+    return best.unionByName(low)
+
+
+@register("customer_mix", f"""
+WITH t AS (SELECT date, 'New' AS customer_type, value FROM d_cust_new
+           UNION ALL SELECT date, 'Existing' AS customer_type, value FROM d_cust_ext)
+SELECT date, round(coalesce(sum(CASE WHEN customer_type = 'New' THEN value END), 0.0), 4) AS "New",
+  round(coalesce(sum(CASE WHEN customer_type = 'Existing' THEN value END), 0.0), 4) AS "Existing"
+FROM t WHERE date < DATE '{CAP_END}' GROUP BY date""")
+def q_customer_mix(spark, sf):
+    m = ch.customer_mix(ad.customers_new(spark, sf), ad.customers_ext(spark, sf), end=CAP_END)
+    return m.select("date", r4("New").alias("New"), r4("Existing").alias("Existing"))
+
+
+@register("new_customer_ranking", f"""
+SELECT channel_name, round(sum(value), 4) AS new_customers FROM d_cust_new WHERE date < DATE '{CAP_END}'
+GROUP BY channel_name""")
+def q_new_customer_ranking(spark, sf):
+    r = ch.new_customer_ranking(ad.customers_new(spark, sf), end=CAP_END)
+    return r.select("channel_name", r4("new_customers").alias("new_customers"))
+
+
+# --- modules ----------------------------------------------------------------------
+
+@register("persona_distribution", """
+SELECT c_mktsegment AS persona, count(*) AS count FROM customer WHERE c_mktsegment IS NOT NULL GROUP BY 1""")
+def q_persona_distribution(spark, sf):
+    return mod.persona_distribution(ad.personas(spark, sf))
+
+
+PERSONA_PICK = ["BUILDING", "MACHINERY"]
+
+
+@register("persona_distribution_filtered", f"""
+SELECT c_mktsegment AS persona, count(*) AS count FROM customer
+WHERE c_mktsegment IN ({", ".join(f"'{p}'" for p in PERSONA_PICK)}) GROUP BY 1""")
+def q_persona_distribution_filtered(spark, sf):
+    return mod.persona_distribution(ad.personas(spark, sf), PERSONA_PICK)
+
+
+@register("email_flow_roas", """
+SELECT flow_name, round(sum(revenue), 4) AS total_revenue, round(sum(sends * CAST(0.005 AS DOUBLE)), 4) AS total_cost,
+  round(CASE WHEN sum(sends * CAST(0.005 AS DOUBLE)) > 0 THEN sum(revenue) / sum(sends * CAST(0.005 AS DOUBLE))
+    ELSE 0.0 END, 4) AS roas
+FROM d_flows GROUP BY flow_name""")
+def q_email_flow_roas(spark, sf):
+    r = mod.email_flow_roas(ad.email_flows(spark, sf))
+    return r.select("flow_name", r4("total_revenue").alias("total_revenue"), r4("total_cost").alias("total_cost"),
+                    r4("roas").alias("roas"))
+
+
+@register("email_funnel", """
+SELECT flow_name, CAST(sum(sends) AS BIGINT) AS sends, CAST(sum(opens) AS BIGINT) AS opens,
+  CAST(sum(clicks) AS BIGINT) AS clicks, round(sum(revenue), 4) AS revenue,
+  round(CASE WHEN sum(sends) > 0 THEN sum(opens) / sum(sends) ELSE 0.0 END, 4) AS open_rate,
+  round(CASE WHEN sum(opens) > 0 THEN sum(clicks) / sum(opens) ELSE 0.0 END, 4) AS click_rate,
+  round(CASE WHEN sum(clicks) > 0 THEN sum(revenue) / sum(clicks) ELSE 0.0 END, 4) AS revenue_per_click
+FROM d_flows GROUP BY flow_name""")
+def q_email_funnel(spark, sf):
+    f = mod.email_funnel(ad.email_flows(spark, sf))
+    return f.select("flow_name", "sends", "opens", "clicks", r4("revenue").alias("revenue"),
+                    r4("open_rate").alias("open_rate"), r4("click_rate").alias("click_rate"),
+                    r4("revenue_per_click").alias("revenue_per_click"))
+
+
+@register("email_without_totals", """SELECT date, email_type, sends, clicks FROM d_email_monthly""")
+def q_email_without_totals(spark, sf):
+    return mod.exclude_subtotals(ad.email_monthly(spark, sf))
+
+
+@register("wholesale_kpis", """
+SELECT retailer, sku,
+  round(CASE WHEN units_sold + on_hand > 0 THEN units_sold / (units_sold + on_hand) ELSE 0.0 END, 4) AS sell_through_pct,
+  round(CASE WHEN units_sold / 4.0 > 0 THEN on_hand / (units_sold / 4.0) ELSE 0.0 END, 4) AS weeks_of_supply,
+  round(CASE WHEN units_ordered > 0 THEN units_shipped / units_ordered ELSE 0.0 END, 4) AS fill_rate_pct,
+  round(CASE WHEN wholesale_dollars > 0 THEN (wholesale_dollars - discounts - returns_dollars - markdowns_dollars)
+    / wholesale_dollars ELSE 0.0 END, 4) AS net_margin_pct
+FROM d_wholesale""")
+def q_wholesale_kpis(spark, sf):
+    w = mod.wholesale_kpis(ad.wholesale(spark, sf))
+    return w.select("retailer", "sku", r4("sell_through_pct").alias("sell_through_pct"),
+                    r4("weeks_of_supply").alias("weeks_of_supply"), r4("fill_rate_pct").alias("fill_rate_pct"),
+                    r4("net_margin_pct").alias("net_margin_pct"))

@@ -38,11 +38,11 @@ VIEWS = {
   o_orderstatus, o_totalprice, o_custkey, o_orderkey, o_orderdate, o_orderpriority FROM orders""",
     "d_media_spend": """SELECT channel || ' ' || kind AS channel_name, value, date FROM (
   SELECT date, channel, 'Media' AS kind,
-    round(sum(CASE WHEN o_orderstatus = 'F' THEN o_totalprice ELSE 0.0 END) / 100.0, 2) AS value
+    sum(CASE WHEN o_orderstatus = 'F' THEN o_totalprice ELSE 0.0 END) / 100.0 AS value
   FROM d_ord GROUP BY date, channel
   UNION ALL
   SELECT date, channel, 'Agency' AS kind,
-    round(sum(CASE WHEN o_orderstatus = 'O' THEN o_totalprice ELSE 0.0 END) / 1000.0, 2) AS value
+    count(*) FILTER (WHERE o_orderstatus = 'O') * 25.0 AS value
   FROM d_ord GROUP BY date, channel) t""",
     "d_first": """SELECT o_custkey, arg_min(date, (o_orderdate, o_orderkey)) AS date,
   arg_min(channel, (o_orderdate, o_orderkey)) AS channel FROM d_ord GROUP BY o_custkey""",
@@ -51,7 +51,7 @@ VIEWS = {
     "d_cust_ext": """SELECT t.channel AS channel_name, t.n - coalesce(n.value, 0.0) AS value, t.date
   FROM (SELECT date, channel, count(*) AS n FROM d_ord GROUP BY date, channel) t
   LEFT JOIN d_cust_new n ON t.date = n.date AND t.channel = n.channel_name""",
-    "d_net_sales": """SELECT o.date, o.channel, round(sum(l.net), 2) AS value FROM
+    "d_net_sales": """SELECT o.date, o.channel, sum(l.net) AS value FROM
   (SELECT l_orderkey, sum(l_extendedprice * (1 - l_discount)) AS net FROM lineitem GROUP BY l_orderkey) l
   JOIN d_ord o ON l.l_orderkey = o.o_orderkey GROUP BY o.date, o.channel""",
     "d_topsheet": """SELECT date, 'shopify' AS source, 'NET SALES - ' || channel AS metric, value FROM d_net_sales
@@ -59,8 +59,8 @@ VIEWS = {
   SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS date, 'shopify' AS source, 'GROSS SALES' AS metric,
     round(sum(o_totalprice), 2) AS value FROM orders GROUP BY 1""",
     "d_breakdown": """SELECT CAST(year(date) AS VARCHAR) AS year_period, lower(channel) AS marketing_channel,
-  round(sum(CASE WHEN o_orderstatus = 'F' THEN o_totalprice ELSE 0.0 END) / 100.0, 2) AS ad_spend,
-  round(sum(o_totalprice) / 10.0, 2) AS gross_discount, count(*) AS orders, year(date) AS year
+  sum(CASE WHEN o_orderstatus = 'F' THEN o_totalprice ELSE 0.0 END) / 100.0 AS ad_spend,
+  sum(o_totalprice) / 10.0 AS gross_discount, count(*) AS orders, year(date) AS year
   FROM d_ord GROUP BY year(date), lower(channel)""",
     "d_overrides": """SELECT date AS month, channel || ' Agency' AS channel,
   CAST(sum(CASE WHEN o_orderstatus = 'P' THEN 1 ELSE 0 END) * 10 AS BIGINT) AS spend_override
@@ -82,6 +82,64 @@ VIEW_DEPS = {
 }
 
 
+VIEWS.update({
+    "d_mspend": f"""SELECT date, mapping_key, value_media, coalesce(value_agency, 0.0) AS value_agency,
+  value_media + coalesce(value_agency, 0.0) AS total_spend FROM (
+  SELECT date, {canon('channel_name')} AS mapping_key,
+    sum(CASE WHEN channel_name NOT ILIKE '%agency%' THEN value END) AS value_media,
+    sum(CASE WHEN channel_name ILIKE '%agency%' THEN value END) AS value_agency,
+    count(CASE WHEN channel_name NOT ILIKE '%agency%' THEN 1 END) AS n_media
+  FROM d_media_spend GROUP BY 1, 2) t WHERE n_media > 0""",
+    "d_netrev": f"""SELECT date, {canon("substr(metric, 13)")} AS mapping_key, value AS net_revenue
+  FROM d_topsheet WHERE metric LIKE 'NET SALES - %'""",
+    "d_mroas": """SELECT s.date, s.mapping_key, s.total_spend, coalesce(r.net_revenue, 0.0) AS net_revenue,
+  r.net_revenue IS NULL AS imputed_revenue,
+  CASE WHEN s.total_spend > 0 THEN coalesce(r.net_revenue, 0.0) / s.total_spend ELSE 0.0 END AS monthly_roas
+  FROM d_mspend s LEFT JOIN d_netrev r ON s.date = r.date AND s.mapping_key = r.mapping_key""",
+    "d_mcac": f"""SELECT s.date, s.mapping_key, s.total_spend, coalesce(c.value, 0.0) AS new_customers,
+  c.value IS NULL AS imputed_customers,
+  CASE WHEN coalesce(c.value, 0.0) > 0 THEN s.total_spend / c.value ELSE 0.0 END AS monthly_cac
+  FROM d_mspend s LEFT JOIN (SELECT date, {canon('channel_name')} AS mapping_key, value FROM d_cust_new) c
+  ON s.date = c.date AND s.mapping_key = c.mapping_key""",
+    "d_trends": """SELECT r.date, r.mapping_key, r.total_spend, r.net_revenue, r.imputed_revenue, r.monthly_roas,
+  c.new_customers, c.imputed_customers, c.monthly_cac
+  FROM d_mroas r LEFT JOIN d_mcac c ON r.date = c.date AND r.mapping_key = c.mapping_key
+  WHERE r.mapping_key IN ('paid search', 'paid social', 'affiliates')""",
+    "d_croas": f"""SELECT s.marketing_channel, s.total_ad_spend, s.total_revenue, f.mapping_key,
+  coalesce(f.agency_fees, 0.0) AS agency_fees, s.total_ad_spend + coalesce(f.agency_fees, 0.0) AS true_total_ad_spend,
+  CASE WHEN s.total_ad_spend + coalesce(f.agency_fees, 0.0) > 0
+    THEN s.total_revenue / (s.total_ad_spend + coalesce(f.agency_fees, 0.0)) ELSE 0.0 END AS corrected_roas
+  FROM (SELECT marketing_channel, sum(ad_spend) AS total_ad_spend, sum(gross_discount) AS total_revenue
+        FROM d_breakdown GROUP BY marketing_channel) s
+  LEFT JOIN (SELECT {canon('channel_name')} AS mapping_key, sum(value) AS agency_fees FROM d_media_spend
+             WHERE channel_name ILIKE '%agency%' GROUP BY 1) f
+  ON {canon('s.marketing_channel')} = f.mapping_key""",
+    "d_email_monthly": """SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS date,
+  CASE o_orderstatus WHEN 'F' THEN 'Batch Marketing' WHEN 'O' THEN 'Triggered' WHEN 'P' THEN 'Transactional' END
+    AS email_type, count(*) AS sends, count(*) FILTER (WHERE o_orderpriority = '1-URGENT') AS clicks
+  FROM orders GROUP BY 1, 2""",
+    "d_flows": """SELECT event_type AS flow_name, CAST(ts AS DATE) AS send_date, count(*) AS sends,
+  count(*) FILTER (WHERE value >= 10) AS opens, count(*) FILTER (WHERE value >= 50) AS clicks,
+  round(sum(value), 2) AS revenue FROM events GROUP BY 1, 2""",
+    "d_wholesale": """SELECT coalesce(s.s_name, CAST(g.l_suppkey AS VARCHAR)) AS retailer, g.l_partkey AS sku, g.* EXCLUDE (l_suppkey, l_partkey)
+  FROM (SELECT l_suppkey, l_partkey, CAST(sum(l_quantity) AS BIGINT) AS units_ordered,
+    CAST(sum(CASE WHEN l_returnflag = 'N' THEN l_quantity ELSE 0.0 END) AS BIGINT) AS units_sold,
+    CAST(sum(CASE WHEN l_linestatus = 'F' THEN l_quantity ELSE 0.0 END) AS BIGINT) AS units_shipped,
+    CAST(sum(CASE WHEN l_returnflag = 'R' THEN l_quantity ELSE 0.0 END) AS BIGINT) AS on_hand,
+    sum(l_extendedprice) AS wholesale_dollars, sum(l_extendedprice * l_discount) AS discounts,
+    sum(CASE WHEN l_returnflag = 'R' THEN l_extendedprice ELSE 0.0 END) AS returns_dollars,
+    sum(l_extendedprice * l_tax) AS markdowns_dollars
+  FROM lineitem GROUP BY l_suppkey, l_partkey) g LEFT JOIN supplier s ON g.l_suppkey = s.s_suppkey""",
+})
+VIEW_DEPS.update({
+    "d_mspend": ["d_media_spend"], "d_netrev": ["d_topsheet"], "d_mroas": ["d_mspend", "d_netrev"],
+    "d_mcac": ["d_mspend", "d_cust_new"], "d_trends": ["d_mroas", "d_mcac"],
+    "d_croas": ["d_breakdown", "d_media_spend"],
+})
+
+
+
+
 def with_views(body: str) -> str:
     """Prefix ``body`` with the CTEs it references (in dependency order)."""
     needed: list[str] = []

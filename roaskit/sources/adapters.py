@@ -33,7 +33,7 @@ MEDIUM_OF_EVENT = {"click": "cpc", "view": "social_paid", "signup": "organic", "
 # order status -> email type of the monthly email sheet
 EMAIL_TYPE_OF_STATUS = {"F": "Batch Marketing", "O": "Triggered", "P": "Transactional"}
 MEDIA_DIVISOR = 100.0    # media spend = sum of finished order totals / 100
-AGENCY_DIVISOR = 1000.0  # agency fee  = sum of open order totals / 1000
+AGENCY_FEE_PER_ORDER = 25.0  # agency fee = 25 per open order
 REVENUE_DIVISOR = 10.0   # channel-breakdown revenue = sum of order totals / 10
 OVERRIDE_PER_ORDER = 10  # spend override = 10 per pending order
 CAMPAIGN_EPOCH = "2024-01-01"
@@ -104,10 +104,9 @@ def media_spend(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(channel_name, value, date): ``<Channel> Media`` and ``<Channel> Agency`` rows."""
     o = _orders_by_month_channel(spark, sf_dir)
     wide = o.groupBy("date", "channel").agg(
-        F.round(F.sum(F.when(F.col("o_orderstatus") == "F", F.col("o_totalprice")).otherwise(0.0))
-                / MEDIA_DIVISOR, 2).alias("Media"),
-        F.round(F.sum(F.when(F.col("o_orderstatus") == "O", F.col("o_totalprice")).otherwise(0.0))
-                / AGENCY_DIVISOR, 2).alias("Agency"),
+        (F.sum(F.when(F.col("o_orderstatus") == "F", F.col("o_totalprice")).otherwise(0.0))
+         / MEDIA_DIVISOR).alias("Media"),
+        (F.count_if(F.col("o_orderstatus") == "O") * AGENCY_FEE_PER_ORDER).alias("Agency"),
     )
     long = wide.unpivot(["date", "channel"], ["Media", "Agency"], "kind", "value")
     return long.select(F.concat_ws(" ", "channel", "kind").alias("channel_name"), "value", "date")
@@ -153,7 +152,7 @@ def net_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("net"))
     o = _orders_by_month_channel(spark, sf_dir)
     j = per_order.join(o, per_order.l_orderkey == o.o_orderkey)
-    return j.groupBy("date", "channel").agg(F.round(F.sum("net"), 2).alias("value"))
+    return j.groupBy("date", "channel").agg(F.sum("net").alias("value"))
 
 
 def topsheet(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -174,9 +173,9 @@ def channel_breakdown(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = _orders_by_month_channel(spark, sf_dir)
     y = F.year("date")
     agg = o.groupBy(y.alias("year"), F.lower(F.col("channel")).alias("marketing_channel")).agg(
-        F.round(F.sum(F.when(F.col("o_orderstatus") == "F", F.col("o_totalprice")).otherwise(0.0))
-                / MEDIA_DIVISOR, 2).alias("ad_spend"),
-        F.round(F.sum("o_totalprice") / REVENUE_DIVISOR, 2).alias("gross_discount_(shopify)"),
+        (F.sum(F.when(F.col("o_orderstatus") == "F", F.col("o_totalprice")).otherwise(0.0))
+         / MEDIA_DIVISOR).alias("ad_spend"),
+        (F.sum("o_totalprice") / REVENUE_DIVISOR).alias("gross_discount_(shopify)"),
         F.count(F.lit(1)).alias("orders"),
     )
     return agg.select(F.col("year").cast("string").alias("year_period"), "marketing_channel", "ad_spend",
