@@ -510,3 +510,238 @@ def q_wholesale_kpis(spark, sf):
     return w.select("retailer", "sku", r4("sell_through_pct").alias("sell_through_pct"),
                     r4("weeks_of_supply").alias("weeks_of_supply"), r4("fill_rate_pct").alias("fill_rate_pct"),
                     r4("net_margin_pct").alias("net_margin_pct"))
+
+
+# --- scalar cleaning, reshape ------------------------------------------------------
+
+from roaskit.functions import scalars as fx  # noqa: E402
+from roaskit.operators import quality as qa  # noqa: E402
+from roaskit.operators import reshape as rs  # noqa: E402
+from roaskit.sources.tables import load  # noqa: E402
+
+
+@register("clean_currency", "SELECT c_custkey, round(c_acctbal, 4) AS amount FROM customer")
+def q_clean_currency(spark, sf):
+    t = ad.currency_text(spark, sf)
+    return t.select("c_custkey", r4(fx.clean_currency("balance_text")).alias("amount"))
+
+
+@register("clean_percentage", """
+SELECT l_orderkey, l_linenumber, round(round(l_discount * 100) / 100.0, 4) AS pct FROM lineitem""")
+def q_clean_percentage(spark, sf):
+    li = load(spark, sf, "lineitem")
+    txt = F.concat(F.lit('"'), F.format_number(F.col("l_discount") * 100, 0), F.lit('%"'))
+    return li.select("l_orderkey", "l_linenumber", r4(fx.clean_percentage(txt)).alias("pct"))
+
+
+@register("clean_numeric", "SELECT o_orderkey, round(o_totalprice, 4) AS amount FROM orders")
+def q_clean_numeric(spark, sf):
+    o = load(spark, sf, "orders")
+    return o.select("o_orderkey", r4(fx.clean_numeric(F.format_number("o_totalprice", 2))).alias("amount"))
+
+
+def mixed_cells(spark, sf):
+    """Spreadsheet-like cells from orders: currency, percentages, error tokens, no-break spaces."""
+    o = load(spark, sf, "orders")
+    pri = F.col("o_orderpriority")
+    txt = (F.when(F.col("o_orderstatus") == "F",
+                  F.concat(F.lit("$"), F.format_number("o_totalprice", 2), F.lit(" ")))
+            .when(F.col("o_orderstatus") == "O",
+                  F.concat((F.col("o_orderkey") % 100).cast("string"), F.lit("%")))
+            .when(pri == "5-LOW", F.lit("#REF!"))
+            .when(pri == "4-NOT SPECIFIED", F.lit("nan"))
+            .when(pri == "3-MEDIUM", F.lit(" "))
+            .otherwise(F.concat(F.lit(fx.NBSP), F.col("o_custkey").cast("string"))))
+    return o.select("o_orderkey", txt.alias("cell"))
+
+
+@register("clean_mixed", """
+SELECT o_orderkey, round(CASE WHEN o_orderstatus = 'F' THEN o_totalprice
+  WHEN o_orderstatus = 'O' THEN (o_orderkey % 100) / 100.0
+  WHEN o_orderpriority IN ('5-LOW', '4-NOT SPECIFIED', '3-MEDIUM') THEN NULL
+  ELSE CAST(o_custkey AS DOUBLE) END, 4) AS value FROM orders""")
+def q_clean_mixed(spark, sf):
+    return mixed_cells(spark, sf).select("o_orderkey", r4(fx.clean_mixed("cell")).alias("value"))
+
+
+@register("lenient_dates", """
+SELECT o_orderkey, CASE WHEN o_orderkey % 4 IN (0, 1) THEN CAST(o_orderdate AS DATE)
+  ELSE CAST(date_trunc('month', o_orderdate) AS DATE) END AS parsed FROM orders""")
+def q_lenient_dates(spark, sf):
+    o = load(spark, sf, "orders")
+    d, k = F.col("o_orderdate"), F.col("o_orderkey") % 4
+    txt = (F.when(k == 0, F.date_format(d, "yyyy-MM-dd"))
+            .when(k == 1, F.date_format(d, "M/d/yyyy"))
+            .when(k == 2, F.concat(F.date_format(d, "yyyy-MMM"), F.lit("-01")))
+            .otherwise(F.concat(F.date_format(d, "yyyy-MMMM"), F.lit("-01"))))
+    return o.select("o_orderkey", fx.lenient_date(txt).alias("parsed"))
+
+
+@register("year_token", """
+SELECT o_orderkey, CASE WHEN o_orderpriority = '5-LOW' THEN NULL ELSE CAST(year(o_orderdate) AS INTEGER) END AS year
+FROM orders""")
+def q_year_token(spark, sf):
+    o = load(spark, sf, "orders")
+    y = F.year("o_orderdate").cast("string")
+    y = F.when(F.col("o_orderpriority") == "5-LOW", F.concat(F.substring(y, 1, 1), F.lit("s"), F.substring(y, 2, 3))) \
+         .otherwise(y)
+    txt = F.concat(y, F.lit(" (Jan - "), F.date_format("o_orderdate", "MMM"), F.lit(")"))
+    return o.select("o_orderkey", fx.year_token(txt).alias("year"))
+
+
+@register("canonical_channel", f"""
+SELECT DISTINCT channel_name, {canon('channel_name')} AS mapping_key,
+  CASE WHEN channel_name ILIKE '%agency%' THEN 'agency' ELSE 'media' END AS kind FROM d_media_spend""")
+def q_canonical_channel(spark, sf):
+    m = ad.media_spend(spark, sf).select("channel_name").distinct()
+    return m.select("channel_name", fx.canonical_channel("channel_name").alias("mapping_key"),
+                    fx.spend_kind("channel_name").alias("kind"))
+
+
+@register("hashed_users", "SELECT c_custkey, sha256(c_name) AS user_hash FROM customer")
+def q_hashed_users(spark, sf):
+    return load(spark, sf, "customer").select("c_custkey", fx.sha256_id("c_name").alias("user_hash"))
+
+
+@register("unpivot_months", "SELECT channel_name, date, round(value, 4) AS value FROM d_cust_new")
+def q_unpivot_months(spark, sf):
+    wide = ad.monthly_sheet(spark, sf)
+    long = rs.unpivot_months(wide, ["channel", "year"])
+    return long.select(F.col("channel").alias("channel_name"), "date", r4("value").alias("value"))
+
+
+# --- data quality ---------------------------------------------------------------------
+
+MIN_QTY, MAX_DISCOUNT = 5, 0.08
+
+
+def order_line_contract(min_qty: int = 1, max_discount: float = 1.0) -> qa.Contract:
+    """Order-line contract: ids required, numeric qty/price, ``qty >= min_qty``,
+    ``unit_price >= 0``, ``discount <= max_discount``; ``datetime`` is accepted
+    as an alias of ``order_datetime``."""
+    return qa.Contract(
+        name="order_lines",
+        types={"order_id": "string", "customer_id": "string", "order_datetime": "timestamp_ntz",
+               "sku": "string", "qty": "bigint", "unit_price": "double", "discount": "double"},
+        required=["order_id", "customer_id", "sku"],
+        rules={"qty:min": F.col("qty") >= min_qty,
+               "unit_price:non_negative": F.col("unit_price") >= 0,
+               "discount:max": F.col("discount") <= max_discount},
+        aliases={"datetime": "order_datetime"})
+
+
+_ORDER_LINES_SQL = f"""
+WITH ol AS (SELECT l.l_orderkey || '-' || l.l_linenumber AS order_id, CAST(o.o_custkey AS VARCHAR) AS customer_id,
+    o.o_orderdate AS order_datetime, CAST(l.l_partkey AS VARCHAR) AS sku, CAST(l.l_quantity AS BIGINT) AS qty,
+    l.l_extendedprice / l.l_quantity AS unit_price, l.l_discount AS discount
+  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey),
+chk AS (SELECT *, concat_ws(';', CASE WHEN qty < {MIN_QTY} THEN 'qty:min' END,
+    CASE WHEN unit_price < 0 THEN 'unit_price:non_negative' END,
+    CASE WHEN discount > {MAX_DISCOUNT} THEN 'discount:max' END) AS errors FROM ol)
+"""
+
+
+def _checked_lines(spark, sf):
+    return qa.with_errors(ad.order_lines(spark, sf), order_line_contract(MIN_QTY, MAX_DISCOUNT))
+
+
+@register("order_lines_valid", _ORDER_LINES_SQL + """
+SELECT order_id, customer_id, order_datetime, sku, qty, round(unit_price, 4) AS unit_price,
+  round(discount, 4) AS discount FROM chk WHERE errors = ''""")
+def q_order_lines_valid(spark, sf):
+    good, _ = qa.validate(ad.order_lines(spark, sf), order_line_contract(MIN_QTY, MAX_DISCOUNT))
+    return good.select("order_id", "customer_id", "order_datetime", "sku", "qty",
+                       r4("unit_price").alias("unit_price"), r4("discount").alias("discount"))
+
+
+@register("order_lines_rejected", _ORDER_LINES_SQL + "SELECT order_id, errors FROM chk WHERE errors <> ''")
+def q_order_lines_rejected(spark, sf):
+    _, bad = qa.validate(ad.order_lines(spark, sf), order_line_contract(MIN_QTY, MAX_DISCOUNT))
+    return bad.select("order_id", F.concat_ws(";", "errors").alias("errors"))
+
+
+@register("validation_counts", _ORDER_LINES_SQL + """
+SELECT CAST(year(order_datetime) AS INTEGER) AS year, count(*) AS rows, count(*) FILTER (WHERE errors = '') AS accepted,
+  count(*) FILTER (WHERE errors <> '') AS rejected FROM chk GROUP BY 1""")
+def q_validation_counts(spark, sf):
+    c = _checked_lines(spark, sf).withColumn("year", F.year("order_datetime"))
+    return qa.validation_counts(c, ["year"])
+
+
+PROFILE_COLS = [("o_orderkey", "bigint"), ("o_custkey", "bigint"), ("o_totalprice", "double"),
+                ("o_orderstatus", "string"), ("o_orderdate", "timestamp_ntz")]
+
+
+def _profile_sql():
+    parts = []
+    for c, t in PROFILE_COLS:
+        num = t in ("bigint", "double")
+        tim = t == "timestamp_ntz"
+        parts.append(f"""SELECT '{c}' AS "column", '{t}' AS dtype, count({c}) AS non_null,
+  count(*) FILTER (WHERE {c} IS NULL) AS nulls, count(DISTINCT {c}) AS "distinct",
+  {f'CAST(min({c}) AS DOUBLE)' if num else 'CAST(NULL AS DOUBLE)'} AS min_value,
+  {f'CAST(max({c}) AS DOUBLE)' if num else 'CAST(NULL AS DOUBLE)'} AS max_value,
+  {f'round(avg({c}), 4)' if num else 'CAST(NULL AS DOUBLE)'} AS mean,
+  {f'round(stddev_samp({c}), 4)' if num else 'CAST(NULL AS DOUBLE)'} AS stddev,
+  {f'count(*) FILTER (WHERE {c} < 0)' if num else 'CAST(NULL AS BIGINT)'} AS negatives,
+  {f'min({c})' if tim else 'CAST(NULL AS TIMESTAMP)'} AS min_time,
+  {f'max({c})' if tim else 'CAST(NULL AS TIMESTAMP)'} AS max_time FROM orders""")
+    return "\nUNION ALL\n".join(parts)
+
+
+@register("table_profile", _profile_sql())
+def q_table_profile(spark, sf):
+    p = qa.profile(load(spark, sf, "orders"), [c for c, _ in PROFILE_COLS])
+    return p.withColumns({"mean": r4("mean"), "stddev": r4("stddev")})
+
+
+@register("duplicate_rows", """
+SELECT (SELECT count(*) FROM lineitem) AS total_rows, count(*) AS distinct_rows,
+  (SELECT count(*) FROM lineitem) - count(*) AS duplicate_rows
+FROM (SELECT DISTINCT l_partkey, l_suppkey FROM lineitem) t""")
+def q_duplicate_rows(spark, sf):
+    return rs.duplicate_row_count(load(spark, sf, "lineitem"), ["l_partkey", "l_suppkey"])
+
+
+@register("unique_key_violations", """
+SELECT l_suppkey, l_partkey, count(*) AS n FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1""")
+def q_unique_key_violations(spark, sf):
+    from roaskit.operators.joins import duplicate_keys
+    return duplicate_keys(load(spark, sf, "lineitem"), ["l_suppkey", "l_partkey"])
+
+
+_RAW_MONTHLY_SQL = f"""
+WITH raw AS (SELECT s.date, s.mapping_key, s.total_spend, r.net_revenue, c.value AS new_customers
+  FROM d_mspend s
+  LEFT JOIN d_netrev r ON s.date = r.date AND s.mapping_key = r.mapping_key
+  LEFT JOIN (SELECT date, {canon('channel_name')} AS mapping_key, value FROM d_cust_new) c
+    ON s.date = c.date AND s.mapping_key = c.mapping_key)
+"""
+
+
+def _raw_monthly(spark, sf):
+    ms = _mspend(spark, sf)
+    r = ch.monthly_roas(ms, ad.topsheet(spark, sf), fill_missing=False).select(
+        "date", "mapping_key", "total_spend", "net_revenue")
+    c = ch.monthly_cac(ms, ad.customers_new(spark, sf), fill_missing=False).select(
+        "date", "mapping_key", "new_customers")
+    return r.join(c, ["date", "mapping_key"], "left")
+
+
+@register("imputed_flags", _RAW_MONTHLY_SQL + """
+SELECT date, mapping_key, (net_revenue IS NULL OR new_customers IS NULL) AS imputed_bool,
+  CAST((net_revenue IS NULL)::INTEGER + (new_customers IS NULL)::INTEGER AS INTEGER) AS null_cells FROM raw""")
+def q_imputed_flags(spark, sf):
+    m = _raw_monthly(spark, sf)
+    cols = ["net_revenue", "new_customers"]
+    return m.select("date", "mapping_key", fx.any_null(cols).alias("imputed_bool"),
+                    fx.null_count(cols).alias("null_cells"))
+
+
+@register("impute_mean", _RAW_MONTHLY_SQL + """
+SELECT date, mapping_key, round(coalesce(new_customers, (SELECT avg(new_customers) FROM raw)), 4) AS new_customers,
+  new_customers IS NULL AS imputed_customers FROM raw""")
+def q_impute_mean(spark, sf):
+    from roaskit.plans.impute import impute_mean
+    m = impute_mean(_raw_monthly(spark, sf), ["new_customers"], flag="imputed_customers")
+    return m.select("date", "mapping_key", r4("new_customers").alias("new_customers"), "imputed_customers")

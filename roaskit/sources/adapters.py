@@ -276,7 +276,7 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss").alias("order_datetime"),
         F.col("l_partkey").cast("string").alias("sku"),
         F.col("l_quantity").cast("long").cast("string").alias("qty"),
-        F.format_string("%.2f", F.col("l_extendedprice") / F.col("l_quantity")).alias("unit_price"),
+        (F.col("l_extendedprice") / F.col("l_quantity")).cast("string").alias("unit_price"),
         F.col("l_discount").cast("string").alias("discount"),
     )
 
