@@ -745,3 +745,234 @@ def q_impute_mean(spark, sf):
     from roaskit.plans.impute import impute_mean
     m = impute_mean(_raw_monthly(spark, sf), ["new_customers"], flag="imputed_customers")
     return m.select("date", "mapping_key", r4("new_customers").alias("new_customers"), "imputed_customers")
+
+
+# --- statistics -------------------------------------------------------------------------
+
+from roaskit.plans import stats as st  # noqa: E402
+from roaskit.plans.sqlviews import VIEW_DEPS, VIEWS  # noqa: E402
+
+VIEWS["d_scores"] = f"""SELECT session_id, session_start, converted,
+  CASE WHEN coalesce(low, false) THEN least(greatest(p * 0.1, 0.005), 1.0) ELSE p END AS score FROM (
+  SELECT session_id, session_start, converted, low,
+    CASE WHEN coalesce(high AND (promo OR video), false) THEN least(greatest(p + 0.5, 0.0), 1.0) ELSE p END AS p FROM (
+    SELECT session_id, session_start, converted, high, promo, video, low,
+      CASE WHEN coalesce(high AND promo AND video, false) THEN least(greatest(p + 0.85, 0.0), 1.0) ELSE p END AS p
+    FROM (SELECT e.session_id, e.session_start, e.converted, e.effectiveness_tier = 'High' AS high,
+            e.creative_theme = '{PROMO_THEME}' AS promo, e.creative_format = '{VIDEO_FORMAT}' AS video,
+            e.effectiveness_tier = 'Low' AS low,
+            0.02 + (e.spend - (SELECT min(spend) FROM d_enriched)) /
+              ((SELECT max(spend) FROM d_enriched) - (SELECT min(spend) FROM d_enriched)) * 0.05 AS p
+          FROM d_enriched e) a) b) c"""
+VIEW_DEPS["d_scores"] = ["d_enriched"]
+VIEWS["d_ranked"] = """SELECT session_id, session_start,
+  row_number() OVER (ORDER BY session_start, session_id) AS row_rank, count(*) OVER () AS n FROM d_sessions"""
+VIEW_DEPS["d_ranked"] = ["d_sessions"]
+
+
+def _scores(spark, sf):
+    s = creative.conversion_score(_enriched(spark, sf), promo_theme=PROMO_THEME, video_format=VIDEO_FORMAT)
+    return s.select("session_id", "session_start", "converted", F.col("conversion_score").alias("score"))
+
+
+@register("chronological_split", """
+SELECT session_id, row_rank, CASE WHEN row_rank <= floor(n * CAST(0.7 AS DOUBLE)) THEN 'train'
+  WHEN row_rank <= floor(n * CAST(0.7 AS DOUBLE)) + floor(n * CAST(0.15 AS DOUBLE)) THEN 'tune' ELSE 'test' END AS split
+FROM d_ranked""")
+def q_chronological_split(spark, sf):
+    s = st.chronological_split(ad.sessions(spark, sf), ["session_start", "session_id"])
+    return s.select("session_id", "row_rank", "split")
+
+
+N_FOLDS = 5
+
+
+@register("time_series_folds", f"""
+WITH f AS (SELECT range AS fold FROM range({N_FOLDS})),
+r AS (SELECT session_id, row_rank - 1 AS idx, n, n // {N_FOLDS + 1} AS ts FROM d_ranked)
+SELECT r.session_id, r.idx + 1 AS row_rank, CAST(f.fold AS INTEGER) AS fold,
+  CASE WHEN r.idx < r.n - ({N_FOLDS} - f.fold) * r.ts THEN 'train' ELSE 'test' END AS role
+FROM r, f WHERE r.idx < r.n - ({N_FOLDS} - f.fold) * r.ts + r.ts""")
+def q_time_series_folds(spark, sf):
+    f = st.time_series_folds(ad.sessions(spark, sf), ["session_start", "session_id"], N_FOLDS)
+    return f.select("session_id", "row_rank", "fold", "role")
+
+
+_AUC_COUNTS = """g AS (SELECT score, sum(converted) AS pos, sum(1 - converted) AS neg FROM d_scores
+  WHERE score IS NOT NULL GROUP BY score)"""
+
+
+@register("auc_exact", f"""
+WITH {_AUC_COUNTS},
+c AS (SELECT score, pos, neg, sum(neg) OVER (ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - neg
+  AS below FROM g)
+SELECT round(sum(pos * (below + 0.5 * neg)) / (sum(pos) * sum(neg)), 4) AS auc,
+  CAST(sum(pos) AS BIGINT) AS positives, CAST(sum(neg) AS BIGINT) AS negatives FROM c""")
+def q_auc_exact(spark, sf):
+    a = st.auc_exact(_scores(spark, sf), "score", "converted")
+    return a.select(r4("auc").alias("auc"), "positives", "negatives")
+
+
+@register("roc_points", f"""
+WITH {_AUC_COUNTS},
+c AS (SELECT score, sum(pos) OVER w AS cp, sum(neg) OVER w AS cn FROM g
+  WINDOW w AS (ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
+SELECT round(score, 4) AS threshold, round(cn / (SELECT sum(neg) FROM g), 4) AS fpr,
+  round(cp / (SELECT sum(pos) FROM g), 4) AS tpr FROM c""")
+def q_roc_points(spark, sf):
+    r = st.roc_points(_scores(spark, sf), "score", "converted")
+    return r.select(r4("threshold").alias("threshold"), r4("fpr").alias("fpr"), r4("tpr").alias("tpr"))
+
+
+SCORE_CUTOFF = 0.05
+
+
+@register("accuracy", f"""
+WITH f AS (SELECT range AS fold FROM range({N_FOLDS})),
+r AS (SELECT k.session_id, k.row_rank - 1 AS idx, k.n, k.n // {N_FOLDS + 1} AS ts, s.score, s.converted
+      FROM d_ranked k JOIN d_scores s ON k.session_id = s.session_id)
+SELECT CAST(f.fold AS INTEGER) AS fold, count(*) AS n,
+  round(avg(CASE WHEN CAST(r.score >= {SCORE_CUTOFF} AS INTEGER) = r.converted THEN 1.0 ELSE 0.0 END), 4) AS accuracy
+FROM r, f WHERE r.idx >= r.n - ({N_FOLDS} - f.fold) * r.ts AND r.idx < r.n - ({N_FOLDS} - f.fold) * r.ts + r.ts
+GROUP BY f.fold""")
+def q_accuracy(spark, sf):
+    folds = st.time_series_folds(ad.sessions(spark, sf), ["session_start", "session_id"], N_FOLDS)
+    test = folds.where(F.col("role") == "test").select("session_id", "fold")
+    s = _scores(spark, sf).withColumn("pred", (F.col("score") >= SCORE_CUTOFF).cast("int"))
+    a = st.accuracy(test.join(s, "session_id"), "pred", "converted", by=["fold"])
+    return a.select("fold", "n", r4("accuracy").alias("accuracy"))
+
+
+@register("bootstrap_ci")
+def q_bootstrap_ci(spark, sf):
+    """Poisson bootstrap of mean customer value: rows-only (resampling is hash-random)."""
+    b = st.bootstrap_ci(ad.ltv(spark, sf), "predicted_ltv", "customer_id", n_resamples=1000, level=0.95, seed=42)
+    return b.select(r4("point_estimate").alias("point_estimate"), r4("ci_low").alias("ci_low"),
+                    r4("ci_high").alias("ci_high"), "resamples")
+
+
+@register("impute_iterative")
+def q_impute_iterative(spark, sf):
+    """Chained-regression imputation of monthly revenue and customers: rows-only."""
+    from roaskit.plans.impute import impute_iterative
+    m = _raw_monthly(spark, sf)
+    out = impute_iterative(m, ["total_spend", "net_revenue", "new_customers"], max_iter=10)
+    return out.select("date", "mapping_key", r4("total_spend").alias("total_spend"),
+                      r4("net_revenue").alias("net_revenue"), r4("new_customers").alias("new_customers"),
+                      "imputed_bool")
+
+
+# --- features and models -----------------------------------------------------------------
+
+from roaskit.plans import model as ml  # noqa: E402
+
+FEATURE_LEVELS = {"utm_source": ["click", "view", "signup", "error"], "effectiveness_tier": ["Low", "Medium", "High"]}
+
+
+@register("session_features", """
+SELECT session_id, CAST(hour(session_start) AS INTEGER) AS hour_of_day,
+  CAST(isodow(session_start) - 1 AS INTEGER) AS day_of_week, CAST(month(session_start) AS INTEGER) AS month,
+  round(coalesce(spend, 0.0), 4) AS spend,
+  CASE WHEN utm_source = 'click' THEN 1 ELSE 0 END AS utm_source_click,
+  CASE WHEN utm_source = 'view' THEN 1 ELSE 0 END AS utm_source_view,
+  CASE WHEN utm_source = 'signup' THEN 1 ELSE 0 END AS utm_source_signup,
+  CASE WHEN utm_source = 'error' THEN 1 ELSE 0 END AS utm_source_error,
+  CASE WHEN effectiveness_tier = 'Low' THEN 1 ELSE 0 END AS effectiveness_tier_Low,
+  CASE WHEN effectiveness_tier = 'Medium' THEN 1 ELSE 0 END AS effectiveness_tier_Medium,
+  CASE WHEN effectiveness_tier = 'High' THEN 1 ELSE 0 END AS effectiveness_tier_High,
+  CASE WHEN utm_source IS NULL THEN 1 ELSE 0 END AS utm_source_nan,
+  CASE WHEN effectiveness_tier IS NULL THEN 1 ELSE 0 END AS effectiveness_tier_nan
+FROM d_enriched""")
+def q_session_features(spark, sf):
+    f, feats = ml.build_features(_enriched(spark, sf), FEATURE_LEVELS, keep=["session_id"])
+    return f.withColumn("spend", r4("spend"))
+
+
+@register("one_hot_features", """
+SELECT session_id, CASE WHEN utm_medium = 'cpc' THEN 1 ELSE 0 END AS utm_medium_cpc,
+  CASE WHEN utm_medium = 'social_paid' THEN 1 ELSE 0 END AS utm_medium_social_paid,
+  0 AS utm_medium_email,
+  CASE WHEN utm_medium IS NULL THEN 1 ELSE 0 END AS utm_medium_nan FROM d_sessions""")
+def q_one_hot_features(spark, sf):
+    """R6 + R7: one-hot with a NULL indicator, aligned to a fixed feature list
+    (a level absent from the list is dropped, a listed column absent from the
+    data is 0)."""
+    from roaskit.operators.reshape import align_features, one_hot
+    s = one_hot(ad.sessions(spark, sf), {"utm_medium": ["cpc", "social_paid", "organic", "referral"]})
+    feats = ["utm_medium_cpc", "utm_medium_social_paid", "utm_medium_email", "utm_medium_nan"]
+    return align_features(s, feats, keep=["session_id"])
+
+
+# Chosen parameters of the reference study (trees scaled for run time; column
+# subsample -> featureSubsetStrategy fraction; xgboost's gamma has no GBT twin).
+GBT_PARAMS = {"maxIter": 40, "maxDepth": 6, "stepSize": 0.1842, "subsamplingRate": 0.7886,
+              "featureSubsetStrategy": "0.8096"}
+
+
+def _model_frames(spark, sf):
+    e = _enriched(spark, sf)
+    levels = {c: v for c, v in __import__("roaskit.operators.reshape", fromlist=["x"])
+              .discover_levels(e, ml.CATEGORICALS).items()}
+    feats_df, feats = ml.build_features(e, levels, keep=["session_id", "session_start", "converted"])
+    split = st.chronological_split(feats_df, ["session_start", "session_id"])
+    return split, feats
+
+
+@register("conversion_model_auc")
+def q_conversion_model_auc(spark, sf):
+    """M4 + M6: GBT fitted on train + tune, exact AUC on the time-ordered test split (rows-only)."""
+    split, feats = _model_frames(spark, sf)
+    fit_df = split.where(F.col("split") != "test")
+    model = ml.gbt_pipeline(feats, **GBT_PARAMS).fit(fit_df)
+    scored = ml.positive_probability(model.transform(split.where(F.col("split") == "test")))
+    return st.auc_exact(scored, "p_convert", "converted")
+
+
+@register("param_search")
+def q_param_search(spark, sf):
+    """M5: seeded random search, hold-out AUC per trial (rows-only)."""
+    split, feats = _model_frames(spark, sf)
+    return ml.search_params(split.where(F.col("split") == "train"), split.where(F.col("split") == "tune"),
+                            feats, trials=3)
+
+
+@register("feature_importance")
+def q_feature_importance(spark, sf):
+    """M9: top 15 importances (rows-only)."""
+    split, feats = _model_frames(spark, sf)
+    model = ml.gbt_pipeline(feats, **GBT_PARAMS).fit(split.where(F.col("split") != "test"))
+    return ml.feature_importance(model, feats, 15)
+
+
+@register("lift_forecast")
+def q_lift_forecast(spark, sf):
+    """M10 + M11: save / load the pipeline, then score every session at five
+    budget increases (rows-only)."""
+    import uuid
+    from roaskit.session import ensure_checkpoint_dir
+    split, feats = _model_frames(spark, sf)
+    model = ml.gbt_pipeline(feats, **GBT_PARAMS).fit(split.where(F.col("split") != "test"))
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/models/{uuid.uuid4().hex}"
+    ml.save_model(model, path)
+    loaded, loaded_feats = ml.load_model(path)
+    assert loaded_feats == feats
+    return ml.lift_forecast(loaded, split, ad.orders(spark, sf))
+
+
+@register("logistic_baseline")
+def q_logistic_baseline(spark, sf):
+    """M8 + M3 + M7 + M12: low-ROAS label, logistic regression per expanding
+    time fold, accuracy per fold (rows-only)."""
+    t = ch.low_roas_label(_trends(spark, sf))
+    feats = ["total_spend", "net_revenue", "monthly_roas", "monthly_cac"]
+    folds = st.time_series_folds(t, ["date", "mapping_key"], N_FOLDS).persist()
+    rows = []
+    for i in range(N_FOLDS):
+        tr = folds.where((F.col("fold") == i) & (F.col("role") == "train"))
+        te = folds.where((F.col("fold") == i) & (F.col("role") == "test"))
+        m = ml.logistic_pipeline(feats, "churned").fit(tr)
+        rows.append(st.accuracy(m.transform(te), "prediction", "churned").withColumn("fold", F.lit(i)))
+    out = rows[0]
+    for r in rows[1:]:
+        out = out.unionByName(r)
+    return out.select("fold", "n", r4("accuracy").alias("accuracy"))
