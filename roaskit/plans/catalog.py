@@ -976,3 +976,27 @@ def q_logistic_baseline(spark, sf):
     for r in rows[1:]:
         out = out.unionByName(r)
     return out.select("fold", "n", r4("accuracy").alias("accuracy"))
+
+
+# --- streaming ingestion -------------------------------------------------------------------
+
+@register("ingest_stream_result", _ORDER_LINES_SQL + """
+SELECT order_id, customer_id, order_datetime, sku, qty, round(unit_price, 4) AS unit_price,
+  round(discount, 4) AS discount FROM chk WHERE errors = ''""")
+def q_ingest_stream_result(spark, sf):
+    """S5 + S6 + S8 + T1 + T2: the order lines are dropped as CSV files in an
+    inbox under the shared checkpoint folder, ingested by the stream, and the
+    master table read back; it must equal the batch validation.  No key
+    dedup here: (order, line number) repeats in the driver data, so a key
+    anti join would drop distinct rows; replays are made safe by the
+    per-batch overwrite instead."""
+    import uuid
+    from roaskit.session import ensure_checkpoint_dir
+    from roaskit.streaming.ingest import run_available
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/ingest/{uuid.uuid4().hex}"
+    ad.order_lines(spark, sf).write.option("header", True).csv(f"{root}/inbox")
+    run_available(spark, f"{root}/inbox", order_line_contract(MIN_QTY, MAX_DISCOUNT), f"{root}/master",
+                  f"{root}/quarantine", f"{root}/_checkpoint", archive=f"{root}/archive")
+    m = spark.read.parquet(f"{root}/master")
+    return m.select("order_id", "customer_id", "order_datetime", "sku", "qty",
+                    r4("unit_price").alias("unit_price"), r4("discount").alias("discount"))
