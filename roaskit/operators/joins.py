@@ -21,15 +21,17 @@ def asof_join(left: DataFrame, right: DataFrame, by, left_ts: str, right_ts: str
     ``right_ts`` go to the smallest ``tie_col``.
 
     No row explosion and no single hot task: time is cut into buckets of
-    ``bucket_seconds`` so a key that holds a third of all rows is spread over
+    ``bucket_seconds``, so a key holding a third of all rows is spread over
     many (key, bucket) window partitions.
 
-    1. per (key, bucket) the last right row -- a partial aggregate (``min_by``),
-    2. per key, the last right row of any *earlier* bucket -- a window over the
-       small bucket table only,
-    3. inside each (key, bucket) a union of both sides ordered by time, with
-       ``last(ignorenulls)`` carrying the latest right row forward,
-    4. the in-bucket match, else the carried one.
+    1. the union of both sides is shuffled once on (key, bucket); inside each
+       partition, rows ordered by time (right before left on a tie) and
+       ``last(ignorenulls)`` carries the latest right row forward;
+    2. the last right row of every bucket -- a map-side-combined aggregate,
+       so its shuffle holds one row per (key, bucket) per task;
+    3. per key, over that small bucket table only, the last right row of any
+       *earlier* bucket (no key is hot here: a key has one row per bucket);
+    4. each left row takes its in-bucket match, else the carried one.
     """
     by = _cols(by)
     bucket_us = int(bucket_seconds) * 1_000_000
@@ -44,32 +46,29 @@ def asof_join(left: DataFrame, right: DataFrame, by, left_ts: str, right_ts: str
     r = r.select(*by, F.floor(micros(right_ts) / bucket_us).alias("_bkt"),
                  micros(right_ts).alias("_t"), F.lit(0).alias("_kind"), F.col(tie_col).alias("_tie"),
                  F.struct(*payload_fields).alias("_p"))
+    p_type = r.schema["_p"].dataType
 
     lcols = left.columns
-    left_k = left.withColumn("_t", micros(left_ts)).withColumn("_bkt", F.floor(F.col("_t") / bucket_us))
-
-    # 1 + 2: last right row of every earlier bucket, per key
-    last_in_bucket = r.groupBy(*by, "_bkt").agg(F.min_by("_p", F.struct(-F.col("_t"), F.col("_tie"))).alias("_bp"))
-    p_type = last_in_bucket.schema["_bp"].dataType
-    left_buckets = left_k.select(*by, "_bkt").distinct().withColumn("_bp", F.lit(None).cast(p_type))
-    buckets = (last_in_bucket.unionByName(left_buckets)
-               .groupBy(*by, "_bkt").agg(F.first("_bp", ignorenulls=True).alias("_bp")))
-    w_key = Window.partitionBy(*by).orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
-    carry = buckets.select(*by, "_bkt", F.last("_bp", ignorenulls=True).over(w_key).alias("_carry"))
-
-    # 3: in-bucket last right row at or before each left row; left rows travel as a struct
-    l_struct = F.struct(*[F.col(c) for c in lcols])
-    l_side = left_k.select(*by, "_bkt", "_t", F.lit(1).alias("_kind"),
+    l_side = left.select(*[F.col(k) for k in by], micros(left_ts).alias("_t"),
+                         F.struct(*[F.col(c) for c in lcols]).alias("_l"))
+    l_side = l_side.select(*by, F.floor(F.col("_t") / bucket_us).alias("_bkt"), "_t", F.lit(1).alias("_kind"),
                            F.lit(None).cast(r.schema["_tie"].dataType).alias("_tie"),
-                           F.lit(None).cast(p_type).alias("_p"), l_struct.alias("_l"))
+                           F.lit(None).cast(p_type).alias("_p"), "_l")
     r_side = r.withColumn("_l", F.lit(None).cast(l_side.schema["_l"].dataType))
-    u = r_side.unionByName(l_side)
+
+    # 1: one shuffle on (key, bucket); running last right row
     w_in = (Window.partitionBy(*by, "_bkt").orderBy(F.col("_t"), F.col("_kind"), F.col("_tie").desc_nulls_last())
             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    matched = (u.withColumn("_m", F.last("_p", ignorenulls=True).over(w_in))
-                .where(F.col("_kind") == 1).select(*by, "_bkt", "_l", "_m"))
+    win = r_side.unionByName(l_side).withColumn("_m", F.last("_p", ignorenulls=True).over(w_in))
+
+    # 2 + 3: last right row per bucket, then carried across earlier buckets per key
+    last_in_bucket = win.groupBy(*by, "_bkt").agg(
+        F.min_by("_p", F.when(F.col("_kind") == 0, F.struct(-F.col("_t"), F.col("_tie")))).alias("_bp"))
+    w_key = Window.partitionBy(*by).orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
+    carry = last_in_bucket.select(*by, "_bkt", F.last("_bp", ignorenulls=True).over(w_key).alias("_carry"))
 
     # 4: the in-bucket match, else the carried one
+    matched = win.where(F.col("_kind") == 1).select(*by, "_bkt", "_l", "_m")
     out = matched.join(carry, by + ["_bkt"], "left").withColumn("_best", F.coalesce("_m", "_carry"))
     if how == "inner":
         out = out.where(F.col("_best").isNotNull())

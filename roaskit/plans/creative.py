@@ -145,8 +145,8 @@ def conversion_score(sessions: DataFrame, promo_theme: str = "Promo / Sale", vid
     clipped to [floor, 1].  A session without spend has no score.  The spend
     bounds are scalar subqueries (``DataFrame.scalar``), not a cross join.
     """
-    lo = sessions.agg(F.min("spend")).scalar()
-    hi = sessions.agg(F.max("spend")).scalar()
+    bounds = sessions.agg(F.struct(F.min("spend").alias("lo"), F.max("spend").alias("hi"))).scalar()
+    lo, hi = bounds.getField("lo"), bounds.getField("hi")
     tier, theme, fmt = F.col("effectiveness_tier"), F.col("creative_theme"), F.col("creative_format")
     high = F.coalesce(tier == high_tier, F.lit(False))
     promo = F.coalesce(theme == promo_theme, F.lit(False))
