@@ -82,12 +82,12 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: li
 
 
 def append_to_master(spark: SparkSession, df: DataFrame, path: str, key: list[str] | None = None,
-                     fmt: str = "parquet") -> DataFrame:
+                     fmt: str = "parquet") -> None:
     """Append rows to a master table, creating it when missing.
 
     With ``key`` the append is idempotent: rows whose key already exists in the
     master (or repeats within the batch) are skipped by an anti join, so one
-    file delivered twice does not double the table.  Returns the appended rows.
+    file delivered twice does not double the table.
     """
     new = df
     if key:
@@ -98,4 +98,3 @@ def append_to_master(spark: SparkSession, df: DataFrame, path: str, key: list[st
         except Exception:  # master does not exist yet
             pass
     new.write.mode("append").format(fmt).save(path)
-    return new
