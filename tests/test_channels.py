@@ -59,3 +59,22 @@ def test_email_exclude_totals_and_flow_roas(spark):
     assert [r.email_type for r in mod.exclude_subtotals(e).collect()] == ["Triggered"]
     f = spark.createDataFrame([("welcome", D, 1000, 10.0)], "flow_name string, send_date date, sends long, revenue double")
     assert mod.email_flow_roas(f).first().roas == 2.0
+
+
+# Spend before May 2025, spend in May 2025 and new customers to April 2025, per
+# channel (sums of the committed cleaned monthly files).
+CAC_SPEND = [("Paid Search Media", 2147091.0, 79749.0), ("Paid Search Agency", 102899.0, 7501.0),
+             ("Paid Social Media", 3500682.0, 238355.0), ("Paid Social Agency", 235171.0, 22418.0),
+             ("Affiliate Media", 1484502.0, 18461.0), ("Affiliate Agency", 101960.0, 8978.0)]
+CAC_CUSTOMERS = [("Paid Search", 59935.0), ("Paid Social", 28809.0), ("Affiliate", 14194.0)]
+
+
+def test_overall_cac_goldens_both_caps(spark):
+    apr, may = dt.date(2025, 4, 1), dt.date(2025, 5, 1)
+    m = spark.createDataFrame([(n, pre, apr) for n, pre, _ in CAC_SPEND] + [(n, mv, may) for n, _, mv in CAC_SPEND],
+                              "channel_name string, value double, date date")
+    c = spark.createDataFrame([(n, v, apr) for n, v in CAC_CUSTOMERS], "channel_name string, value double, date date")
+    capped = {r.channel: round(r.cac, 2) for r in ch.overall_cac(m, c, "2025-05-01").collect()}
+    assert capped == {"paid search": 37.54, "paid social": 129.68, "affiliates": 111.77}
+    published = {r.channel: round(r.cac, 2) for r in ch.overall_cac(m, c, "2025-06-01").collect()}
+    assert published == {"paid search": 39.00, "paid social": 138.73, "affiliates": 113.70}
