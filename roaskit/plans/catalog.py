@@ -909,11 +909,26 @@ GBT_PARAMS = {"maxIter": 40, "maxDepth": 6, "stepSize": 0.1842, "subsamplingRate
               "featureSubsetStrategy": "0.8096"}
 
 
+# Tree counts and depth the registered searches draw from (kept small for run time).
+QUERY_SPACE = {"maxIter": (5, 15), "maxDepth": (3, 5)}
+_MODELS: dict = {}
+
+
+def _trained(spark, sf):
+    """The conversion model on train + tune, fitted once per session and data folder."""
+    key = (id(spark), sf)
+    if key not in _MODELS:
+        split, feats = _model_frames(spark, sf)
+        model = ml.gbt_pipeline(feats, **GBT_PARAMS).fit(split.where(F.col("split") != "test"))
+        _MODELS[key] = (split, feats, model)
+    return _MODELS[key]
+
+
 def _model_frames(spark, sf):
+    from roaskit.operators.reshape import discover_levels
     e = _enriched(spark, sf)
-    levels = {c: v for c, v in __import__("roaskit.operators.reshape", fromlist=["x"])
-              .discover_levels(e, ml.CATEGORICALS).items()}
-    feats_df, feats = ml.build_features(e, levels, keep=["session_id", "session_start", "converted"])
+    feats_df, feats = ml.build_features(e, discover_levels(e, ml.CATEGORICALS),
+                                        keep=["session_id", "session_start", "converted"])
     split = st.chronological_split(feats_df, ["session_start", "session_id"])
     return split, feats
 
@@ -921,9 +936,7 @@ def _model_frames(spark, sf):
 @register("conversion_model_auc")
 def q_conversion_model_auc(spark, sf):
     """M4 + M6: GBT fitted on train + tune, exact AUC on the time-ordered test split (rows-only)."""
-    split, feats = _model_frames(spark, sf)
-    fit_df = split.where(F.col("split") != "test")
-    model = ml.gbt_pipeline(feats, **GBT_PARAMS).fit(fit_df)
+    split, feats, model = _trained(spark, sf)
     scored = ml.positive_probability(model.transform(split.where(F.col("split") == "test")))
     return st.auc_exact(scored, "p_convert", "converted")
 
@@ -933,14 +946,24 @@ def q_param_search(spark, sf):
     """M5: seeded random search, hold-out AUC per trial (rows-only)."""
     split, feats = _model_frames(spark, sf)
     return ml.search_params(split.where(F.col("split") == "train"), split.where(F.col("split") == "tune"),
-                            feats, trials=3)
+                            feats, trials=3, space=QUERY_SPACE)
+
+
+@register("param_search_cv")
+def q_param_search_cv(spark, sf):
+    """M5 + M3: random search scored by mean AUC over expanding time folds (rows-only)."""
+    e = _enriched(spark, sf)
+    from roaskit.operators.reshape import discover_levels
+    feats_df, feats = ml.build_features(e, discover_levels(e, ml.CATEGORICALS),
+                                        keep=["session_id", "session_start", "converted"])
+    folds = st.time_series_folds(feats_df, ["session_start", "session_id"], 3)
+    return ml.search_params_cv(folds, feats, trials=2, space=QUERY_SPACE)
 
 
 @register("feature_importance")
 def q_feature_importance(spark, sf):
     """M9: top 15 importances (rows-only)."""
-    split, feats = _model_frames(spark, sf)
-    model = ml.gbt_pipeline(feats, **GBT_PARAMS).fit(split.where(F.col("split") != "test"))
+    split, feats, model = _trained(spark, sf)
     return ml.feature_importance(model, feats, 15)
 
 
@@ -950,8 +973,7 @@ def q_lift_forecast(spark, sf):
     budget increases (rows-only)."""
     import uuid
     from roaskit.session import ensure_checkpoint_dir
-    split, feats = _model_frames(spark, sf)
-    model = ml.gbt_pipeline(feats, **GBT_PARAMS).fit(split.where(F.col("split") != "test"))
+    split, feats, model = _trained(spark, sf)
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/models/{uuid.uuid4().hex}"
     ml.save_model(model, path)
     loaded, loaded_feats = ml.load_model(path)

@@ -74,21 +74,22 @@ SPACE = {
 SUBSET_STRATEGIES = ["all", "sqrt", "onethird"]
 
 
-def sample_params(rng: random.Random) -> dict:
+def sample_params(rng: random.Random, space: dict | None = None) -> dict:
     """One seeded random draw from the search space (learning rate on a log scale)."""
-    lo, hi = SPACE["stepSize"]
+    sp = {**SPACE, **(space or {})}
+    lo, hi = sp["stepSize"]
     return {
-        "maxIter": rng.randint(*SPACE["maxIter"]),
+        "maxIter": rng.randint(*sp["maxIter"]),
         "stepSize": float(10 ** rng.uniform(math.log10(lo), math.log10(hi))),
-        "maxDepth": rng.randint(*SPACE["maxDepth"]),
-        "subsamplingRate": rng.uniform(*SPACE["subsamplingRate"]),
-        "minInfoGain": rng.uniform(*SPACE["minInfoGain"]),
+        "maxDepth": rng.randint(*sp["maxDepth"]),
+        "subsamplingRate": rng.uniform(*sp["subsamplingRate"]),
+        "minInfoGain": rng.uniform(*sp["minInfoGain"]),
         "featureSubsetStrategy": rng.choice(SUBSET_STRATEGIES),
     }
 
 
 def search_params(train: DataFrame, tune: DataFrame, features: list[str], trials: int = 4,
-                  label: str = "converted", seed: int = 42) -> DataFrame:
+                  label: str = "converted", seed: int = 42, space: dict | None = None) -> DataFrame:
     """M5: seeded random search maximising hold-out AUC.  Training data is
     persisted once for all trials; the result is one row per trial."""
     spark = train.sparkSession
@@ -96,7 +97,7 @@ def search_params(train: DataFrame, tune: DataFrame, features: list[str], trials
     train = train.persist()
     rows = []
     for t in range(trials):
-        params = sample_params(rng)
+        params = sample_params(rng, space)
         model = gbt_pipeline(features, label, seed=seed, **params).fit(train)
         rows.append((t, params["maxIter"], params["stepSize"], params["maxDepth"], params["subsamplingRate"],
                      params["minInfoGain"], params["featureSubsetStrategy"], model_auc(model, tune, label)))
@@ -106,6 +107,32 @@ def search_params(train: DataFrame, tune: DataFrame, features: list[str], trials
                                        "auc double")
 
 
+def search_params_cv(folds: DataFrame, features: list[str], trials: int = 3, label: str = "converted",
+                     seed: int = 42, space: dict | None = None) -> DataFrame:
+    """M5 with M3: seeded random search scored by mean AUC over expanding
+    time-series folds (``folds`` as produced by ``stats.time_series_folds``:
+    one row per (row, fold) with ``role`` train / test).  The fold frame is
+    persisted once; each trial fits one model per fold."""
+    spark = folds.sparkSession
+    rng = random.Random(seed)
+    folds = folds.persist()
+    fold_ids = sorted(r[0] for r in folds.select("fold").distinct().collect())  # k values
+    rows = []
+    for t in range(trials):
+        params = sample_params(rng, space)
+        aucs = []
+        for f in fold_ids:
+            part = folds.where(F.col("fold") == f)
+            model = gbt_pipeline(features, label, seed=seed, **params).fit(part.where(F.col("role") == "train"))
+            aucs.append(model_auc(model, part.where(F.col("role") == "test"), label))
+        valid = [a for a in aucs if a is not None]
+        rows.append((t, params["maxIter"], params["stepSize"], params["maxDepth"], len(fold_ids),
+                     sum(valid) / len(valid) if valid else None))
+    folds.unpersist()
+    return spark.createDataFrame(rows, "trial int, max_iter int, step_size double, max_depth int, folds int, "
+                                       "mean_auc double")
+
+
 def feature_importance(model: PipelineModel, features: list[str], k: int = 15) -> DataFrame:
     """M9: top ``k`` feature importances (bounded by the feature count)."""
     gbt = model.stages[-1]

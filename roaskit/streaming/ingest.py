@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from roaskit.functions.scalars import sha256_id
-from roaskit.operators.quality import Contract, with_errors
+from roaskit.operators.quality import Contract, validation_counts, with_errors
 
 
 def text_schema(contract: Contract) -> StructType:
@@ -27,9 +27,12 @@ def text_schema(contract: Contract) -> StructType:
 
 
 def _batch_writer(spark: SparkSession, contract: Contract, master: str, quarantine: str,
-                  dedup_key: list[str] | None):
+                  dedup_key: list[str] | None, counts: str | None):
     def process(batch: DataFrame, batch_id: int) -> None:
         checked = with_errors(batch, contract).persist()
+        if counts:  # Q8: accepted / rejected per file, one small table per batch
+            (validation_counts(checked, ["source_file"]).write.mode("overwrite")
+             .parquet(f"{counts.rstrip('/')}/batch_id={batch_id}"))
         good = checked.where(F.size("errors") == 0).drop("errors")
         for c in contract.hashed:
             good = good.withColumn(c, sha256_id(c))
@@ -51,7 +54,7 @@ def _batch_writer(spark: SparkSession, contract: Contract, master: str, quaranti
 def ingest_stream(spark: SparkSession, inbox: str, contract: Contract, master: str, quarantine: str,
                   checkpoint: str, archive: str | None = None, glob: str = "*.csv",
                   dedup_key: list[str] | None = None, available_now: bool = True,
-                  max_files_per_trigger: int | None = None):
+                  max_files_per_trigger: int | None = None, counts: str | None = None):
     """Start the ingestion stream; with ``available_now`` it processes what
     is in the inbox and stops (call again later, or run continuously with
     ``available_now=False``).  Returns the ``StreamingQuery``."""
@@ -62,7 +65,7 @@ def ingest_stream(spark: SparkSession, inbox: str, contract: Contract, master: s
     if archive:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
     stream = reader.csv(inbox).withColumn("source_file", F.col("_metadata.file_name"))
-    writer = (stream.writeStream.foreachBatch(_batch_writer(spark, contract, master, quarantine, dedup_key))
+    writer = (stream.writeStream.foreachBatch(_batch_writer(spark, contract, master, quarantine, dedup_key, counts))
               .option("checkpointLocation", checkpoint))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()

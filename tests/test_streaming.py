@@ -20,8 +20,10 @@ def test_stream_restart_exactly_once(spark):
                              ("2", "c2", "2025-07-02 11:00:00", "S2", "0", "15.0", "0.0")])
     write(f"{inbox}/b.csv", [("3", "", "2025-07-02 12:00:00", "S3", "5", "20.0", "0.2")])
     args = (inbox, order_line_contract(), f"{root}/master", f"{root}/quarantine", f"{root}/ckpt")
-    run_available(spark, *args, archive=f"{root}/archive")
+    run_available(spark, *args, archive=f"{root}/archive", counts=f"{root}/counts")
     assert spark.read.parquet(f"{root}/master").count() == 1
+    per_file = {r.source_file: (r.rows, r.accepted, r.rejected) for r in spark.read.parquet(f"{root}/counts").collect()}
+    assert per_file == {"a.csv": (2, 1, 1), "b.csv": (1, 0, 1)}
     assert spark.read.parquet(f"{root}/quarantine").count() == 2
     # restart with one new file: only it is read
     write(f"{inbox}/c.csv", [("4", "c4", "2025-07-02 13:00:00", "S4", "1", "5.0", "0.0")])
