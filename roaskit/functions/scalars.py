@@ -140,8 +140,14 @@ def weekday_mon0(c) -> Column:
 
 
 def micros(c) -> Column:
-    """Microseconds since the epoch for a TIMESTAMP, TIMESTAMP_NTZ or DATE column."""
-    return F.unix_micros(_c(c).cast("timestamp"))
+    """Microseconds since 1970-01-01 00:00 on the wall clock of a TIMESTAMP_NTZ
+    or DATE column, built from day number and time-of-day fields so it never
+    depends on the session time zone (no jump at a daylight-saving change)."""
+    t = _c(c).cast("timestamp_ntz")
+    days = F.datediff(F.to_date(t), F.lit("1970-01-01").cast("date")).cast("long")
+    secs = F.date_part(F.lit("SECOND"), t) * F.lit(1_000_000)
+    return (days * F.lit(86_400_000_000) + F.hour(t).cast("long") * F.lit(3_600_000_000)
+            + F.minute(t).cast("long") * F.lit(60_000_000) + secs.cast("long"))
 
 
 def seconds_between(later, earlier) -> Column:

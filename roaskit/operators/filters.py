@@ -16,8 +16,9 @@ def filter_dates(df: DataFrame, ts: str, lo, hi) -> DataFrame:
     lo_d = dt.date.fromisoformat(str(lo)[:10])
     hi_d = dt.date.fromisoformat(str(hi)[:10]) + dt.timedelta(days=1)
     col = F.col(ts)
-    return df.where((col >= F.lit(dt.datetime.combine(lo_d, dt.time())).cast("timestamp_ntz"))
-                    & (col < F.lit(dt.datetime.combine(hi_d, dt.time())).cast("timestamp_ntz")))
+    lo_ts = F.to_timestamp_ntz(F.lit(f"{lo_d.isoformat()} 00:00:00"))
+    hi_ts = F.to_timestamp_ntz(F.lit(f"{hi_d.isoformat()} 00:00:00"))
+    return df.where((col >= lo_ts) & (col < hi_ts))
 
 
 def filter_in(df: DataFrame, col: str, values) -> DataFrame:
