@@ -23,7 +23,7 @@ HEADLINE = [
     "attribution_last_touch", "session_revenue", "creative_summary", "creative_rollup", "payback_curve",
     "channel_roas", "monthly_trends", "overall_cac", "kpi_summary", "customer_mix", "wholesale_kpis",
     "order_lines_valid", "table_profile", "chronological_split", "auc_exact", "bootstrap_ci",
-    "unpivot_months", "email_funnel",
+    "unpivot_months", "email_funnel", "ingest_stream_result",
 ]
 
 

@@ -14,6 +14,7 @@ from roaskit.operators.ordering import distinct_values, seeded_sample, top_k
 from roaskit.plans import creative
 from roaskit.plans.sqlviews import with_views
 from roaskit.sources import adapters as ad
+from roaskit.sources.tables import per_session
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -70,6 +71,7 @@ def sql_round4(sql: str) -> str:
         i = k + 1
 
 
+@per_session
 def _enriched(spark, sf):
     return creative.enrich_sessions(ad.sessions(spark, sf), ad.campaigns(spark, sf), ad.orders(spark, sf))
 
@@ -911,17 +913,12 @@ GBT_PARAMS = {"maxIter": 40, "maxDepth": 6, "stepSize": 0.1842, "subsamplingRate
 
 # Tree counts and depth the registered searches draw from (kept small for run time).
 QUERY_SPACE = {"maxIter": (5, 15), "maxDepth": (3, 5)}
-_MODELS: dict = {}
-
-
+@per_session
 def _trained(spark, sf):
     """The conversion model on train + tune, fitted once per session and data folder."""
-    key = (id(spark), sf)
-    if key not in _MODELS:
-        split, feats = _model_frames(spark, sf)
-        model = ml.gbt_pipeline(feats, **GBT_PARAMS).fit(split.where(F.col("split") != "test"))
-        _MODELS[key] = (split, feats, model)
-    return _MODELS[key]
+    split, feats = _model_frames(spark, sf)
+    model = ml.gbt_pipeline(feats, **GBT_PARAMS).fit(split.where(F.col("split") != "test"))
+    return split, feats, model
 
 
 def _model_frames(spark, sf):
