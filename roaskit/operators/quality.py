@@ -9,6 +9,7 @@ row is quarantined with its reasons instead of failing the whole file.
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -66,8 +67,8 @@ def _typed(df: DataFrame, contract: Contract) -> DataFrame:
         *[exprs[c].alias(c) for c in contract.types])
 
 
-def with_errors(df: DataFrame, contract: Contract) -> DataFrame:
-    """Typed columns plus ``errors array<string>`` naming every failed rule."""
+def _checks(df: DataFrame, contract: Contract):
+    """Typed frame (with ``_raw_`` copies) and the (rule name, passes) list."""
     t = _typed(df, contract)
     checks = []
     for c in contract.required:
@@ -77,22 +78,36 @@ def with_errors(df: DataFrame, contract: Contract) -> DataFrame:
             checks.append((f"{c}:type_{ty}", F.col(f"_raw_{c}").isNull() | F.col(c).isNotNull()))
     for name, pred in contract.rules.items():
         checks.append((name, F.coalesce(pred, F.lit(True))))  # a NULL value fails only the rules above
-    errs = F.filter(F.array(*[F.when(~ok, F.lit(n)) for n, ok in checks]), lambda x: x.isNotNull())
-    out = t.withColumn("errors", errs)
-    return out.drop(*[f"_raw_{c}" for c in contract.types])
+    passes = reduce(lambda a, b: a & b, [ok for _, ok in checks]) if checks else F.lit(True)
+    return t, checks, passes
+
+
+def _reasons(checks) -> Column:
+    return F.filter(F.array(*[F.when(~ok, F.lit(n)) for n, ok in checks]), lambda x: x.isNotNull())
+
+
+def with_errors(df: DataFrame, contract: Contract) -> DataFrame:
+    """Typed columns plus ``errors array<string>`` naming every failed rule
+    (empty for a good row; the reasons array is built only for failing rows)."""
+    t, checks, passes = _checks(df, contract)
+    errs = F.when(passes, F.array().cast("array<string>")).otherwise(_reasons(checks))
+    return t.withColumn("errors", errs).drop(*[f"_raw_{c}" for c in contract.types])
 
 
 def validate(df: DataFrame, contract: Contract) -> tuple[DataFrame, DataFrame]:
     """Q2: split into (good rows in contract types, rejected rows with ``errors``).
 
-    Good rows get PII columns hashed (Q9).  Both outputs come from one
+    Good rows are selected by the conjunction of all rules -- a plain,
+    code-generated predicate -- and get PII columns hashed (Q9); the reasons
+    array is built for rejected rows only.  Both outputs come from one
     expression; persist ``df`` first when writing both.
     """
-    e = with_errors(df, contract)
-    good = e.where(F.size("errors") == 0).drop("errors")
+    t, checks, passes = _checks(df, contract)
+    raws = [f"_raw_{c}" for c in contract.types]
+    good = t.where(passes).drop(*raws)
     for c in contract.hashed:
         good = good.withColumn(c, sha256_id(c))
-    bad = e.where(F.size("errors") > 0)
+    bad = t.where(~passes).withColumn("errors", _reasons(checks)).drop(*raws)
     return good, bad
 
 
