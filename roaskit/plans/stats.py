@@ -60,7 +60,7 @@ def auc_exact(df: DataFrame, score: str, label: str) -> DataFrame:
     below = F.col("cum_neg") - F.col("neg")
     num = cum.agg(F.sum(F.col("pos") * (below + 0.5 * F.col("neg"))).alias("num"))
     return num.select((F.col("num") / F.lit(p * n) if p * n > 0 else F.lit(None).cast("double")).alias("auc"),
-                      F.lit(int(p)).alias("positives"), F.lit(int(n)).alias("negatives"))
+                      F.lit(int(p)).cast("long").alias("positives"), F.lit(int(n)).cast("long").alias("negatives"))
 
 
 def roc_points(df: DataFrame, score: str, label: str) -> DataFrame:
