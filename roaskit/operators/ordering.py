@@ -10,8 +10,9 @@ order, computed in two passes.
 2. the result is checkpointed to the reliable checkpoint folder, so both
    passes see the same partitioning and a lost executor recomputes nothing
    inconsistent;
-3. the per-partition totals (one row per partition, a proven size bound) give
-   each partition its offset, added as a literal map lookup.
+3. the per-partition totals (one row per partition, a bound fixed by the
+   partition count) give each partition its offset, applied as one array
+   literal indexed by partition id.
 
 Global rank (W3 / M2), chronological splits, folds, AUC and ROC all use it.
 """
@@ -84,29 +85,30 @@ def running_totals(df: DataFrame, order_cols, value_cols: list[str], prefix: str
             yield pdf
 
     local = keyed.mapInPandas(local_cumsum, schema).checkpoint(eager=True)
+
+    # One summary row per partition (a bounded fetch): first and last group
+    # key and the sum of its trailing run.  Groups are sorted, so a partition's
+    # offset is the sum of the trailing runs of the earlier partitions whose
+    # last key equals its first key.
     gkey = F.struct(*[F.col(g) for g in group_cols]) if group_cols else F.struct(F.lit(0).alias("_k"))
-    summary = local.groupBy("_pid").agg(
+    rows = local.groupBy("_pid").agg(
         F.min_by(gkey, "_row").alias("_first_key"), F.max_by(gkey, "_row").alias("_last_key"),
-        *[F.max_by(n, "_row").alias(n) for n in loc_names]).collect()  # one row per partition
-    by_pid = {r["_pid"]: r for r in summary}
-    pids = sorted(by_pid)
+        *[F.max_by(n, "_row").alias(n) for n in loc_names]).collect()
+    by_pid = {r["_pid"]: r for r in rows}
     out, grand = local, {}
     for i, c in enumerate(value_cols):
-        offs = {}
-        for j, p in enumerate(pids):
-            first_key, off = by_pid[p]["_first_key"], 0.0
-            for q in reversed(pids[:j]):
-                rq = by_pid[q]
-                if rq["_last_key"] != first_key:
-                    break
-                off += float(rq[loc_names[i]] or 0.0)
-                if rq["_first_key"] != rq["_last_key"]:
-                    break
-            offs[p] = off
-        grand[c] = sum(float(by_pid[p][loc_names[i]] or 0.0) for p in pids) if not group_cols else None
-        pairs = [x for p, o in offs.items() if o for x in (F.lit(p), F.lit(o))]
-        off_col = F.coalesce(F.element_at(F.create_map(*pairs), F.col("_pid")), F.lit(0.0)) if pairs else F.lit(0.0)
-        out = out.withColumn(prefix + c, F.col(loc_names[i]) + F.when(F.col("_first_run"), off_col).otherwise(0.0))
+        run_sum: dict = {}
+        offs = [0.0] * parts
+        for p in sorted(by_pid):
+            r = by_pid[p]
+            offs[p] = run_sum.get(r["_first_key"], 0.0)
+            run_sum[r["_last_key"]] = run_sum.get(r["_last_key"], 0.0) + float(r[loc_names[i]] or 0.0)
+        if not group_cols:
+            grand[c] = sum(float(r[loc_names[i]] or 0.0) for r in rows)
+        # one SQL array literal (a single call whatever the partition count); repr() round-trips doubles
+        table = F.expr("array(" + ", ".join(f"{repr(float(o))}D" for o in offs) + ")")
+        off = F.coalesce(F.element_at(table, F.col("_pid") + 1), F.lit(0.0))
+        out = out.withColumn(prefix + c, F.col(loc_names[i]) + F.when(F.col("_first_run"), off).otherwise(0.0))
     return out.drop("_pid", "_row", "_first_run", *loc_names), grand
 
 
