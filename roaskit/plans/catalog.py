@@ -853,6 +853,17 @@ def q_bootstrap_ci(spark, sf):
                     r4("ci_high").alias("ci_high"), "resamples")
 
 
+LTV_PROBS = [0.025, 0.25, 0.5, 0.75, 0.975]
+
+
+@register("ltv_quantiles", " UNION ALL ".join(
+    f"SELECT CAST({p} AS DOUBLE) AS p, round(quantile_cont(v, CAST({p} AS DOUBLE)), 4) AS value "
+    f"FROM (SELECT sum(value) AS v FROM events WHERE event_type = 'purchase' GROUP BY user_id) t" for p in LTV_PROBS))
+def q_ltv_quantiles(spark, sf):
+    q = st.exact_quantiles(ad.ltv(spark, sf), "predicted_ltv", LTV_PROBS, tie_cols=["customer_id"])
+    return q.select("p", r4("value").alias("value"))
+
+
 @register("impute_iterative")
 def q_impute_iterative(spark, sf):
     """Chained-regression imputation of monthly revenue and customers: rows-only."""

@@ -41,6 +41,34 @@ def time_series_folds(df: DataFrame, order_cols, n_splits: int = 5, rank_col: st
     return ex.withColumns({"fold": F.col("_f.fold"), "role": F.col("_f.role")}).drop("_f")
 
 
+def exact_quantiles(df: DataFrame, col: str, probs, tie_cols: list[str] | None = None) -> DataFrame:
+    """Exact quantiles with linear interpolation (numpy / pandas default):
+    for p, h = (n - 1) p, value = x[floor h] + (h - floor h)(x[floor h + 1] - x[floor h]).
+
+    Unlike Spark's exact ``percentile`` -- which gathers a whole group in one
+    task -- the order comes from the distributed ``global_rank``; only the
+    2 x len(probs) rows at the needed ranks are kept.  One row per p.
+    """
+    x = df.where(F.col(col).isNotNull()).select(F.col(col).cast("double").alias("_x"), *(tie_cols or []))
+    ranked, n = global_rank(x, ["_x", *(tie_cols or [])], "_r")
+    spark = df.sparkSession
+    if n == 0:
+        return spark.createDataFrame([(float(p), None) for p in probs], "p double, value double")
+    wanted = {}
+    for p in probs:
+        h = (n - 1) * float(p)
+        lo = int(math.floor(h))
+        wanted[float(p)] = (lo + 1, min(lo + 2, n), h - lo)  # 1-based ranks
+    ranks = sorted({r for lo, hi, _ in wanted.values() for r in (lo, hi)})
+    picked = ranked.where(F.col("_r").isin(ranks)).select("_r", "_x")
+    rows = [(p, lo, hi, frac) for p, (lo, hi, frac) in wanted.items()]
+    spec = spark.createDataFrame(rows, "p double, lo long, hi long, frac double")
+    lo_v = picked.select(F.col("_r").alias("lo"), F.col("_x").alias("_xl"))
+    hi_v = picked.select(F.col("_r").alias("hi"), F.col("_x").alias("_xh"))
+    j = spec.join(lo_v, "lo").join(hi_v, "hi")
+    return j.select("p", (F.col("_xl") + F.col("frac") * (F.col("_xh") - F.col("_xl"))).alias("value"))
+
+
 def _score_counts(df: DataFrame, score: str, label: str) -> DataFrame:
     s = df.where(F.col(score).isNotNull() & F.col(label).isNotNull())
     return s.groupBy(score).agg(F.sum(F.col(label).cast("double")).alias("pos"),
