@@ -128,20 +128,20 @@ def kpi_summary(roas: DataFrame, cac: DataFrame) -> DataFrame:
     """One row: total revenue, blended ROAS (channels with spend), blended
     CAC, new customers, best-ROAS and lowest-CAC channel.  The CAC figures are
     scalar subqueries, so no cross join is planned."""
-    new_cust = cac.agg(F.sum("total_new_customers")).scalar()
-    cac_spend = cac.agg(F.sum("total_spend")).scalar()
-    lowest = cac.agg(F.min_by("channel", F.struct("cac", "channel"))).scalar()
+    c = cac.agg(F.struct(F.sum("total_new_customers").alias("new"), F.sum("total_spend").alias("spend"),
+                         F.min_by("channel", F.struct("cac", "channel")).alias("lowest"))).scalar()
     k = roas.agg(
         F.sum("total_revenue").alias("total_revenue"),
         F.sum(F.when(F.col("true_total_ad_spend") > 0, F.col("true_total_ad_spend"))).alias("_spend"),
         F.max_by("marketing_channel", F.struct("corrected_roas", "marketing_channel")).alias("best_roas_channel"))
+    k = k.withColumn("_c", c)  # the CAC-side subquery, referenced once
     return k.select(
         "total_revenue",
         safe_ratio("total_revenue", "_spend").alias("blended_roas"),
-        safe_ratio(cac_spend, new_cust).alias("blended_cac"),
-        F.coalesce(new_cust, F.lit(0.0)).alias("total_new_customers"),
+        safe_ratio(F.col("_c.spend"), F.col("_c.new")).alias("blended_cac"),
+        F.coalesce(F.col("_c.new"), F.lit(0.0)).alias("total_new_customers"),
         "best_roas_channel",
-        lowest.alias("lowest_cac_channel"))
+        F.col("_c.lowest").alias("lowest_cac_channel"))
 
 
 def customer_mix(customers_new: DataFrame, customers_ext: DataFrame, end=None) -> DataFrame:

@@ -150,15 +150,17 @@ def conversion_score(sessions: DataFrame, promo_theme: str = "Promo / Sale", vid
     bounds are scalar subqueries (``DataFrame.scalar``), not a cross join.
     """
     bounds = sessions.agg(F.struct(F.min("spend").alias("lo"), F.max("spend").alias("hi"))).scalar()
-    lo, hi = bounds.getField("lo"), bounds.getField("hi")
+    # attach the scalar subquery once as a column; every later step reads the column
+    out = sessions.withColumn("_b", bounds)
+    lo, hi = F.col("_b.lo"), F.col("_b.hi")
     tier, theme, fmt = F.col("effectiveness_tier"), F.col("creative_theme"), F.col("creative_format")
     high = F.coalesce(tier == high_tier, F.lit(False))
     promo = F.coalesce(theme == promo_theme, F.lit(False))
     video = F.coalesce(fmt == video_format, F.lit(False))
-    scaled = F.try_divide(F.col("spend") - lo, hi - lo)
-    p = F.lit(SCORE_BASE) + scaled * F.lit(SCORE_SPEND_WEIGHT)
-    p = F.when(high & promo & video, clip(p + SCORE_GOLDEN_BOOST, 0.0, 1.0)).otherwise(p)
-    p = F.when(high & (promo | video), clip(p + SCORE_SECONDARY_BOOST, 0.0, 1.0)).otherwise(p)
-    p = F.when(F.coalesce(tier == low_tier, F.lit(False)),
-               clip(p * SCORE_LOW_TIER_FACTOR, SCORE_LOW_TIER_FLOOR, 1.0)).otherwise(p)
-    return sessions.withColumn("conversion_score", p)
+    out = out.withColumn("_p", F.lit(SCORE_BASE) + F.try_divide(F.col("spend") - lo, hi - lo) * F.lit(SCORE_SPEND_WEIGHT))
+    p = F.col("_p")
+    out = out.withColumn("_p", F.when(high & promo & video, clip(p + SCORE_GOLDEN_BOOST, 0.0, 1.0)).otherwise(p))
+    out = out.withColumn("_p", F.when(high & (promo | video), clip(p + SCORE_SECONDARY_BOOST, 0.0, 1.0)).otherwise(p))
+    out = out.withColumn("_p", F.when(F.coalesce(tier == low_tier, F.lit(False)),
+                                      clip(p * SCORE_LOW_TIER_FACTOR, SCORE_LOW_TIER_FLOOR, 1.0)).otherwise(p))
+    return out.withColumn("conversion_score", F.col("_p")).drop("_b", "_p")
