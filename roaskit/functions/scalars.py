@@ -165,6 +165,17 @@ def year_token(c) -> Column:
     return F.regexp_extract(F.trim(_c(c)), r"^(\d{4})(\s|$)", 1).try_cast("int")
 
 
+def exact_sum(c, scale: int = 6) -> Column:
+    """Sum of money as an exact decimal, returned as a double.
+
+    A double sum depends on the order rows arrive in, so two runs (or two
+    engines) can differ in the last bit -- enough to flip a rounded ratio
+    that lands on a half.  Inputs with at most ``scale`` decimals sum
+    exactly; Spark's decimal arithmetic stays on longs while values fit.
+    """
+    return F.sum(_c(c).cast(f"decimal(38,{scale})")).cast("double")
+
+
 def safe_ratio(num, den) -> Column:
     """``num / den`` when ``den > 0`` else 0 (NULL denominators give 0)."""
     return F.when(_c(den) > 0, _c(num) / _c(den)).otherwise(F.lit(0.0))

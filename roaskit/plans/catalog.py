@@ -99,7 +99,7 @@ SELECT c.campaign_id, c.spend, c.creative_format, c.creative_theme,
   round(p.total_revenue, 4) AS total_revenue, p.total_conversions
 FROM (SELECT DISTINCT campaign_id, spend, creative_format, creative_theme FROM d_enriched
       WHERE campaign_id IS NOT NULL) c
-JOIN (SELECT campaign_id, sum(gross_revenue) AS total_revenue, CAST(sum(converted) AS BIGINT) AS total_conversions
+JOIN (SELECT campaign_id, CAST(sum(CAST(gross_revenue AS DECIMAL(38,6))) AS DOUBLE) AS total_revenue, CAST(sum(converted) AS BIGINT) AS total_conversions
       FROM d_enriched WHERE campaign_id IS NOT NULL GROUP BY campaign_id) p ON c.campaign_id = p.campaign_id""")
 def q_campaign_summary(spark, sf):
     c = creative.campaign_summary(_enriched(spark, sf))
@@ -112,9 +112,9 @@ WITH cs AS (
   SELECT c.campaign_id, c.spend, c.creative_format, c.creative_theme, p.total_revenue, p.total_conversions
   FROM (SELECT DISTINCT campaign_id, spend, creative_format, creative_theme FROM f
         WHERE campaign_id IS NOT NULL) c
-  JOIN (SELECT campaign_id, sum(gross_revenue) AS total_revenue, sum(converted) AS total_conversions
+  JOIN (SELECT campaign_id, CAST(sum(CAST(gross_revenue AS DECIMAL(38,6))) AS DOUBLE) AS total_revenue, sum(converted) AS total_conversions
         FROM f WHERE campaign_id IS NOT NULL GROUP BY campaign_id) p ON c.campaign_id = p.campaign_id),
-g AS (SELECT creative_format, creative_theme, sum(spend) AS total_spend, sum(total_revenue) AS total_revenue,
+g AS (SELECT creative_format, creative_theme, CAST(sum(CAST(spend AS DECIMAL(38,6))) AS DOUBLE) AS total_spend, CAST(sum(CAST(total_revenue AS DECIMAL(38,6))) AS DOUBLE) AS total_revenue,
         CAST(sum(total_conversions) AS BIGINT) AS total_conversions
       FROM cs WHERE creative_format IS NOT NULL AND creative_theme IS NOT NULL
       GROUP BY creative_format, creative_theme)
@@ -158,14 +158,14 @@ def q_creative_summary_filtered(spark, sf):
 WITH f AS (SELECT * FROM d_enriched), cs AS (
   SELECT c.campaign_id, c.spend, c.creative_format, c.creative_theme, p.total_revenue, p.total_conversions
   FROM (SELECT DISTINCT campaign_id, spend, creative_format, creative_theme FROM f WHERE campaign_id IS NOT NULL) c
-  JOIN (SELECT campaign_id, sum(gross_revenue) AS total_revenue, sum(converted) AS total_conversions
+  JOIN (SELECT campaign_id, CAST(sum(CAST(gross_revenue AS DECIMAL(38,6))) AS DOUBLE) AS total_revenue, sum(converted) AS total_conversions
         FROM f WHERE campaign_id IS NOT NULL GROUP BY campaign_id) p ON c.campaign_id = p.campaign_id),
-leaf AS (SELECT creative_format, creative_theme, sum(spend) AS total_spend, sum(total_revenue) AS total_revenue,
+leaf AS (SELECT creative_format, creative_theme, CAST(sum(CAST(spend AS DECIMAL(38,6))) AS DOUBLE) AS total_spend, CAST(sum(CAST(total_revenue AS DECIMAL(38,6))) AS DOUBLE) AS total_revenue,
         sum(total_conversions) AS total_conversions FROM cs
       WHERE creative_format IS NOT NULL AND creative_theme IS NOT NULL GROUP BY creative_format, creative_theme),
 leaf2 AS (SELECT *, greatest(CASE WHEN total_spend > 0 THEN total_revenue / total_spend ELSE 0.0 END, 0.01)
         * total_revenue AS wr FROM leaf),
-r AS (SELECT creative_theme, creative_format, sum(total_spend) AS total_spend, sum(total_revenue) AS total_revenue,
+r AS (SELECT creative_theme, creative_format, CAST(sum(CAST(total_spend AS DECIMAL(38,6))) AS DOUBLE) AS total_spend, CAST(sum(CAST(total_revenue AS DECIMAL(38,6))) AS DOUBLE) AS total_revenue,
         CAST(sum(total_conversions) AS BIGINT) AS total_conversions, sum(wr) AS wr,
         CASE grouping(creative_theme, creative_format) WHEN 0 THEN 0 WHEN 1 THEN 1 ELSE 2 END AS level
       FROM leaf2 GROUP BY ROLLUP (creative_theme, creative_format)),
@@ -263,7 +263,7 @@ def q_filter_values(spark, sf):
 
 @register("top_campaigns", """
 SELECT campaign_id, round(total_revenue, 4) AS total_revenue FROM (
-  SELECT campaign_id, sum(gross_revenue) AS total_revenue FROM d_enriched WHERE campaign_id IS NOT NULL
+  SELECT campaign_id, CAST(sum(CAST(gross_revenue AS DECIMAL(38,6))) AS DOUBLE) AS total_revenue FROM d_enriched WHERE campaign_id IS NOT NULL
   GROUP BY campaign_id) t ORDER BY total_revenue DESC, campaign_id LIMIT 15""")
 def q_top_campaigns(spark, sf):
     c = creative.campaign_summary(_enriched(spark, sf))
@@ -378,9 +378,9 @@ def q_spend_gaps(spark, sf):
 
 
 _OVERALL_CAC_SQL = f"""
-oc_s AS (SELECT {canon('channel_name')} AS k, sum(value) AS total_spend FROM d_media_spend
+oc_s AS (SELECT {canon('channel_name')} AS k, CAST(sum(CAST(value AS DECIMAL(38,6))) AS DOUBLE) AS total_spend FROM d_media_spend
          WHERE date < DATE '{CAP_END}' GROUP BY 1),
-oc_c AS (SELECT {canon('channel_name')} AS k, sum(value) AS total_new_customers FROM d_cust_new
+oc_c AS (SELECT {canon('channel_name')} AS k, CAST(sum(CAST(value AS DECIMAL(38,6))) AS DOUBLE) AS total_new_customers FROM d_cust_new
          WHERE date < DATE '{CAP_END}' GROUP BY 1),
 oc AS (SELECT * FROM (SELECT coalesce(oc_s.k, oc_c.k) AS channel, oc_s.total_spend, oc_c.total_new_customers,
          CASE WHEN oc_c.total_new_customers > 0 THEN oc_s.total_spend / oc_c.total_new_customers ELSE 0.0 END AS cac
@@ -397,13 +397,13 @@ def q_overall_cac(spark, sf):
 
 
 @register("kpi_summary", "WITH " + _OVERALL_CAC_SQL + """
-SELECT round(sum(total_revenue), 4) AS total_revenue,
-  round(CASE WHEN sum(CASE WHEN true_total_ad_spend > 0 THEN true_total_ad_spend END) > 0
-    THEN sum(total_revenue) / sum(CASE WHEN true_total_ad_spend > 0 THEN true_total_ad_spend END) ELSE 0.0 END, 4)
+SELECT round(CAST(sum(CAST(total_revenue AS DECIMAL(38,6))) AS DOUBLE), 4) AS total_revenue,
+  round(CASE WHEN CAST(sum(CAST(CASE WHEN true_total_ad_spend > 0 THEN true_total_ad_spend END AS DECIMAL(38,6))) AS DOUBLE) > 0
+    THEN CAST(sum(CAST(total_revenue AS DECIMAL(38,6))) AS DOUBLE) / CAST(sum(CAST(CASE WHEN true_total_ad_spend > 0 THEN true_total_ad_spend END AS DECIMAL(38,6))) AS DOUBLE) ELSE 0.0 END, 4)
     AS blended_roas,
-  (SELECT round(CASE WHEN sum(total_new_customers) > 0 THEN sum(total_spend) / sum(total_new_customers)
+  (SELECT round(CASE WHEN CAST(sum(CAST(total_new_customers AS DECIMAL(38,6))) AS DOUBLE) > 0 THEN CAST(sum(CAST(total_spend AS DECIMAL(38,6))) AS DOUBLE) / CAST(sum(CAST(total_new_customers AS DECIMAL(38,6))) AS DOUBLE)
     ELSE 0.0 END, 4) FROM oc) AS blended_cac,
-  (SELECT round(coalesce(sum(total_new_customers), 0.0), 4) FROM oc) AS total_new_customers,
+  (SELECT round(coalesce(CAST(sum(CAST(total_new_customers AS DECIMAL(38,6))) AS DOUBLE), 0.0), 4) FROM oc) AS total_new_customers,
   arg_max(marketing_channel, (corrected_roas, marketing_channel)) AS best_roas_channel,
   (SELECT arg_min(channel, (cac, channel)) FROM oc) AS lowest_cac_channel
 FROM d_croas""")
@@ -470,8 +470,8 @@ def q_persona_distribution_filtered(spark, sf):
 
 
 @register("email_flow_roas", """
-SELECT flow_name, round(sum(revenue), 4) AS total_revenue, round(sum(sends * CAST(0.005 AS DOUBLE)), 4) AS total_cost,
-  round(CASE WHEN sum(sends * CAST(0.005 AS DOUBLE)) > 0 THEN sum(revenue) / sum(sends * CAST(0.005 AS DOUBLE))
+SELECT flow_name, round(CAST(sum(CAST(revenue AS DECIMAL(38,6))) AS DOUBLE), 4) AS total_revenue, round(CAST(sum(CAST(sends * CAST(0.005 AS DOUBLE) AS DECIMAL(38,6))) AS DOUBLE), 4) AS total_cost,
+  round(CASE WHEN CAST(sum(CAST(sends * CAST(0.005 AS DOUBLE) AS DECIMAL(38,6))) AS DOUBLE) > 0 THEN CAST(sum(CAST(revenue AS DECIMAL(38,6))) AS DOUBLE) / CAST(sum(CAST(sends * CAST(0.005 AS DOUBLE) AS DECIMAL(38,6))) AS DOUBLE)
     ELSE 0.0 END, 4) AS roas
 FROM d_flows GROUP BY flow_name""")
 def q_email_flow_roas(spark, sf):
@@ -482,10 +482,10 @@ def q_email_flow_roas(spark, sf):
 
 @register("email_funnel", """
 SELECT flow_name, CAST(sum(sends) AS BIGINT) AS sends, CAST(sum(opens) AS BIGINT) AS opens,
-  CAST(sum(clicks) AS BIGINT) AS clicks, round(sum(revenue), 4) AS revenue,
+  CAST(sum(clicks) AS BIGINT) AS clicks, round(CAST(sum(CAST(revenue AS DECIMAL(38,6))) AS DOUBLE), 4) AS revenue,
   round(CASE WHEN sum(sends) > 0 THEN sum(opens) / sum(sends) ELSE 0.0 END, 4) AS open_rate,
   round(CASE WHEN sum(opens) > 0 THEN sum(clicks) / sum(opens) ELSE 0.0 END, 4) AS click_rate,
-  round(CASE WHEN sum(clicks) > 0 THEN sum(revenue) / sum(clicks) ELSE 0.0 END, 4) AS revenue_per_click
+  round(CASE WHEN sum(clicks) > 0 THEN CAST(sum(CAST(revenue AS DECIMAL(38,6))) AS DOUBLE) / sum(clicks) ELSE 0.0 END, 4) AS revenue_per_click
 FROM d_flows GROUP BY flow_name""")
 def q_email_funnel(spark, sf):
     f = mod.email_funnel(ad.email_flows(spark, sf))
@@ -858,7 +858,8 @@ LTV_PROBS = [0.025, 0.25, 0.5, 0.75, 0.975]
 
 @register("ltv_quantiles", " UNION ALL ".join(
     f"SELECT CAST({p} AS DOUBLE) AS p, round(quantile_cont(v, CAST({p} AS DOUBLE)), 4) AS value "
-    f"FROM (SELECT sum(value) AS v FROM events WHERE event_type = 'purchase' GROUP BY user_id) t" for p in LTV_PROBS))
+    f"FROM (SELECT CAST(sum(CAST(value AS DECIMAL(38,6))) AS DOUBLE) AS v FROM events WHERE event_type = 'purchase' "
+    f"GROUP BY user_id) t" for p in LTV_PROBS))
 def q_ltv_quantiles(spark, sf):
     q = st.exact_quantiles(ad.ltv(spark, sf), "predicted_ltv", LTV_PROBS, tie_cols=["customer_id"])
     return q.select("p", r4("value").alias("value"))

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roaskit.functions.scalars import canonical_channel, metric_channel, month_start, safe_ratio, spend_kind
+from roaskit.functions.scalars import canonical_channel, exact_sum, metric_channel, month_start, safe_ratio, spend_kind
 
 TREND_CHANNELS = ["paid search", "paid social", "affiliates"]
 
@@ -23,9 +23,9 @@ def _spend_rows(media_spend: DataFrame) -> DataFrame:
 def channel_roas(breakdown: DataFrame, media_spend: DataFrame) -> DataFrame:
     """Ad spend + agency fees -> true spend; corrected ROAS = revenue / true spend (0 when no spend)."""
     fees = (_spend_rows(media_spend).where(F.col("kind") == "agency")
-            .groupBy("mapping_key").agg(F.sum("value").alias("agency_fees")))
+            .groupBy("mapping_key").agg(exact_sum("value").alias("agency_fees")))
     summary = breakdown.groupBy("marketing_channel").agg(
-        F.sum("ad_spend").alias("total_ad_spend"), F.sum("`gross_discount_(shopify)`").alias("total_revenue"))
+        exact_sum("ad_spend").alias("total_ad_spend"), exact_sum("`gross_discount_(shopify)`").alias("total_revenue"))
     j = summary.join(fees, canonical_channel("marketing_channel") == fees.mapping_key, "left")
     j = j.withColumn("agency_fees", F.coalesce(F.col("agency_fees"), F.lit(0.0)))
     j = j.withColumn("true_total_ad_spend", F.col("total_ad_spend") + F.col("agency_fees"))
@@ -41,8 +41,8 @@ def monthly_spend(media_spend: DataFrame) -> DataFrame:
     self join; rows exist where the channel has a media line that month.
     """
     g = _spend_rows(media_spend).groupBy("date", "mapping_key").agg(
-        F.sum(F.when(F.col("kind") == "media", F.col("value"))).alias("value_media"),
-        F.sum(F.when(F.col("kind") == "agency", F.col("value"))).alias("value_agency"),
+        exact_sum(F.when(F.col("kind") == "media", F.col("value"))).alias("value_media"),
+        exact_sum(F.when(F.col("kind") == "agency", F.col("value"))).alias("value_agency"),
         F.count_if(F.col("kind") == "media").alias("_n_media"))
     g = g.where(F.col("_n_media") > 0).withColumn("value_agency", F.coalesce(F.col("value_agency"), F.lit(0.0)))
     return g.select("date", "mapping_key", "value_media", "value_agency",
@@ -114,10 +114,10 @@ def overall_cac(media_spend: DataFrame, customers_new: DataFrame, end) -> DataFr
     """(media + agency) / new customers per channel over one capped period;
     only channels with ``cac > 0``."""
     s = _spend_rows(cap_period(media_spend, "date", end))
-    spend = s.groupBy("mapping_key").agg(F.sum("value").alias("total_spend"))
+    spend = s.groupBy("mapping_key").agg(exact_sum("value").alias("total_spend"))
     cust = (cap_period(customers_new, "date", end)
             .groupBy(canonical_channel("channel_name").alias("mapping_key"))
-            .agg(F.sum("value").alias("total_new_customers")))
+            .agg(exact_sum("value").alias("total_new_customers")))
     j = spend.join(cust, "mapping_key", "full")
     j = j.withColumn("cac", safe_ratio("total_spend", "total_new_customers"))
     return (j.where(F.col("cac") > 0)
@@ -128,11 +128,11 @@ def kpi_summary(roas: DataFrame, cac: DataFrame) -> DataFrame:
     """One row: total revenue, blended ROAS (channels with spend), blended
     CAC, new customers, best-ROAS and lowest-CAC channel.  The CAC figures are
     scalar subqueries, so no cross join is planned."""
-    c = cac.agg(F.struct(F.sum("total_new_customers").alias("new"), F.sum("total_spend").alias("spend"),
+    c = cac.agg(F.struct(exact_sum("total_new_customers").alias("new"), exact_sum("total_spend").alias("spend"),
                          F.min_by("channel", F.struct("cac", "channel")).alias("lowest"))).scalar()
     k = roas.agg(
-        F.sum("total_revenue").alias("total_revenue"),
-        F.sum(F.when(F.col("true_total_ad_spend") > 0, F.col("true_total_ad_spend"))).alias("_spend"),
+        exact_sum("total_revenue").alias("total_revenue"),
+        exact_sum(F.when(F.col("true_total_ad_spend") > 0, F.col("true_total_ad_spend"))).alias("_spend"),
         F.max_by("marketing_channel", F.struct("corrected_roas", "marketing_channel")).alias("best_roas_channel"))
     k = k.withColumn("_c", c)  # the CAC-side subquery, referenced once
     return k.select(

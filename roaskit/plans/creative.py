@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from roaskit.functions.scalars import clip, safe_ratio, whole_days_between
+from roaskit.functions.scalars import clip, exact_sum, safe_ratio, whole_days_between
 from roaskit.operators.joins import asof_join
 from roaskit.operators.ordering import running_totals
 
@@ -23,7 +23,7 @@ def attribute_last_touch(orders: DataFrame, sessions: DataFrame, bucket_seconds:
 def session_revenue(attributed: DataFrame) -> DataFrame:
     """Revenue and order count per attributed session."""
     return attributed.groupBy("session_id").agg(
-        F.sum("gross_revenue").alias("gross_revenue"), F.count(F.lit(1)).alias("orders"))
+        exact_sum("gross_revenue").alias("gross_revenue"), F.count(F.lit(1)).alias("orders"))
 
 
 def enrich_sessions(sessions: DataFrame, campaigns: DataFrame, orders: DataFrame) -> DataFrame:
@@ -49,7 +49,7 @@ def campaign_summary(enriched: DataFrame) -> DataFrame:
     relevant = (enriched.where(F.col("campaign_id").isNotNull())
                 .select("campaign_id", "spend", "creative_format", "creative_theme").distinct())
     per = (enriched.where(F.col("campaign_id").isNotNull()).groupBy("campaign_id")
-           .agg(F.sum("gross_revenue").alias("total_revenue"), F.sum("converted").alias("total_conversions")))
+           .agg(exact_sum("gross_revenue").alias("total_revenue"), F.sum("converted").alias("total_conversions")))
     return relevant.join(per, "campaign_id")
 
 
@@ -58,7 +58,7 @@ def creative_summary(enriched: DataFrame) -> DataFrame:
     c = campaign_summary(enriched)
     g = (c.where(F.col("creative_format").isNotNull() & F.col("creative_theme").isNotNull())
          .groupBy("creative_format", "creative_theme")
-         .agg(F.sum("spend").alias("total_spend"), F.sum("total_revenue").alias("total_revenue"),
+         .agg(exact_sum("spend").alias("total_spend"), exact_sum("total_revenue").alias("total_revenue"),
               F.sum("total_conversions").alias("total_conversions")))
     roas = safe_ratio("total_revenue", "total_spend")
     return g.withColumns({
@@ -78,7 +78,7 @@ def creative_rollup(enriched: DataFrame) -> DataFrame:
     """
     leaves = creative_summary(enriched).withColumn("_wr", F.col("roas_display") * F.col("total_revenue"))
     r = leaves.rollup("creative_theme", "creative_format").agg(
-        F.sum("total_spend").alias("total_spend"), F.sum("total_revenue").alias("total_revenue"),
+        exact_sum("total_spend").alias("total_spend"), exact_sum("total_revenue").alias("total_revenue"),
         F.sum("total_conversions").alias("total_conversions"), F.sum("_wr").alias("_wr"),
         F.grouping_id().alias("level"))
     r = r.withColumn("level", F.when(F.col("level") == 0, 0).when(F.col("level") == 1, 1).otherwise(2))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roaskit.functions.scalars import safe_ratio
+from roaskit.functions.scalars import exact_sum, safe_ratio
 from roaskit.operators.filters import filter_in
 
 # --- fixed values ------------------------------------------------------------
@@ -25,8 +25,8 @@ def persona_distribution(personas: DataFrame, persona=None) -> DataFrame:
 def email_flow_roas(flows: DataFrame) -> DataFrame:
     """Revenue / send cost per flow."""
     g = flows.groupBy("flow_name").agg(
-        F.sum("revenue").alias("total_revenue"),
-        F.sum(F.col("sends") * EMAIL_COST_PER_SEND).alias("total_cost"))
+        exact_sum("revenue").alias("total_revenue"),
+        exact_sum(F.col("sends") * EMAIL_COST_PER_SEND).alias("total_cost"))
     return g.withColumn("roas", safe_ratio("total_revenue", "total_cost"))
 
 
@@ -34,7 +34,7 @@ def email_funnel(flows: DataFrame) -> DataFrame:
     """Open rate, click rate and revenue per click per flow, as ratios of sums."""
     g = flows.groupBy("flow_name").agg(
         F.sum("sends").alias("sends"), F.sum("opens").alias("opens"),
-        F.sum("clicks").alias("clicks"), F.sum("revenue").alias("revenue"))
+        F.sum("clicks").alias("clicks"), exact_sum("revenue").alias("revenue"))
     return g.withColumns({
         "open_rate": safe_ratio("opens", "sends"),
         "click_rate": safe_ratio("clicks", "opens"),

@@ -27,7 +27,7 @@ VIEWS = {
     row_number() OVER (PARTITION BY o.order_id ORDER BY s.session_start DESC, s.session_id) AS rn
   FROM d_orders o JOIN d_sessions s ON o.user_id = s.user_id AND s.session_start <= o.order_datetime) t
   WHERE rn = 1""",
-    "d_srev": """SELECT session_id, sum(gross_revenue) AS gross_revenue, count(*) AS orders FROM d_attr GROUP BY session_id""",
+    "d_srev": """SELECT session_id, CAST(sum(CAST(gross_revenue AS DECIMAL(38,6))) AS DOUBLE) AS gross_revenue, count(*) AS orders FROM d_attr GROUP BY session_id""",
     "d_enriched": """SELECT s.session_id, s.user_id, s.session_start, s.utm_source, s.utm_medium, s.campaign_id,
   c.campaign_name, c.start_date, c.spend, c.creative_format, c.creative_theme, c.effectiveness_tier,
   coalesce(r.gross_revenue, 0.0) AS gross_revenue, CASE WHEN r.orders > 0 THEN 1 ELSE 0 END AS converted
@@ -38,7 +38,7 @@ VIEWS = {
   o_orderstatus, o_totalprice, o_custkey, o_orderkey, o_orderdate, o_orderpriority FROM orders""",
     "d_media_spend": """SELECT channel || ' ' || kind AS channel_name, value, date FROM (
   SELECT date, channel, 'Media' AS kind,
-    sum(CASE WHEN o_orderstatus = 'F' THEN o_totalprice ELSE 0.0 END) / 100.0 AS value
+    CAST(sum(CAST(CASE WHEN o_orderstatus = 'F' THEN o_totalprice ELSE 0.0 END AS DECIMAL(38,6))) AS DOUBLE) / 100.0 AS value
   FROM d_ord GROUP BY date, channel
   UNION ALL
   SELECT date, channel, 'Agency' AS kind,
@@ -51,16 +51,17 @@ VIEWS = {
     "d_cust_ext": """SELECT t.channel AS channel_name, t.n - coalesce(n.value, 0.0) AS value, t.date
   FROM (SELECT date, channel, count(*) AS n FROM d_ord GROUP BY date, channel) t
   LEFT JOIN d_cust_new n ON t.date = n.date AND t.channel = n.channel_name""",
-    "d_net_sales": """SELECT o.date, o.channel, sum(l.net) AS value FROM
-  (SELECT l_orderkey, sum(l_extendedprice * (1 - l_discount)) AS net FROM lineitem GROUP BY l_orderkey) l
+    "d_net_sales": """SELECT o.date, o.channel, CAST(sum(l.net) AS DOUBLE) AS value FROM
+  (SELECT l_orderkey, sum(CAST(l_extendedprice * (1 - l_discount) AS DECIMAL(38,6))) AS net FROM lineitem
+   GROUP BY l_orderkey) l
   JOIN d_ord o ON l.l_orderkey = o.o_orderkey GROUP BY o.date, o.channel""",
     "d_topsheet": """SELECT date, 'shopify' AS source, 'NET SALES - ' || channel AS metric, value FROM d_net_sales
   UNION ALL
   SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS date, 'shopify' AS source, 'GROSS SALES' AS metric,
-    round(sum(o_totalprice), 2) AS value FROM orders GROUP BY 1""",
+    CAST(sum(CAST(o_totalprice AS DECIMAL(38,6))) AS DOUBLE) AS value FROM orders GROUP BY 1""",
     "d_breakdown": """SELECT CAST(year(date) AS VARCHAR) AS year_period, lower(channel) AS marketing_channel,
-  sum(CASE WHEN o_orderstatus = 'F' THEN o_totalprice ELSE 0.0 END) / 100.0 AS ad_spend,
-  sum(o_totalprice) / 10.0 AS gross_discount, count(*) AS orders, year(date) AS year
+  CAST(sum(CAST(CASE WHEN o_orderstatus = 'F' THEN o_totalprice ELSE 0.0 END AS DECIMAL(38,6))) AS DOUBLE) / 100.0 AS ad_spend,
+  CAST(sum(CAST(o_totalprice AS DECIMAL(38,6))) AS DOUBLE) / 10.0 AS gross_discount, count(*) AS orders, year(date) AS year
   FROM d_ord GROUP BY year(date), lower(channel)""",
     "d_overrides": """SELECT date AS month, channel || ' Agency' AS channel,
   CAST(sum(CASE WHEN o_orderstatus = 'P' THEN 1 ELSE 0 END) * 10 AS BIGINT) AS spend_override
@@ -86,8 +87,8 @@ VIEWS.update({
     "d_mspend": f"""SELECT date, mapping_key, value_media, coalesce(value_agency, 0.0) AS value_agency,
   value_media + coalesce(value_agency, 0.0) AS total_spend FROM (
   SELECT date, {canon('channel_name')} AS mapping_key,
-    sum(CASE WHEN channel_name NOT ILIKE '%agency%' THEN value END) AS value_media,
-    sum(CASE WHEN channel_name ILIKE '%agency%' THEN value END) AS value_agency,
+    CAST(sum(CAST(CASE WHEN channel_name NOT ILIKE '%agency%' THEN value END AS DECIMAL(38,6))) AS DOUBLE) AS value_media,
+    CAST(sum(CAST(CASE WHEN channel_name ILIKE '%agency%' THEN value END AS DECIMAL(38,6))) AS DOUBLE) AS value_agency,
     count(CASE WHEN channel_name NOT ILIKE '%agency%' THEN 1 END) AS n_media
   FROM d_media_spend GROUP BY 1, 2) t WHERE n_media > 0""",
     "d_netrev": f"""SELECT date, {canon("substr(metric, 13)")} AS mapping_key, value AS net_revenue
@@ -109,9 +110,9 @@ VIEWS.update({
   coalesce(f.agency_fees, 0.0) AS agency_fees, s.total_ad_spend + coalesce(f.agency_fees, 0.0) AS true_total_ad_spend,
   CASE WHEN s.total_ad_spend + coalesce(f.agency_fees, 0.0) > 0
     THEN s.total_revenue / (s.total_ad_spend + coalesce(f.agency_fees, 0.0)) ELSE 0.0 END AS corrected_roas
-  FROM (SELECT marketing_channel, sum(ad_spend) AS total_ad_spend, sum(gross_discount) AS total_revenue
+  FROM (SELECT marketing_channel, CAST(sum(CAST(ad_spend AS DECIMAL(38,6))) AS DOUBLE) AS total_ad_spend, CAST(sum(CAST(gross_discount AS DECIMAL(38,6))) AS DOUBLE) AS total_revenue
         FROM d_breakdown GROUP BY marketing_channel) s
-  LEFT JOIN (SELECT {canon('channel_name')} AS mapping_key, sum(value) AS agency_fees FROM d_media_spend
+  LEFT JOIN (SELECT {canon('channel_name')} AS mapping_key, CAST(sum(CAST(value AS DECIMAL(38,6))) AS DOUBLE) AS agency_fees FROM d_media_spend
              WHERE channel_name ILIKE '%agency%' GROUP BY 1) f
   ON {canon('s.marketing_channel')} = f.mapping_key""",
     "d_email_monthly": """SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS date,
@@ -120,15 +121,15 @@ VIEWS.update({
   FROM orders GROUP BY 1, 2""",
     "d_flows": """SELECT event_type AS flow_name, CAST(ts AS DATE) AS send_date, count(*) AS sends,
   count(*) FILTER (WHERE value >= 10) AS opens, count(*) FILTER (WHERE value >= 50) AS clicks,
-  round(sum(value), 2) AS revenue FROM events GROUP BY 1, 2""",
+  CAST(sum(CAST(value AS DECIMAL(38,6))) AS DOUBLE) AS revenue FROM events GROUP BY 1, 2""",
     "d_wholesale": """SELECT coalesce(s.s_name, CAST(g.l_suppkey AS VARCHAR)) AS retailer, g.l_partkey AS sku, g.* EXCLUDE (l_suppkey, l_partkey)
   FROM (SELECT l_suppkey, l_partkey, CAST(sum(l_quantity) AS BIGINT) AS units_ordered,
     CAST(sum(CASE WHEN l_returnflag = 'N' THEN l_quantity ELSE 0.0 END) AS BIGINT) AS units_sold,
     CAST(sum(CASE WHEN l_linestatus = 'F' THEN l_quantity ELSE 0.0 END) AS BIGINT) AS units_shipped,
     CAST(sum(CASE WHEN l_returnflag = 'R' THEN l_quantity ELSE 0.0 END) AS BIGINT) AS on_hand,
-    sum(l_extendedprice) AS wholesale_dollars, sum(l_extendedprice * l_discount) AS discounts,
-    sum(CASE WHEN l_returnflag = 'R' THEN l_extendedprice ELSE 0.0 END) AS returns_dollars,
-    sum(l_extendedprice * l_tax) AS markdowns_dollars
+    CAST(sum(CAST(l_extendedprice AS DECIMAL(38,6))) AS DOUBLE) AS wholesale_dollars, CAST(sum(CAST(l_extendedprice * l_discount AS DECIMAL(38,6))) AS DOUBLE) AS discounts,
+    CAST(sum(CAST(CASE WHEN l_returnflag = 'R' THEN l_extendedprice ELSE 0.0 END AS DECIMAL(38,6))) AS DOUBLE) AS returns_dollars,
+    CAST(sum(CAST(l_extendedprice * l_tax AS DECIMAL(38,6))) AS DOUBLE) AS markdowns_dollars
   FROM lineitem GROUP BY l_suppkey, l_partkey) g LEFT JOIN supplier s ON g.l_suppkey = s.s_suppkey""",
 })
 VIEW_DEPS.update({

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roaskit.functions.scalars import MONTH_NAMES, month_start
+from roaskit.functions.scalars import MONTH_NAMES, exact_sum, month_start
 from roaskit.sources.tables import load, per_session
 
 # --- fixed values of the adapter mapping ------------------------------------
@@ -108,7 +108,7 @@ def media_spend(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(channel_name, value, date): ``<Channel> Media`` and ``<Channel> Agency`` rows."""
     o = _orders_by_month_channel(spark, sf_dir)
     wide = o.groupBy("date", "channel").agg(
-        (F.sum(F.when(F.col("o_orderstatus") == "F", F.col("o_totalprice")).otherwise(0.0))
+        (exact_sum(F.when(F.col("o_orderstatus") == "F", F.col("o_totalprice")).otherwise(0.0))
          / MEDIA_DIVISOR).alias("Media"),
         (F.count_if(F.col("o_orderstatus") == "O") * AGENCY_FEE_PER_ORDER).alias("Agency"),
     )
@@ -157,10 +157,10 @@ def net_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     li = load(spark, sf_dir, "lineitem")
     per_order = li.groupBy("l_orderkey").agg(
-        F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("net"))
+        F.sum((F.col("l_extendedprice") * (1 - F.col("l_discount"))).cast("decimal(38,6)")).alias("net"))
     o = _orders_by_month_channel(spark, sf_dir)
     j = per_order.join(o, per_order.l_orderkey == o.o_orderkey)
-    return j.groupBy("date", "channel").agg(F.sum("net").alias("value"))
+    return j.groupBy("date", "channel").agg(F.sum("net").cast("double").alias("value"))
 
 
 @per_session
@@ -171,7 +171,7 @@ def topsheet(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("NET SALES - "), F.col("channel")).alias("metric"), "value")
     o = load(spark, sf_dir, "orders")
     gross = o.groupBy(month_start("o_orderdate").alias("date")).agg(
-        F.round(F.sum("o_totalprice"), 2).alias("value"))
+        exact_sum("o_totalprice").alias("value"))
     gross = gross.select("date", F.lit("shopify").alias("source"), F.lit("GROSS SALES").alias("metric"), "value")
     return ns.unionByName(gross)
 
@@ -183,9 +183,9 @@ def channel_breakdown(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = _orders_by_month_channel(spark, sf_dir)
     y = F.year("date")
     agg = o.groupBy(y.alias("year"), F.lower(F.col("channel")).alias("marketing_channel")).agg(
-        (F.sum(F.when(F.col("o_orderstatus") == "F", F.col("o_totalprice")).otherwise(0.0))
+        (exact_sum(F.when(F.col("o_orderstatus") == "F", F.col("o_totalprice")).otherwise(0.0))
          / MEDIA_DIVISOR).alias("ad_spend"),
-        (F.sum("o_totalprice") / REVENUE_DIVISOR).alias("gross_discount_(shopify)"),
+        (exact_sum("o_totalprice") / REVENUE_DIVISOR).alias("gross_discount_(shopify)"),
         F.count(F.lit(1)).alias("orders"),
     )
     return agg.select(F.col("year").cast("string").alias("year_period"), "marketing_channel", "ad_spend",
@@ -235,7 +235,7 @@ def email_flows(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.count(F.lit(1)).alias("sends"),
         F.count_if(F.col("value") >= 10).alias("opens"),
         F.count_if(F.col("value") >= 50).alias("clicks"),
-        F.round(F.sum("value"), 2).alias("revenue"),
+        exact_sum("value").alias("revenue"),
     )
 
 
@@ -263,10 +263,10 @@ def wholesale(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sum(F.when(F.col("l_returnflag") == "N", q).otherwise(0.0)).cast("long").alias("units_sold"),
         F.sum(F.when(F.col("l_linestatus") == "F", q).otherwise(0.0)).cast("long").alias("units_shipped"),
         F.sum(F.when(F.col("l_returnflag") == "R", q).otherwise(0.0)).cast("long").alias("on_hand"),
-        F.sum(p).alias("wholesale_dollars"),
-        F.sum(p * F.col("l_discount")).alias("discounts"),
-        F.sum(F.when(F.col("l_returnflag") == "R", p).otherwise(0.0)).alias("returns_dollars"),
-        F.sum(p * F.col("l_tax")).alias("markdowns_dollars"),
+        exact_sum(p).alias("wholesale_dollars"),
+        exact_sum(p * F.col("l_discount")).alias("discounts"),
+        exact_sum(F.when(F.col("l_returnflag") == "R", p).otherwise(0.0)).alias("returns_dollars"),
+        exact_sum(p * F.col("l_tax")).alias("markdowns_dollars"),
     )
     s = load(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
     j = g.join(s, g.l_suppkey == s.s_suppkey, "left")
@@ -279,7 +279,7 @@ def wholesale(spark: SparkSession, sf_dir: str) -> DataFrame:
 def ltv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(customer_id, predicted_ltv): purchase value per user."""
     o = orders(spark, sf_dir)
-    return o.groupBy(F.col("user_id").alias("customer_id")).agg(F.sum("gross_revenue").alias("predicted_ltv"))
+    return o.groupBy(F.col("user_id").alias("customer_id")).agg(exact_sum("gross_revenue").alias("predicted_ltv"))
 
 
 @per_session
