@@ -126,9 +126,13 @@ def assert_valid(checked: DataFrame) -> None:
         raise ValueError("contract violated: " + ", ".join(f"{r['rule']}={r['count']}" for r in fails))
 
 
-def profile(df: DataFrame, cols: list[str] | None = None, exact_distinct: bool = True) -> DataFrame:
+def profile(df: DataFrame, cols: list[str] | None = None, exact_distinct: bool = True,
+            future_after=None, quartiles: bool = False) -> DataFrame:
     """Q10: one aggregate pass -> one row per column: non-null and null counts,
-    distinct count, numeric min / max / mean / stddev, negatives, time range."""
+    distinct count, numeric min / max / mean / stddev, negatives, time range,
+    and -- for time columns -- values after ``future_after`` (future dates).
+    ``quartiles`` adds approximate 25/50/75 % points (bounded memory at any
+    size); ``exact_distinct=False`` switches to HyperLogLog distinct counts."""
     cols = cols or df.columns
     types = dict(df.dtypes)
     aggs = []
@@ -147,6 +151,10 @@ def profile(df: DataFrame, cols: list[str] | None = None, exact_distinct: bool =
             (F.count_if(col < 0) if numeric else F.lit(None).cast("bigint")).alias("negatives"),
             (F.min(col).cast("timestamp_ntz") if temporal else F.lit(None).cast("timestamp_ntz")).alias("min_time"),
             (F.max(col).cast("timestamp_ntz") if temporal else F.lit(None).cast("timestamp_ntz")).alias("max_time"),
+            (F.count_if(col.cast("timestamp_ntz") > F.to_timestamp_ntz(F.lit(str(future_after))))
+             if temporal and future_after is not None else F.lit(None).cast("bigint")).alias("future"),
+            *([(F.percentile_approx(col.cast("double"), [0.25, 0.5, 0.75], 10000) if numeric
+                else F.lit(None).cast("array<double>")).alias("quartiles")] if quartiles else []),
         ).alias(f"_s{i}"))
     one = df.agg(*aggs)
     return one.select(F.explode(F.array(*[F.col(f"_s{i}") for i in range(len(cols))])).alias("s")).select("s.*")

@@ -670,6 +670,7 @@ def q_validation_counts(spark, sf):
     return qa.validation_counts(c, ["year"])
 
 
+PROFILE_FUTURE = "2001-01-01 00:00:00"  # the as-of date: later order dates count as future
 PROFILE_COLS = [("o_orderkey", "bigint"), ("o_custkey", "bigint"), ("o_totalprice", "double"),
                 ("o_orderstatus", "string"), ("o_orderdate", "timestamp_ntz")]
 
@@ -687,13 +688,15 @@ def _profile_sql():
   {f'round(stddev_samp({c}), 4)' if num else 'CAST(NULL AS DOUBLE)'} AS stddev,
   {f'count(*) FILTER (WHERE {c} < 0)' if num else 'CAST(NULL AS BIGINT)'} AS negatives,
   {f'min({c})' if tim else 'CAST(NULL AS TIMESTAMP)'} AS min_time,
-  {f'max({c})' if tim else 'CAST(NULL AS TIMESTAMP)'} AS max_time FROM orders""")
+  {f'max({c})' if tim else 'CAST(NULL AS TIMESTAMP)'} AS max_time,
+  {f"count(*) FILTER (WHERE {c} > TIMESTAMP '{PROFILE_FUTURE}')" if tim else 'CAST(NULL AS BIGINT)'} AS future
+  FROM orders""")
     return "\nUNION ALL\n".join(parts)
 
 
 @register("table_profile", _profile_sql())
 def q_table_profile(spark, sf):
-    p = qa.profile(load(spark, sf, "orders"), [c for c, _ in PROFILE_COLS])
+    p = qa.profile(load(spark, sf, "orders"), [c for c, _ in PROFILE_COLS], future_after=PROFILE_FUTURE)
     return p.withColumns({"mean": r4("mean"), "stddev": r4("stddev")})
 
 

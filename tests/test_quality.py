@@ -78,6 +78,9 @@ def test_profile_and_duplicates(spark):
     p = {r.column: r for r in qa.profile(df).collect()}
     assert p["v"].nulls == 1 and p["v"].negatives == 1 and p["v"].min_value == -2.0
     assert p["s"].distinct == 1 and p["k"].distinct == 2
+    t = spark.createDataFrame([(dt.date(2024, 1, 1),), (dt.date(2030, 1, 1),)], "d date")
+    q = qa.profile(t, future_after="2025-06-01 00:00:00", quartiles=True).first()
+    assert q.future == 1 and q.min_time == dt.datetime(2024, 1, 1)
     d = duplicate_row_count(df, ["k"]).first()
     assert (d.total_rows, d.distinct_rows, d.duplicate_rows) == (3, 2, 1)
 
