@@ -20,9 +20,9 @@ def duplicate_row_count(df: DataFrame, cols: list[str] | None = None) -> DataFra
     """Rows, distinct rows and duplicates (rows - distinct) in one row."""
     d = df.select(*(cols or df.columns))
     total = d.agg(F.count(F.lit(1))).scalar()
-    distinct = d.distinct().agg(F.count(F.lit(1)).alias("distinct_rows"))
-    return distinct.select(total.alias("total_rows"), "distinct_rows",
-                           (total - F.col("distinct_rows")).alias("duplicate_rows"))
+    distinct = d.distinct().agg(F.count(F.lit(1)).alias("distinct_rows")).withColumn("total_rows", total)
+    return distinct.select("total_rows", "distinct_rows",
+                           (F.col("total_rows") - F.col("distinct_rows")).alias("duplicate_rows"))
 
 
 def unpivot_months(df: DataFrame, id_cols: list[str], year_col: str = "year", value_name: str = "value",
@@ -85,3 +85,12 @@ def align_features(df: DataFrame, features: list[str], keep: list[str] | None =
     have = set(df.columns)
     cols = [F.col(c) if c in have else F.lit(0).alias(c) for c in features]
     return df.select(*[F.col(k) for k in (keep or [])], *cols)
+
+
+def min_max_scale(df: DataFrame, col: str, out: str | None = None) -> DataFrame:
+    """(x - min) / (max - min); NULL when the column is constant.  The
+    bounds are one scalar subquery attached as a column (no cross join)."""
+    b = df.agg(F.struct(F.min(col).alias("lo"), F.max(col).alias("hi"))).scalar()
+    t = df.withColumn("_mm", b)
+    scaled = F.try_divide(F.col(col) - F.col("_mm.lo"), F.col("_mm.hi") - F.col("_mm.lo"))
+    return t.withColumn(out or f"{col}_scaled", scaled).drop("_mm")

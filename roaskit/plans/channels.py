@@ -106,8 +106,22 @@ def monthly_trends(spend: DataFrame, topsheet: DataFrame, customers_new: DataFra
 
 
 def cap_period(df: DataFrame, date_col: str, end) -> DataFrame:
-    """Q13: keep rows strictly before ``end`` (the first incomplete month)."""
-    return df.where(F.col(date_col) < F.lit(end).cast("date"))
+    """Q13: keep rows strictly before ``end`` (the first incomplete month);
+    ``end`` is a date string or a column such as ``complete_period_end(...)``."""
+    bound = end if isinstance(end, F.Column) else F.lit(end).cast("date")
+    return df.where(F.col(date_col) < bound)
+
+
+def complete_period_end(*series) -> F.Column:
+    """Q13 option: the analysis end = the month after the earliest of each
+    table's last month with a non-zero value.  ``series`` are
+    ``(df, date_col, value_col)`` triples; the result is one scalar-subquery
+    column usable in ``cap_period``-style filters."""
+    lasts = [df.where(F.col(v) != 0).agg(F.max(F.col(d)).alias("_last")) for df, d, v in series]
+    u = lasts[0]
+    for x in lasts[1:]:
+        u = u.unionByName(x)
+    return u.agg(F.add_months(F.trunc(F.min("_last"), "month"), 1)).scalar()
 
 
 def overall_cac(media_spend: DataFrame, customers_new: DataFrame, end) -> DataFrame:

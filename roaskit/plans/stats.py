@@ -25,6 +25,20 @@ def chronological_split(df: DataFrame, order_cols, fractions=(0.70, 0.15),
     return ranked.withColumn("split", split)
 
 
+def approx_chronological_split(df: DataFrame, ts: str, fractions=(0.70, 0.15),
+                               names=("train", "tune", "test"), accuracy: int = 100_000) -> DataFrame:
+    """M2, cheap form: time cut points from ``percentile_approx`` (bounded
+    memory, one aggregate pass, no checkpoint).  Split sizes are within the
+    sketch's rank error and rows sharing a time stamp stay together; use
+    ``chronological_split`` for exact sizes."""
+    from roaskit.functions.scalars import micros
+    t = micros(ts)
+    cuts = df.agg(F.percentile_approx(t, [fractions[0], fractions[0] + fractions[1]], accuracy).alias("q")).scalar()
+    out = df.withColumn("_q", cuts)
+    split = F.when(t < F.col("_q")[0], names[0]).when(t < F.col("_q")[1], names[1]).otherwise(names[2])
+    return out.withColumn("split", split).drop("_q")
+
+
 def time_series_folds(df: DataFrame, order_cols, n_splits: int = 5, rank_col: str = "row_rank") -> DataFrame:
     """M3: expanding-window folds; test size floor(n / (k + 1)); training rows
     always precede the fold's test rows.  One output row per (row, fold) the

@@ -56,3 +56,24 @@ def test_exact_quantiles_match_numpy(spark):
     got = {r.p: r.value for r in exact_quantiles(df, "v", probs, tie_cols=["id"]).collect()}
     for p in probs:
         assert abs(got[p] - float(np.quantile(vals, p))) < 1e-12
+
+
+def test_min_max_scale_and_period_end(spark):
+    import datetime as dt
+    from roaskit.operators.reshape import min_max_scale
+    from roaskit.plans.channels import cap_period, complete_period_end
+    df = spark.createDataFrame([(1.0,), (3.0,), (5.0,)], "v double")
+    assert [r.v_scaled for r in min_max_scale(df, "v").orderBy("v").collect()] == [0.0, 0.5, 1.0]
+    a = spark.createDataFrame([(dt.date(2025, 4, 1), 3.0), (dt.date(2025, 5, 1), 2.0), (dt.date(2025, 6, 1), 0.0)],
+                              "date date, value double")
+    b = spark.createDataFrame([(dt.date(2025, 4, 1), 1.0), (dt.date(2025, 5, 1), 0.0)], "date date, value double")
+    end = complete_period_end((a, "date", "value"), (b, "date", "value"))
+    assert spark.range(1).select(end).first()[0] == dt.date(2025, 5, 1)
+    assert [r.date for r in cap_period(a, "date", end).collect()] == [dt.date(2025, 4, 1)]
+
+
+def test_approx_split_close_to_exact(spark):
+    from roaskit.plans.stats import approx_chronological_split
+    df = spark.range(10000).withColumn("ts", F.timestamp_seconds(F.col("id") * 60).cast("timestamp_ntz"))
+    sizes = {r.split: r["count"] for r in approx_chronological_split(df, "ts").groupBy("split").count().collect()}
+    assert abs(sizes["train"] - 7000) <= 20 and abs(sizes["tune"] - 1500) <= 20
