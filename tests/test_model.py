@@ -3,7 +3,6 @@ import os
 import random
 import tempfile
 
-from pyspark.sql import functions as F
 
 from roaskit.plans import model as ml
 from roaskit.plans.stats import auc_exact

@@ -1,7 +1,6 @@
 import random
 
 import pandas as pd
-from pyspark.sql import functions as F
 
 from roaskit.operators.ordering import global_rank, running_totals, seeded_sample
 
