@@ -32,6 +32,32 @@ class Contract:
         return set(self.types) <= cols
 
 
+def order_line_contract(min_qty: int = 1, max_discount: float = 1.0) -> Contract:
+    """Q3: order lines -- ids required, numeric qty / price, ``qty >= min_qty``,
+    ``unit_price >= 0``, ``discount <= max_discount``; a ``datetime`` header
+    is accepted as ``order_datetime``."""
+    return Contract(
+        name="order_lines",
+        types={"order_id": "string", "customer_id": "string", "order_datetime": "timestamp_ntz",
+               "sku": "string", "qty": "bigint", "unit_price": "double", "discount": "double"},
+        required=["order_id", "customer_id", "sku"],
+        rules={"qty:min": F.col("qty") >= min_qty,
+               "unit_price:non_negative": F.col("unit_price") >= 0,
+               "discount:max": F.col("discount") <= max_discount},
+        aliases={"datetime": "order_datetime"})
+
+
+def web_session_contract() -> Contract:
+    """Q4 + Q9: web sessions -- every field required, a parseable start time;
+    the user id is stored as its SHA-256."""
+    return Contract(
+        name="web_sessions",
+        types={"user_id": "string", "session_id": "string", "session_start": "timestamp_ntz", "source": "string",
+               "medium": "string", "campaign": "string"},
+        required=["user_id", "session_id", "session_start", "source", "medium", "campaign"],
+        hashed=["user_id"])
+
+
 def match_contract(columns, contracts: list[Contract]) -> str | None:
     """Q1: name of the first contract whose columns the header holds, else None."""
     for c in contracts:

@@ -617,19 +617,7 @@ def q_unpivot_months(spark, sf):
 MIN_QTY, MAX_DISCOUNT = 5, 0.08
 
 
-def order_line_contract(min_qty: int = 1, max_discount: float = 1.0) -> qa.Contract:
-    """Order-line contract: ids required, numeric qty/price, ``qty >= min_qty``,
-    ``unit_price >= 0``, ``discount <= max_discount``; ``datetime`` is accepted
-    as an alias of ``order_datetime``."""
-    return qa.Contract(
-        name="order_lines",
-        types={"order_id": "string", "customer_id": "string", "order_datetime": "timestamp_ntz",
-               "sku": "string", "qty": "bigint", "unit_price": "double", "discount": "double"},
-        required=["order_id", "customer_id", "sku"],
-        rules={"qty:min": F.col("qty") >= min_qty,
-               "unit_price:non_negative": F.col("unit_price") >= 0,
-               "discount:max": F.col("discount") <= max_discount},
-        aliases={"datetime": "order_datetime"})
+order_line_contract = qa.order_line_contract
 
 
 _ORDER_LINES_SQL = f"""

@@ -15,13 +15,7 @@ ORDERS = [("1001", "cust_a", "2025-07-02 10:00", "SKU01", "2", "10.0", "0.1"),
 ORDER_COLS = "order_id string, customer_id string, order_datetime string, sku string, qty string, unit_price string, discount string"
 
 
-def web_session_contract():
-    return qa.Contract(
-        name="web_sessions",
-        types={"user_id": "string", "session_id": "string", "session_start": "timestamp_ntz", "source": "string",
-               "medium": "string", "campaign": "string"},
-        required=["user_id", "session_id", "session_start", "source", "medium", "campaign"],
-        hashed=["user_id"])
+web_session_contract = qa.web_session_contract
 
 
 def test_order_sample_row_level_quarantine(spark):
