@@ -688,6 +688,16 @@ def q_table_profile(spark, sf):
     return p.withColumns({"mean": r4("mean"), "stddev": r4("stddev")})
 
 
+@register("web_sessions_hashed", """
+SELECT CAST(session_id AS VARCHAR) AS session_id, sha256(CAST(user_id AS VARCHAR)) AS user_id,
+  CAST(date_trunc('second', session_start) AS TIMESTAMP) AS session_start
+FROM d_sessions""")
+def q_web_sessions_hashed(spark, sf):
+    """Q4 + Q9: session contract; valid rows are stored with the user id as SHA-256."""
+    good, _ = qa.validate(ad.web_session_cells(spark, sf), qa.web_session_contract())
+    return good.select("session_id", "user_id", "session_start")
+
+
 @register("duplicate_rows", """
 SELECT (SELECT count(*) FROM lineitem) AS total_rows, count(*) AS distinct_rows,
   (SELECT count(*) FROM lineitem) - count(*) AS duplicate_rows

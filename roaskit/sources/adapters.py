@@ -299,6 +299,18 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@per_session
+def web_session_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Web sessions as text cells, like a dropped session-level export."""
+    s = sessions(spark, sf_dir)
+    return s.select(
+        F.col("user_id").cast("string").alias("user_id"),
+        F.col("session_id").cast("string").alias("session_id"),
+        F.date_format("session_start", "yyyy-MM-dd HH:mm:ss").alias("session_start"),
+        F.col("utm_source").alias("source"), F.col("utm_medium").alias("medium"),
+        F.col("campaign_id").cast("string").alias("campaign"))
+
+
 @per_session
 def currency_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Account balances as accounting text: ``$1,234.50`` / ``($12.00)``."""
