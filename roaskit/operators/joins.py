@@ -13,16 +13,31 @@ def _cols(x) -> list[str]:
     return [x] if isinstance(x, str) else list(x)
 
 
+def auto_bucket_seconds(left: DataFrame, right: DataFrame, by: list[str], left_ts: str, right_ts: str,
+                        target_rows: int = 1_000_000, lo: int = 60, hi: int = 366 * 86_400) -> int:
+    """Bucket width that gives the densest key about ``target_rows`` rows per
+    bucket: one partial aggregate over both sides (rows and time span per key),
+    one row back to the driver."""
+    t = micros(F.col("_ts"))
+    both = (left.select(*by, F.col(left_ts).alias("_ts")).unionByName(right.select(*by, F.col(right_ts).alias("_ts"))))
+    per_key = both.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), ((F.max(t) - F.min(t)) / 1e6).alias("span"))
+    rate = per_key.agg(F.max(F.col("n") / F.greatest(F.col("span"), F.lit(1.0)))).first()[0]
+    if not rate:
+        return hi
+    return int(min(hi, max(lo, target_rows / rate)))
+
+
 def asof_join(left: DataFrame, right: DataFrame, by, left_ts: str, right_ts: str,
               right_cols: list[str], tie_col: str, how: str = "left",
-              bucket_seconds: int = 86_400) -> DataFrame:
+              bucket_seconds: int | str = 86_400) -> DataFrame:
     """For each left row, the latest right row with the same ``by`` key and
     ``right_ts <= left_ts``; equal time stamps are "at or before".  Ties on
     ``right_ts`` go to the smallest ``tie_col``.
 
     No row explosion and no single hot task: time is cut into buckets of
-    ``bucket_seconds``, so a key holding a third of all rows is spread over
-    many (key, bucket) window partitions.
+    ``bucket_seconds`` (``"auto"`` sizes them from the densest key), so a key
+    holding a third of all rows is spread over many (key, bucket) window
+    partitions.
 
     1. the union of both sides is shuffled once on (key, bucket); inside each
        partition, rows ordered by time (right before left on a tie) and
@@ -34,6 +49,8 @@ def asof_join(left: DataFrame, right: DataFrame, by, left_ts: str, right_ts: str
     4. each left row takes its in-bucket match, else the carried one.
     """
     by = _cols(by)
+    if bucket_seconds == "auto":
+        bucket_seconds = auto_bucket_seconds(left, right, by, left_ts, right_ts)
     bucket_us = int(bucket_seconds) * 1_000_000
     payload_fields = [right_ts] + [c for c in right_cols if c != right_ts]
     if tie_col not in payload_fields:

@@ -11,7 +11,7 @@ from roaskit.operators.joins import asof_join
 from roaskit.operators.ordering import running_totals
 
 
-def attribute_last_touch(orders: DataFrame, sessions: DataFrame, bucket_seconds: int = 86_400) -> DataFrame:
+def attribute_last_touch(orders: DataFrame, sessions: DataFrame, bucket_seconds: int | str = "auto") -> DataFrame:
     """Each order goes to the same user's latest session starting at or
     before the order; orders with no such session are dropped (one row per order)."""
     return asof_join(orders, sessions.select("user_id", "session_id", "session_start"),

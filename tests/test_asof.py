@@ -54,8 +54,12 @@ def test_random_against_brute_force_with_hot_user(spark):
     s = spark.createDataFrame(sess, "session_id long, user_id string, session_start timestamp_ntz")
     o = spark.createDataFrame(orders, "order_id long, user_id string, order_datetime timestamp_ntz, gross_revenue double")
     expect = rows(brute(o, s))
-    for bucket in (600, 86400, 10 ** 7):
+    for bucket in (600, 86400, 10 ** 7, "auto"):
         assert rows(attribute_last_touch(o, s, bucket_seconds=bucket)) == expect
+    from roaskit.operators.joins import auto_bucket_seconds
+    # the hot user holds ~40 % of 4 500 rows over 20 days: a 500-row target gives buckets of a few days
+    b = auto_bucket_seconds(o, s, ["user_id"], "order_datetime", "session_start", target_rows=500)
+    assert 86_400 <= b <= 10 * 86_400
 
 
 def test_left_keeps_unmatched(spark):
