@@ -362,6 +362,17 @@ def q_monthly_trends(spark, sf):
                     r4("monthly_cac").alias("monthly_cac"))
 
 
+@register("monthly_trends_imputed")
+def q_monthly_trends_imputed(spark, sf):
+    """D13 + I1 + I2: trends with revenue gaps imputed by regression and
+    customer gaps by the mean, flags kept apart (rows-only: iterative fit)."""
+    t = ch.monthly_trends_imputed(_mspend(spark, sf), ad.topsheet(spark, sf), ad.customers_new(spark, sf))
+    return t.select("date", "mapping_key", r4("total_spend").alias("total_spend"),
+                    r4("net_revenue").alias("net_revenue"), "imputed_revenue", r4("monthly_roas").alias("monthly_roas"),
+                    r4("new_customers").alias("new_customers"), "imputed_customers",
+                    r4("monthly_cac").alias("monthly_cac"))
+
+
 @register("low_roas_label", """
 SELECT date, mapping_key, round(monthly_roas, 4) AS monthly_roas, CAST(monthly_roas < 1.5 AS INTEGER) AS churned
 FROM d_trends""")

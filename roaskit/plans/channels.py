@@ -105,6 +105,26 @@ def monthly_trends(spend: DataFrame, topsheet: DataFrame, customers_new: DataFra
     return t
 
 
+def monthly_trends_imputed(spend: DataFrame, topsheet: DataFrame, customers_new: DataFrame,
+                           channels=TREND_CHANNELS, max_iter: int = 10) -> DataFrame:
+    """D11-D13 with I1 / I2 (the data-preparation flow): months without a
+    revenue line get revenue by chained regression on spend, months without a
+    customer count get the mean count; each gap keeps its own flag
+    (``imputed_revenue``, ``imputed_customers``), set before filling; ratios
+    are computed after imputation, and every row is returned for validation."""
+    from roaskit.plans.impute import impute_iterative, impute_mean
+    roas = monthly_roas(spend, topsheet, fill_missing=False).select(
+        "date", "mapping_key", "total_spend", "net_revenue")
+    roas = impute_iterative(roas, ["net_revenue", "total_spend"], max_iter=max_iter, flag="imputed_revenue")
+    roas = roas.withColumn("monthly_roas", safe_ratio("net_revenue", "total_spend"))
+    cac = monthly_cac(spend, customers_new, fill_missing=False).select("date", "mapping_key", "total_spend",
+                                                                       "new_customers")
+    cac = impute_mean(cac, ["new_customers"], flag="imputed_customers")
+    cac = cac.withColumn("monthly_cac", safe_ratio("total_spend", "new_customers")).drop("total_spend")
+    t = roas.join(cac, ["date", "mapping_key"], "left")
+    return t.where(F.col("mapping_key").isin(list(channels))) if channels else t
+
+
 def cap_period(df: DataFrame, date_col: str, end) -> DataFrame:
     """Q13: keep rows strictly before ``end`` (the first incomplete month);
     ``end`` is a date string or a column such as ``complete_period_end(...)``."""

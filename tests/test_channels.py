@@ -78,3 +78,18 @@ def test_overall_cac_goldens_both_caps(spark):
     assert capped == {"paid search": 37.54, "paid social": 129.68, "affiliates": 111.77}
     published = {r.channel: round(r.cac, 2) for r in ch.overall_cac(m, c, "2025-06-01").collect()}
     assert published == {"paid search": 39.00, "paid social": 138.73, "affiliates": 113.70}
+
+
+def test_trends_imputed_flags_kept_apart(spark):
+    d = [dt.date(2024, m, 1) for m in range(1, 7)]
+    spend = spark.createDataFrame([("Paid Search Media", 100.0 * (i + 1), x) for i, x in enumerate(d)],
+                                  "channel_name string, value double, date date")
+    top = spark.createDataFrame([(x, "s", "NET SALES - Paid Search", 300.0 * (i + 1)) for i, x in enumerate(d) if i != 2],
+                                "date date, source string, metric string, value double")
+    cust = spark.createDataFrame([("Paid Search", 10.0, x) for i, x in enumerate(d) if i != 4],
+                                 "channel_name string, value double, date date")
+    t = {r.date: r for r in ch.monthly_trends_imputed(ch.monthly_spend(spend), top, cust).collect()}
+    assert [t[x].imputed_revenue for x in d] == [False, False, True, False, False, False]
+    assert [t[x].imputed_customers for x in d] == [False, False, False, False, True, False]
+    assert abs(t[d[2]].net_revenue - 900.0) < 1.0 and abs(t[d[2]].monthly_roas - 3.0) < 0.01
+    assert t[d[4]].new_customers == 10.0 and t[d[4]].monthly_cac == 50.0
