@@ -71,3 +71,20 @@ def test_safe_ratio_and_hash(spark):
     h = one(spark, fx.sha256_id, "abc")
     assert h == "ba7816bf8f01cfea414140de5dae2223b00361a396177a9cb410ff61f20015ad"
     assert one(spark, fx.sha256_id, None) is None
+
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+
+def accounting(cents: int) -> str:
+    amount = f"{abs(cents) // 100:,}.{abs(cents) % 100:02d}"
+    return f"(${amount})" if cents < 0 else f"${amount} "
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.lists(st.integers(min_value=-10 ** 11, max_value=10 ** 11), min_size=1, max_size=50))
+def test_currency_roundtrip(spark, cents):
+    df = spark.createDataFrame([(c, accounting(c)) for c in cents], "cents long, txt string")
+    got = df.select("cents", fx.clean_currency("txt").alias("v")).collect()
+    assert all(abs(r.v * 100 - r.cents) < 1e-3 for r in got)
