@@ -90,19 +90,29 @@ def monthly_cac(spend: DataFrame, customers_new: DataFrame, fill_missing: bool =
 def monthly_trends(spend: DataFrame, topsheet: DataFrame, customers_new: DataFrame,
                    channels=TREND_CHANNELS, end=None, positive_spend: bool = False) -> DataFrame:
     """ROAS and CAC per channel-month for the trend channels, with both
-    imputation flags kept (the CAC flag is not lost in the final join)."""
-    roas = monthly_roas(spend, topsheet).select("date", "mapping_key", "total_spend", "net_revenue",
-                                                "imputed_revenue", "monthly_roas")
-    cac = monthly_cac(spend, customers_new).select("date", "mapping_key", "new_customers", "imputed_customers",
-                                                   "monthly_cac")
-    t = roas.join(cac, ["date", "mapping_key"], "left")
+    imputation flags kept (the CAC flag is not lost in the final join).
+
+    One chain -- spend, then net revenue, then new customers, both left joins
+    on (date, channel) -- so the spend side is built and shuffled once.
+    """
+    c = customers_new.select("date", canonical_channel("channel_name").alias("mapping_key"),
+                             F.col("value").alias("new_customers"))
+    t = spend.select("date", "mapping_key", "total_spend")
     if channels:
         t = t.where(F.col("mapping_key").isin(list(channels)))
     if end is not None:
         t = t.where(F.col("date") < F.lit(end).cast("date"))
+    t = t.join(net_revenue(topsheet), ["date", "mapping_key"], "left").join(c, ["date", "mapping_key"], "left")
+    t = t.withColumns({"imputed_revenue": F.col("net_revenue").isNull(),
+                       "imputed_customers": F.col("new_customers").isNull()})
+    t = t.withColumns({"net_revenue": F.coalesce(F.col("net_revenue"), F.lit(0.0)),
+                       "new_customers": F.coalesce(F.col("new_customers"), F.lit(0.0))})
+    t = t.withColumns({"monthly_roas": safe_ratio("net_revenue", "total_spend"),
+                       "monthly_cac": safe_ratio("total_spend", "new_customers")})
     if positive_spend:
         t = t.where(F.col("total_spend") > 0)
-    return t
+    return t.select("date", "mapping_key", "total_spend", "net_revenue", "imputed_revenue", "monthly_roas",
+                    "new_customers", "imputed_customers", "monthly_cac")
 
 
 def monthly_trends_imputed(spend: DataFrame, topsheet: DataFrame, customers_new: DataFrame,
