@@ -9,7 +9,7 @@ from pyspark.sql import SparkSession
 
 
 def get_spark(app: str = "roaskit", cpus: int | str | None = None,
-              shuffle_partitions: int | None = None) -> SparkSession:
+              shuffle_partitions: int | None = None, conf: dict | None = None) -> SparkSession:
     """A session with AQE on, the UI off and the session zone pinned to UTC.
 
     On a cluster the master and resources come from spark-submit; ``cpus`` only
@@ -32,6 +32,8 @@ def get_spark(app: str = "roaskit", cpus: int | str | None = None,
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", os.environ.get("ROASKIT_DRIVER_MEMORY", "16g"))
     )
+    for k, v in (conf or {}).items():
+        builder = builder.config(k, v)
     if not os.environ.get("SPARK_MASTER") and "spark.master" not in os.environ.get("PYSPARK_SUBMIT_ARGS", ""):
         builder = builder.master(f"local[{cpus}]")
     spark = builder.getOrCreate()
