@@ -1043,3 +1043,28 @@ def q_ingest_stream_result(spark, sf):
     m = spark.read.parquet(f"{root}/master")
     return m.select("order_id", "customer_id", "order_datetime", "sku", "qty",
                     r4("unit_price").alias("unit_price"), r4("discount").alias("discount"))
+
+
+# --- scaling and analysis period ---------------------------------------------------------
+
+@register("spend_scaled", """
+SELECT campaign_id, round((spend - (SELECT min(spend) FROM d_campaigns))
+  / ((SELECT max(spend) FROM d_campaigns) - (SELECT min(spend) FROM d_campaigns)), 4) AS spend_scaled
+FROM d_campaigns""")
+def q_spend_scaled(spark, sf):
+    """min-max scaled campaign spend."""
+    from roaskit.operators.reshape import min_max_scale
+    s = min_max_scale(ad.campaigns(spark, sf), "spend", "spend_scaled")
+    return s.select("campaign_id", r4("spend_scaled").alias("spend_scaled"))
+
+
+@register("analysis_end", """
+SELECT CAST(date_trunc('month', min(last_month)) + INTERVAL 1 MONTH AS DATE) AS analysis_end FROM (
+  SELECT max(date) AS last_month FROM d_media_spend WHERE value <> 0
+  UNION ALL SELECT max(date) FROM d_cust_new WHERE value <> 0) t""")
+def q_analysis_end(spark, sf):
+    """Q13 option: the first month after the last complete month of every input."""
+    end = ch.complete_period_end((ad.media_spend(spark, sf), "date", "value"),
+                                 (ad.customers_new(spark, sf), "date", "value"))
+    # one row: an aggregate over the whole table carries the scalar
+    return ad.customers_new(spark, sf).agg(F.count(F.lit(1)).alias("_n")).select(end.alias("analysis_end"))
