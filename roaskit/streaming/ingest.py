@@ -54,10 +54,13 @@ def _batch_writer(spark: SparkSession, contract: Contract, master: str, quaranti
 def ingest_stream(spark: SparkSession, inbox: str, contract: Contract, master: str, quarantine: str,
                   checkpoint: str, archive: str | None = None, glob: str = "*.csv",
                   dedup_key: list[str] | None = None, available_now: bool = True,
-                  max_files_per_trigger: int | None = None, counts: str | None = None):
+                  max_files_per_trigger: int | None = 1000, counts: str | None = None):
     """Start the ingestion stream; with ``available_now`` it processes what
     is in the inbox and stops (call again later, or run continuously with
-    ``available_now=False``).  Returns the ``StreamingQuery``."""
+    ``available_now=False``).  ``max_files_per_trigger`` bounds each
+    micro-batch (the batch is persisted while it is validated and written);
+    ``available_now`` still drains the whole inbox, batch by batch.  Returns
+    the ``StreamingQuery``."""
     reader = (spark.readStream.schema(text_schema(contract)).option("header", True)
               .option("pathGlobFilter", glob))
     if max_files_per_trigger:
