@@ -798,6 +798,14 @@ def q_chronological_split(spark, sf):
     return s.select("session_id", "row_rank", "split")
 
 
+@register("chronological_split_approx")
+def q_chronological_split_approx(spark, sf):
+    """M2, cheap form: sketch cut points, no checkpoint; split sizes (rows-only:
+    the sketch is approximate by design)."""
+    s = st.approx_chronological_split(ad.sessions(spark, sf), "session_start")
+    return s.groupBy("split").agg(F.count(F.lit(1)).alias("rows"))
+
+
 N_FOLDS = 5
 
 
