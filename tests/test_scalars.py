@@ -88,3 +88,16 @@ def test_currency_roundtrip(spark, cents):
     df = spark.createDataFrame([(c, accounting(c)) for c in cents], "cents long, txt string")
     got = df.select("cents", fx.clean_currency("txt").alias("v")).collect()
     assert all(abs(r.v * 100 - r.cents) < 1e-3 for r in got)
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["Paid Search", "paid social", "Affiliate", "affiliates", "Email", "SMS"]),
+                          st.sampled_from(["", " Media", " Agency", " media ", " AGENCY"]),
+                          st.sampled_from(["", "  "])), min_size=1, max_size=30))
+def test_canonical_channel_idempotent(spark, parts):
+    names = [pad + base + suffix + pad for base, suffix, pad in parts]
+    df = spark.createDataFrame([(n,) for n in names], "c string")
+    once = df.select(fx.canonical_channel("c").alias("k"))
+    twice = once.select("k", fx.canonical_channel("k").alias("k2")).collect()
+    assert all(r.k == r.k2 for r in twice)
+    assert not any(r.k.endswith((" media", " agency")) or r.k == "affiliate" for r in twice)
