@@ -83,9 +83,10 @@ def stored_events(rows: DataFrame) -> DataFrame:
     Turns are numbered anew by (turn, role, text), so rows that share a number stay apart."""
     place = F.row_number().over(Window.partitionBy("conv_id").orderBy("turn", "role", "text"))
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    last = F.greatest(F.floor((F.length(text) - 1) / DELTA_CHARS), F.lit(0))
-    told = rows.select("conv_id", "role", text.alias("whole"), place.cast("long").alias("turn"),
-                       F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("k"))
+    last = F.greatest(F.floor((F.length(text) - 1) / DELTA_CHARS).cast("long"), F.lit(0).cast("long"))
+    # numbered before the texts are cut, as a generator in the same select would run first
+    told = rows.select("conv_id", "role", text.alias("whole"), place.cast("long").alias("turn"), last.alias("last"))
+    told = told.withColumn("k", F.explode(F.sequence(F.lit(0).cast("long"), "last")))
     return told.select("conv_id", "turn", "role", (F.col("turn") * (1 << 31) + F.col("k")).alias("seq"), F.lit("delta").alias("kind"),
                        F.substring("whole", (F.col("k") * DELTA_CHARS + 1).cast("int"), F.lit(DELTA_CHARS)).alias("text"))
 
