@@ -130,11 +130,11 @@ def exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     groups = (whole.join(repeated.select("fingerprint"), "fingerprint", "left_semi")
               .groupBy("fingerprint", "text").agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size"))
               .select("fingerprint", F.sha2("text", 256).alias("text_sha256"), "keep_id", "group_size"))
-    told = narrow.join(groups, ["fingerprint", "text_sha256"], "left")
-    # rows that repeat both id and text: one of them stays; only copies of the kept row itself share this key
-    nth = F.row_number().over(Window.partitionBy("fingerprint", "text_sha256", "doc_id").orderBy(F.lit(1)))
+    # rows that repeat both id and text: one of them stays; numbered before the join, by a key that copies don't share
+    nth = F.row_number().over(Window.partitionBy("doc_id", "fingerprint", "text_sha256").orderBy(F.lit(1)))
+    told = narrow.withColumn("nth", nth).join(groups, ["fingerprint", "text_sha256"], "left")
     single = F.col("group_size").isNull()
-    return told.withColumn("nth", nth).select(
+    return told.select(
         "doc_id", F.when(single, F.col("doc_id")).otherwise(F.col("keep_id")).alias("keep_id"),
         F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"),
         (single | (F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("nth") == 1))).alias("kept"),
