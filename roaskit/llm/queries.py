@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roaskit.llm import bpe, chat, exact_dedup, langid, packing, topk
+from roaskit.llm import bpe, chat, exact_dedup, jaccard, langid, packing, topk
 from roaskit.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -87,6 +87,11 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict_language(docs, langid.fit(docs))
 
 
+@register("op9_ngram_jaccard")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents"), words=4, percent=85)
+
+
 @register("op10_byte_bpe")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"),
