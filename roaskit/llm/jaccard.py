@@ -9,11 +9,14 @@ documents reachable by links.  Equal sets are first folded into one.  Then, by s
   member is the pivot: any member that links with another through this subset links with the pivot.
 * **Heavy** sets scan inverted lists.  Shingles stand in one global order (rare before common, by a sketch
   of fixed size, then by hash); a linked pair meets in the lists of the first ``n - least(n) + 1`` shingles
-  of each.  First every member of a list meets the list's pivot, and pairs are verified exactly, which
+  of each.  First every member of a list meets a few pivots of the list, and pairs are verified exactly, which
   gathers large groups in a number of pairs that grows with the rows.  Then only members of *different*
   classes meet, and a pair is verified exactly unless the shingles that the two prefixes do not share
   already rule the link out.
 
+Before a pair is verified, a row of parity bits per set bounds from below how many shingles the two differ by;
+only pairs that may still link are compared whole.
+
 A set's id is one half of its 128-bit digest (checked: no two sets share it, else another seed is taken), so
 copies of a set name it alike and no join is needed to fold them.  Set contents are not stored: a scan of the
 texts makes them again for the sets that are verified.
@@ -46,6 +49,10 @@ SKETCH, SKETCH_BLOCKS = 1 << 18, 32
 MOST_SUBSETS = 400
 #: What one row of an inverted list costs beside one enumerated subset: it is kept, met and verified.
 LIST_COST = 4.0
+#: Bits of a set's parity row at most.
+PARITY_BITS = 1 << 16
+#: Sets of a list that all its members meet before classes are known.
+PIVOTS = 4
 #: Tasks among which the members of one pivot are spread.
 SALTS = 8
 #: Distances at least halve in a round, so this many rounds reach any length of chain; then it is an error.
@@ -150,7 +157,38 @@ def _each_set(words: int, seed: int, make: Callable) -> Callable:
     return run
 
 
-NARROW = "doc_id long, n long, set_id long, check long, block long, counts binary"
+NARROW = "doc_id long, n long, set_id long, check long, parity binary, block long, counts binary"
+
+
+def parity(shingles: np.ndarray) -> bytes:
+    """Bits that each shingle toggles, about as many as there are shingles.
+
+    The exclusive or of two sets' bits belongs to their symmetric difference, which has at least as many
+    members as bits stand in it: a bound that no linked pair breaks, in an eighth of a byte per shingle.
+    """
+    bits = min(max(64, 1 << max(0, len(shingles) - 1).bit_length()), PARITY_BITS)
+    odd = np.bincount((shingles >> np.uint64(20) & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+def least_difference(one: bytes, two: bytes) -> int:
+    """How many shingles two sets differ by at least."""
+    a, b = np.frombuffer(one, np.uint64), np.frombuffer(two, np.uint64)
+    while len(a) != len(b):  # the longer row folds onto itself
+        if len(a) < len(b):
+            a, b = b, a
+        a = a[:len(a) // 2] ^ a[len(a) // 2:]
+    return int(np.bitwise_count(a ^ b).sum())
+
+
+def _possible(percent: int):
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n, m = batch.column(2).to_numpy(), batch.column(3).to_numpy()
+            most = n + m - 2 * -(-percent * (n + m) // (100 + percent))
+            keep = [least_difference(x, y) <= d for x, y, d in zip(batch.column(4).to_pylist(), batch.column(5).to_pylist(), most.tolist())]
+            yield pa.RecordBatch.from_arrays([batch.column(i).filter(pa.array(keep, pa.bool_())) for i in range(2)], names=["a", "b"])
+    return check
 
 
 def _narrow(words: int, seed: int):
@@ -162,12 +200,13 @@ def _narrow(words: int, seed: int):
             nonlocal counts
             at = (np.concatenate(sets) & np.uint64(SKETCH - 1)).astype(np.int64)
             counts += np.bincount(at, minlength=SKETCH)
-            yield _batch(NARROW, [(i, len(s), *name, None, None) for i, s, name in zip(ids, sets, names)])
+            yield _batch(NARROW, [(i, len(s), *name, parity(s), None, None) for i, s, name in zip(ids, sets, names)])
 
         yield from _each_set(words, seed, rows)(batches)
         if counts.any():
             size = SKETCH // SKETCH_BLOCKS
-            yield _batch(NARROW, [(None, None, None, None, k, counts[k * size:(k + 1) * size].tobytes()) for k in range(SKETCH_BLOCKS)])
+            yield _batch(NARROW, [
+                (None, None, None, None, None, k, counts[k * size:(k + 1) * size].tobytes()) for k in range(SKETCH_BLOCKS)])
     return run
 
 
@@ -229,46 +268,43 @@ def _subset_keys(s: np.ndarray, percent: int) -> Iterator[tuple[int, np.ndarray]
         yield c, _mix(whole.sum(dtype=np.uint64) - out + np.uint64(c))
 
 
-LISTS = "key long, set_id long, n long, c long, pivot long, pivot_n long"
+LISTS = "key long, set_id long, n long, c long, pivot long, pivot_n long, nth long"
 
 
 def _lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows sorted by (c, key, n, set_id): those in lists of several sets, each set once, with the first as pivot."""
-    held = None  # the last row so far: (c, key, n, set_id), and its list's pivot
+    """Of rows sorted by (c, key, order): the lists of several sets, each set once (nth = 0, with the list's first
+    set as pivot), and once more for each further pivot among the first PIVOTS sets (nth = 1, 2, ...)."""
+    held = [np.empty(0, np.int64)] * 4  # of the list that goes on: its first sets, and its last
     for batch in batches:
-        key, set_id, n, c = (batch.column(i).to_numpy() for i in range(4))
-        if not len(key):
+        old = len(held[0])
+        rows = [np.concatenate((h, batch.column(i).to_numpy())) for i, h in enumerate(held)]
+        key, set_id, n, c = rows
+        if len(key) == old:
             continue
-        if held is not None:
-            key, set_id, n, c = (np.concatenate(([h], x)) for h, x in zip(held[:4], (key, set_id, n, c)))
+        change = (key[1:] != key[:-1]) | (c[1:] != c[:-1])
+        distinct = np.concatenate(([True], change | (set_id[1:] != set_id[:-1])))
+        distinct[:old] = True
+        key, set_id, n, c = (x[distinct] for x in rows)
         starts = np.concatenate(([True], (key[1:] != key[:-1]) | (c[1:] != c[:-1])))
-        new = np.concatenate(([True], starts[1:] | (set_id[1:] != set_id[:-1])))
-        if held is not None:
-            new[0] = False  # told already, or to be told with the next set of its list
-        first = np.maximum.accumulate(np.where(starts, np.arange(len(key)), 0))
-        pivot, pivot_n = set_id[first], n[first]
-        told = bool(held is not None and held[6])
-        if held is not None:  # the carried list keeps its own pivot
-            same = first == 0
-            pivot, pivot_n = np.where(same, held[4], pivot), np.where(same, held[5], pivot_n)
-        shown = new & (set_id != pivot)
-        # a pivot is shown once, with the first other set of its list
-        leads = np.zeros(len(key), bool)
-        leads[first[shown]] = True
-        if told:
-            leads[0] = False
-        rows = np.flatnonzero(shown)
-        heads = np.flatnonzero(leads)
-        columns = [np.concatenate((key[heads], key[rows])),
-                   np.concatenate((pivot[heads], set_id[rows])),
-                   np.concatenate((pivot_n[heads], n[rows])),
-                   np.concatenate((c[heads], c[rows])),
-                   np.concatenate((pivot[heads], pivot[rows])),
-                   np.concatenate((pivot_n[heads], pivot_n[rows]))]
-        at = first[-1]
-        held = (key[-1], set_id[-1], n[-1], c[-1], pivot[-1], pivot_n[-1], bool(leads[at]) or (at == 0 and told))
-        if len(columns[0]):
+        at = np.arange(len(key))
+        first = np.maximum.accumulate(np.where(starts, at, 0))
+        place = at - first
+        new = at >= old
+        parts = []
+        for nth in range(PIVOTS):
+            shown = np.flatnonzero(new & (place > nth))
+            parts.append((shown, first[shown] + nth, nth))
+        led = np.unique(first[parts[0][0]])  # a list's first set is told with its second
+        led = led[(led > 0) | (old < 2)]
+        parts.append((led, led, 0))
+        rows_at, pivots_at = (np.concatenate([p[k] for p in parts]) for k in (0, 1))
+        nths = np.concatenate([np.full(len(p[0]), p[2], np.int64) for p in parts])
+        if len(rows_at):
+            columns = (key[rows_at], set_id[rows_at], n[rows_at], c[rows_at], set_id[pivots_at], n[pivots_at], nths)
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=[f.split()[0] for f in LISTS.split(", ")])
+        last = first[-1]
+        keep = np.unique(np.concatenate((np.arange(last, min(last + PIVOTS, len(key))), [len(key) - 1])))
+        held = [x[keep] for x in (key, set_id, n, c)]
 
 
 def linkable(n, m, percent: int):
@@ -310,26 +346,32 @@ class _Join:
         for seed in range(8):
             name = f"narrow-{seed}"
             told = self.scratch.keep(docs.mapInArrow(_narrow(words, seed), NARROW), name)
-            self.narrow = told.where("block is null").select("doc_id", "n", "set_id", "check")
+            self.narrow = told.where("block is null").select("doc_id", "n", "set_id", "check", "parity")
             full = self.narrow.where("n > 0")
             self.seed = seed
             if full.groupBy("set_id").agg(F.min("check").alias("x"), F.max("check").alias("y")).where("x <> y").isEmpty():
                 self.sketch = told.where("block is not null")
+                self.sets = self.scratch.keep(full.groupBy("set_id").agg(
+                    F.min("doc_id").alias("least_id"), F.first("n").alias("n"), F.first("parity").alias("parity")), "sets")
                 return
         raise RuntimeError("set digests collide under every seed")
 
     def lists(self, light: int) -> DataFrame:
         ranks = self.docs.sparkSession.sparkContext.broadcast(frequency_ranks(self.sketch))  # SKETCH bytes
         keys = self.docs.mapInArrow(_keys(self.words, self.seed, self.percent, light, ranks), KEYS)
-        met = keys.repartition("key", "c").sortWithinPartitions("c", "key", "n", "set_id").mapInArrow(_lists, LISTS)
+        # in the list of a subset the smallest set leads; in an inverted list the order is as good as random
+        order = F.when(F.col("c") > 0, F.col("n")).otherwise(F.lit(0))
+        met = keys.repartition("key", "c").sortWithinPartitions("c", "key", order, "set_id").mapInArrow(_lists, LISTS)
         return self.scratch.keep(met, "lists")
 
     def verified(self, pairs: DataFrame, name: str) -> DataFrame:
         """Of the pairs (a, b) those whose whole sets link; b's set is sent once to each task that needs it."""
+        one, two = (self.sets.select(F.col("set_id").alias(x), F.col("n").alias(f"n_{x}"), F.col("parity").alias(f"parity_{x}")) for x in "ab")
+        pairs = (pairs.join(one, "a").join(two, "b").select("a", "b", "n_a", "n_b", "parity_a", "parity_b")
+                 .mapInArrow(_possible(self.percent), "a long, b long"))
         pairs = self.scratch.keep(pairs, f"{name}-pairs")
         asked = pairs.select(F.col("a").alias("set_id")).union(pairs.select("b")).distinct()
-        named = self.narrow.groupBy("set_id").agg(F.min("doc_id").alias("__least"))
-        wanted = named.join(asked, "set_id", "left_semi").select("__least").distinct()
+        wanted = self.sets.join(asked, "set_id", "left_semi").select(F.col("least_id").alias("__least")).distinct()
         texts = self.docs.join(wanted, F.col("doc_id").eqNullSafe(F.col("__least")), "left_semi")
         made = texts.mapInArrow(_contents(self.words, self.seed), "set_id long, shingles binary")
         contents = self.scratch.keep(made.join(asked, "set_id", "left_semi"), f"{name}-contents")
@@ -391,7 +433,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
     """(doc_id, n_shingles, component_id) of every row of ``docs``."""
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     job = _Join(docs, words, percent)
-    sets = job.narrow.where("n > 0").groupBy("set_id").agg(F.first("n").alias("n"), F.min("doc_id").alias("least_id"))
+    sets = job.sets
     sizes = {r["n"]: r["count"] for r in sets.groupBy("n").count().collect()}  # one row per size of set
     light = boundary(sizes, percent)
     lists = job.lists(light)
@@ -403,7 +445,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
     pairs = members.where((F.col("c") == 0) & (F.greatest(n, m) > light) & linkable(n, m, percent)).select(a, b).distinct()
     links = proven.unionByName(job.verified(pairs, "pivots"))
     classes = components(links, job.scratch, "first")
-    more = job.verified(job.class_pairs(lists.where("c = 0"), classes, light), "classes")
+    more = job.verified(job.class_pairs(lists.where("c = 0 and nth = 0"), classes, light), "classes")
     classes = components(links.unionByName(more), job.scratch, "last")
     told = sets.join(classes, F.col("set_id") == F.col("node"), "left").select(
         "set_id", "least_id", F.coalesce("root", "set_id").alias("root"))
