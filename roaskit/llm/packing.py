@@ -27,8 +27,8 @@ CAPACITY = 2048
 END_ID = 0
 #: Pieces ranked together in one task.
 RANK_ROWS = 100_000
-#: Words whose ids a Python worker remembers.
-CACHE_WORDS = 400_000
+#: Words whose ids a Python worker remembers, and words that go through the tokenizer together.
+CACHE_WORDS, WORDS_TOGETHER = 800_000, 50
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -103,33 +103,51 @@ class WordIds:
     """Token ids of texts, each distinct word between ASCII white space encoded once.
 
     The tokenizer drops white space and handles the words between it apart from each other, so the
-    ids of a text are the ids of its words in order.
+    ids of a text are the ids of its words in order.  New words go through it many at a time, told
+    apart by a control character between them.
     """
 
+    MARK = "\x01"
+
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.known: dict[str, np.ndarray] = {}
+        self.known: dict[str, bytes] = {}  # little-endian unsigned 32-bit ids
+        mark = self._ids(self.MARK)
+        self.mark = mark[0] if len(mark) == 1 else None
+
+    def _ids(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+
+    def _learn(self, words: list[str]) -> None:
+        known = self.known
+        plain = [w for w in words if self.mark is not None and self.MARK not in w]
+        for at in range(0, len(plain), WORDS_TOGETHER):
+            part = plain[at:at + WORDS_TOGETHER]
+            ids = self._ids(f" {self.MARK} ".join(part) + f" {self.MARK}")
+            cuts = np.flatnonzero(ids == self.mark).tolist()
+            data, start = ids.tobytes(), 0
+            for w, cut in zip(part, cuts):
+                known[w] = data[4 * start:4 * cut]
+                start = cut + 1
+        for w in words:
+            if w not in known:
+                known[w] = self._ids(w).tobytes()
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts one after another, offsets per text)."""
         index, offsets, words = split_words(texts)
         words = words.to_pylist()
-        known = self.known
-        new = [w for w in words if w not in known]
-        if len(known) + len(new) > CACHE_WORDS:
-            known = self.known = {w: known[w] for w in words if w in known}
-        for at in range(0, len(new), 20_000):
-            part = new[at:at + 20_000]
-            for w, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                known[w] = np.array(e.ids, dtype=np.uint32)
         if not words:
             return np.empty(0, np.uint32), np.zeros(len(offsets), np.int64)
-        ids = [known[w] for w in words]
-        lengths = np.fromiter(map(len, ids), np.int64, len(ids))
-        flat, starts = np.concatenate(ids), np.cumsum(lengths) - lengths
+        if len(self.known) > CACHE_WORDS:
+            self.known = {w: self.known[w] for w in words if w in self.known}
+        self._learn([w for w in words if w not in self.known])
+        ids = [self.known[w] for w in words]
+        lengths = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        flat, starts = np.frombuffer(b"".join(ids), "<u4"), np.cumsum(lengths) - lengths
         per_word = lengths[index]
         ends = np.concatenate(([0], np.cumsum(per_word)))
         return flat[spread(starts[index], per_word)], ends[offsets]
