@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roaskit.llm import exact_dedup, langid, packing
+from roaskit.llm import exact_dedup, jaccard, langid, packing
 from roaskit.llm.common import Scratch, table
 
 
@@ -22,12 +22,18 @@ def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return exact_dedup.drop_exact_copies(docs)
 
 
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents linked by five-word shingles at a similarity of 0.8 or more, the one with the smallest id stays."""
+    return jaccard.drop_near_duplicates(docs, words=5, percent=80)
+
+
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Place every document's tokens in sequences of 2048."""
     return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
-STAGES = [("language_id", language), ("exact_dedup", exact_copies), ("best_fit_packing", pack)]
+STAGES = [("language_id", language), ("exact_dedup", exact_copies), ("ngram_jaccard", near_copies),
+          ("best_fit_packing", pack)]
 
 #: A trained network and token ids are not SQL; tests hold the pipeline against a brute-force version.
 ORACLE_SQL = None

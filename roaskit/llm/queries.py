@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roaskit.llm import bpe, chat, exact_dedup, jaccard, langid, packing, topk
+from roaskit.llm import bpe, chat, exact_dedup, html_extract, jaccard, langid, lm, packing, token_shards, topk
 from roaskit.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -44,6 +44,16 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_inner_products(table(spark, sf_dir, "embeddings"))
 
 
+@register("op3_html_extraction")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract_pages(table(spark, sf_dir, "pages"))
+
+
+@register("op4_lm_scoring")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score_documents(table(spark, sf_dir, "documents"))
+
+
 @register("op5_exact_dedup", """
 with t as (select doc_id, coalesce(text, '') as text from documents)
 select doc_id, max(doc_id) over w as keep_id, count(*) over w as group_size,
@@ -87,6 +97,11 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict_language(docs, langid.fit(docs))
 
 
+@register("op8_token_shards")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_shards.write_shards(table(spark, sf_dir, "documents")).read()
+
+
 @register("op9_ngram_jaccard")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(table(spark, sf_dir, "documents"), words=4, percent=85)
