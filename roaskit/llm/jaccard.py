@@ -9,12 +9,11 @@ documents reachable by links.  Equal sets are first folded into one.  Then, by s
   member is the pivot: any member that links with another through this subset links with the pivot.
 * **Heavy** sets scan inverted lists.  Shingles stand in one global order (rare before common, by a sketch
   of fixed size, then by hash); a linked pair meets in the lists of the first ``n - least(n) + 1`` shingles
-  of each.  First every member of a list meets a few pivots of the list, and pairs are verified exactly, which
+  of each.  First every set meets two pivots of its lists, and these pairs are verified exactly, which
   gathers large groups in a number of pairs that grows with the rows.  Then only members of *different*
-  classes meet, and a pair is verified exactly unless the shingles that the two prefixes do not share
-  already rule the link out.
+  classes meet, and of two the smaller in a shorter prefix still, as its partner is not smaller.
 
-Before a pair is verified, a row of parity bits per set bounds from below how many shingles the two differ by;
+Before a pair is verified, rows of parity bits per set bound from below how many shingles the two differ by;
 only pairs that may still link are compared whole.
 
 A set's id is one half of its 128-bit digest (checked: no two sets share it, else another seed is taken), so
@@ -51,8 +50,8 @@ MOST_SUBSETS = 400
 LIST_COST = 4.0
 #: Bits of a set's parity row at most.
 PARITY_BITS = 1 << 16
-#: Sets of a list that all its members meet before classes are known.
-PIVOTS = 4
+#: Longs of the short parity row that goes with a set into its lists.
+SIGN_LONGS = 16
 #: Tasks among which the members of one pivot are spread.
 SALTS = 8
 #: Distances at least halve in a round, so this many rounds reach any length of chain; then it is an error.
@@ -87,6 +86,11 @@ def prefix_length(n: int, percent: int) -> int:
     return n - least(n, percent) + 1
 
 
+def short_prefix_length(n: int, percent: int) -> int:
+    """As many shingles of a set suffice to meet every partner that is not smaller, in that partner's prefix."""
+    return n - need(n, n, percent) + 1
+
+
 def boundary(sizes: dict[int, int], percent: int) -> int:
     """The largest light size, by the least sum of enumerated subsets and rows of inverted lists."""
     best, at, n = math.inf, 0, 0
@@ -133,7 +137,7 @@ def shingle_sets(texts: pa.Array, words: int) -> Iterator[np.ndarray]:
 
 def _batch(names: str, rows: list[tuple]) -> pa.RecordBatch:
     """Rows as a batch; ``names`` is a schema as Spark writes it."""
-    kinds = {"long": pa.int64(), "binary": pa.binary()}
+    kinds = {"long": pa.int64(), "binary": pa.binary(), "array<long>": pa.list_(pa.int64())}
     fields = [f.split() for f in names.split(", ")]
     columns = list(zip(*rows)) or [()] * len(fields)
     return pa.RecordBatch.from_arrays([pa.array(c, kinds[k]) for c, (_, k) in zip(columns, fields)], names=[n for n, _ in fields])
@@ -157,7 +161,7 @@ def _each_set(words: int, seed: int, make: Callable) -> Callable:
     return run
 
 
-NARROW = "doc_id long, n long, set_id long, check long, parity binary, block long, counts binary"
+NARROW = "doc_id long, n long, set_id long, check long, parity binary, sign array<long>, block long, counts binary"
 
 
 def parity(shingles: np.ndarray) -> bytes:
@@ -171,6 +175,12 @@ def parity(shingles: np.ndarray) -> bytes:
     return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
 
 
+def sign(shingles: np.ndarray) -> list[int]:
+    """A parity row of a fixed width, as longs, for a bound inside a join's condition."""
+    odd = np.bincount((shingles >> np.uint64(40) & np.uint64(64 * SIGN_LONGS - 1)).astype(np.int64), minlength=64 * SIGN_LONGS) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64).tolist()
+
+
 def least_difference(one: bytes, two: bytes) -> int:
     """How many shingles two sets differ by at least."""
     a, b = np.frombuffer(one, np.uint64), np.frombuffer(two, np.uint64)
@@ -200,13 +210,13 @@ def _narrow(words: int, seed: int):
             nonlocal counts
             at = (np.concatenate(sets) & np.uint64(SKETCH - 1)).astype(np.int64)
             counts += np.bincount(at, minlength=SKETCH)
-            yield _batch(NARROW, [(i, len(s), *name, parity(s), None, None) for i, s, name in zip(ids, sets, names)])
+            yield _batch(NARROW, [(i, len(s), *name, parity(s), sign(s), None, None) for i, s, name in zip(ids, sets, names)])
 
         yield from _each_set(words, seed, rows)(batches)
         if counts.any():
             size = SKETCH // SKETCH_BLOCKS
             yield _batch(NARROW, [
-                (None, None, None, None, None, k, counts[k * size:(k + 1) * size].tobytes()) for k in range(SKETCH_BLOCKS)])
+                (None, None, None, None, None, None, k, counts[k * size:(k + 1) * size].tobytes()) for k in range(SKETCH_BLOCKS)])
     return run
 
 
@@ -233,15 +243,16 @@ def _prefix(shingles: np.ndarray, ranks: np.ndarray, percent: int) -> np.ndarray
     return shingles[np.argsort(rank, kind="stable")[:prefix_length(len(shingles), percent)]]
 
 
-KEYS = "key long, set_id long, n long, c long"
+KEYS = "key long, set_id long, n long, c long, short long"
 
 
 def _keys(words: int, seed: int, percent: int, light: int, ranks):
-    """Rows of the subsets of light sets (c: their size) and of the inverted lists (c = 0)."""
+    """Rows of the subsets of light sets (c: their size) and of the inverted lists (c = 0; short: whether the
+    shingle stands in the short prefix)."""
     listed = least(light + 1, percent)
 
     def rows(ids: list, sets: list, names: list) -> Iterator[pa.RecordBatch]:
-        keys, owners, sizes, kinds = [], [], [], []
+        keys, owners, sizes, kinds, shorts = [], [], [], [], []
         for s, (name, _) in zip(sets, names):
             n = len(s)
             found = []
@@ -253,9 +264,10 @@ def _keys(words: int, seed: int, percent: int, light: int, ranks):
                 keys.append(k.view(np.int64))
                 for column, value in ((owners, name), (sizes, n), (kinds, c)):
                     column.append(np.full(len(k), value, np.int64))
+                shorts.append((np.arange(len(k)) < short_prefix_length(n, percent)).astype(np.int64))
         if keys:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in (keys, owners, sizes, kinds)],
-                                             names=["key", "set_id", "n", "c"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in (keys, owners, sizes, kinds, shorts)],
+                                             names=["key", "set_id", "n", "c", "short"])
     return _each_set(words, seed, rows)
 
 
@@ -268,43 +280,35 @@ def _subset_keys(s: np.ndarray, percent: int) -> Iterator[tuple[int, np.ndarray]
         yield c, _mix(whole.sum(dtype=np.uint64) - out + np.uint64(c))
 
 
-LISTS = "key long, set_id long, n long, c long, pivot long, pivot_n long, nth long"
+LISTS = "key long, set_id long, n long, c long, short long, pivot long, pivot_n long"
 
 
 def _lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows sorted by (c, key, order): the lists of several sets, each set once (nth = 0, with the list's first
-    set as pivot), and once more for each further pivot among the first PIVOTS sets (nth = 1, 2, ...)."""
-    held = [np.empty(0, np.int64)] * 4  # of the list that goes on: its first sets, and its last
+    """Of rows sorted by (c, key, order): the lists of several sets, each set once, with the list's first set as pivot."""
+    held = [np.empty(0, np.int64)] * 5  # of the list that goes on: its first set and its last
     for batch in batches:
         old = len(held[0])
         rows = [np.concatenate((h, batch.column(i).to_numpy())) for i, h in enumerate(held)]
-        key, set_id, n, c = rows
+        key, set_id, _, c, _ = rows
         if len(key) == old:
             continue
         change = (key[1:] != key[:-1]) | (c[1:] != c[:-1])
         distinct = np.concatenate(([True], change | (set_id[1:] != set_id[:-1])))
         distinct[:old] = True
-        key, set_id, n, c = (x[distinct] for x in rows)
+        rows = [x[distinct] for x in rows]
+        key, set_id, n, c, _ = rows
         starts = np.concatenate(([True], (key[1:] != key[:-1]) | (c[1:] != c[:-1])))
         at = np.arange(len(key))
         first = np.maximum.accumulate(np.where(starts, at, 0))
-        place = at - first
-        new = at >= old
-        parts = []
-        for nth in range(PIVOTS):
-            shown = np.flatnonzero(new & (place > nth))
-            parts.append((shown, first[shown] + nth, nth))
-        led = np.unique(first[parts[0][0]])  # a list's first set is told with its second
+        told = np.flatnonzero((at >= old) & (at > first))
+        led = np.unique(first[told])  # a list's first set is told with its second
         led = led[(led > 0) | (old < 2)]
-        parts.append((led, led, 0))
-        rows_at, pivots_at = (np.concatenate([p[k] for p in parts]) for k in (0, 1))
-        nths = np.concatenate([np.full(len(p[0]), p[2], np.int64) for p in parts])
-        if len(rows_at):
-            columns = (key[rows_at], set_id[rows_at], n[rows_at], c[rows_at], set_id[pivots_at], n[pivots_at], nths)
+        told, pivots = np.concatenate((led, told)), np.concatenate((led, first[told]))
+        if len(told):
+            columns = (*(x[told] for x in rows), set_id[pivots], n[pivots])
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=[f.split()[0] for f in LISTS.split(", ")])
-        last = first[-1]
-        keep = np.unique(np.concatenate((np.arange(last, min(last + PIVOTS, len(key))), [len(key) - 1])))
-        held = [x[keep] for x in (key, set_id, n, c)]
+        keep = np.unique([first[-1], len(key) - 1])
+        held = [x[keep] for x in rows]
 
 
 def linkable(n, m, percent: int):
@@ -346,13 +350,13 @@ class _Join:
         for seed in range(8):
             name = f"narrow-{seed}"
             told = self.scratch.keep(docs.mapInArrow(_narrow(words, seed), NARROW), name)
-            self.narrow = told.where("block is null").select("doc_id", "n", "set_id", "check", "parity")
+            self.narrow = told.where("block is null").select("doc_id", "n", "set_id", "check", "parity", "sign")
             full = self.narrow.where("n > 0")
             self.seed = seed
             if full.groupBy("set_id").agg(F.min("check").alias("x"), F.max("check").alias("y")).where("x <> y").isEmpty():
                 self.sketch = told.where("block is not null")
                 self.sets = self.scratch.keep(full.groupBy("set_id").agg(
-                    F.min("doc_id").alias("least_id"), F.first("n").alias("n"), F.first("parity").alias("parity")), "sets")
+                    F.min("doc_id").alias("least_id"), F.first("n").alias("n"), F.first("parity").alias("parity"), F.first("sign").alias("sign")), "sets")
                 return
         raise RuntimeError("set digests collide under every seed")
 
@@ -389,20 +393,22 @@ class _Join:
 
     def class_pairs(self, lists: DataFrame, classes: DataFrame, light: int) -> DataFrame:
         """Pairs of sets of different classes that meet in inverted lists and that their prefixes do not rule out."""
-        told = (lists.select("key", "set_id", "n").join(classes, F.col("set_id") == F.col("node"), "left")
-                .select("key", "set_id", "n", F.coalesce("root", "set_id").alias("root")))
+        told = (lists.select("key", "set_id", "n", "short").join(classes, F.col("set_id") == F.col("node"), "left")
+                .select("key", "set_id", "n", "short", F.coalesce("root", "set_id").alias("root")))
         mixed = told.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
-        told = self.scratch.keep(told.join(mixed.select("key"), "key", "left_semi"), "mixed-lists")
-        one, two = (told.select("key", *[F.col(c).alias(f"{c}_{side}") for c in ("set_id", "n", "root")]) for side in "ab")
+        signs = [F.col("sign")[k].alias(f"s{k}") for k in range(SIGN_LONGS)]
+        told = told.join(mixed.select("key"), "key", "left_semi").join(self.sets.select("set_id", *signs), "set_id")
+        names = ["set_id", "n", "short", "root", *(f"s{k}" for k in range(SIGN_LONGS))]
+        told = self.scratch.keep(told.select("key", *names), "mixed-lists")
+        one, two = (told.select("key", *[F.col(c).alias(f"{c}_{side}") for c in names]) for side in "ab")
         n, m, p = F.col("n_a"), F.col("n_b"), self.percent
+        # the smaller set is in its short prefix, of equal sets both are
+        roles = ((n > m) | (F.col("short_a") == 1)) & ((m > n) | (F.col("short_b") == 1))
+        differ = sum((F.bit_count(F.col(f"s{k}_a").bitwiseXOR(F.col(f"s{k}_b"))) for k in range(SIGN_LONGS)), F.lit(0))
         met = one.join(two, "key").where((F.col("set_id_a") < F.col("set_id_b")) & (F.col("root_a") != F.col("root_b"))
-                                         & (F.greatest(n, m) > light) & linkable(n, m, p))
-        shared = met.groupBy(F.col("set_id_a").alias("a"), F.col("set_id_b").alias("b"), "n_a", "n_b").agg(F.count("*").alias("shared"))
-        # in the prefix that ends first in the global order, a shingle that is not shared is missing in the other
-        # set; the shorter prefix gives the smaller, and so the safe, number of missing ones
-        prefix = lambda size: size - F.ceil(size * p / F.lit(100)) + 1
-        missing = F.least(prefix(n), prefix(m)) - F.col("shared")
-        return shared.where(missing <= F.greatest(n, m) - F.ceil((n + m) * p / F.lit(100 + p))).select("a", "b")
+                                         & (F.greatest(n, m) > light) & linkable(n, m, p) & roles
+                                         & (differ <= n + m - 2 * F.ceil((n + m) * p / F.lit(100 + p))))
+        return met.select(F.col("set_id_a").alias("a"), F.col("set_id_b").alias("b")).distinct()
 
 
 def components(links: DataFrame, scratch: Scratch, name: str) -> DataFrame:
@@ -442,10 +448,13 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
     n, m = F.col("n"), F.col("pivot_n")
     # a shared subset of the size that the two sizes need proves the link
     proven = members.where((F.col("c") > 0) & (F.col("c") * (100 + percent) >= (n + m) * percent)).select(a, b).distinct()
-    pairs = members.where((F.col("c") == 0) & (F.greatest(n, m) > light) & linkable(n, m, percent)).select(a, b).distinct()
+    # to gather classes it is enough that each set meets the least and the most frequent pivot of its lists
+    met = members.where((F.col("c") == 0) & (F.greatest(n, m) > light) & linkable(n, m, percent)).groupBy(a, b).count()
+    met = met.groupBy("a").agg(F.min("b").alias("least"), F.max_by("b", F.struct("count", "b")).alias("frequent"))
+    pairs = met.select("a", F.explode(F.array_distinct(F.array("least", "frequent"))).alias("b"))
     links = proven.unionByName(job.verified(pairs, "pivots"))
     classes = components(links, job.scratch, "first")
-    more = job.verified(job.class_pairs(lists.where("c = 0 and nth = 0"), classes, light), "classes")
+    more = job.verified(job.class_pairs(lists.where("c = 0"), classes, light), "classes")
     classes = components(links.unionByName(more), job.scratch, "last")
     told = sets.join(classes, F.col("set_id") == F.col("node"), "left").select(
         "set_id", "least_id", F.coalesce("root", "set_id").alias("root"))
