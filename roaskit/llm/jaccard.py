@@ -9,7 +9,7 @@ documents reachable by links.  Equal sets are first folded into one.  Then, by s
   member is the pivot: any member that links with another through this subset links with the pivot.
 * **Heavy** sets scan inverted lists.  Shingles stand in one global order (rare before common, by a sketch
   of fixed size, then by hash); a linked pair meets in the lists of the first ``n - least(n) + 1`` shingles
-  of each.  First every set meets two pivots of its lists, and these pairs are verified exactly, which
+  of each.  First every set meets a few pivots of its lists, and these pairs are verified exactly, which
   gathers large groups in a number of pairs that grows with the rows.  Then only members of *different*
   classes meet, and of two the smaller in a shorter prefix still, as its partner is not smaller.
 
@@ -51,7 +51,7 @@ LIST_COST = 4.0
 #: Bits of a set's parity row at most.
 PARITY_BITS = 1 << 16
 #: Longs of the short parity row that goes with a set into its lists.
-SIGN_LONGS = 16
+SIGN_LONGS = 32
 #: Tasks among which the members of one pivot are spread.
 SALTS = 8
 #: Distances at least halve in a round, so this many rounds reach any length of chain; then it is an error.
@@ -448,16 +448,21 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
     n, m = F.col("n"), F.col("pivot_n")
     # a shared subset of the size that the two sizes need proves the link
     proven = members.where((F.col("c") > 0) & (F.col("c") * (100 + percent) >= (n + m) * percent)).select(a, b).distinct()
-    # to gather classes it is enough that each set meets the least and the most frequent pivot of its lists
+    # to gather classes it is enough that each set meets a few pivots of its lists
     met = members.where((F.col("c") == 0) & (F.greatest(n, m) > light) & linkable(n, m, percent)).groupBy(a, b).count()
-    met = met.groupBy("a").agg(F.min("b").alias("least"), F.max_by("b", F.struct("count", "b")).alias("frequent"))
-    pairs = met.select("a", F.explode(F.array_distinct(F.array("least", "frequent"))).alias("b"))
+    met = met.groupBy("a").agg(F.min("b").alias("least"), F.max("b").alias("last"), F.max_by("b", F.struct("count", "b")).alias("frequent"))
+    pairs = met.select("a", F.explode(F.array_distinct(F.array("least", "last", "frequent"))).alias("b"))
     links = proven.unionByName(job.verified(pairs, "pivots"))
     classes = components(links, job.scratch, "first")
     more = job.verified(job.class_pairs(lists.where("c = 0"), classes, light), "classes")
-    classes = components(links.unionByName(more), job.scratch, "last")
-    told = sets.join(classes, F.col("set_id") == F.col("node"), "left").select(
-        "set_id", "least_id", F.coalesce("root", "set_id").alias("root"))
+    first = sets.join(classes, F.col("set_id") == F.col("node"), "left").select(
+        "set_id", "least_id", F.coalesce("root", "set_id").alias("class"))
+    # links between classes join the classes, not their members
+    one, two = (first.select(F.col("set_id").alias(x), F.col("class").alias(f"class_{x}")) for x in "ab")
+    bridges = more.join(one, "a").join(two, "b").select(F.col("class_a").alias("a"), F.col("class_b").alias("b")).distinct()
+    whole = components(bridges, job.scratch, "last")
+    told = first.join(whole, F.col("class") == F.col("node"), "left").select(
+        "set_id", "least_id", F.coalesce("root", "class").alias("root"))
     least_of = told.groupBy("root").agg(F.min("least_id").alias("component_id"))
     classed = told.join(least_of, "root").select("set_id", "component_id")
     return (job.narrow.select("doc_id", "n", F.when(F.col("n") > 0, F.col("set_id")).alias("set_id"))

@@ -55,10 +55,12 @@ class ApproximationFile:
         for row, (key, query) in enumerate(zip(keys, queries)):
             bound = upper[row]
             best: list[tuple[int, int]] = []  # (-score, id), ascending
-            order, done = self._first(bound, max(READ_ROWS, 2 * k)), 0
-            while done < len(bound):
-                if done == len(order):
-                    order = self._first(bound, 4 * len(order))
+            left, order, done = np.arange(len(bound)), np.empty(0, np.int64), 0
+            while done < len(order) or len(left):
+                if done == len(order):  # the next highest bounds of the vectors not read yet
+                    at = self._first(bound[left], max(READ_ROWS, 2 * k, 3 * len(order)))
+                    order, done = left[at], 0
+                    left = np.delete(left, at)
                 part = order[done:done + READ_ROWS]
                 if len(best) == k and bound[part[0]] < -best[-1][0]:
                     break
