@@ -40,7 +40,7 @@ def order_line_contract(min_qty: int = 1, max_discount: float = 1.0) -> Contract
         name="order_lines",
         types={"order_id": "string", "customer_id": "string", "order_datetime": "timestamp_ntz",
                "sku": "string", "qty": "bigint", "unit_price": "double", "discount": "double"},
-        required=["order_id", "customer_id", "sku"],
+        required=["order_id", "customer_id", "order_datetime", "sku", "qty", "unit_price", "discount"],
         rules={"qty:min": F.col("qty") >= min_qty,
                "unit_price:non_negative": F.col("unit_price") >= 0,
                "discount:max": F.col("discount") <= max_discount},
@@ -84,6 +84,13 @@ def _typed(df: DataFrame, contract: Contract) -> DataFrame:
         if t in ("timestamp", "timestamp_ntz"):
             typed = F.coalesce(F.try_to_timestamp(raw.cast("string")),
                                F.try_to_timestamp(raw.cast("string"), F.lit("M/d/yyyy H:mm"))).cast(t)
+        elif t in ("int", "bigint"):  # "2.0" is a whole number, "2.5" is not
+            number = raw.cast("string").try_cast("double")
+            whole = F.when((F.abs(number) < 2.0**53) & (number == F.floor(number)), number).try_cast(t)
+            typed = F.coalesce(raw.cast("string").try_cast(t), whole)
+        elif t in ("double", "float"):  # NaN and infinities are no values
+            number = raw.cast("string").try_cast(t)
+            typed = F.when(~F.isnan(number) & (F.abs(number) < float("inf")), number)
         else:
             typed = raw.cast("string").try_cast(t) if t != "string" else raw.cast("string")
         exprs[c] = typed
@@ -103,7 +110,7 @@ def _checks(df: DataFrame, contract: Contract):
         if ty != "string":
             checks.append((f"{c}:type_{ty}", F.col(f"_raw_{c}").isNull() | F.col(c).isNotNull()))
     for name, pred in contract.rules.items():
-        checks.append((name, F.coalesce(pred, F.lit(True))))  # a NULL value fails only the rules above
+        checks.append((name, F.coalesce(pred, F.lit(False))))  # a NULL fails the rule
     passes = reduce(lambda a, b: a & b, [ok for _, ok in checks]) if checks else F.lit(True)
     return t, checks, passes
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 
+from pyspark import SparkConf, SparkContext
 from pyspark.sql import SparkSession
 
 
@@ -15,33 +16,44 @@ def get_spark(app: str = "roaskit", cpus: int | str | None = None,
     On a cluster the master and resources come from spark-submit; ``cpus`` only
     matters for local runs.
     """
-    cpus = cpus or os.environ.get("BENCH_CPUS", "8")
-    if shuffle_partitions is None:
-        shuffle_partitions = int(cpus) if str(cpus).isdigit() else 8
-    parts = shuffle_partitions
     builder = (
         SparkSession.builder.appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.shuffle.partitions", str(parts))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .config("spark.driver.memory", os.environ.get("ROASKIT_DRIVER_MEMORY", "16g"))
     )
+    if not _submitted("spark.master") and not os.environ.get("SPARK_MASTER"):
+        cpus = cpus or os.environ.get("BENCH_CPUS", "8")
+        builder = builder.master(f"local[{cpus}]").config(
+            "spark.driver.memory", os.environ.get("ROASKIT_DRIVER_MEMORY", "16g"))
+        if shuffle_partitions is None and not _submitted("spark.sql.shuffle.partitions"):
+            shuffle_partitions = int(cpus) if str(cpus).isdigit() else 8
+    if shuffle_partitions is not None:
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for k, v in (conf or {}).items():
         builder = builder.config(k, v)
-    if not os.environ.get("SPARK_MASTER") and "spark.master" not in os.environ.get("PYSPARK_SUBMIT_ARGS", ""):
-        builder = builder.master(f"local[{cpus}]")
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
     return spark
 
 
+def _submitted(key: str) -> bool:
+    """Whether the launch already sets ``key``: spark-submit (whose JVM is running by now) or the submit arguments."""
+    if SparkContext._active_spark_context is not None:
+        return SparkContext._active_spark_context.getConf().contains(key)
+    if SparkContext._jvm is not None or "PYSPARK_GATEWAY_PORT" in os.environ:
+        SparkContext._ensure_initialized()
+        return SparkConf(loadDefaults=True).contains(key)
+    said = os.environ.get("PYSPARK_SUBMIT_ARGS", "")
+    return key in said or (key == "spark.master" and "--master" in said)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint folder, reading ``spark.checkpoint.dir``.
 
@@ -54,6 +66,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="roaskit-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

@@ -15,6 +15,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 from pyspark.sql.types import StringType, StructField, StructType
 
 from roaskit.functions.scalars import sha256_id
@@ -26,6 +27,13 @@ def text_schema(contract: Contract) -> StructType:
     return StructType([StructField(c, StringType()) for c in contract.types])
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path is there; storage and permission errors are raised."""
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at)
+
+
 def _batch_writer(spark: SparkSession, contract: Contract, master: str, quarantine: str,
                   dedup_key: list[str] | None, counts: str | None):
     def process(batch: DataFrame, batch_id: int) -> None:
@@ -37,14 +45,21 @@ def _batch_writer(spark: SparkSession, contract: Contract, master: str, quaranti
         for c in contract.hashed:
             good = good.withColumn(c, sha256_id(c))
         if dedup_key:
-            good = good.dropDuplicates(dedup_key)
-            try:
-                earlier = (spark.read.parquet(master).where(F.col("batch_id") != batch_id)
-                           .select(*dedup_key))
+            # the first row in order of all columns wins; the others are kept in quarantine
+            order = Window.partitionBy(*dedup_key).orderBy(*[F.col(c) for c in good.columns])
+            good = good.withColumn("_nth", F.row_number().over(order))
+            twice = good.where("_nth > 1").drop("_nth")
+            good = good.where("_nth = 1").drop("_nth")
+            if _exists(spark, master):
+                earlier = spark.read.parquet(master)
+                if "batch_id" in earlier.columns:  # a replayed batch replaces its own rows
+                    earlier = earlier.where(F.col("batch_id").isNull() | (F.col("batch_id") != batch_id))
+                earlier = earlier.select(*dedup_key).distinct()
+                twice = twice.unionByName(good.join(earlier, dedup_key, "left_semi"))
                 good = good.join(earlier, dedup_key, "left_anti")
-            except Exception:  # noqa: BLE001 -- no master table yet
-                pass
         bad = checked.where(F.size("errors") > 0)
+        if dedup_key:
+            bad = bad.unionByName(twice.withColumn("errors", F.array(F.lit("duplicate_key"))))
         good.write.mode("overwrite").parquet(f"{master.rstrip('/')}/batch_id={batch_id}")
         bad.write.mode("overwrite").parquet(f"{quarantine.rstrip('/')}/batch_id={batch_id}")
         checked.unpersist()

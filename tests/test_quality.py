@@ -84,3 +84,15 @@ def test_unpivot_months_drops_total_and_bad_year(spark):
                                "channel string, year string, january string, february string, march string, total string")
     got = sorted((r.channel, r.date, r.value) for r in unpivot_months(df, ["channel", "year"]).collect())
     assert got == [("Email", dt.date(2024, 1, 1), 1252.0), ("Email", dt.date(2024, 3, 1), 9.0)]
+
+
+def test_nulls_and_non_finite_numbers_fail_and_whole_decimals_pass(spark):
+    from roaskit.operators.quality import order_line_contract, validate
+    base = {"order_id": "o", "customer_id": "c", "order_datetime": "2024-05-06 07:08:09", "sku": "s", "qty": "2.0",
+            "unit_price": "3.5", "discount": "0"}
+    rows = [base, *[{**base, **change} for change in ({"qty": None}, {"qty": "2.5"}, {"unit_price": None}, {"unit_price": "NaN"},
+                                                     {"unit_price": "Infinity"}, {"order_datetime": None}, {"discount": None})]]
+    df = spark.createDataFrame([tuple(r.values()) for r in rows], ", ".join(f"{c} string" for c in base))
+    good, bad = validate(df, order_line_contract())
+    assert [r.qty for r in good.collect()] == [2]
+    assert bad.count() == 7 and all(r.errors for r in bad.collect())
