@@ -103,7 +103,7 @@ def metric_channel(c) -> Column:
     """channel key out of ``NET SALES - Paid Search`` (NULL for other metrics)."""
     col = _c(c)
     return F.when(F.coalesce(col.startswith(NET_SALES_PREFIX), F.lit(False)),
-                  canonical_channel(F.substring(col, len(NET_SALES_PREFIX) + 1, 10_000)))
+                  canonical_channel(F.substr(col, F.lit(len(NET_SALES_PREFIX) + 1))))
 
 
 def sha256_id(c) -> Column:
@@ -170,10 +170,15 @@ def exact_sum(c, scale: int = 6) -> Column:
 
     A double sum depends on the order rows arrive in, so two runs (or two
     engines) can differ in the last bit -- enough to flip a rounded ratio
-    that lands on a half.  Inputs with at most ``scale`` decimals sum
-    exactly; Spark's decimal arithmetic stays on longs while values fit.
+    that lands on a half.  The part of each input up to ``scale`` decimals is
+    summed as a decimal; what lies beyond it (tiny or huge values, not the
+    noise of the binary form, under 1e-15 of the value) is summed as a double.
     """
-    return F.sum(_c(c).cast(f"decimal(38,{scale})")).cast("double")
+    x = _c(c)
+    exact = x.try_cast(f"decimal(38,{scale})")
+    rest = x.cast("double") - F.coalesce(exact.cast("double"), F.lit(0.0))
+    rest = F.when(F.abs(rest) <= F.abs(x.cast("double")) * 1e-15, F.lit(0.0)).otherwise(rest)
+    return F.coalesce(F.sum(exact).cast("double"), F.lit(0.0)) + F.sum(rest)
 
 
 def safe_ratio(num, den) -> Column:

@@ -1,41 +1,57 @@
 """Global order operators without a single-partition window.
 
-``running_totals`` is the building block: exact prefix sums over a total
-order, computed in two passes.
-
-1. range-partition on the order keys (Spark samples the bounds; equal keys
-   land in one partition, a unique tie-break key lets a hot value be split),
-   sort inside each partition, and take per-partition running sums with an
-   Arrow-batched ``mapInPandas`` (vectorised ``cumsum``, carry across batches);
-2. the result is checkpointed to the reliable checkpoint folder, so both
-   passes see the same partitioning and a lost executor recomputes nothing
-   inconsistent;
-3. the per-partition totals (one row per partition, a bound fixed by the
-   partition count) give each partition its offset, applied as one array
-   literal indexed by partition id.
-
+1. Range-partition on the order keys (Spark samples the bounds; a unique
+   tie-break key lets a hot value be split) and sort inside each partition.
+2. Number the rows with ``monotonically_increasing_id`` and ``checkpoint()``
+   into the reliable folder: both passes then see the same partitions, and a
+   lost executor recomputes nothing inconsistent.
+3. One summary row per partition (a bound fixed by the partition count) gives
+   each partition its offset, applied as one array literal.
+
+All steps are built-in expressions, so other columns pass through untouched.
 Global rank (W3 / M2), chronological splits, folds, AUC and ROC all use it.
 """
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from roaskit.session import ensure_checkpoint_dir
 
+#: ``monotonically_increasing_id`` holds the partition above these bits and the row's place below them.
+PLACE_BITS = 33
+
 
 def _order_exprs(order_cols):
     return [F.col(c) if isinstance(c, str) else c for c in order_cols]
 
 
+def _in_order(df: DataFrame, order: list[Column], partitions: int | None) -> tuple[DataFrame, int]:
+    """``df`` in range partitions with ``_at`` (place in the total order), checkpointed; and the partition count."""
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    placed = (df.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+              .withColumn("_at", F.monotonically_increasing_id()))
+    return placed.checkpoint(eager=True), parts
+
+
+def _pid() -> Column:
+    return F.shiftright("_at", PLACE_BITS).cast("int")
+
+
+def _per_partition(values: list, kind: str) -> Column:
+    """The row's partition's value, from one SQL array literal (repr() round-trips doubles)."""
+    table = F.expr("array(" + ", ".join(f"{v!r}{kind}" for v in values) + ")")
+    return F.element_at(table, _pid() + 1)
+
+
 def running_totals(df: DataFrame, order_cols, value_cols: list[str], prefix: str = "cum_",
                    partitions: int | None = None, group_cols: list[str] | None = None) -> tuple[DataFrame, dict]:
     """Exact inclusive prefix sums of ``value_cols`` in ``order_cols`` order,
-    restarting at every new value of ``group_cols`` when given.
+    restarting at every new value of ``group_cols`` when given; NULL counts as 0.
 
     The range partitioning is on ``group_cols + order_cols``, so one group that
     holds a third of all rows is split over many tasks; runs that cross a
@@ -44,79 +60,51 @@ def running_totals(df: DataFrame, order_cols, value_cols: list[str], prefix: str
     matter.  Returns the frame with ``prefix + col`` columns and the grand
     totals (a dict of Python numbers).
     """
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
     group_cols = list(group_cols or [])
-    parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    order = [F.col(g) for g in group_cols] + _order_exprs(order_cols)
-    keyed = (df.repartitionByRange(parts, *order).sortWithinPartitions(*order)
-               .withColumn("_pid", F.spark_partition_id()))
-    loc_names = [f"_loc_{c}" for c in value_cols]
-    out_fields = (list(keyed.schema.fields) + [T.StructField(n, T.DoubleType()) for n in loc_names]
-                  + [T.StructField("_row", T.LongType()), T.StructField("_first_run", T.BooleanType())])
-    schema = T.StructType(out_fields)
-
-    def local_cumsum(batches):
-        carry = np.zeros(len(value_cols))
-        seen, prev_key, in_first = 0, None, True
-        for pdf in batches:
-            n = len(pdf)
-            if n == 0:
-                continue
-            ch = np.zeros(n, dtype=bool)
-            if group_cols:
-                keys = pdf[group_cols].to_numpy(dtype=object)
-                if n > 1:
-                    ch[1:] = (keys[1:] != keys[:-1]).any(axis=1)
-                ch[0] = seen > 0 and tuple(keys[0]) != prev_key
-                prev_key = tuple(keys[-1])
-            run = np.cumsum(ch)
-            first = in_first & (run == 0)
-            in_first = bool(first[-1])
-            for i, c in enumerate(value_cols):
-                v = pd.Series(pdf[c].astype("float64").fillna(0.0).to_numpy())
-                cs = v.groupby(run).cumsum().to_numpy()
-                cs[run == 0] += carry[i]
-                pdf[loc_names[i]] = cs
-                carry[i] = cs[-1]
-            pdf["_row"] = np.arange(seen + 1, seen + n + 1, dtype="int64")
-            pdf["_first_run"] = first
-            seen += n
-            yield pdf
-
-    local = keyed.mapInPandas(local_cumsum, schema).checkpoint(eager=True)
-
-    # One summary row per partition (a bounded fetch): first and last group
-    # key and the sum of its trailing run.  Groups are sorted, so a partition's
-    # offset is the sum of the trailing runs of the earlier partitions whose
-    # last key equals its first key.
-    gkey = F.struct(*[F.col(g) for g in group_cols]) if group_cols else F.struct(F.lit(0).alias("_k"))
+    groups = [F.col(g) for g in group_cols]
+    placed, parts = _in_order(df, groups + _order_exprs(order_cols), partitions)
+    names = {c: f"_loc_{c}" for c in value_cols}
+    key = F.struct(*groups) if groups else F.struct(F.lit(0).alias("_k"))
+    in_part = Window.partitionBy("_pid").orderBy("_at")
+    in_run = Window.partitionBy("_pid", *group_cols).orderBy("_at").rowsBetween(Window.unboundedPreceding, 0)
+    local = placed.withColumn("_pid", _pid())
+    local = local.withColumn("_opens", F.first(key).over(in_part) if groups else key).withColumns(
+        {n: F.sum(F.coalesce(F.col(c).cast("double"), F.lit(0.0))).over(in_run) for c, n in names.items()})
+
+    # Groups are sorted, so a partition's offset is the sum of the trailing runs of
+    # the earlier partitions whose last key equals its first key.
     rows = local.groupBy("_pid").agg(
-        F.min_by(gkey, "_row").alias("_first_key"), F.max_by(gkey, "_row").alias("_last_key"),
-        *[F.max_by(n, "_row").alias(n) for n in loc_names]).collect()
+        F.min_by(key, "_at").alias("_first_key"), F.max_by(key, "_at").alias("_last_key"),
+        *[F.max_by(n, "_at").alias(n) for n in names.values()]).collect()
     by_pid = {r["_pid"]: r for r in rows}
     out, grand = local, {}
-    for i, c in enumerate(value_cols):
+    for c, n in names.items():
         run_sum: dict = {}
         offs = [0.0] * parts
         for p in sorted(by_pid):
             r = by_pid[p]
             offs[p] = run_sum.get(r["_first_key"], 0.0)
-            run_sum[r["_last_key"]] = run_sum.get(r["_last_key"], 0.0) + float(r[loc_names[i]] or 0.0)
-        if not group_cols:
-            grand[c] = sum(float(r[loc_names[i]] or 0.0) for r in rows)
-        # one SQL array literal (a single call whatever the partition count); repr() round-trips doubles
-        table = F.expr("array(" + ", ".join(f"{repr(float(o))}D" for o in offs) + ")")
-        off = F.coalesce(F.element_at(table, F.col("_pid") + 1), F.lit(0.0))
-        out = out.withColumn(prefix + c, F.col(loc_names[i]) + F.when(F.col("_first_run"), off).otherwise(0.0))
-    return out.drop("_pid", "_row", "_first_run", *loc_names), grand
+            run_sum[r["_last_key"]] = run_sum.get(r["_last_key"], 0.0) + r[n]
+        if not groups:
+            grand[c] = sum(r[n] for r in rows)
+        offset = F.when(F.col("_opens").eqNullSafe(key), _per_partition(offs, "D")).otherwise(F.lit(0.0))
+        out = out.withColumn(prefix + c, F.col(n) + offset)
+    return out.drop("_at", "_pid", "_opens", *names.values()), grand
 
 
 def global_rank(df: DataFrame, order_cols, name: str = "rank", partitions: int | None = None) -> tuple[DataFrame, int]:
-    """1-based row number over a total order; returns (frame, row count)."""
-    ranked, grand = running_totals(df.withColumn("_one", F.lit(1.0)), order_cols, ["_one"], prefix="_cum",
-                                   partitions=partitions)
-    return ranked.withColumn(name, F.col("_cum_one").cast("long")).drop("_one", "_cum_one"), int(grand["_one"])
+    """1-based row number over a total order; returns (frame, row count).
+
+    A row's place in its partition plus the rows of the partitions before: one shuffle, no window.
+    """
+    placed, parts = _in_order(df, _order_exprs(order_cols), partitions)
+    counts = {r["_pid"]: r["count"] for r in placed.groupBy(_pid().alias("_pid")).count().collect()}  # one row per partition
+    before, n = [], 0
+    for p in range(parts):
+        before.append(n)
+        n += counts.get(p, 0)
+    place = F.col("_at").bitwiseAND(F.lit((1 << PLACE_BITS) - 1))
+    return placed.withColumn(name, place + 1 + _per_partition(before, "L")).drop("_at"), n
 
 
 def top_k(df: DataFrame, k: int, order_cols) -> DataFrame:

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roaskit.functions.scalars import MONTH_NAMES, clean_numeric, month_number
+from roaskit.functions.scalars import MONTH_NAMES, clean_currency, month_number
 
 
 def tag_union(frames: dict[str, DataFrame], tag_col: str = "source") -> DataFrame:
@@ -25,25 +25,37 @@ def duplicate_row_count(df: DataFrame, cols: list[str] | None = None) -> DataFra
                            (F.col("total_rows") - F.col("distinct_rows")).alias("duplicate_rows"))
 
 
+def _month_cells(df: DataFrame, id_cols: list[str], year_col: str) -> DataFrame:
+    """Wide month columns -> a row per cell: text, year, month and number (NULL where there is none)."""
+    months = [c for c in df.columns if c.lower() in MONTH_NAMES]
+    cells = df.unpivot(id_cols, months, "month", "_cell")
+    cell = F.col("_cell").cast("string")
+    return cells.withColumns({"_cell": cell, "_y": F.col(year_col).cast("string").try_cast("int"),
+                              "_m": month_number(F.col("month")), "_number": clean_currency(cell)})
+
+
 def unpivot_months(df: DataFrame, id_cols: list[str], year_col: str = "year", value_name: str = "value",
                    drop_null_values: bool = True) -> DataFrame:
     """Wide month columns -> long rows with a first-of-month ``date``.
 
     Only month columns present are unpivoted (a ``total`` column is not); cell
-    text like ``"1,252"`` / ``"$52,392 "`` is parsed leniently; rows without a
-    valid year or month are dropped, and rows without a value too unless
-    ``drop_null_values`` is False.
+    text like ``"1,252"`` / ``"$52,392 "`` / ``"($12.00)"`` is parsed as money,
+    and a percent is no amount.  Rows without a valid year or month are dropped,
+    and rows without a value too unless ``drop_null_values`` is False;
+    ``rejected_month_cells`` returns the cells that hold text and were dropped.
     """
-    months = [c for c in df.columns if c.lower() in MONTH_NAMES]
-    long = df.unpivot(id_cols, months, "month", "_cell")
-    y = F.col(year_col).cast("string").try_cast("int")
-    m = month_number(F.col("month"))
-    long = long.withColumns({"_y": y, "_m": m, value_name: clean_numeric(F.regexp_replace("_cell", r"[$%]", ""))})
-    long = long.where(F.col("_y").isNotNull() & F.col("_m").isNotNull())
+    long = _month_cells(df, id_cols, year_col).where(F.col("_y").isNotNull() & F.col("_m").isNotNull())
     if drop_null_values:
-        long = long.where(F.col(value_name).isNotNull())
+        long = long.where(F.col("_number").isNotNull())
     keep = [c for c in id_cols if c != year_col]
-    return long.select(*keep, F.make_date("_y", "_m", F.lit(1)).alias("date"), value_name)
+    return long.select(*keep, F.make_date("_y", "_m", F.lit(1)).alias("date"), F.col("_number").alias(value_name))
+
+
+def rejected_month_cells(df: DataFrame, id_cols: list[str], year_col: str = "year") -> DataFrame:
+    """The cells with text that ``unpivot_months`` cannot place: no number in them, or no year beside them."""
+    cells = _month_cells(df, id_cols, year_col).where(F.trim("_cell") != "")
+    cells = cells.where(F.col("_y").isNull() | F.col("_m").isNull() | F.col("_number").isNull())
+    return cells.select(*id_cols, "month", F.col("_cell").alias("cell"))
 
 
 def pivot_wide(df: DataFrame, index: list[str], column: str, values: list, value_col: str,

@@ -790,12 +790,11 @@ def _scores(spark, sf):
 
 
 @register("chronological_split", """
-SELECT session_id, row_rank, CASE WHEN row_rank <= floor(n * CAST(0.7 AS DOUBLE)) THEN 'train'
+SELECT s.*, row_rank, CASE WHEN row_rank <= floor(n * CAST(0.7 AS DOUBLE)) THEN 'train'
   WHEN row_rank <= floor(n * CAST(0.7 AS DOUBLE)) + floor(n * CAST(0.15 AS DOUBLE)) THEN 'tune' ELSE 'test' END AS split
-FROM d_ranked""")
+FROM d_ranked r JOIN d_sessions s USING (session_id)""")
 def q_chronological_split(spark, sf):
-    s = st.chronological_split(ad.sessions(spark, sf), ["session_start", "session_id"])
-    return s.select("session_id", "row_rank", "split")
+    return st.chronological_split(ad.sessions(spark, sf), ["session_start", "session_id"])
 
 
 @register("chronological_split_approx")

@@ -85,12 +85,10 @@ def creative_rollup(enriched: DataFrame) -> DataFrame:
         F.sum("total_conversions").alias("total_conversions"), F.sum("_wr").alias("_wr"),
         F.grouping_id().alias("level"))
     r = r.withColumn("level", F.when(F.col("level") == 0, 0).when(F.col("level") == 1, 1).otherwise(2))
-    # parent of a leaf = its theme subtotal (same theme); parent of a theme
-    # subtotal = the grand total.  Both are windows keyed by the parent group,
-    # over the roll-up output only (one row per tag combination).
+    # parent of a leaf = its theme subtotal (a window per theme over the roll-up output);
+    # parent of a theme subtotal = the grand total (a scalar)
     parent_rev = F.sum(F.when(F.col("level") == 1, F.col("total_revenue"))).over(Window.partitionBy("creative_theme"))
-    above_leaf = F.when(F.col("level") >= 1, F.lit("all"))
-    total_rev = F.sum(F.when(F.col("level") == 2, F.col("total_revenue"))).over(Window.partitionBy(above_leaf))
+    total_rev = leaves.agg(exact_sum("total_revenue")).scalar()
     r = r.withColumns({
         "weighted_roas": F.when(F.col("total_revenue") > 0, F.col("_wr") / F.col("total_revenue")),
         "share_of_parent": F.when(F.col("level") == 0, safe_ratio(F.col("total_revenue"), parent_rev))

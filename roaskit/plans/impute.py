@@ -34,7 +34,8 @@ def impute_iterative(df: DataFrame, cols: list[str], max_iter: int = 10, ridge:
     """Chained regressions over ``cols`` (numeric).  Flags gaps before filling.
 
     Values are matched with a Bayesian-ridge imputer only within tolerance:
-    the regression here is ridge with a tiny fixed penalty.
+    the regression here is ridge with a tiny fixed penalty.  A column without
+    any value stays NULL and takes no part in the regressions.
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
@@ -43,8 +44,11 @@ def impute_iterative(df: DataFrame, cols: list[str], max_iter: int = 10, ridge:
     if flag:
         work = work.withColumn(flag, any_null(cols))
     means = work.agg(*[F.avg(c).alias(c) for c in cols]).first()
-    work = work.withColumns({c: F.coalesce(F.col(c), F.lit(float(means[c] or 0.0))) for c in cols})
-    gaps = work.agg(*[F.count_if(F.col(m)).alias(c) for c, m in miss.items()]).first()
+    cols = [c for c in cols if means[c] is not None]
+    if not cols:
+        return work.drop(*miss.values())
+    work = work.withColumns({c: F.coalesce(F.col(c), F.lit(float(means[c]))) for c in cols})
+    gaps = work.agg(*[F.count_if(F.col(miss[c])).alias(c) for c in cols]).first()
     targets = [c for c in cols if gaps[c]]
     if not targets or len(cols) < 2:
         return work.drop(*miss.values())

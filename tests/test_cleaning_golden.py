@@ -8,15 +8,16 @@ import tempfile
 from roaskit.operators.reshape import unpivot_months
 from roaskit.sources.files import normalize_columns, read_messy_csv, rename_columns
 
+# The sheet's own rows.
 RAW = (
     "﻿CHANNEL,YEAR,JANUARY,FEBRUARY,MARCH,APRIL,MAY,JUNE,JULY,AUGUST,SEPTEMBER,OCTOBER,NOVEMBER,DECEMBER,TOTAL\n"
     'Paid Search,2025,"1,405","1,169","1,433","1,322",0,0,0,0,0,0,0,0,"5,329"\n'
     'Paid Search,2024,"1,380","1,085",955,"1,162","1,399",933,"1,011","1,308","1,307","1,224","1,969","2,688","16,421"\n'
     'Paid Search,2023,"1,206",828,325,477,"1,393",950,"1,261","1,174","1,494",908,"3,334","2,403","15,753"\n'
-    "Paid Search,2022,828,813,915,676,937,801,827,845,\"1,168\",793,\"2,686\",\"1,881\",\"13,170\"\n"
+    'Paid Search,2022,828,813,915,676,937,801,827,845,"1,168",793,"2,686","1,881","13,170"\n'
     'Paid Search,2021,686,600,540,454,"1,054",668,739,693,657,593,"1,516","1,062","9,262"\n'
 )
-# spot values of the cleaned file
+# Spot values of the cleaned file.
 CLEANED = {"2023-03-01": 325.0, "2025-05-01": 0.0, "2022-09-01": 1168.0, "2021-11-01": 1516.0,
            "2024-12-01": 2688.0, "2024-01-01": 1380.0, "2025-01-01": 1405.0}
 

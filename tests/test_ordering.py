@@ -1,3 +1,4 @@
+import datetime as dt
 import random
 
 import pandas as pd
@@ -45,3 +46,26 @@ def test_seeded_sample_deterministic(spark):
     b = sorted(r.k for r in seeded_sample(df.repartition(7), 50, 1, ["k"]).collect())
     assert a == b and len(a) == 50
     assert seeded_sample(df, 5000, 1, ["k"]).count() == 1000
+
+
+def test_other_columns_pass_through_order_unchanged(spark):
+    big = 2**53
+    data = [(i, None if i % 3 == 0 else big + 1 + 2 * i, dt.datetime(9999, 12, 31, 23, 59, 59), None if i == 4 else float(i))
+            for i in range(12)]
+    df = spark.createDataFrame(data, "id long, payload long, far timestamp_ntz, v double")
+    ranked, n = global_rank(df, ["id"], partitions=3)
+    assert n == 12 and sorted((r.id, r.payload, r.far, r.v) for r in ranked.collect()) == data
+    out, _ = running_totals(df, ["id"], ["v"], partitions=3, group_cols=["far"])
+    got = sorted((r.id, r.payload, r.far, r.v, r.cum_v) for r in out.collect())
+    assert [r[:4] for r in got] == data and got[-1][4] == sum(range(12)) - 4
+    for frame in (ranked, out):
+        plan = frame._jdf.queryExecution().toString()
+        assert "InPandas" not in plan and "PythonUDF" not in plan
+
+
+def test_order_of_an_empty_table_and_null_groups(spark):
+    none, n = global_rank(spark.createDataFrame([], "id long"), ["id"], partitions=3)
+    assert n == 0 and none.count() == 0
+    df = spark.createDataFrame([(None, 1, 1.0), (None, 2, 2.0), ("a", 3, 5.0), ("a", 4, None)], "g string, id long, v double")
+    out, _ = running_totals(df, ["id"], ["v"], partitions=4, group_cols=["g"])
+    assert sorted((r.id, r.cum_v) for r in out.collect()) == [(1, 1.0), (2, 3.0), (3, 5.0), (4, 5.0)]

@@ -42,6 +42,7 @@ def test_canonical_channel(spark):
 def test_metric_channel(spark):
     assert one(spark, fx.metric_channel, "NET SALES - Paid Search") == "paid search"
     assert one(spark, fx.metric_channel, "GROSS SALES") is None
+    assert one(spark, fx.metric_channel, "NET SALES - " + "x" * 12_000) == "x" * 12_000
 
 
 def test_lenient_date_month_names(spark):
@@ -101,3 +102,12 @@ def test_canonical_channel_idempotent(spark, parts):
     twice = once.select("k", fx.canonical_channel("k").alias("k2")).collect()
     assert all(r.k == r.k2 for r in twice)
     assert not any(r.k.endswith((" media", " agency")) or r.k == "affiliate" for r in twice)
+
+
+def test_exact_sum_keeps_tiny_and_huge_values(spark):
+    def total(values):
+        return spark.createDataFrame([(v,) for v in values], "v double").agg(fx.exact_sum("v")).first()[0]
+    assert abs(total([1e-7] * 10) - 1e-6) < 1e-18
+    assert total([0.1] * 10 + [None]) == 1.0
+    assert total([1e40, 1.0]) == 1e40
+    assert total([None, None]) is None

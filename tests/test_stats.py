@@ -45,14 +45,22 @@ def test_bootstrap_interval_contains_mean(spark):
 
 
 def test_imputation_flags_before_fill(spark):
-    rows = [(100.0, 500.0, 10.0, "A"), (150.0, 750.0, 15.0, "B"), (None, 800.0, 16.0, "A"),
-            (200.0, 1000.0, 20.0, "B"), (250.0, None, 25.0, "A"), (300.0, 1500.0, None, "B")]
-    df = spark.createDataFrame(rows, "total_spend double, revenue double, new_customers double, channel string")
+    rows = [(40.0 * k, 90.0 * k + 3, 2.0 * k, "x") for k in range(1, 9)]
+    rows[1] = (None, *rows[1][1:])
+    rows[4] = (rows[4][0], None, *rows[4][2:])
+    rows[6] = (*rows[6][:2], None, "x")
+    df = spark.createDataFrame(rows, "total_spend double, revenue double, new_customers double, channel string").coalesce(1)
     cols = ["total_spend", "revenue", "new_customers"]
     it = impute_iterative(df, cols).toPandas()
-    assert it.imputed_bool.tolist() == [False, False, True, False, True, True]
+    assert it.imputed_bool.tolist() == [False, True, False, False, True, False, True, False]
     assert it[cols].notna().all().all()
     # the columns are near-linear in each other: regression fills beat the mean
-    assert abs(it.loc[2, "total_spend"] - 160.0) < 15 and abs(it.loc[4, "revenue"] - 1250.0) < 60
+    assert abs(it.loc[1, "total_spend"] - 80.0) < 15 and abs(it.loc[4, "revenue"] - 453.0) < 60
     m = impute_mean(df, ["new_customers"]).toPandas()
-    assert abs(m.loc[5, "new_customers"] - 17.2) < 1e-9
+    assert abs(m.loc[6, "new_customers"] - 58.0 / 7) < 1e-9
+
+
+def test_imputation_leaves_a_column_without_values_null(spark):
+    df = spark.createDataFrame([(1.0, 2.0, None), (2.0, None, None), (3.0, 6.0, None)], "a double, b double, c double")
+    got = sorted((r.a, r.b, r.c) for r in impute_iterative(df, ["a", "b", "c"]).collect())
+    assert [r[2] for r in got] == [None] * 3 and abs(got[1][1] - 4.0) < 0.01
