@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roaskit.functions.scalars import MONTH_NAMES, clean_currency, month_number
+from roaskit.functions.scalars import MONTH_NAMES, clean_numeric, month_number
 
 
 def tag_union(frames: dict[str, DataFrame], tag_col: str = "source") -> DataFrame:
@@ -30,8 +30,9 @@ def _month_cells(df: DataFrame, id_cols: list[str], year_col: str) -> DataFrame:
     months = [c for c in df.columns if c.lower() in MONTH_NAMES]
     cells = df.unpivot(id_cols, months, "month", "_cell")
     cell = F.col("_cell").cast("string")
+    money = F.regexp_replace(cell, r"^([^()]*)\(([^()]*)\)\s*$", "-$1$2")  # accounting negatives: one expression, no branch
     return cells.withColumns({"_cell": cell, "_y": F.col(year_col).cast("string").try_cast("int"),
-                              "_m": month_number(F.col("month")), "_number": clean_currency(cell)})
+                              "_m": month_number(F.col("month")), "_number": clean_numeric(F.regexp_replace(money, r"\$", ""))})
 
 
 def unpivot_months(df: DataFrame, id_cols: list[str], year_col: str = "year", value_name: str = "value",
