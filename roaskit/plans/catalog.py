@@ -14,7 +14,6 @@ from roaskit.operators.ordering import distinct_values, seeded_sample, top_k
 from roaskit.plans import creative
 from roaskit.plans.sqlviews import with_views
 from roaskit.sources import adapters as ad
-from roaskit.sources.tables import per_session
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -71,7 +70,6 @@ def sql_round4(sql: str) -> str:
         i = k + 1
 
 
-@per_session
 def _enriched(spark, sf):
     return creative.enrich_sessions(ad.sessions(spark, sf), ad.campaigns(spark, sf), ad.orders(spark, sf))
 
@@ -623,6 +621,22 @@ def q_unpivot_months(spark, sf):
     return long.select(F.col("channel").alias("channel_name"), "date", r4("value").alias("value"))
 
 
+@register("unpivot_months_text", """
+SELECT channel_name, CAST(year(date) AS VARCHAR) AS year, CAST(month(date) AS INTEGER) AS month,
+  CASE month(date) WHEN 6 THEN -value WHEN 7 THEN NULL ELSE value END AS value,
+  CASE WHEN month(date) = 7 THEN format('{:,}', CAST(value AS BIGINT)) || '%' END AS rejected FROM d_cust_new""")
+def q_unpivot_months_text(spark, sf):
+    """A sheet whose June cells are negative amounts and whose July cells are percents, which are returned as rejected."""
+    wide = ad.monthly_sheet(spark, sf).withColumns({
+        "june": F.concat(F.lit("($"), "june", F.lit(")")), "july": F.concat("july", F.lit("%"))})
+    kept = rs.unpivot_months(wide, ["channel", "year"]).select(
+        F.col("channel").alias("channel_name"), F.year("date").cast("string").alias("year"), F.month("date").alias("month"),
+        r4("value").alias("value"), F.lit(None).cast("string").alias("rejected"))
+    return kept.unionByName(rs.rejected_month_cells(wide, ["channel", "year"]).select(
+        F.col("channel").alias("channel_name"), "year", fx.month_number("month").cast("int").alias("month"),
+        F.lit(None).cast("double").alias("value"), F.col("cell").alias("rejected")))
+
+
 # --- data quality ---------------------------------------------------------------------
 
 MIN_QTY, MAX_DISCOUNT = 5, 0.08
@@ -661,6 +675,27 @@ def q_order_lines_rejected(spark, sf):
     return bad.select("order_id", F.concat_ws(";", "errors").alias("errors"))
 
 
+@register("order_lines_nulls", f"""
+WITH ol AS (SELECT l.l_orderkey || '-' || l.l_linenumber AS order_id,
+    CASE WHEN l.l_linenumber <> 5 THEN o.o_custkey END AS customer_id,
+    CASE WHEN l.l_returnflag <> 'R' THEN CAST(l.l_quantity AS BIGINT) END AS qty, l.l_linenumber = 2 AS nan,
+    l.l_discount AS discount FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey)
+SELECT order_id, qty, concat_ws(';', CASE WHEN customer_id IS NULL THEN 'customer_id:not_null' END,
+  CASE WHEN qty IS NULL THEN 'qty:not_null' END, CASE WHEN nan THEN 'unit_price:type_double' END,
+  CASE WHEN qty IS NULL OR qty < {MIN_QTY} THEN 'qty:min' END, CASE WHEN nan THEN 'unit_price:non_negative' END,
+  CASE WHEN discount > {MAX_DISCOUNT} THEN 'discount:max' END) AS errors FROM ol""")
+def q_order_lines_nulls(spark, sf):
+    """Q2 + Q3: returned lines without a quantity, second lines with NaN prices, fifth lines without a customer,
+    and quantities written as ``17.0``."""
+    lines = ad.order_lines(spark, sf, extra=["l_returnflag", "l_linenumber"])
+    cells = lines.withColumns({
+        "customer_id": F.when(F.col("l_linenumber") != 5, F.col("customer_id")),
+        "qty": F.when(F.col("l_returnflag") != "R", F.concat("qty", F.lit(".0"))),
+        "unit_price": F.when(F.col("l_linenumber") == 2, F.lit("NaN")).otherwise(F.col("unit_price"))})
+    checked = qa.with_errors(cells.drop("l_returnflag", "l_linenumber"), order_line_contract(MIN_QTY, MAX_DISCOUNT))
+    return checked.select("order_id", "qty", F.concat_ws(";", "errors").alias("errors"))
+
+
 @register("validation_counts", _ORDER_LINES_SQL + """
 SELECT CAST(year(order_datetime) AS INTEGER) AS year, count(*) AS rows, count(*) FILTER (WHERE errors = '') AS accepted,
   count(*) FILTER (WHERE errors <> '') AS rejected FROM chk GROUP BY 1""")
@@ -944,9 +979,8 @@ GBT_PARAMS = {"maxIter": 40, "maxDepth": 6, "stepSize": 0.1842, "subsamplingRate
 
 # Tree counts and depth the registered searches draw from (kept small for run time).
 QUERY_SPACE = {"maxIter": (5, 15), "maxDepth": (3, 5)}
-@per_session
 def _trained(spark, sf):
-    """The conversion model on train + tune, fitted once per session and data folder."""
+    """The conversion model on train + tune."""
     split, feats = _model_frames(spark, sf)
     model = ml.gbt_pipeline(feats, **GBT_PARAMS).fit(split.where(F.col("split") != "test"))
     return split, feats, model
@@ -1052,6 +1086,61 @@ def q_ingest_stream_result(spark, sf):
                     r4("unit_price").alias("unit_price"), r4("discount").alias("discount"))
 
 
+def _inbox(spark) -> str:
+    import uuid
+    from roaskit.session import ensure_checkpoint_dir
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/ingest/{uuid.uuid4().hex}"
+
+
+@register("ingest_mixed_inbox", _ORDER_LINES_SQL + """
+SELECT 'order_lines' AS kind, order_id AS id, qty, round(unit_price, 4) AS unit_price, errors FROM chk
+UNION ALL SELECT 'web_sessions', CAST(session_id AS VARCHAR), NULL, NULL, '' FROM d_sessions
+UNION ALL SELECT 'unrouted', c_custkey || ',' || c_mktsegment, NULL, NULL, 'unknown_header' FROM customer""")
+def q_ingest_mixed_inbox(spark, sf):
+    """S8 + T1 + Q1: order lines under two header orders (one with an alias), web sessions, and files of a third kind,
+    all in one inbox; every row comes back from the table it was sent to."""
+    from roaskit.streaming.ingest import run_available
+    root = _inbox(spark)
+    lines = ad.order_lines(spark, sf, extra=["l_returnflag"])
+    names = [c for c in lines.columns if c != "l_returnflag"]
+    turned = [F.col("order_datetime").alias("datetime"), *[F.col(c) for c in reversed(names) if c != "order_datetime"]]
+    parts = {"lines": lines.where("l_returnflag <> 'R'").select(*names), "turned": lines.where("l_returnflag = 'R'").select(*turned),
+             "sessions": ad.web_session_cells(spark, sf), "personas": ad.personas(spark, sf)}
+    for name, part in parts.items():
+        part.write.option("header", True).csv(f"{root}/inbox/{name}")
+    run_available(spark, f"{root}/inbox/*", [order_line_contract(MIN_QTY, MAX_DISCOUNT), qa.web_session_contract()],
+                  f"{root}/master", f"{root}/quarantine", f"{root}/_checkpoint")
+    none, number = F.array().cast("array<string>"), F.lit(None).cast("bigint")
+    def rows(table, kind, key, errors, lines=False):
+        return spark.read.parquet(f"{root}/{table}").select(
+            F.lit(kind).alias("kind"), F.col(key).alias("id"), (F.col("qty") if lines else number).alias("qty"),
+            (r4("unit_price") if lines else F.lit(None).cast("double")).alias("unit_price"), F.concat_ws(";", errors).alias("errors"))
+    out = rows("master/order_lines", "order_lines", "order_id", none, True)
+    for other in (rows("quarantine/order_lines", "order_lines", "order_id", "errors", True),
+                  rows("master/web_sessions", "web_sessions", "session_id", none),
+                  rows("quarantine/web_sessions", "web_sessions", "session_id", "errors"),
+                  rows("quarantine/unrouted", "unrouted", "raw", "errors")):
+        out = out.unionByName(other)
+    return out
+
+
+@register("ingest_dedup", _ORDER_LINES_SQL + """
+SELECT split_part(order_id, '-', 1) AS order_id, sku, qty, CASE WHEN row_number() OVER (
+  PARTITION BY split_part(order_id, '-', 1) ORDER BY customer_id, order_datetime, sku, qty, unit_price, discount) > 1
+  THEN 'duplicate_key' ELSE '' END AS errors FROM chk WHERE errors = ''""")
+def q_ingest_dedup(spark, sf):
+    """S6 + Q7: order lines under one key per order; the first line stays and the others are in quarantine."""
+    from roaskit.streaming.ingest import run_available
+    root = _inbox(spark)
+    lines = ad.order_lines(spark, sf).withColumn("order_id", F.substring_index("order_id", "-", 1))
+    lines.write.option("header", True).csv(f"{root}/inbox")
+    run_available(spark, f"{root}/inbox", order_line_contract(MIN_QTY, MAX_DISCOUNT), f"{root}/master", f"{root}/quarantine",
+                  f"{root}/_checkpoint", dedup_key=["order_id"])
+    kept = spark.read.parquet(f"{root}/master").select("order_id", "sku", "qty", F.lit("").alias("errors"))
+    twice = spark.read.parquet(f"{root}/quarantine").where(F.array_contains("errors", "duplicate_key"))
+    return kept.unionByName(twice.select("order_id", "sku", "qty", F.concat_ws(";", "errors").alias("errors")))
+
+
 # --- scaling and analysis period ---------------------------------------------------------
 
 @register("spend_scaled", """

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roaskit.functions.scalars import MONTH_NAMES, exact_sum, month_start
-from roaskit.sources.tables import load, per_session
+from roaskit.sources.tables import load
 
 # --- fixed values of the adapter mapping ------------------------------------
 # order priority -> marketing channel display name
@@ -53,7 +53,6 @@ def channel_of(col) -> F.Column:
 
 # --- creative performance ---------------------------------------------------
 
-@per_session
 def sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = load(spark, sf_dir, "events").where(F.col("event_type") != "purchase")
     return e.select(
@@ -66,7 +65,6 @@ def sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@per_session
 def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = load(spark, sf_dir, "events").where(F.col("event_type") == "purchase")
     return e.select(
@@ -77,7 +75,6 @@ def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@per_session
 def campaigns(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = load(spark, sf_dir, "part")
     return p.select(
@@ -103,7 +100,6 @@ def _orders_by_month_channel(spark, sf_dir) -> DataFrame:
     )
 
 
-@per_session
 def media_spend(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(channel_name, value, date): ``<Channel> Media`` and ``<Channel> Agency`` rows."""
     o = _orders_by_month_channel(spark, sf_dir)
@@ -116,7 +112,6 @@ def media_spend(spark: SparkSession, sf_dir: str) -> DataFrame:
     return long.select(F.concat_ws(" ", "channel", "kind").alias("channel_name"), "value", "date")
 
 
-@per_session
 def first_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per customer: month and channel of the first order.
 
@@ -129,7 +124,6 @@ def first_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return first.select("o_custkey", F.col("f.date").alias("date"), F.col("f.channel").alias("channel"))
 
 
-@per_session
 def customers_new(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(channel_name, value, date): customers whose first order is in that month and channel."""
     f = first_orders(spark, sf_dir)
@@ -137,7 +131,6 @@ def customers_new(spark: SparkSession, sf_dir: str) -> DataFrame:
              .select(F.col("channel").alias("channel_name"), "value", "date"))
 
 
-@per_session
 def customers_ext(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(channel_name, value, date): repeat orders (orders that are not a first order)."""
     o = _orders_by_month_channel(spark, sf_dir)
@@ -148,7 +141,6 @@ def customers_ext(spark: SparkSession, sf_dir: str) -> DataFrame:
                     (F.col("n") - F.coalesce(F.col("value"), F.lit(0.0))).alias("value"), "date")
 
 
-@per_session
 def net_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(date, channel, value): discounted line revenue per order month and channel.
 
@@ -163,7 +155,6 @@ def net_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     return j.groupBy("date", "channel").agg(F.sum("net").cast("double").alias("value"))
 
 
-@per_session
 def topsheet(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(date, source, metric, value): ``NET SALES - <Channel>`` rows plus ``GROSS SALES``."""
     ns = net_sales(spark, sf_dir).select(
@@ -176,7 +167,6 @@ def topsheet(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ns.unionByName(gross)
 
 
-@per_session
 def channel_breakdown(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Yearly channel table: year_period, marketing_channel, ad_spend,
     gross_discount_(shopify), orders, year."""
@@ -192,7 +182,6 @@ def channel_breakdown(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "`gross_discount_(shopify)`", "orders", "year")
 
 
-@per_session
 def spend_overrides(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(month, channel, spend_override): 10 per pending order, agency-style names."""
     o = _orders_by_month_channel(spark, sf_dir)
@@ -203,7 +192,6 @@ def spend_overrides(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.concat(F.col("channel"), F.lit(" Agency")).alias("channel"), "spend_override")
 
 
-@per_session
 def monthly_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Wide spreadsheet form of ``customers_new``: channel, year, january..december, total.
 
@@ -221,13 +209,11 @@ def monthly_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- modules ------------------------------------------------------------------
 
-@per_session
 def personas(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = load(spark, sf_dir, "customer")
     return c.select(F.col("c_custkey").alias("customer_id"), F.col("c_mktsegment").alias("persona"))
 
 
-@per_session
 def email_flows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(flow_name, send_date, sends, opens, clicks, revenue) per event type and day."""
     e = load(spark, sf_dir, "events")
@@ -239,7 +225,6 @@ def email_flows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@per_session
 def email_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(date, email_type, sends, clicks) per month and type, with the sheet's ``Total`` rows."""
     o = load(spark, sf_dir, "orders")
@@ -253,7 +238,6 @@ def email_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
                     "sends", "clicks")
 
 
-@per_session
 def wholesale(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Retailer x sku facts from lineitem (supplier = retailer, part = sku)."""
     li = load(spark, sf_dir, "lineitem")
@@ -275,16 +259,14 @@ def wholesale(spark: SparkSession, sf_dir: str) -> DataFrame:
                     "wholesale_dollars", "discounts", "returns_dollars", "markdowns_dollars")
 
 
-@per_session
 def ltv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(customer_id, predicted_ltv): purchase value per user."""
     o = orders(spark, sf_dir)
     return o.groupBy(F.col("user_id").alias("customer_id")).agg(exact_sum("gross_revenue").alias("predicted_ltv"))
 
 
-@per_session
-def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order lines as text cells, like a dropped CSV file."""
+def order_lines(spark: SparkSession, sf_dir: str, extra: list[str] | None = None) -> DataFrame:
+    """Order lines as text cells, like a dropped CSV file; ``extra`` adds columns of the line as they are."""
     li = load(spark, sf_dir, "lineitem")
     o = load(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     j = li.join(o, li.l_orderkey == o.o_orderkey)
@@ -295,11 +277,10 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_partkey").cast("string").alias("sku"),
         F.col("l_quantity").cast("long").cast("string").alias("qty"),
         (F.col("l_extendedprice") / F.col("l_quantity")).cast("string").alias("unit_price"),
-        F.col("l_discount").cast("string").alias("discount"),
+        F.col("l_discount").cast("string").alias("discount"), *(extra or []),
     )
 
 
-@per_session
 def web_session_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Web sessions as text cells, like a dropped session-level export."""
     s = sessions(spark, sf_dir)
@@ -311,7 +292,6 @@ def web_session_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("campaign_id").cast("string").alias("campaign"))
 
 
-@per_session
 def currency_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Account balances as accounting text: ``$1,234.50`` / ``($12.00)``."""
     c = load(spark, sf_dir, "customer")

@@ -11,6 +11,7 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 from pyspark.sql.types import StringType, StructField, StructType
 
 BOM = "﻿"
@@ -81,20 +82,33 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: li
     w.save(path)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path is there; storage and permission errors are raised."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at)
+
+
 def append_to_master(spark: SparkSession, df: DataFrame, path: str, key: list[str] | None = None,
-                     fmt: str = "parquet") -> None:
+                     fmt: str = "parquet", duplicates: str | None = None) -> None:
     """Append rows to a master table, creating it when missing.
 
     With ``key`` the append is idempotent: rows whose key already exists in the
-    master (or repeats within the batch) are skipped by an anti join, so one
-    file delivered twice does not double the table.
+    master are left out, and of rows that share a key the first in the order of
+    all columns wins, so one file delivered twice does not double the table.
+    The rows left out are appended to the table ``duplicates``, when given.
     """
     new = df
     if key:
-        new = new.dropDuplicates(key)
-        try:
-            existing = spark.read.format(fmt).load(path).select(*key)
-            new = new.join(existing, on=key, how="left_anti")
-        except Exception:  # master does not exist yet
-            pass
+        nth = F.row_number().over(Window.partitionBy(*key).orderBy(*[F.col(c) for c in df.columns]))
+        told = df.withColumn("_nth", nth).withColumn("_known", F.lit(False))
+        if path_exists(spark, path):
+            earlier = spark.read.format(fmt).load(path).select(*key).distinct().withColumn("_seen", F.lit(True))
+            told = told.drop("_known").join(earlier, key, "left").withColumn("_known", F.coalesce("_seen", F.lit(False)))
+        told = told.persist() if duplicates else told
+        out = (F.col("_nth") > 1) | F.col("_known")
+        if duplicates:
+            told.where(out).select(*df.columns).write.mode("append").format(fmt).save(duplicates)
+        new = told.where(~out).select(*df.columns)
     new.write.mode("append").format(fmt).save(path)
+    if key and duplicates:
+        told.unpersist()

@@ -1,16 +1,7 @@
-"""Scans of the driver's parquet tables, and per-session reuse of built plans.
-
-Building a DataFrame costs driver time (file listing, footer reads, analysis
-of every API call); a plan is immutable, so plans that depend only on
-(session, inputs) are built once per live session and reused.  Execution
-always reads the files again.
-"""
+"""Scans of the driver's parquet tables.  A folder is listed anew for every plan, so appended files are seen."""
 
 from __future__ import annotations
 
-import functools
-import weakref
-
 from pyspark.sql import DataFrame, SparkSession
 
 DRIVER_TABLES = (
@@ -18,31 +9,7 @@ DRIVER_TABLES = (
     "embeddings pages benchmark labels conversations"
 ).split()
 
-_PLANS: "weakref.WeakKeyDictionary[SparkSession, dict]" = weakref.WeakKeyDictionary()
-
-
-def memo(spark: SparkSession, key, build):
-    """Return the plan cached for ``key`` in this session, building it once."""
-    plans = _PLANS.setdefault(spark, {})
-    if key not in plans:
-        plans[key] = build()
-    return plans[key]
-
-
-def per_session(fn):
-    """Decorator: ``fn(spark, sf_dir)`` builds its plan once per session and folder."""
-    @functools.wraps(fn)
-    def wrapper(spark: SparkSession, sf_dir: str):
-        return memo(spark, (fn.__module__, fn.__qualname__, sf_dir), lambda: fn(spark, sf_dir))
-    return wrapper
-
-
-def forget(spark: SparkSession) -> None:
-    """Drop the plans cached for ``spark`` (e.g. after the files changed)."""
-    _PLANS.pop(spark, None)
-
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Parquet scan; Catalyst prunes columns and pushes filters into it."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    return memo(spark, ("load", path), lambda: spark.read.parquet(path))
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

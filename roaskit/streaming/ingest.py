@@ -1,8 +1,13 @@
 """Incremental drop-folder ingestion (S8, T1, T2) with Structured Streaming.
 
-New files in the inbox are read once (file source + checkpoint), validated
-row by row against a contract, and written as two tables: accepted rows to
-the master table, rejected rows with their reasons to the quarantine table.
+The stream lists new files in the inbox (file source + checkpoint).  Each
+micro-batch groups its files by their header line, and one header at a time is
+read by name: an alias stands for its column, order does not matter, and the
+first contract whose columns the header holds takes the file.  Every row is
+checked against that contract; accepted rows go to the master table, the
+others to the quarantine with their reasons and their raw text.  Rows with too
+few or too many fields are rejected as ``malformed_row``, rows of files that
+no contract takes as ``unknown_header``.
 
 Exactly-once output: every micro-batch writes to ``<table>/batch_id=<id>``
 with overwrite.  ``foreachBatch`` is at-least-once -- a batch replayed after a
@@ -13,78 +18,176 @@ file out of the inbox once a later batch has committed.
 
 from __future__ import annotations
 
+import csv
+import re
+from collections import defaultdict
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.window import Window
 
 from roaskit.functions.scalars import sha256_id
 from roaskit.operators.quality import Contract, validation_counts, with_errors
+from roaskit.sources.files import path_exists
 
+#: Columns that ingestion adds to the contract's own.
+SOURCE, RAW, MALFORMED = "source_file", "raw", "_malformed"
+#: Table of the rows of files that none of several contracts takes.
+UNROUTED = "unrouted"
 
-def text_schema(contract: Contract) -> StructType:
-    """All-string schema in the contract's column order (files carry that header layout)."""
-    return StructType([StructField(c, StringType()) for c in contract.types])
 
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    """Whether a path is there; storage and permission errors are raised."""
+def header_line(spark: SparkSession, path: str) -> str | None:
+    """The first line of a file (None if it is empty)."""
     jvm = spark.sparkContext._jvm
     at = jvm.org.apache.hadoop.fs.Path(path)
-    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at)
+    stream = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).open(at)
+    try:
+        return jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8")).readLine()
+    finally:
+        stream.close()
+
+
+def header_names(line: str) -> list[str]:
+    """Column names of a header line, without a byte order mark and outer spaces."""
+    return [c.strip() for c in next(csv.reader([line.lstrip("\ufeff")]), [])]
+
+
+def route(names: list[str], contracts: list[Contract]) -> Contract | None:
+    """Q1: the first contract whose columns the header holds once each, by name or alias."""
+    for contract in contracts:
+        told = columns_by_name(names, contract)
+        if all(told.count(c) == 1 for c in contract.types):
+            return contract
+    return None
+
+
+def columns_by_name(names: list[str], contract: Contract) -> list[str]:
+    """Header names with aliases resolved; an alias beside its own column stays as it is."""
+    return [contract.aliases[c] if contract.aliases.get(c, c) not in names else c for c in names]
+
+
+def _literal(path: str) -> str:
+    """A path in which no character is a pattern."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
+
+
+def _cells(spark: SparkSession, names: list[str], paths: list[str], contract: Contract) -> DataFrame:
+    """The contract's columns as text, with source file, raw row and malformed line, of files with one header."""
+    fields = [f"_c{i}" for i in range(len(names))]
+    schema = StructType([StructField(c, StringType()) for c in [*fields, MALFORMED]])
+    rows = (spark.read.schema(schema).option("header", True).option("enforceSchema", True).option("mode", "PERMISSIVE")
+            .option("columnNameOfCorruptRecord", MALFORMED).csv([_literal(p) for p in paths]))
+    told = columns_by_name(names, contract)
+    whole = F.to_json(F.struct(*[F.col(c).alias(f"{n}#{i}" if names.count(n) > 1 else n) for i, (c, n) in enumerate(zip(fields, names))]),
+                      {"ignoreNullFields": "false"})
+    return rows.select(*[F.col(fields[told.index(c)]).alias(c) for c in contract.types],
+                       F.col("_metadata.file_name").alias(SOURCE), F.coalesce(MALFORMED, whole).alias(RAW), MALFORMED)
+
+
+def _lines(spark: SparkSession, line: str, paths: list[str]) -> DataFrame:
+    """The lines below the header, of files that no contract takes."""
+    rows = spark.read.text([_literal(p) for p in paths]).select(F.col("_metadata.file_name").alias(SOURCE), F.col("value").alias(RAW))
+    return rows.where(F.col(RAW) != line).withColumn("errors", F.array(F.lit("unknown_header")))
+
+
+def _write_batch(frame: DataFrame, table: str, batch_id: int) -> None:
+    frame.write.mode("overwrite").parquet(f"{table.rstrip('/')}/batch_id={batch_id}")
+
+
+def _store(spark: SparkSession, cells: DataFrame | None, strangers: DataFrame | None, contract: Contract, master: str,
+           quarantine: str, dedup_key: list[str] | None, counts: str | None, batch_id: int) -> None:
+    """Check one contract's rows of a batch and write its tables; ``strangers`` go to the quarantine as they are."""
+    if cells is None:
+        cells = spark.createDataFrame([], ", ".join(f"`{c}` string" for c in [*contract.types, SOURCE, RAW, MALFORMED]))
+    checked = with_errors(cells, contract)
+    broken = F.when(F.col(MALFORMED).isNotNull(), F.array(F.lit("malformed_row"))).otherwise(F.array().cast("array<string>"))
+    checked = checked.withColumn("errors", F.concat(broken, "errors")).drop(MALFORMED)
+    if contract.hashed:  # in rejected rows too, and their raw text with them
+        checked = checked.withColumns({c: sha256_id(c) for c in [*contract.hashed, RAW]})
+    checked = checked.persist()
+    good = checked.where(F.size("errors") == 0).drop("errors")
+    bad = checked.where(F.size("errors") > 0)
+    if dedup_key:
+        # the first row in order of the contract's columns, then file and text, wins; the others are kept in quarantine
+        order = Window.partitionBy(*dedup_key).orderBy(*contract.types, SOURCE, RAW)
+        good = good.withColumn("_nth", F.row_number().over(order))
+        twice = good.where("_nth > 1").drop("_nth")
+        good = good.where("_nth = 1").drop("_nth")
+        if path_exists(spark, master):
+            earlier = spark.read.parquet(master)
+            if "batch_id" in earlier.columns:  # a replayed batch replaces its own rows
+                earlier = earlier.where(F.col("batch_id").isNull() | (F.col("batch_id") != batch_id))
+            earlier = earlier.select(*dedup_key).distinct()
+            twice = twice.unionByName(good.join(earlier, dedup_key, "left_semi"))
+            good = good.join(earlier, dedup_key, "left_anti")
+        bad = bad.unionByName(twice.withColumn("errors", F.array(F.lit("duplicate_key"))))
+    if strangers is not None:
+        bad = bad.unionByName(strangers, allowMissingColumns=True)
+    if counts:  # Q8: accepted / rejected per file, one small table per batch
+        every = checked.select(SOURCE, "errors")
+        if strangers is not None:
+            every = every.unionByName(strangers.select(SOURCE, "errors"))
+        _write_batch(validation_counts(every, [SOURCE]), counts, batch_id)
+    _write_batch(good.drop(RAW), master, batch_id)
+    _write_batch(bad, quarantine, batch_id)
+    checked.unpersist()
 
 
-def _batch_writer(spark: SparkSession, contract: Contract, master: str, quarantine: str,
+def _batch_writer(spark: SparkSession, contracts: list[Contract], several: bool, master: str, quarantine: str,
                   dedup_key: list[str] | None, counts: str | None):
     def process(batch: DataFrame, batch_id: int) -> None:
-        checked = with_errors(batch, contract).persist()
-        if counts:  # Q8: accepted / rejected per file, one small table per batch
-            (validation_counts(checked, ["source_file"]).write.mode("overwrite")
-             .parquet(f"{counts.rstrip('/')}/batch_id={batch_id}"))
-        good = checked.where(F.size("errors") == 0).drop("errors")
-        for c in contract.hashed:
-            good = good.withColumn(c, sha256_id(c))
-        if dedup_key:
-            # the first row in order of all columns wins; the others are kept in quarantine
-            order = Window.partitionBy(*dedup_key).orderBy(*[F.col(c) for c in good.columns])
-            good = good.withColumn("_nth", F.row_number().over(order))
-            twice = good.where("_nth > 1").drop("_nth")
-            good = good.where("_nth = 1").drop("_nth")
-            if _exists(spark, master):
-                earlier = spark.read.parquet(master)
-                if "batch_id" in earlier.columns:  # a replayed batch replaces its own rows
-                    earlier = earlier.where(F.col("batch_id").isNull() | (F.col("batch_id") != batch_id))
-                earlier = earlier.select(*dedup_key).distinct()
-                twice = twice.unionByName(good.join(earlier, dedup_key, "left_semi"))
-                good = good.join(earlier, dedup_key, "left_anti")
-        bad = checked.where(F.size("errors") > 0)
-        if dedup_key:
-            bad = bad.unionByName(twice.withColumn("errors", F.array(F.lit("duplicate_key"))))
-        good.write.mode("overwrite").parquet(f"{master.rstrip('/')}/batch_id={batch_id}")
-        bad.write.mode("overwrite").parquet(f"{quarantine.rstrip('/')}/batch_id={batch_id}")
-        checked.unpersist()
+        # at most max_files_per_trigger names; the source tells some twice when a name holds a pattern character
+        files = sorted({r["path"] for r in batch.select("path").collect()})
+        by_header = defaultdict(list)
+        for path in files:
+            line = header_line(spark, path)
+            if line is not None:
+                by_header[line].append(path)
+        cells, strangers = defaultdict(list), []
+        for line, paths in by_header.items():
+            names = header_names(line)
+            contract = route(names, contracts)
+            if contract is None:
+                strangers.append(_lines(spark, line, paths))
+            else:
+                cells[contract.name].append(_cells(spark, names, paths, contract))
+        union = lambda frames: reduce(DataFrame.unionByName, frames) if frames else None
+        odd = union(strangers)
+        for contract in contracts:
+            mine = f"/{contract.name}" if several else ""
+            rows = union(cells[contract.name])
+            if rows is not None or not several:
+                _store(spark, rows, None if several else odd, contract, f"{master.rstrip('/')}{mine}", f"{quarantine.rstrip('/')}{mine}",
+                       dedup_key, f"{counts.rstrip('/')}{mine}" if counts else None, batch_id)
+        if several and odd is not None:
+            _write_batch(odd, f"{quarantine.rstrip('/')}/{UNROUTED}", batch_id)
     return process
 
 
-def ingest_stream(spark: SparkSession, inbox: str, contract: Contract, master: str, quarantine: str,
+def ingest_stream(spark: SparkSession, inbox: str, contract: Contract | list[Contract], master: str, quarantine: str,
                   checkpoint: str, archive: str | None = None, glob: str = "*.csv",
                   dedup_key: list[str] | None = None, available_now: bool = True,
-                  max_files_per_trigger: int | None = 1000, counts: str | None = None):
+                  max_files_per_trigger: int = 1000, counts: str | None = None):
     """Start the ingestion stream; with ``available_now`` it processes what
     is in the inbox and stops (call again later, or run continuously with
-    ``available_now=False``).  ``max_files_per_trigger`` bounds each
-    micro-batch (the batch is persisted while it is validated and written);
-    ``available_now`` still drains the whole inbox, batch by batch.  Returns
-    the ``StreamingQuery``."""
-    reader = (spark.readStream.schema(text_schema(contract)).option("header", True)
-              .option("pathGlobFilter", glob))
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    ``available_now=False``).  With a list of contracts each has its own tables
+    ``<master>/<contract name>`` and ``<quarantine>/<contract name>``, and rows
+    of files that none takes go to ``<quarantine>/unrouted``.
+    ``max_files_per_trigger`` bounds each micro-batch (its file names and header
+    lines are read on the driver, and its rows are persisted while they are
+    checked and written); ``available_now`` still drains the whole inbox, batch
+    by batch.  Returns the ``StreamingQuery``."""
+    several = not isinstance(contract, Contract)
+    # only the names are selected, so the contents are not read here
+    reader = (spark.readStream.format("binaryFile").option("pathGlobFilter", glob)
+              .schema("path string, modificationTime timestamp, length long, content binary")
+              .option("maxFilesPerTrigger", max_files_per_trigger))
     if archive:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
-    stream = reader.csv(inbox).withColumn("source_file", F.col("_metadata.file_name"))
-    writer = (stream.writeStream.foreachBatch(_batch_writer(spark, contract, master, quarantine, dedup_key, counts))
-              .option("checkpointLocation", checkpoint))
+    write = _batch_writer(spark, list(contract) if several else [contract], several, master, quarantine, dedup_key, counts)
+    writer = reader.load(inbox).select("path").writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()
 

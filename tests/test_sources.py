@@ -58,3 +58,14 @@ def test_join_helpers(spark):
     got = {r.k: (r.spend, r.fees) for r in full_align(s1, s2, ["k"]).collect()}
     assert got == {"x": (1.0, 0.0), "y": (2.0, 3.0), "z": (0.0, 4.0)}
     assert duplicate_keys(a, ["key"]).first().n == 2
+
+
+def test_appended_files_are_seen(spark):
+    import tempfile
+
+    from roaskit.sources.tables import load
+    root = tempfile.mkdtemp(prefix="roaskit-append-")
+    spark.range(3).write.parquet(f"{root}/t.parquet")
+    assert load(spark, root, "t").count() == 3
+    spark.range(5).write.mode("append").parquet(f"{root}/t.parquet")
+    assert load(spark, root, "t").count() == 8

@@ -34,3 +34,57 @@ def test_stream_restart_exactly_once(spark):
     # a third run with nothing new adds nothing
     run_available(spark, *args, archive=f"{root}/archive")
     assert spark.read.parquet(f"{root}/master").count() == 2
+
+
+def test_inbox_of_mixed_headers_is_mapped_by_name_and_routed(spark):
+    from roaskit.operators.quality import web_session_contract
+    root = tempfile.mkdtemp(prefix="roaskit-stream-")
+    inbox = os.path.join(root, "inbox")
+    os.makedirs(inbox)
+    files = {
+        "a.csv": HEADER + "1,c1,2025-07-02 10:00:00,S1,2,10.0,0.1\n2,c1,2025-07-02 10:00:00,S1,x,9.5,0\n",
+        # price before quantity, an alias, and a column of its own
+        "b.csv": "﻿sku,unit_price,qty,discount,datetime,customer_id,order_id,note\nS2,9,2,0,2025-07-03 10:00:00,c2,3,hi\n",
+        # too many and too few fields
+        "c[1].csv": HEADER + "4,c4,2025-07-02 10:00:00,S1,2,10.0,0.1,more\n5,c5,2025-07-02 10:00:00,S1,2\n",
+        "d.csv": "user_id,session_id,session_start,source,medium,campaign\nu1,s1,2025-07-02 09:00:00,g,cpc,x\n,s2,2025-07-02 09:00:00,g,cpc,x\n",
+        "e.csv": "colour,weight\nred,1\n",
+        "f.csv": "",
+    }
+    for name, text in files.items():
+        with open(f"{inbox}/{name}", "w", encoding="utf-8") as f:
+            f.write(text)
+    contracts = [order_line_contract(), web_session_contract()]
+    run_available(spark, inbox, contracts, f"{root}/master", f"{root}/quarantine", f"{root}/ckpt")
+    lines = sorted((r.order_id, r.customer_id, r.sku, r.qty, r.unit_price) for r in spark.read.parquet(f"{root}/master/order_lines").collect())
+    assert lines == [("1", "c1", "S1", 2, 10.0), ("3", "c2", "S2", 2, 9.0)]
+    assert [r.session_id for r in spark.read.parquet(f"{root}/master/web_sessions").collect()] == ["s1"]
+    bad = {r.order_id: (r.errors, r.raw) for r in spark.read.parquet(f"{root}/quarantine/order_lines").collect()}
+    assert set(bad) == {"2", "4", "5"} and '"qty":"x"' in bad["2"][1] and "more" in bad["4"][1]
+    assert "malformed_row" in bad["4"][0] and "malformed_row" in bad["5"][0]
+    hidden = spark.read.parquet(f"{root}/quarantine/web_sessions").first()
+    assert hidden.session_id == "s2" and hidden.user_id is None and len(hidden.raw) == 64
+    odd = spark.read.parquet(f"{root}/quarantine/unrouted").collect()
+    assert {r.source_file for r in spark.read.parquet(f"{root}/quarantine/order_lines").collect()} == {"a.csv", "c%5B1%5D.csv"}
+    assert [(r.source_file, r.raw, r.errors) for r in odd] == [("e.csv", "red,1", ["unknown_header"])]
+
+
+def test_repeated_keys_go_to_quarantine_across_batches(spark):
+    from roaskit.sources.files import append_to_master
+    root = tempfile.mkdtemp(prefix="roaskit-stream-")
+    inbox = os.path.join(root, "inbox")
+    os.makedirs(inbox)
+    row = ("1", "c1", "2025-07-02 10:00:00", "S1", "2", "10.0", "0.1")
+    write(f"{inbox}/a.csv", [row, (*row[:4], "3", *row[5:])])
+    args = (inbox, order_line_contract(), f"{root}/master", f"{root}/quarantine", f"{root}/ckpt")
+    run_available(spark, *args, dedup_key=["order_id"])
+    write(f"{inbox}/b.csv", [row])
+    run_available(spark, *args, dedup_key=["order_id"])
+    assert [r.qty for r in spark.read.parquet(f"{root}/master").collect()] == [2]
+    bad = spark.read.parquet(f"{root}/quarantine").collect()
+    assert sorted(r.qty for r in bad) == [2, 3] and all(r.errors == ["duplicate_key"] for r in bad)
+    df = spark.createDataFrame([(1, "b"), (1, "a"), (2, "c")], "k long, v string")
+    append_to_master(spark, df, f"{root}/table", ["k"], duplicates=f"{root}/twice")
+    append_to_master(spark, df.where("k = 2"), f"{root}/table", ["k"], duplicates=f"{root}/twice")
+    assert sorted((r.k, r.v) for r in spark.read.parquet(f"{root}/table").collect()) == [(1, "a"), (2, "c")]
+    assert sorted((r.k, r.v) for r in spark.read.parquet(f"{root}/twice").collect()) == [(1, "b"), (2, "c")]
