@@ -13,45 +13,60 @@ def _cols(x) -> list[str]:
     return [x] if isinstance(x, str) else list(x)
 
 
-def auto_bucket_seconds(left: DataFrame, right: DataFrame, by: list[str], left_ts: str, right_ts: str,
-                        target_rows: int = 1_000_000, lo: int = 60, hi: int = 366 * 86_400) -> int:
-    """Bucket width that gives the densest key about ``target_rows`` rows per
-    bucket: one partial aggregate over both sides (rows and time span per key),
-    one row back to the driver."""
-    t = micros(F.col("_ts"))
-    both = (left.select(*by, F.col(left_ts).alias("_ts")).unionByName(right.select(*by, F.col(right_ts).alias("_ts"))))
-    per_key = both.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), ((F.max(t) - F.min(t)) / 1e6).alias("span"))
-    rate = per_key.agg(F.max(F.col("n") / F.greatest(F.col("span"), F.lit(1.0)))).first()[0]
-    if not rate:
-        return hi
-    return int(min(hi, max(lo, target_rows / rate)))
+#: Widths in seconds of the nested time buckets of an as-of join; each divides the next.
+ASOF_WIDTHS = (1, 3600)
+
+
+def _carried(probes: DataFrame, known: DataFrame, by: list[str], widths: list[int]) -> DataFrame:
+    """(by, _bkt, _carry): for each probed bucket of the first width the last right row of an *earlier* bucket.
+
+    ``known`` holds the last right row per bucket (``_bp`` and its place ``_at``).  Within the next wider bucket
+    a window carries it on; what lies before that comes from the same step on the wider buckets.  A window so
+    holds at most one row per narrow bucket of one wide bucket (of a key, for the widest).
+    """
+    rows = (known.unionByName(probes, allowMissingColumns=True)
+            .groupBy(*by, "_bkt").agg(F.min_by("_bp", "_at").alias("_bp"), F.min("_at").alias("_at"),
+                                      F.max("_probe").alias("_probe")))
+    wide = F.floor(F.col("_bkt") / F.lit(widths[1] // widths[0])) if len(widths) > 1 else None
+    if wide is not None:
+        rows = rows.withColumn("_wide", wide)
+    within = [*by, "_wide"] if wide is not None else by
+    earlier = Window.partitionBy(*within).orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
+    told = rows.withColumn("_carry", F.last("_bp", ignorenulls=True).over(earlier)).where(F.col("_probe"))
+    if wide is None:
+        return told.select(*by, "_bkt", "_carry")
+    up = known.withColumn("_bkt", wide).groupBy(*by, "_bkt").agg(F.min_by("_bp", "_at").alias("_bp"), F.min("_at").alias("_at"))
+    asked = probes.withColumn("_bkt", wide).distinct()
+    before = _carried(asked, up, by, widths[1:]).select(*by, F.col("_bkt").alias("_wide"), F.col("_carry").alias("_before"))
+    return told.join(before, [*by, "_wide"], "left").select(*by, "_bkt", F.coalesce("_carry", "_before").alias("_carry"))
 
 
 def asof_join(left: DataFrame, right: DataFrame, by, left_ts: str, right_ts: str,
               right_cols: list[str], tie_col: str, how: str = "left",
-              bucket_seconds: int | str = 86_400) -> DataFrame:
+              widths: tuple[int, ...] = ASOF_WIDTHS) -> DataFrame:
     """For each left row, the latest right row with the same ``by`` key and
     ``right_ts <= left_ts``; equal time stamps are "at or before".  Ties on
     ``right_ts`` go to the smallest ``tie_col``.
 
-    No row explosion and no single hot task: time is cut into buckets of
-    ``bucket_seconds`` (``"auto"`` sizes them from the densest key), so a key
-    holding a third of all rows is spread over many (key, bucket) window
-    partitions.
+    No row explosion and no single hot task: time is cut into nested buckets
+    of ``widths`` seconds, the same for every size of data, so neither a key
+    holding a third of all rows nor a burst within one hour is one task.
 
-    1. the union of both sides is shuffled once on (key, bucket); inside each
-       partition, rows ordered by time (right before left on a tie) and
+    1. the union of both sides is shuffled once on (key, narrow bucket); inside
+       each partition, rows ordered by time (right before left on a tie) and
        ``last(ignorenulls)`` carries the latest right row forward;
-    2. the last right row of every bucket -- a map-side-combined aggregate,
-       so its shuffle holds one row per (key, bucket) per task;
-    3. per key, over that small bucket table only, the last right row of any
-       *earlier* bucket (no key is hot here: a key has one row per bucket);
+    2. the last right row of every bucket is a map-side-combined aggregate of
+       the right side alone;
+    3. per wide bucket, and then per key over its wide buckets, a window over
+       these small tables finds the last right row of any *earlier* bucket;
     4. each left row takes its in-bucket match, else the carried one.
+
+    The plan is lazy: no job runs before the result is read.
     """
-    by = _cols(by)
-    if bucket_seconds == "auto":
-        bucket_seconds = auto_bucket_seconds(left, right, by, left_ts, right_ts)
-    bucket_us = int(bucket_seconds) * 1_000_000
+    by, widths = _cols(by), list(widths)
+    if any(b % a for a, b in zip(widths, widths[1:])):
+        raise ValueError(f"each width must divide the next: {widths}")
+    bucket_us = int(widths[0]) * 1_000_000
     payload_fields = [right_ts] + [c for c in right_cols if c != right_ts]
     if tie_col not in payload_fields:
         payload_fields.append(tie_col)
@@ -78,11 +93,11 @@ def asof_join(left: DataFrame, right: DataFrame, by, left_ts: str, right_ts: str
             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     win = r_side.unionByName(l_side).withColumn("_m", F.last("_p", ignorenulls=True).over(w_in))
 
-    # 2 + 3: last right row per bucket, then carried across earlier buckets per key
-    last_in_bucket = win.groupBy(*by, "_bkt").agg(
-        F.min_by("_p", F.when(F.col("_kind") == 0, F.struct(-F.col("_t"), F.col("_tie")))).alias("_bp"))
-    w_key = Window.partitionBy(*by).orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
-    carry = last_in_bucket.select(*by, "_bkt", F.last("_bp", ignorenulls=True).over(w_key).alias("_carry"))
+    # 2 + 3: last right row per bucket, carried across earlier buckets
+    place = F.struct((-F.col("_t")).alias("t"), F.col("_tie").alias("tie"))
+    known = r.groupBy(*by, "_bkt").agg(F.min_by("_p", place).alias("_bp"), F.min(place).alias("_at"))
+    probes = l_side.where(F.col("_bkt").isNotNull()).select(*by, "_bkt").distinct().withColumn("_probe", F.lit(True))
+    carry = _carried(probes, known, by, widths)
 
     # 4: the in-bucket match, else the carried one
     matched = win.where(F.col("_kind") == 1).select(*by, "_bkt", "_l", "_m")

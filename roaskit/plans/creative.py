@@ -7,17 +7,17 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from roaskit.functions.scalars import clip, exact_sum, safe_ratio, whole_days_between
-from roaskit.operators.joins import asof_join
+from roaskit.operators.joins import ASOF_WIDTHS, asof_join
 from roaskit.operators.ordering import running_totals
 
 
-def attribute_last_touch(orders: DataFrame, sessions: DataFrame, bucket_seconds: int | str = "auto") -> DataFrame:
+def attribute_last_touch(orders: DataFrame, sessions: DataFrame, widths: tuple[int, ...] = ASOF_WIDTHS) -> DataFrame:
     """Each order goes to the same user's latest session starting at or
     before the order; orders with no such session are dropped (one row per order)."""
     return asof_join(orders, sessions.select("user_id", "session_id", "session_start"),
                      by="user_id", left_ts="order_datetime", right_ts="session_start",
                      right_cols=["session_id", "session_start"], tie_col="session_id",
-                     how="inner", bucket_seconds=bucket_seconds)
+                     how="inner", widths=widths)
 
 
 def session_revenue(attributed: DataFrame) -> DataFrame:
@@ -112,11 +112,12 @@ def payback_curve(enriched: DataFrame, campaigns: DataFrame) -> DataFrame:
     s = (enriched.select("campaign_id", "session_id", "session_start", "gross_revenue")
          .join(c, "campaign_id")
          .where(F.col("session_start") >= F.col("_launch").cast("timestamp_ntz")))
-    paying = s.groupBy("campaign_id").agg(F.sum("gross_revenue").alias("_total")).where(F.col("_total") > 0)
-    s = s.join(paying.select("campaign_id"), "campaign_id", "left_semi")
     s = s.withColumn("days_since_launch", whole_days_between("session_start", "_launch"))
     cum, _ = running_totals(s, ["session_start", "session_id"], ["gross_revenue"], prefix="_cum_",
                             group_cols=["campaign_id"])
+    # from the checkpointed frame, so the attribution runs once; a campaign's totals are a small table
+    paying = cum.groupBy("campaign_id").agg(F.sum("gross_revenue").alias("_total")).where(F.col("_total") > 0)
+    cum = cum.join(paying.select("campaign_id"), "campaign_id", "left_semi")
     return cum.select("campaign_id", "session_id", "session_start", "days_since_launch", "gross_revenue",
                       F.col("_cum_gross_revenue").alias("cumulative_revenue"), "campaign_spend")
 

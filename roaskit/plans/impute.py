@@ -3,11 +3,10 @@
 ``impute_mean`` fills gaps with the column mean (a scalar subquery).
 ``impute_iterative`` is chained-equation imputation: start from the means,
 then, round robin, regress each column that has gaps on the others using the
-rows where it is observed, and refill its gaps from the fit.  Each regression
-is one distributed pass that aggregates the moment matrix (sums of x_i * x_j,
-a (d+1) x (d+1) array whatever the row count); only that small matrix reaches
-the driver, where a ridge-regularised solve gives the coefficients.  Lineage
-is cut with ``checkpoint()`` every round.
+rows where it is observed, and refill its gaps from the fit.  One aggregate
+pass gathers a moment matrix per pattern of gaps; all rounds run on these
+small matrices, because a gap's value stays an affine function of the row's
+observed values.  One projection then fills the gaps.
 """
 
 from __future__ import annotations
@@ -17,7 +16,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from roaskit.functions.scalars import any_null
-from roaskit.session import ensure_checkpoint_dir
+
+
+#: Bytes of the fills of all gap patterns up to which they are broadcast.
+MOST_BROADCAST = 8 << 20
 
 
 def impute_mean(df: DataFrame, cols: list[str], flag: str | None = "imputed_bool") -> DataFrame:
@@ -37,50 +39,66 @@ def impute_iterative(df: DataFrame, cols: list[str], max_iter: int = 10, ridge:
     the regression here is ridge with a tiny fixed penalty.  A column without
     any value stays NULL and takes no part in the regressions.
     """
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    miss = {c: f"_miss_{c}" for c in cols}
-    work = df.withColumns({m: F.col(c).isNull() for c, m in miss.items()})
-    if flag:
-        work = work.withColumn(flag, any_null(cols))
-    means = work.agg(*[F.avg(c).alias(c) for c in cols]).first()
-    cols = [c for c in cols if means[c] is not None]
-    if not cols:
-        return work.drop(*miss.values())
-    work = work.withColumns({c: F.coalesce(F.col(c), F.lit(float(means[c]))) for c in cols})
-    gaps = work.agg(*[F.count_if(F.col(miss[c])).alias(c) for c in cols]).first()
-    targets = [c for c in cols if gaps[c]]
-    if not targets or len(cols) < 2:
-        return work.drop(*miss.values())
-    work = work.checkpoint(eager=True)
+    flagged = df.withColumn(flag, any_null(cols)) if flag else df
+    gaps, tables = _gap_moments(df, cols)
+    n = sum(m[0, 0] for m in tables.values())
+    seen = {c: sum(m[0, 0] for g, m in tables.items() if g[i] == "0") for i, c in enumerate(cols)}
+    used = [i for i, c in enumerate(cols) if seen[c]]
+    targets = [i for i in used if seen[cols[i]] < n]
+    if not targets:
+        return flagged
+    d = len(cols) + 1
+    mean = {i: sum(m[0, i + 1] for m in tables.values()) / seen[cols[i]] for i in used}
+    # fill[g] turns (1, observed values, 0 in gaps) of pattern g's rows into (1, all values)
+    fill = {}
+    for g in tables:
+        t = np.eye(d)
+        for i in used:
+            if g[i] == "1":
+                t[i + 1] = 0.0
+                t[i + 1, 0] = mean[i]
+        fill[g] = t
     prev = None
-    for _ in range(max_iter):
-        coefs = {}
+    for _ in range(max_iter if len(used) > 1 else 0):
+        betas = []
         for t in targets:
-            xs = [c for c in cols if c != t]
-            feats = [F.lit(1.0)] + [F.col(x).cast("double") for x in xs]
-            obs = work.where(~F.col(miss[t]))
-            # moment matrix X'X and X'y in one aggregate pass
-            aggs = [F.sum(a * b) for i, a in enumerate(feats) for b in feats[i:]]
-            aggs += [F.sum(a * F.col(t).cast("double")) for a in feats]
-            row = obs.agg(*aggs).first()
-            d = len(feats)
-            xtx = np.zeros((d, d))
-            k = 0
-            for i in range(d):
-                for j in range(i, d):
-                    xtx[i, j] = xtx[j, i] = row[k] or 0.0
-                    k += 1
-            xty = np.array([row[k + i] or 0.0 for i in range(d)])
-            beta = np.linalg.solve(xtx + ridge * np.eye(d), xty)
-            coefs[t] = beta
-            pred = F.lit(float(beta[0]))
-            for b, x in zip(beta[1:], xs):
-                pred = pred + F.lit(float(b)) * F.col(x)
-            work = work.withColumn(t, F.when(F.col(miss[t]), pred).otherwise(F.col(t)))
-        work = work.checkpoint(eager=True)
-        flat = np.concatenate([coefs[t] for t in targets])
+            xs = [0, *(i + 1 for i in used if i != t)]
+            full = sum(fill[g] @ m @ fill[g].T for g, m in tables.items() if g[t] == "0")
+            beta = np.linalg.solve(full[np.ix_(xs, xs)] + ridge * np.eye(len(xs)), full[xs, t + 1])
+            betas.append(beta)
+            for g in tables:
+                if g[t] == "1":
+                    fill[g][t + 1] = beta @ fill[g][xs]
+        flat = np.concatenate(betas)
         if prev is not None and np.max(np.abs(flat - prev)) <= tol * max(1.0, np.max(np.abs(prev))):
             break
         prev = flat
-    return work.drop(*miss.values())
+    # a row per pattern of gaps that occurs: broadcast while that is small, else joined by shuffle
+    rows = [(g, [fill[g][i + 1].tolist() for i in range(len(cols))]) for g in tables if "1" in g]
+    maps = df.sparkSession.createDataFrame(rows, "_gaps string, _fill array<array<double>>")
+    if len(rows) * len(cols) * d * 8 <= MOST_BROADCAST:
+        maps = F.broadcast(maps)
+    out = flagged.withColumn("_gaps", gaps).join(maps, "_gaps", "left")
+    known = F.array(F.lit(1.0), *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in cols])
+    out = out.withColumn("_known", known)
+
+    def filled(i: int):
+        terms = F.zip_with(F.col("_fill")[i], F.col("_known"), lambda a, b: a * b)
+        return F.coalesce(F.col(cols[i]), F.aggregate(terms, F.lit(0.0), lambda a, b: a + b))
+    return out.withColumns({cols[i]: filled(i) for i in targets}).select(*flagged.columns)
+
+
+def _gap_moments(df: DataFrame, cols: list[str]):
+    """The gap pattern of a row ("0" observed, "1" missing, per column), and per pattern the sums of products of
+    (1, observed values), from one aggregate pass; patterns are as many as occur, 2 ** len(cols) at most."""
+    gaps = F.concat(*[F.when(F.col(c).isNull(), "1").otherwise("0") for c in cols])
+    values = [F.lit(1.0), *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in cols]]
+    at = [(i, j) for i in range(len(values)) for j in range(i, len(values))]
+    rows = df.groupBy(gaps.alias("_gaps")).agg(*[F.sum(values[i] * values[j]).alias(f"m_{i}_{j}") for i, j in at]).collect()
+    tables = {}
+    for r in rows:
+        m = np.zeros((len(values), len(values)))
+        for i, j in at:
+            m[i, j] = m[j, i] = r[f"m_{i}_{j}"]
+        tables[r["_gaps"]] = m
+    return gaps, tables

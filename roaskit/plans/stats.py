@@ -8,7 +8,10 @@ no step runs in one task.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -126,26 +129,50 @@ def accuracy(df: DataFrame, pred: str, label: str, by: list[str] | None = None)
 POISSON1_CDF = [math.exp(-1) * sum(1 / math.factorial(j) for j in range(k + 1)) for k in range(12)]
 
 
-def poisson1_weight(u) -> F.Column:
-    """Inverse CDF of Poisson(1) for a uniform ``u`` in [0, 1)."""
-    w = F.lit(len(POISSON1_CDF))
-    for k in reversed(range(len(POISSON1_CDF))):
-        w = F.when(u < POISSON1_CDF[k], F.lit(k)).otherwise(w)
-    return w
+def _mixed(x: np.ndarray) -> np.ndarray:
+    """A 64-bit finaliser, so that neighbouring inputs give unrelated bits."""
+    x = (x ^ (x >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
+    x = (x ^ (x >> np.uint64(33))) * np.uint64(0xC4CEB9FE1A85EC53)
+    return x ^ (x >> np.uint64(33))
+
+
+#: Weights held at once in a bootstrap task.
+BOOTSTRAP_CELLS = 1 << 20
+
+
+def _resample_sums(n_resamples: int):
+    """Of rows (hash of the row's id, value): per resample the sum of weight x value and of weights, once a task."""
+    marks = _mixed(np.arange(1, n_resamples + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    edges = (np.array(POISSON1_CDF) * 2.0 ** 32).astype(np.uint32)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums, counts = np.zeros(n_resamples), np.zeros(n_resamples)
+        step = max(1, BOOTSTRAP_CELLS // n_resamples)
+        for batch in batches:
+            ids = batch.column(0).to_numpy().view(np.uint64)
+            values = batch.column(1).to_numpy()
+            for k in range(0, len(ids), step):
+                u = (_mixed(ids[k:k + step, None] ^ marks) >> np.uint64(32)).astype(np.uint32)
+                weights = np.searchsorted(edges, u, side="right").astype(np.float64)
+                sums += values[k:k + step] @ weights
+                counts += weights.sum(axis=0)
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(n_resamples, dtype=np.int32)), pa.array(sums), pa.array(counts)],
+                                         names=["_b", "_s", "_n"])
+    return run
 
 
 def bootstrap_ci(df: DataFrame, value: str, id_col: str, n_resamples: int = 1000, level: float = 0.95,
                  seed: int = 42) -> DataFrame:
     """B1: Poisson bootstrap of the mean: every row gets weight Poisson(1) in
-    every resample (a seeded hash of row id and resample id), one aggregation
-    groups by resample, exact percentiles give the interval.  One row:
-    point estimate, interval bounds, resample count."""
-    x = df.where(F.col(value).isNotNull()).select(F.col(id_col).alias("_id"), F.col(value).cast("double").alias("_x"))
-    ex = x.select("_id", "_x", F.explode(F.sequence(F.lit(0), F.lit(n_resamples - 1))).alias("_b"))
-    u = F.xxhash64("_id", "_b", F.lit(seed)).bitwiseAND(F.lit((1 << 53) - 1)).cast("double") / F.lit(float(1 << 53))
-    ex = ex.withColumn("_w", poisson1_weight(u))
-    means = (ex.groupBy("_b").agg(F.sum(F.col("_w") * F.col("_x")).alias("_s"), F.sum("_w").alias("_n"))
-               .where(F.col("_n") > 0).select((F.col("_s") / F.col("_n")).alias("_m")))
+    every resample (inverse CDF of a seeded hash of row id and resample, so
+    the same in any partitioning).  A task adds its rows into one sum and one
+    count per resample, and a small aggregate merges the tasks; exact
+    percentiles give the interval.  One row: point estimate, interval bounds,
+    resample count."""
+    x = df.where(F.col(value).isNotNull()).select(F.xxhash64(id_col, F.lit(seed)).alias("_id"), F.col(value).cast("double").alias("_x"))
+    parts = x.mapInArrow(_resample_sums(n_resamples), "_b int, _s double, _n double")
+    means = (parts.groupBy("_b").agg(F.sum("_s").alias("_s"), F.sum("_n").alias("_n"))
+             .where(F.col("_n") > 0).select((F.col("_s") / F.col("_n")).alias("_m")))
     a = (1 - level) / 2
     q = means.agg(F.percentile("_m", F.array(F.lit(a), F.lit(1 - a))).alias("q"), F.count(F.lit(1)).alias("k"))
     point = x.agg(F.avg("_x")).scalar()

@@ -1,6 +1,8 @@
+import bisect
 import datetime as dt
 import random
 
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -37,7 +39,7 @@ def test_fixture_cases(spark):
         (15, "u9", T0 + dt.timedelta(hours=5), 3.0),           # user without session -> dropped
         (16, "u3", T0 + dt.timedelta(days=9), 4.0),            # carried across many buckets -> 5
     ], "order_id long, user_id string, order_datetime timestamp_ntz, gross_revenue double")
-    got = rows(attribute_last_touch(o, s, bucket_seconds=3600))
+    got = rows(attribute_last_touch(o, s, widths=(3600,)))
     assert got == [(11, 1), (12, 2), (13, 4), (14, 4), (16, 5)]
     assert got == rows(brute(o, s))
 
@@ -54,12 +56,27 @@ def test_random_against_brute_force_with_hot_user(spark):
     s = spark.createDataFrame(sess, "session_id long, user_id string, session_start timestamp_ntz")
     o = spark.createDataFrame(orders, "order_id long, user_id string, order_datetime timestamp_ntz, gross_revenue double")
     expect = rows(brute(o, s))
-    for bucket in (600, 86400, 10 ** 7, "auto"):
-        assert rows(attribute_last_touch(o, s, bucket_seconds=bucket)) == expect
-    from roaskit.operators.joins import auto_bucket_seconds
-    # the hot user holds ~40 % of 4 500 rows over 20 days: a 500-row target gives buckets of a few days
-    b = auto_bucket_seconds(o, s, ["user_id"], "order_datetime", "session_start", target_rows=500)
-    assert 86_400 <= b <= 10 * 86_400
+    for widths in ((600,), (86400,), (10 ** 7,), (1, 3600), (60, 3600, 86400)):
+        assert rows(attribute_last_touch(o, s, widths=widths)) == expect
+    with pytest.raises(ValueError):
+        attribute_last_touch(o, s, widths=(7, 60))
+
+
+def test_a_burst_of_one_user_spreads_over_tasks(spark):
+    rng = random.Random(11)
+    late = T0 + dt.timedelta(days=364)
+    sess = [(0, "bot", T0)] + [(i, "bot", late + dt.timedelta(microseconds=rng.randrange(5_000_000))) for i in range(1, 3000)]
+    orders = [(10_000 + i, "bot", late + dt.timedelta(microseconds=rng.randrange(5_000_000)), 1.0) for i in range(2000)]
+    s = spark.createDataFrame(sess, "session_id long, user_id string, session_start timestamp_ntz")
+    o = spark.createDataFrame(orders, "order_id long, user_id string, order_datetime timestamp_ntz, gross_revenue double")
+    out = attribute_last_touch(o, s)
+    # the brute force in Python: last session at or before the order, smallest id on a tie
+    at = sorted((t, -i) for i, _, t in sess)
+    expect = sorted((i, -at[bisect.bisect_right(at, (t, 1)) - 1][1]) for i, _, t, _ in orders)
+    assert rows(out) == expect
+    buckets = o.unionByName(s, allowMissingColumns=True).select(
+        F.date_trunc("second", F.coalesce("order_datetime", "session_start")).alias("b")).groupBy("b").count()
+    assert buckets.agg(F.max("count")).first()[0] < 1500  # 5,000 rows: no window holds a third of the burst
 
 
 def test_left_keeps_unmatched(spark):

@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
@@ -64,3 +65,31 @@ def test_imputation_leaves_a_column_without_values_null(spark):
     df = spark.createDataFrame([(1.0, 2.0, None), (2.0, None, None), (3.0, 6.0, None)], "a double, b double, c double")
     got = sorted((r.a, r.b, r.c) for r in impute_iterative(df, ["a", "b", "c"]).collect())
     assert [r[2] for r in got] == [None] * 3 and abs(got[1][1] - 4.0) < 0.01
+
+
+def test_imputation_equals_the_loop_over_rows(spark):
+    rng = np.random.default_rng(5)
+    base = rng.normal(size=(300, 1))
+    x = np.hstack([base * k + rng.normal(size=(300, 1)) * 0.3 + k for k in (1, 2, -3, 4)])
+    x[rng.random(x.shape) < 0.15] = np.nan
+    names = ["a", "b", "c", "d"]
+    df = spark.createDataFrame([(i, *[None if np.isnan(v) else float(v) for v in r]) for i, r in enumerate(x)],
+                               "id long, a double, b double, c double, d double").repartition(5)
+    gap = np.isnan(x)
+    full = np.where(gap, np.nanmean(x, axis=0), x)
+    for _ in range(6):
+        for t in range(4):
+            z = np.hstack([np.ones((300, 1)), np.delete(full, t, axis=1)])
+            o = ~gap[:, t]
+            beta = np.linalg.solve(z[o].T @ z[o] + 1e-6 * np.eye(4), z[o].T @ full[o, t])
+            full[gap[:, t], t] = z[gap[:, t]] @ beta
+    out = impute_iterative(df, names, max_iter=6, tol=0.0)
+    got = out.orderBy("id").toPandas()
+    assert np.allclose(got[names].to_numpy(), full, atol=1e-8)
+    assert got.imputed_bool.tolist() == gap.any(axis=1).tolist()
+
+
+def test_bootstrap_does_not_depend_on_partitions(spark):
+    df = spark.range(2000).select("id", (F.col("id") % 37).cast("double").alias("v"))
+    a, b = (st.bootstrap_ci(df.repartition(k), "v", "id", 200).first() for k in (1, 7))
+    assert abs(a.ci_low - b.ci_low) < 1e-9 and abs(a.ci_high - b.ci_high) < 1e-9
