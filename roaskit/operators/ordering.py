@@ -113,8 +113,9 @@ def top_k(df: DataFrame, k: int, order_cols) -> DataFrame:
 
 
 def seeded_sample(df: DataFrame, n: int, seed: int, id_cols: list[str]) -> DataFrame:
-    """O3: deterministic sample of at most ``n`` rows: the ``n`` smallest seeded hashes."""
-    h = F.xxhash64(*[F.col(c) for c in id_cols], F.lit(seed))
+    """O3: deterministic sample of at most ``n`` rows: the ``n`` smallest seeded hashes (MD5 of
+    the seed and the ids, joined by ``|``, so other engines can draw the same rows)."""
+    h = F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(c).cast("string") for c in id_cols]).cast("binary"))
     return df.withColumn("_h", h).orderBy("_h", *id_cols).limit(n).drop("_h")
 
 

@@ -58,6 +58,28 @@ def web_session_contract() -> Contract:
         hashed=["user_id"])
 
 
+#: Channels whose monthly trends are reported.
+TREND_CHANNELS = ["paid search", "paid social", "affiliates"]
+
+
+def monthly_trends_contract() -> Contract:
+    """Q5: monthly trends before they are used -- known channel, no negative spend or revenue, no gaps."""
+    types = {"date": "date", "mapping_key": "string", "total_spend": "double", "net_revenue": "double",
+             "monthly_roas": "double", "monthly_cac": "double"}
+    return Contract("monthly_trends", types, required=list(types), rules={
+        "mapping_key:known": F.col("mapping_key").isin(TREND_CHANNELS),
+        "total_spend:non_negative": F.col("total_spend") >= 0,
+        "net_revenue:non_negative": F.col("net_revenue") >= 0})
+
+
+def channel_roas_contract() -> Contract:
+    """Q5: channel ROAS -- every figure present, no negative spend."""
+    types = {"marketing_channel": "string", "true_total_ad_spend": "double", "total_revenue": "double",
+             "corrected_roas": "double"}
+    return Contract("channel_roas", types, required=list(types), rules={
+        "true_total_ad_spend:non_negative": F.col("true_total_ad_spend") >= 0})
+
+
 def match_contract(columns, contracts: list[Contract]) -> str | None:
     """Q1: name of the first contract whose columns the header holds, else None."""
     for c in contracts:

@@ -82,15 +82,16 @@ def one_hot(df: DataFrame, levels: dict[str, list], null_indicator: bool = True,
     return out.drop(*levels.keys()) if drop else out
 
 
-def discover_levels(df: DataFrame, cols: list[str], max_levels: int = 1000) -> dict[str, list]:
-    """Distinct non-null values per categorical column (bounded; raises above ``max_levels``)."""
-    out = {}
-    for c in cols:
-        vals = [r[0] for r in df.select(c).where(F.col(c).isNotNull()).distinct().limit(max_levels + 1).collect()]
-        if len(vals) > max_levels:
-            raise ValueError(f"{c} has more than {max_levels} levels; pass levels explicitly")
-        out[c] = sorted(vals)
-    return out
+def discover_levels(df: DataFrame, cols: list[str]) -> dict[str, list]:
+    """Sorted non-null values of each categorical column (as text), from one pass over the data.
+
+    They are the feature list of a model: every one becomes a column.
+    """
+    from pyspark.ml.feature import StringIndexer
+
+    found = StringIndexer(inputCols=cols, outputCols=[f"_{c}_index" for c in cols], handleInvalid="skip",
+                          stringOrderType="alphabetAsc").fit(df.select(*[F.col(c).cast("string") for c in cols]))
+    return dict(zip(cols, map(list, found.labelsArray)))
 
 
 def align_features(df: DataFrame, features: list[str], keep: list[str] | None = None) -> DataFrame:

@@ -64,7 +64,7 @@ def impute_iterative(df: DataFrame, cols: list[str], max_iter: int = 10, ridge:
         for t in targets:
             xs = [0, *(i + 1 for i in used if i != t)]
             full = sum(fill[g] @ m @ fill[g].T for g, m in tables.items() if g[t] == "0")
-            beta = np.linalg.solve(full[np.ix_(xs, xs)] + ridge * np.eye(len(xs)), full[xs, t + 1])
+            beta = _solved(full[np.ix_(xs, xs)] + ridge * np.eye(len(xs)), full[xs, t + 1])
             betas.append(beta)
             for g in tables:
                 if g[t] == "1":
@@ -88,6 +88,12 @@ def impute_iterative(df: DataFrame, cols: list[str], max_iter: int = 10, ridge:
     return out.withColumns({cols[i]: filled(i) for i in targets}).select(*flagged.columns)
 
 
+def _solved(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The solution of a symmetric system whose columns have very different units: scaled to a unit diagonal first."""
+    scale = 1 / np.sqrt(np.maximum(np.diag(a), np.finfo(float).tiny))
+    return scale * np.linalg.solve(a * np.outer(scale, scale), b * scale)
+
+
 def _gap_moments(df: DataFrame, cols: list[str]):
     """The gap pattern of a row ("0" observed, "1" missing, per column), and per pattern the sums of products of
     (1, observed values), from one aggregate pass; patterns are as many as occur, 2 ** len(cols) at most."""

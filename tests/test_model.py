@@ -5,7 +5,8 @@ import tempfile
 
 
 from roaskit.plans import model as ml
-from roaskit.plans.stats import auc_exact
+from roaskit.operators.reshape import discover_levels
+from roaskit.plans.stats import auc_exact, chronological_split, time_series_folds
 
 T0 = dt.datetime(2024, 1, 1)
 
@@ -45,3 +46,24 @@ def test_features_train_importance_roundtrip_and_lift(spark):
     assert sorted(lift) == [10, 25, 50, 75, 100]
     assert all(abs(r.lift_revenue - 20.0 * r.lift_conversions) < 1e-9 for r in lift.values())
     assert all(r.sessions == 600 for r in lift.values())
+
+
+def test_search_runs_its_trials_and_feeds_the_best(spark):
+    levels = {"utm_source": ["click", "view"], "effectiveness_tier": ["Low", "High"]}
+    df, feats = ml.build_features(sessions(spark, 1500), levels, keep=["session_id", "session_start", "converted"])
+    assert ml.SPACE["maxIter"] == (100, 1000) and (ml.TRIALS, ml.CV_TRIALS) == (25, 50)
+    split = chronological_split(df, ["session_start", "session_id"]).persist()
+    small = {"maxIter": (4, 8), "maxDepth": (3, 4), "stepSize": (0.2, 0.3)}
+    found = ml.search_params(split.where("split = 'train'"), split.where("split = 'tune'"), feats, trials=3, space=small)
+    assert [r.trial for r in found.orderBy("trial").collect()] == [0, 1, 2]
+    best = ml.best_params(found)
+    model = ml.gbt_pipeline(feats, **best).fit(split.where("split <> 'test'"))
+    assert ml.model_auc(model, split.where("split = 'test'")) > 0.85
+    folds = time_series_folds(df, ["session_start", "session_id"], 2)
+    cv = ml.search_params_cv(folds, feats, trials=2, space=small).collect()
+    assert len(cv) == 2 and all(r.folds == 2 and r.mean_auc > 0.7 for r in cv)
+
+
+def test_levels_are_found_in_one_pass_without_nulls(spark):
+    assert discover_levels(sessions(spark), ["utm_source", "effectiveness_tier"]) == {
+        "utm_source": ["click", "view"], "effectiveness_tier": ["High", "Low"]}
