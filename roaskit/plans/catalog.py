@@ -1020,8 +1020,8 @@ def q_param_search_cv(spark, sf):
     from roaskit.operators.reshape import discover_levels
     feats_df, feats = ml.build_features(e, discover_levels(e, ml.CATEGORICALS),
                                         keep=["session_id", "session_start", "converted"])
-    folds = st.time_series_folds(feats_df, ["session_start", "session_id"], 3)
-    return ml.search_params_cv(folds, feats, trials=2, space=QUERY_SPACE)
+    folds = st.time_series_folds(feats_df, ["session_start", "session_id"], 5)
+    return ml.search_params_cv(folds, feats, trials=10, space=QUERY_SPACE)
 
 
 @register("feature_importance")
