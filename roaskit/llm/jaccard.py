@@ -10,8 +10,9 @@ documents reachable by links.  Equal sets are first folded into one.  Then, by s
 * **Heavy** sets scan inverted lists.  Shingles stand in one global order (rare before common, by a sketch
   of fixed size, then by hash); a linked pair meets in the lists of the first ``n - least(n) + 1`` shingles
   of each.  First every set meets a few pivots of its lists, and these pairs are verified exactly, which
-  gathers large groups in a number of pairs that grows with the rows.  Then only members of *different*
-  classes meet, and of two the smaller in a shorter prefix still, as its partner is not smaller.
+  gathers large groups in a number of pairs that grows with the rows.  Sets that still share a list with
+  another class then meet a few leads drawn from the list, of those that parity rows allow.  Then only members
+  of *different* classes meet, and of two the smaller in a shorter prefix still, as its partner is not smaller.
 
 Before a pair is verified, rows of parity bits per set bound from below how many shingles the two differ by;
 only pairs that may still link are compared whole.
@@ -37,7 +38,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from roaskit.llm.common import Scratch, split_words, text_slices
@@ -52,6 +53,10 @@ LIST_COST = 4.0
 PARITY_BITS = 1 << 16
 #: Longs of the short parity row that goes with a set into its lists.
 SIGN_LONGS = 32
+#: The columns of a row of an inverted list, beside its key, once classes are known.
+ROW = ["set_id", "n", "short", "class", *(f"s{k}" for k in range(SIGN_LONGS))]
+#: Sets drawn from each list that its other sets meet before classes meet in full.
+LEADS = 3
 #: Tasks among which the members of one pivot are spread.
 SALTS = 8
 #: Distances at least halve in a round, so this many rounds reach any length of chain; then it is an error.
@@ -391,23 +396,44 @@ class _Join:
         self.scratch.drop(f"{name}-contents")
         return links
 
-    def class_pairs(self, lists: DataFrame, classes: DataFrame, light: int) -> DataFrame:
-        """Pairs of sets of different classes that meet in inverted lists and that their prefixes do not rule out."""
-        told = (lists.select("key", "set_id", "n", "short").join(classes, F.col("set_id") == F.col("node"), "left")
-                .select("key", "set_id", "n", "short", F.coalesce("root", "set_id").alias("root")))
-        mixed = told.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
+    def mixed(self, lists: DataFrame, classed: DataFrame, name: str) -> DataFrame:
+        """The rows of the inverted lists that hold more than one class, each with its class and short parity row."""
+        told = lists.select("key", "set_id", "n", "short").join(classed.select("set_id", "class"), "set_id")
         signs = [F.col("sign")[k].alias(f"s{k}") for k in range(SIGN_LONGS)]
-        told = told.join(mixed.select("key"), "key", "left_semi").join(self.sets.select("set_id", *signs), "set_id")
-        names = ["set_id", "n", "short", "root", *(f"s{k}" for k in range(SIGN_LONGS))]
-        told = self.scratch.keep(told.select("key", *names), "mixed-lists")
-        one, two = (told.select("key", *[F.col(c).alias(f"{c}_{side}") for c in names]) for side in "ab")
+        several = told.groupBy("key").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low <> high")
+        told = told.join(several.select("key"), "key", "left_semi").join(self.sets.select("set_id", *signs), "set_id")
+        return self.scratch.keep(told.select("key", *ROW), name)
+
+    def reclassed(self, told: DataFrame, classed: DataFrame, name: str) -> DataFrame:
+        """The rows of ``mixed`` with the classes as they are now (written by set, so that a long list is spread)."""
+        return self.scratch.keep(told.drop("class").join(classed.select("set_id", "class"), "set_id").select("key", *ROW), name)
+
+    def _met(self, one: DataFrame, two: DataFrame, light: int, roles: Column) -> DataFrame:
+        """Rows of the same list and of different classes, in these roles, that may link by their sizes and parity
+        rows (the parity rows last: they cost most to compare)."""
+        one, two = (rows.select("key", *[F.col(c).alias(f"{c}_{side}") for c in ROW]) for rows, side in ((one, "a"), (two, "b")))
         n, m, p = F.col("n_a"), F.col("n_b"), self.percent
+        differ = sum((F.bit_count(F.col(f"s{k}_a").bitwiseXOR(F.col(f"s{k}_b"))) for k in range(SIGN_LONGS)), F.lit(0))
+        return one.join(two, "key").where(roles & (F.col("class_a") != F.col("class_b")) & (F.greatest(n, m) > light)
+                                          & linkable(n, m, p) & (differ <= n + m - 2 * F.ceil((n + m) * p / F.lit(100 + p))))
+
+    def lead_pairs(self, told: DataFrame, light: int) -> DataFrame:
+        """For each set a few leads of other classes that it may link with: a list has LEADS leads, so that the
+        pairs met grow with the rows.  A lead drawn from a list is most often of its largest class."""
+        drawn = told.groupBy("key").agg(*[F.min_by("set_id", F.xxhash64("set_id", F.lit(k))).alias(f"d{k}") for k in range(LEADS)])
+        drawn = drawn.select("key", F.explode(F.array_distinct(F.array(*[f"d{k}" for k in range(LEADS)]))).alias("set_id"))
+        met = self._met(told, told.join(drawn, ["key", "set_id"], "left_semi"), light, F.lit(True))
+        a, b = F.col("set_id_a").alias("a"), F.col("set_id_b").alias("b")
+        met = met.groupBy(a, b).count().groupBy("a").agg(
+            F.max_by("b", F.struct("count", "b")).alias("frequent"), F.min_by("b", F.xxhash64("a", "b")).alias("any"))
+        return met.select("a", F.explode(F.array_distinct(F.array("frequent", "any"))).alias("b"))
+
+    def class_pairs(self, told: DataFrame, light: int) -> DataFrame:
+        """All pairs of sets of different classes that meet in inverted lists and that their prefixes do not rule out."""
+        n, m = F.col("n_a"), F.col("n_b")
         # the smaller set is in its short prefix, of equal sets both are
         roles = ((n > m) | (F.col("short_a") == 1)) & ((m > n) | (F.col("short_b") == 1))
-        differ = sum((F.bit_count(F.col(f"s{k}_a").bitwiseXOR(F.col(f"s{k}_b"))) for k in range(SIGN_LONGS)), F.lit(0))
-        met = one.join(two, "key").where((F.col("set_id_a") < F.col("set_id_b")) & (F.col("root_a") != F.col("root_b"))
-                                         & (F.greatest(n, m) > light) & linkable(n, m, p) & roles
-                                         & (differ <= n + m - 2 * F.ceil((n + m) * p / F.lit(100 + p))))
+        met = self._met(told, told, light, (F.col("set_id_a") < F.col("set_id_b")) & roles)
         return met.select(F.col("set_id_a").alias("a"), F.col("set_id_b").alias("b")).distinct()
 
 
@@ -434,6 +460,15 @@ def components(links: DataFrame, scratch: Scratch, name: str) -> DataFrame:
     raise RuntimeError(f"classes still change after {MOST_ROUNDS} rounds")
 
 
+def merged(classed: DataFrame, links: DataFrame, scratch: Scratch, name: str) -> DataFrame:
+    """``classed`` after links between members of different classes; they join the classes, not their members."""
+    one, two = (classed.select(F.col("set_id").alias(x), F.col("class").alias(f"class_{x}")) for x in "ab")
+    bridges = links.join(one, "a").join(two, "b").select(F.col("class_a").alias("a"), F.col("class_b").alias("b")).distinct()
+    whole = components(bridges, scratch, name)
+    told = classed.join(whole, F.col("class") == F.col("node"), "left")
+    return scratch.keep(told.select("set_id", "least_id", F.coalesce("root", "class").alias("class")), f"{name}-classes")
+
+
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id",
                     text_col: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row of ``docs``."""
@@ -454,15 +489,14 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
     pairs = met.select("a", F.explode(F.array_distinct(F.array("least", "last", "frequent"))).alias("b"))
     links = proven.unionByName(job.verified(pairs, "pivots"))
     classes = components(links, job.scratch, "first")
-    more = job.verified(job.class_pairs(lists.where("c = 0"), classes, light), "classes")
-    first = sets.join(classes, F.col("set_id") == F.col("node"), "left").select(
+    classed = sets.select("set_id", "least_id").join(classes, F.col("set_id") == F.col("node"), "left").select(
         "set_id", "least_id", F.coalesce("root", "set_id").alias("class"))
-    # links between classes join the classes, not their members
-    one, two = (first.select(F.col("set_id").alias(x), F.col("class").alias(f"class_{x}")) for x in "ab")
-    bridges = more.join(one, "a").join(two, "b").select(F.col("class_a").alias("a"), F.col("class_b").alias("b")).distinct()
-    whole = components(bridges, job.scratch, "last")
-    told = first.join(whole, F.col("class") == F.col("node"), "left").select(
-        "set_id", "least_id", F.coalesce("root", "class").alias("root"))
+    # most classes that belong together are joined through leads, before any two classes meet in full
+    rows = job.mixed(lists.where("c = 0"), classed, "mixed-first")
+    classed = merged(classed, job.verified(job.lead_pairs(rows, light), "leads"), job.scratch, "second")
+    rows = job.reclassed(rows, classed, "mixed-last")
+    told = merged(classed, job.verified(job.class_pairs(rows, light), "classes"), job.scratch, "last")
+    told = told.withColumnRenamed("class", "root")
     least_of = told.groupBy("root").agg(F.min("least_id").alias("component_id"))
     classed = told.join(least_of, "root").select("set_id", "component_id")
     return (job.narrow.select("doc_id", "n", F.when(F.col("n") > 0, F.col("set_id")).alias("set_id"))
