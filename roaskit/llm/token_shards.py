@@ -8,6 +8,7 @@ to shards by range, and a shard is a raw file of equal strides in slot order, so
 resumes at any slot by arithmetic alone.
 
 Ids are those of the byte vocabulary: the bytes of UTF-8, and 255, which UTF-8 never uses, as end id and filling.
+Only a partition's last sequence is filled up, and its used length is recorded: filling is told apart by place.
 A partition's size in ids is known from its texts' bytes, so the numbering costs one narrow pass.
 
 Shard files are written under a name of their own and then moved, so a task that runs again, or twice, leaves the
@@ -134,7 +135,7 @@ def _write(base: str, stride: int):
     return write
 
 
-def _read(order: Permutation, stride: int, per_shard: int):
+def _read(order: Permutation, stride: int, per_shard: int, short: dict[int, int]):
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for path, data in zip(batch.column(0).to_pylist(), batch.column(1)):
@@ -143,21 +144,23 @@ def _read(order: Permutation, stride: int, per_shard: int):
                 n = data.size // stride
                 slots = shard * per_shard + np.arange(n)
                 strides = np.frombuffer(data, np.uint8).reshape(n, stride)
-                ends = strides == END_ID
-                # filling follows the last document's end, so of trailing end ids one is a token
-                tail = np.where(ends.all(axis=1), stride, np.argmin(ends[:, ::-1], axis=1))
+                index = order.index(slots)
+                used = np.array([short.get(i, stride) for i in index.tolist()], np.int64)
+                ends = (strides == END_ID) & (np.arange(stride) < used[:, None])
                 yield pa.RecordBatch.from_arrays([
                     pa.array(slots), pa.array(np.full(n, shard, np.int64)), pa.array(np.arange(n, dtype=np.int64) * stride),
-                    pa.array(order.index(slots)), pa.array((stride - np.maximum(tail - 1, 0)).astype(np.int64)),
-                    pa.array((ends.sum(axis=1) - np.maximum(tail - 1, 0)).astype(np.int64)),
+                    pa.array(index), pa.array(used), pa.array(ends.sum(axis=1).astype(np.int64)),
                     pa.array([zlib.crc32(s.tobytes()) for s in strides], pa.int64())], names=[f.split()[0] for f in READ.split(", ")])
     return read
 
 
 class Shards:
-    """Written shards: where they are, how many sequences they hold, and in which order."""
+    """Written shards: where they are, how many sequences they hold, in which order, and which are not full.
 
-    def __init__(self, spark: SparkSession, base: str, sequences: int, key: int, stride: int, per_shard: int):
+    ``short`` has the used length of each partition's last sequence by its number; all others are full."""
+
+    def __init__(self, spark: SparkSession, base: str, sequences: int, key: int, stride: int, per_shard: int, short: dict[int, int]):
+        self.short = short
         self.spark, self.base, self.sequences, self.stride, self.per_shard = spark, base, sequences, stride, per_shard
         self.order = Permutation(max(sequences, 1), key)
 
@@ -166,7 +169,7 @@ class Shards:
         if not self.sequences:
             return self.spark.createDataFrame([], READ)
         files = self.spark.read.format("binaryFile").option("pathGlobFilter", "shard-*.bin").load(self.base)
-        return files.select("path", "content").mapInArrow(_read(self.order, self.stride, self.per_shard), READ)
+        return files.select("path", "content").mapInArrow(_read(self.order, self.stride, self.per_shard, self.short), READ)
 
 
 def write_shards(docs: DataFrame, key: int = 20, stride: int = STRIDE, per_shard: int = SHARD_SEQUENCES,
@@ -175,12 +178,14 @@ def write_shards(docs: DataFrame, key: int = 20, stride: int = STRIDE, per_shard
     spark, scratch = docs.sparkSession, Scratch(docs.sparkSession)
     rows = docs.select(F.spark_partition_id().alias("part"), F.encode(F.col(text_col).cast("string"), "utf-8").alias("ids"))
     sizes = rows.groupBy("part").agg(F.sum(F.coalesce(F.octet_length("ids"), F.lit(0)) + 1).alias("n")).collect()  # a row per partition
-    first_of, total = {}, 0
+    first_of, short, total = {}, {}, 0
     for r in sorted(sizes, key=lambda r: r["part"]):
         first_of[r["part"]] = total
         total += -(-r["n"] // stride)
+        if r["n"] % stride:
+            short[total - 1] = r["n"] % stride
     base = scratch.path("shards")
-    shards = Shards(spark, base, total, key, stride, per_shard)
+    shards = Shards(spark, base, total, key, stride, per_shard, short)
     if total:
         dealt = rows.mapInArrow(_sequences(first_of, shards.order, stride, per_shard), "shard long, slot long, ids binary")
         met = dealt.repartition("shard").sortWithinPartitions("slot")

@@ -199,6 +199,15 @@ def test_token_shards(docs, empty):
     assert token_shards.write_shards(empty).read().count() == 0
 
 
+def test_token_shards_of_empty_texts(spark):
+    texts = ["one"] + [None, ""] * 1510 + ["two"]
+    table = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").coalesce(1)
+    rows = token_shards.write_shards(table, stride=64, per_shard=8).read().collect()
+    total = sum(len((t or "").encode()) + 1 for t in texts)
+    assert sum(r.n_ends for r in rows) == len(texts) and sum(r.n_tokens for r in rows) == total
+    assert sorted(r.n_tokens for r in rows) == [total % 64] + [64] * (total // 64)
+
+
 def test_exact_top_k(spark):
     rng = random.Random(8)
     rows = [(i, [rng.uniform(-1, 1) for _ in range(6)]) for i in range(130)] + [(i, [0.5] * 6) for i in range(130, 160)]
