@@ -59,8 +59,9 @@ class Scratch:
 
 
 def text_slices(texts: pa.Array) -> Iterator[tuple[int, pa.Array]]:
-    """(first row, slice) pieces of at most ``SLICE_BYTES`` of text; one longer text stands alone."""
-    sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    """(first row, slice) pieces of at most ``SLICE_BYTES`` of text, or of lists of 32-bit ids; one longer row stands alone."""
+    listed = pa.types.is_list(texts.type) or pa.types.is_large_list(texts.type)
+    sizes = pc.fill_null(pc.multiply(pc.list_value_length(texts), 4) if listed else pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)
     start, held = 0, 0
     for i, n in enumerate(sizes):
         if i > start and held + n > SLICE_BYTES:

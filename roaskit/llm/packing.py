@@ -156,13 +156,18 @@ class WordIds:
 _ENCODERS: dict[str, WordIds] = {}
 
 
+def word_ids(path: str) -> WordIds:
+    """The worker's encoder for a vocabulary file; read once in each Python process."""
+    import os
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    if path not in _ENCODERS:
+        _ENCODERS[path] = WordIds(path)
+    return _ENCODERS[path]
+
+
 def _pieces(path: str, capacity: int):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import os
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        if path not in _ENCODERS:
-            _ENCODERS[path] = WordIds(path)
-        encoder = _ENCODERS[path]
+        encoder = word_ids(path)
         for batch in batches:
             doc_ids = batch.column(0).to_pylist()
             for row, texts in text_slices(batch.column(1)):

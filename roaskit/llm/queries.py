@@ -97,9 +97,14 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict_language(docs, langid.fit(docs))
 
 
+#: The end-of-text id of ``word_bpe_49k.json``, which no text is encoded to, and the number of its ids.
+WORD_END_ID, WORD_IDS = 49407, 49408
+
+
 @register("op8_token_shards")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_shards.write_shards(table(spark, sf_dir, "documents")).read()
+    return token_shards.write_shards(table(spark, sf_dir, "documents"), tokenizer_path=public_tokenizers.path("word_bpe_49k.json"),
+                                     end_id=WORD_END_ID, vocabulary=WORD_IDS).read()
 
 
 @register("op9_ngram_jaccard")

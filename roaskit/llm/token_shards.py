@@ -7,20 +7,23 @@ every sequence has a global slot, each slot one sequence, and no shuffled list i
 to shards by range, and a shard is a raw file of equal strides in slot order, so training reads sequentially and
 resumes at any slot by arithmetic alone.
 
-Ids are those of the byte vocabulary: the bytes of UTF-8, and 255, which UTF-8 never uses, as end id and filling.
-Only a partition's last sequence is filled up, and its used length is recorded: filling is told apart by place.
-A partition's size in ids is known from its texts' bytes, so the numbering costs one narrow pass.
+Ids come from a tokenizer's vocabulary file (``tokenizer_path``), from a column of ids (``ids_col``), or, by default,
+from the byte vocabulary: the bytes of UTF-8, and 255, which UTF-8 never uses, as end id.  An id takes 8, 16 or 32 bits
+(little-endian), as the vocabulary needs.  Every text is encoded once: each partition's stream is written, cut into
+sequences that carry their partition and number in it, and both the numbering and the dealing read that table.
+Only a partition's last sequence is filled up (with end ids), and its used length is recorded: filling is told apart by
+place.
 
 Shard files are written under a name of their own and then moved, so a task that runs again, or twice, leaves the
-same files.  Defined cases: a null or empty text is its end id alone; repeated rows are written each; an empty
-table makes no shards; other columns are ignored.
+same files.  Defined cases: a null or empty text or list is its end id alone; null, negative or too large ids raise an
+error; repeated rows are written each; an empty table makes no shards; other columns are ignored.
 """
 
 from __future__ import annotations
 
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -28,13 +31,20 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roaskit.llm.common import Scratch
+from roaskit.llm.common import Scratch, text_slices
+from roaskit.llm.packing import word_ids
 
-END_ID = 255
-#: Ids per sequence (one byte each) and sequences per shard.
+#: The byte vocabulary's end id and number of ids.
+END_ID, BYTE_IDS = 255, 256
+#: Ids per sequence and sequences per shard.
 STRIDE, SHARD_SEQUENCES = 2048, 4096
 ROUNDS = 6
 
+#: Sequences that leave a task together.
+TOGETHER = 1024
+
+CUT = "part int, nth long, used int, ids binary"
+DEALT = "shard long, slot long, ids binary"
 WRITTEN = "shard long, sequences long"
 READ = "slot long, shard long, offset long, source_index long, n_tokens long, n_ends long, ids_crc32 long"
 
@@ -74,36 +84,69 @@ class Permutation:
         return self._walk(slot, self.keys[::-1], True)
 
 
-def _sequences(first_of: dict[int, int], order: Permutation, stride: int, per_shard: int):
+def id_type(vocabulary: int) -> np.dtype:
+    """The narrowest of 8, 16 and 32 bits that tells ``vocabulary`` ids apart."""
+    return np.dtype("u1" if vocabulary <= 1 << 8 else "<u2" if vocabulary <= 1 << 16 else "<u4")
+
+
+def _byte_ids(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    data = [t.encode() for t in pc.fill_null(texts, "").to_pylist()]
+    return np.frombuffer(b"".join(data), np.uint8), np.cumsum([0, *map(len, data)])
+
+
+def _given_ids(lists: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    flat, sizes = lists.flatten(), pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+    if flat.null_count:
+        raise ValueError("a list of ids holds a null")
+    return flat.to_numpy(zero_copy_only=False), np.concatenate(([0], np.cumsum(sizes, dtype=np.int64)))
+
+
+def _sequences(encoder: Callable[[], Callable], end_id: int, vocabulary: int, stride: int):
+    """Rows of texts or lists of ids -> sequences of the partition's stream, numbered in their order."""
+    kind = id_type(vocabulary)
+
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index, held, seen = None, b"", False
+        from pyspark import TaskContext
+
+        part, encode, held, nth = TaskContext.get().partitionId(), encoder(), np.empty(0, kind), 0
 
-        def deal(data: bytes, index: int) -> pa.RecordBatch:
-            n = len(data) // stride
-            slots = order.slot(np.arange(index, index + n))
+        def rows(ids: np.ndarray, used: int) -> pa.RecordBatch:
+            n, size = len(ids) // stride, stride * kind.itemsize
+            offsets = np.arange(n + 1, dtype=np.int32) * np.int32(size)
             return pa.RecordBatch.from_arrays([
-                pa.array(slots // per_shard), pa.array(slots),
-                pa.array([data[k * stride:(k + 1) * stride] for k in range(n)], pa.binary())], names=["shard", "slot", "ids"])
+                pa.array(np.full(n, part, np.int32)), pa.array(np.arange(nth, nth + n)), pa.array(np.full(n, used, np.int32)),
+                pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(offsets), pa.py_buffer(ids.tobytes())])],
+                names=["part", "nth", "used", "ids"])
 
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            if index is None:
-                index, seen = first_of[batch.column(0)[0].as_py()], True
-            ids = pc.fill_null(batch.column(1), b"").to_pylist()
-            for at in range(0, len(ids), 512):
-                held += b"".join(part + bytes([END_ID]) for part in ids[at:at + 512])
+            for _, some in text_slices(batch.column(0)):
+                flat, offsets = encode(some)
+                if len(flat) and (flat.min() < 0 or flat.max() >= vocabulary):
+                    raise ValueError(f"ids from {flat.min()} to {flat.max()} do not fit a vocabulary of {vocabulary}")
+                held = np.concatenate((held, np.insert(flat.astype(kind), offsets[1:], end_id)))
                 whole = len(held) // stride * stride
-                if whole:
-                    yield deal(held[:whole], index)
-                    index += whole // stride
-                    held = held[whole:]
-        if seen and held:
-            yield deal(held + bytes([END_ID]) * (stride - len(held)), index)
+                for at in range(0, whole, TOGETHER * stride):
+                    ids = held[at:min(whole, at + TOGETHER * stride)]
+                    yield rows(ids, stride)
+                    nth += len(ids) // stride
+                held = held[whole:]
+        if len(held):
+            yield rows(np.concatenate((held, np.full(stride - len(held), end_id, kind))), len(held))
     return cut
 
 
-def _write(base: str, stride: int):
+def _deal(first_of: dict[int, int], order: Permutation, per_shard: int):
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                first = np.array([first_of[p] for p in batch.column(0).to_pylist()], np.int64)
+                slots = order.slot(first + batch.column(1).to_numpy())
+                yield pa.RecordBatch.from_arrays([pa.array(slots // per_shard), pa.array(slots), batch.column(2)],
+                                                 names=["shard", "slot", "ids"])
+    return deal
+
+
+def _write(base: str):
     """Rows sorted by slot: one file per shard, written apart and then moved."""
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyarrow import fs
@@ -135,20 +178,20 @@ def _write(base: str, stride: int):
     return write
 
 
-def _read(order: Permutation, stride: int, per_shard: int, short: dict[int, int]):
+def _read(order: Permutation, stride: int, per_shard: int, short: dict[int, int], end_id: int, kind: np.dtype):
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for path, data in zip(batch.column(0).to_pylist(), batch.column(1)):
                 data = data.as_buffer()
                 shard = int(path.rsplit("-", 1)[1].split(".")[0])
-                n = data.size // stride
+                n, size = data.size // (stride * kind.itemsize), stride * kind.itemsize
                 slots = shard * per_shard + np.arange(n)
-                strides = np.frombuffer(data, np.uint8).reshape(n, stride)
+                strides = np.frombuffer(data, kind).reshape(n, stride)
                 index = order.index(slots)
                 used = np.array([short.get(i, stride) for i in index.tolist()], np.int64)
-                ends = (strides == END_ID) & (np.arange(stride) < used[:, None])
+                ends = (strides == end_id) & (np.arange(stride) < used[:, None])
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(slots), pa.array(np.full(n, shard, np.int64)), pa.array(np.arange(n, dtype=np.int64) * stride),
+                    pa.array(slots), pa.array(np.full(n, shard, np.int64)), pa.array(np.arange(n, dtype=np.int64) * size),
                     pa.array(index), pa.array(used), pa.array(ends.sum(axis=1).astype(np.int64)),
                     pa.array([zlib.crc32(s.tobytes()) for s in strides], pa.int64())], names=[f.split()[0] for f in READ.split(", ")])
     return read
@@ -159,9 +202,10 @@ class Shards:
 
     ``short`` has the used length of each partition's last sequence by its number; all others are full."""
 
-    def __init__(self, spark: SparkSession, base: str, sequences: int, key: int, stride: int, per_shard: int, short: dict[int, int]):
-        self.short = short
+    def __init__(self, spark: SparkSession, base: str, sequences: int, key: int, stride: int, per_shard: int,
+                 short: dict[int, int], end_id: int, kind: np.dtype):
         self.spark, self.base, self.sequences, self.stride, self.per_shard = spark, base, sequences, stride, per_shard
+        self.short, self.end_id, self.kind = short, end_id, kind
         self.order = Permutation(max(sequences, 1), key)
 
     def read(self) -> DataFrame:
@@ -169,28 +213,40 @@ class Shards:
         if not self.sequences:
             return self.spark.createDataFrame([], READ)
         files = self.spark.read.format("binaryFile").option("pathGlobFilter", "shard-*.bin").load(self.base)
-        return files.select("path", "content").mapInArrow(_read(self.order, self.stride, self.per_shard, self.short), READ)
+        return files.select("path", "content").mapInArrow(
+            _read(self.order, self.stride, self.per_shard, self.short, self.end_id, self.kind), READ)
 
 
 def write_shards(docs: DataFrame, key: int = 20, stride: int = STRIDE, per_shard: int = SHARD_SEQUENCES,
-                 text_col: str = "text") -> Shards:
-    """Write every document's ids, in training order, to shards in the shared folder."""
+                 text_col: str = "text", tokenizer_path: str | None = None, ids_col: str | None = None,
+                 end_id: int = END_ID, vocabulary: int = BYTE_IDS) -> Shards:
+    """Write every document's ids, in training order, to shards in the shared folder.
+
+    ``end_id`` and ``vocabulary`` (the number of ids, end id included) go with ``tokenizer_path`` or ``ids_col``."""
+    if not 0 <= end_id < vocabulary <= 1 << 32:
+        raise ValueError(f"end id {end_id} is not in a vocabulary of {vocabulary}")
     spark, scratch = docs.sparkSession, Scratch(docs.sparkSession)
-    rows = docs.select(F.spark_partition_id().alias("part"), F.encode(F.col(text_col).cast("string"), "utf-8").alias("ids"))
-    sizes = rows.groupBy("part").agg(F.sum(F.coalesce(F.octet_length("ids"), F.lit(0)) + 1).alias("n")).collect()  # a row per partition
+    if ids_col is not None:
+        rows, encoder = docs.select(F.col(ids_col).cast("array<long>").alias("ids")), lambda: _given_ids
+    else:
+        rows = docs.select(F.col(text_col).cast("string").alias("text"))
+        encoder = (lambda: word_ids(tokenizer_path).encode) if tokenizer_path else lambda: _byte_ids
+    cut = scratch.keep(rows.mapInArrow(_sequences(encoder, end_id, vocabulary, stride), CUT), "sequences")
+    sizes = cut.groupBy("part").agg(F.count("*").alias("n"), F.min("used").alias("used")).collect()  # a row per partition
     first_of, short, total = {}, {}, 0
     for r in sorted(sizes, key=lambda r: r["part"]):
         first_of[r["part"]] = total
-        total += -(-r["n"] // stride)
-        if r["n"] % stride:
-            short[total - 1] = r["n"] % stride
+        total += r["n"]
+        if r["used"] < stride:
+            short[total - 1] = r["used"]
     base = scratch.path("shards")
-    shards = Shards(spark, base, total, key, stride, per_shard, short)
+    shards = Shards(spark, base, total, key, stride, per_shard, short, end_id, id_type(vocabulary))
     if total:
-        dealt = rows.mapInArrow(_sequences(first_of, shards.order, stride, per_shard), "shard long, slot long, ids binary")
+        dealt = cut.select("part", "nth", "ids").mapInArrow(_deal(first_of, shards.order, per_shard), DEALT)
         met = dealt.repartition("shard").sortWithinPartitions("slot")
-        written = scratch.keep(met.mapInArrow(_write(base, stride), WRITTEN), "written")
+        written = scratch.keep(met.mapInArrow(_write(base), WRITTEN), "written")
         done = written.agg(F.sum("sequences").alias("n"), F.count_distinct("shard").alias("shards")).first()
         if (done["n"], done["shards"]) != (total, -(-total // per_shard)):
             raise RuntimeError(f"{done['n']} of {total} sequences are in {done['shards']} shards")
+        scratch.drop("sequences")
     return shards

@@ -208,6 +208,34 @@ def test_token_shards_of_empty_texts(spark):
     assert sorted(r.n_tokens for r in rows) == [total % 64] + [64] * (total // 64)
 
 
+@pytest.mark.parametrize("vocabulary, size", [(49408, 2), (100_000, 4)])
+def test_token_shards_of_a_tokenizer(spark, docs, vocabulary, size):
+    from pathlib import Path
+    path, end = public_tokenizers.path("word_bpe_49k.json"), vocabulary - 1
+    words, rows = packing.WordIds(path), docs.coalesce(1)
+    texts = [r.text for r in rows.collect()]
+    own = [words.tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts]
+    want = Counter(map(tuple, own))
+    listed = spark.createDataFrame([(ids if t is not None else None,) for ids, t in zip(own, texts)], "ids array<int>").coalesce(1)
+    for shards in (token_shards.write_shards(rows, stride=64, per_shard=8, tokenizer_path=path, end_id=end, vocabulary=vocabulary),
+                   token_shards.write_shards(listed, stride=64, per_shard=8, ids_col="ids", end_id=end, vocabulary=vocabulary)):
+        got = {}
+        for r in shards.read().collect():
+            data = Path(shards.base.removeprefix("file:"), f"shard-{r.shard:010d}.bin").read_bytes()[r.offset:r.offset + 64 * size]
+            assert zlib.crc32(data) == r.ids_crc32
+            got[r.source_index] = [int.from_bytes(data[k:k + size], "little") for k in range(0, size * r.n_tokens, size)]
+        found, ids = Counter(), []
+        for i in (i for k in range(shards.sequences) for i in got[k]):
+            if i == end:
+                found[tuple(ids)] += 1
+                ids = []
+            else:
+                ids.append(i)
+        assert found == want and not ids
+    with pytest.raises(Exception, match="do not fit"):
+        token_shards.write_shards(listed, ids_col="ids", end_id=9, vocabulary=10)
+
+
 def test_exact_top_k(spark):
     rng = random.Random(8)
     rows = [(i, [rng.uniform(-1, 1) for _ in range(6)]) for i in range(130)] + [(i, [0.5] * 6) for i in range(130, 160)]
