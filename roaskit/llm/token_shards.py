@@ -12,7 +12,8 @@ from the byte vocabulary: the bytes of UTF-8, and 255, which UTF-8 never uses, a
 (little-endian), as the vocabulary needs.  Every text is encoded once: each partition's stream is written, cut into
 sequences that carry their partition and number in it, and both the numbering and the dealing read that table.
 Only a partition's last sequence is filled up (with end ids), and its used length is recorded: filling is told apart by
-place.
+place.  A manifest beside the files, written last, holds what a reader needs (key, stride, sequences per shard, total,
+ids, used lengths), so another process opens the folder and reads any range of slots from the shards that hold it.
 
 Shard files are written under a name of their own and then moved, so a task that runs again, or twice, leaves the
 same files.  Defined cases: a null or empty text or list is its end id alone; null, negative or too large ids raise an
@@ -21,6 +22,7 @@ error; repeated rows are written each; an empty table makes no shards; other col
 
 from __future__ import annotations
 
+import json
 import uuid
 import zlib
 from collections.abc import Callable, Iterator
@@ -31,7 +33,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roaskit.llm.common import Scratch, text_slices
+from roaskit.llm.common import Scratch, importable_in_workers, text_slices
 from roaskit.llm.packing import word_ids
 
 #: The byte vocabulary's end id and number of ids.
@@ -43,6 +45,7 @@ ROUNDS = 6
 #: Sequences that leave a task together.
 TOGETHER = 1024
 
+MANIFEST = "manifest.json"
 CUT = "part int, nth long, used int, ids binary"
 DEALT = "shard long, slot long, ids binary"
 WRITTEN = "shard long, sequences long"
@@ -178,20 +181,23 @@ def _write(base: str):
     return write
 
 
-def _read(order: Permutation, stride: int, per_shard: int, short: dict[int, int], end_id: int, kind: np.dtype):
+def _read(order: Permutation, stride: int, per_shard: int, short: dict[int, int], end_id: int, kind: np.dtype,
+          from_slot: int, to_slot: int):
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for path, data in zip(batch.column(0).to_pylist(), batch.column(1)):
                 data = data.as_buffer()
                 shard = int(path.rsplit("-", 1)[1].split(".")[0])
-                n, size = data.size // (stride * kind.itemsize), stride * kind.itemsize
-                slots = shard * per_shard + np.arange(n)
-                strides = np.frombuffer(data, kind).reshape(n, stride)
+                size = stride * kind.itemsize
+                n = data.size // size
+                own = np.arange(max(0, from_slot - shard * per_shard), min(n, to_slot - shard * per_shard))
+                n, slots = len(own), shard * per_shard + own
+                strides = np.frombuffer(data, kind).reshape(-1, stride)[own]
                 index = order.index(slots)
                 used = np.array([short.get(i, stride) for i in index.tolist()], np.int64)
                 ends = (strides == end_id) & (np.arange(stride) < used[:, None])
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(slots), pa.array(np.full(n, shard, np.int64)), pa.array(np.arange(n, dtype=np.int64) * size),
+                    pa.array(slots), pa.array(np.full(n, shard, np.int64)), pa.array(own * size),
                     pa.array(index), pa.array(used), pa.array(ends.sum(axis=1).astype(np.int64)),
                     pa.array([zlib.crc32(s.tobytes()) for s in strides], pa.int64())], names=[f.split()[0] for f in READ.split(", ")])
     return read
@@ -205,27 +211,67 @@ class Shards:
     def __init__(self, spark: SparkSession, base: str, sequences: int, key: int, stride: int, per_shard: int,
                  short: dict[int, int], end_id: int, kind: np.dtype):
         self.spark, self.base, self.sequences, self.stride, self.per_shard = spark, base, sequences, stride, per_shard
-        self.short, self.end_id, self.kind = short, end_id, kind
+        self.key, self.short, self.end_id, self.kind = key, short, end_id, kind
         self.order = Permutation(max(sequences, 1), key)
 
-    def read(self) -> DataFrame:
-        """A row per sequence, from the files."""
-        if not self.sequences:
+    def save(self) -> None:
+        """Write the manifest; a folder that has one is whole."""
+        from pyarrow import fs
+
+        files, root = fs.FileSystem.from_uri(self.base)
+        files.create_dir(root)
+        held = {"key": self.key, "stride": self.stride, "sequences_per_shard": self.per_shard, "sequences": self.sequences,
+                "end_id": self.end_id, "id_type": self.kind.str, "used": sorted(self.short.items())}
+        with files.open_output_stream(draft := f"{root}/_draft-{uuid.uuid4().hex}") as out:
+            out.write(json.dumps(held).encode())
+        files.move(draft, f"{root}/{MANIFEST}")
+
+    @classmethod
+    def open(cls, spark: SparkSession, path: str) -> "Shards":
+        """Shards written earlier, by this or another process."""
+        from pyarrow import fs
+
+        importable_in_workers(spark)
+        files, root = fs.FileSystem.from_uri(path)
+        with files.open_input_stream(f"{root}/{MANIFEST}") as data:
+            held = json.loads(data.read())
+        return cls(spark, path, held["sequences"], held["key"], held["stride"], held["sequences_per_shard"],
+                   dict(map(tuple, held["used"])), held["end_id"], np.dtype(held["id_type"]))
+
+    def read(self, from_slot: int = 0, to_slot: int | None = None) -> DataFrame:
+        """A row per sequence with from_slot <= slot < to_slot, from the shards that hold these slots."""
+        start, end = max(0, from_slot), self.sequences if to_slot is None else min(to_slot, self.sequences)
+        if start >= end:
             return self.spark.createDataFrame([], READ)
-        files = self.spark.read.format("binaryFile").option("pathGlobFilter", "shard-*.bin").load(self.base)
+        files = self.spark.read.format("binaryFile")
+        if start < self.per_shard and end > (self.sequences - 1) // self.per_shard * self.per_shard:
+            files = files.option("pathGlobFilter", "shard-*.bin").load(self.base)
+        else:
+            files = files.load([f"{self.base}/shard-{k:010d}.bin" for k in range(start // self.per_shard, -(-end // self.per_shard))])
         return files.select("path", "content").mapInArrow(
-            _read(self.order, self.stride, self.per_shard, self.short, self.end_id, self.kind), READ)
+            _read(self.order, self.stride, self.per_shard, self.short, self.end_id, self.kind, start, end), READ)
+
+
+def _empty(path: str) -> bool:
+    from pyarrow import fs
+
+    files, root = fs.FileSystem.from_uri(path)
+    return not files.get_file_info(fs.FileSelector(root, allow_not_found=True))
 
 
 def write_shards(docs: DataFrame, key: int = 20, stride: int = STRIDE, per_shard: int = SHARD_SEQUENCES,
                  text_col: str = "text", tokenizer_path: str | None = None, ids_col: str | None = None,
-                 end_id: int = END_ID, vocabulary: int = BYTE_IDS) -> Shards:
-    """Write every document's ids, in training order, to shards in the shared folder.
+                 end_id: int = END_ID, vocabulary: int = BYTE_IDS, path: str | None = None) -> Shards:
+    """Write every document's ids, in training order, to shards in ``path`` (a URI of an empty folder that all executors
+    see; a new one in the shared folder if not given).
 
     ``end_id`` and ``vocabulary`` (the number of ids, end id included) go with ``tokenizer_path`` or ``ids_col``."""
     if not 0 <= end_id < vocabulary <= 1 << 32:
         raise ValueError(f"end id {end_id} is not in a vocabulary of {vocabulary}")
     spark, scratch = docs.sparkSession, Scratch(docs.sparkSession)
+    base = path or scratch.path("shards")
+    if path and not _empty(path):
+        raise FileExistsError(f"{path} holds files")
     if ids_col is not None:
         rows, encoder = docs.select(F.col(ids_col).cast("array<long>").alias("ids")), lambda: _given_ids
     else:
@@ -239,7 +285,6 @@ def write_shards(docs: DataFrame, key: int = 20, stride: int = STRIDE, per_shard
         total += r["n"]
         if r["used"] < stride:
             short[total - 1] = r["used"]
-    base = scratch.path("shards")
     shards = Shards(spark, base, total, key, stride, per_shard, short, end_id, id_type(vocabulary))
     if total:
         dealt = cut.select("part", "nth", "ids").mapInArrow(_deal(first_of, shards.order, per_shard), DEALT)
@@ -249,4 +294,5 @@ def write_shards(docs: DataFrame, key: int = 20, stride: int = STRIDE, per_shard
         if (done["n"], done["shards"]) != (total, -(-total // per_shard)):
             raise RuntimeError(f"{done['n']} of {total} sequences are in {done['shards']} shards")
         scratch.drop("sequences")
+    shards.save()
     return shards

@@ -236,6 +236,21 @@ def test_token_shards_of_a_tokenizer(spark, docs, vocabulary, size):
         token_shards.write_shards(listed, ids_col="ids", end_id=9, vocabulary=10)
 
 
+def test_token_shards_are_resumed_from_their_folder(spark, docs, empty, tmp_path):
+    path = f"file://{tmp_path}/shards"
+    whole = token_shards.write_shards(docs, key=5, stride=64, per_shard=8, path=path).read().collect()
+    again = token_shards.Shards.open(spark, path)
+    assert len(whole) == again.sequences > 50 and Counter(again.read().collect()) == Counter(whole)
+    for a, b in ((0, 1), (8, 16), (13, 43), (again.sequences - 3, None), (40, 10_000), (9, 9), (10_000, None)):
+        part = again.read(a, b)
+        assert Counter(part.collect()) == Counter(r for r in whole if a <= r.slot < (b or 10_000))
+    assert len(again.read(13, 31).inputFiles()) == 3
+    with pytest.raises(FileExistsError):
+        token_shards.write_shards(docs, path=path)
+    none = token_shards.write_shards(empty, path=f"file://{tmp_path}/none")
+    assert token_shards.Shards.open(spark, none.base).read().count() == 0
+
+
 def test_exact_top_k(spark):
     rng = random.Random(8)
     rows = [(i, [rng.uniform(-1, 1) for _ in range(6)]) for i in range(130)] + [(i, [0.5] * 6) for i in range(130, 160)]
