@@ -12,9 +12,7 @@ from roaskit.llm.common import Scratch, table
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop the documents in which no language can be told (no text, or no letter in it)."""
-    told = langid.predict_language(docs, langid.fit(docs))
-    rejected = told.where(F.col("lang_pred") == langid.UNKNOWN).select(F.col("doc_id").alias("__id")).distinct()
-    return docs.join(rejected, docs["doc_id"].eqNullSafe(F.col("__id")), "left_anti")
+    return langid.keep_told(docs, langid.fit(docs))
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -23,7 +21,7 @@ def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked by five-word shingles at a similarity of 0.8 or more, the one with the smallest id stays."""
+    """Of documents linked by five-word shingles at a similarity of 0.8 or more, one row with the smallest id stays."""
     return jaccard.drop_near_duplicates(docs, words=5, percent=80)
 
 

@@ -31,6 +31,7 @@ else is in it; an empty table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
+import hashlib
 import itertools
 import math
 from collections.abc import Callable, Iterator
@@ -156,17 +157,21 @@ def _set_id(shingles: np.ndarray, seed: int) -> tuple[int, int]:
     return int(high), int(low)
 
 
-def _each_set(words: int, seed: int, make: Callable) -> Callable:
+def _each_set(words: int, seed: int, make: Callable, digests: bool = False) -> Callable:
     """A task that calls ``make`` with (doc ids, shingle sets, set ids) of every slice of documents (id, text)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row, texts in text_slices(batch.column(1)):
                 sets = list(shingle_sets(texts, words))
-                yield from make(batch.column(0).slice(row, len(texts)).to_pylist(), sets, [_set_id(s, seed) for s in sets])
+                ids = batch.column(0).slice(row, len(texts)).to_pylist()
+                if digests:
+                    ids = [(i, hashlib.sha256((t or "").encode()).digest()) for i, t in zip(ids, texts.to_pylist())]
+                yield from make(ids, sets, [_set_id(s, seed) for s in sets])
     return run
 
 
 NARROW = "doc_id long, n long, set_id long, check long, parity binary, sign array<long>, block long, counts binary"
+DIGESTED = NARROW + ", digest binary"
 
 
 def parity(shingles: np.ndarray) -> bytes:
@@ -206,8 +211,8 @@ def _possible(percent: int):
     return check
 
 
-def _narrow(words: int, seed: int):
-    """A row per document, and at the end the partition's part of the frequency sketch, by blocks."""
+def _narrow(words: int, seed: int, digests: bool = False):
+    """A row per document (with its text's SHA-256 if asked for), and at the end the partition's part of the frequency sketch, by blocks."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(SKETCH, np.int64)
 
@@ -215,13 +220,17 @@ def _narrow(words: int, seed: int):
             nonlocal counts
             at = (np.concatenate(sets) & np.uint64(SKETCH - 1)).astype(np.int64)
             counts += np.bincount(at, minlength=SKETCH)
-            yield _batch(NARROW, [(i, len(s), *name, parity(s), sign(s), None, None) for i, s, name in zip(ids, sets, names)])
+            if digests:
+                yield _batch(DIGESTED, [(i, len(s), *name, parity(s), sign(s), None, None, d) for (i, d), s, name in zip(ids, sets, names)])
+            else:
+                yield _batch(NARROW, [(i, len(s), *name, parity(s), sign(s), None, None) for i, s, name in zip(ids, sets, names)])
 
-        yield from _each_set(words, seed, rows)(batches)
+        yield from _each_set(words, seed, rows, digests)(batches)
         if counts.any():
             size = SKETCH // SKETCH_BLOCKS
-            yield _batch(NARROW, [
-                (None, None, None, None, None, None, k, counts[k * size:(k + 1) * size].tobytes()) for k in range(SKETCH_BLOCKS)])
+            yield _batch(DIGESTED if digests else NARROW, [
+                (None, None, None, None, None, None, k, counts[k * size:(k + 1) * size].tobytes(), *[None] * digests)
+                for k in range(SKETCH_BLOCKS)])
     return run
 
 
@@ -349,13 +358,13 @@ def _verify(percent: int):
 class _Join:
     """One run: the documents, the shingle parameters, and where intermediate tables go."""
 
-    def __init__(self, docs: DataFrame, words: int, percent: int):
+    def __init__(self, docs: DataFrame, words: int, percent: int, digests: bool = False):
         self.docs, self.words, self.percent = docs, words, percent
         self.scratch = Scratch(docs.sparkSession)
         for seed in range(8):
             name = f"narrow-{seed}"
-            told = self.scratch.keep(docs.mapInArrow(_narrow(words, seed), NARROW), name)
-            self.narrow = told.where("block is null").select("doc_id", "n", "set_id", "check", "parity", "sign")
+            told = self.scratch.keep(docs.mapInArrow(_narrow(words, seed, digests), DIGESTED if digests else NARROW), name)
+            self.narrow = told.where("block is null").select("doc_id", "n", "set_id", "check", "parity", "sign", *["digest"] * digests)
             full = self.narrow.where("n > 0")
             self.seed = seed
             if full.groupBy("set_id").agg(F.min("check").alias("x"), F.max("check").alias("y")).where("x <> y").isEmpty():
@@ -469,11 +478,9 @@ def merged(classed: DataFrame, links: DataFrame, scratch: Scratch, name: str) ->
     return scratch.keep(told.select("set_id", "least_id", F.coalesce("root", "class").alias("class")), f"{name}-classes")
 
 
-def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id",
-                    text_col: str = "text") -> DataFrame:
-    """(doc_id, n_shingles, component_id) of every row of ``docs``."""
-    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    job = _Join(docs, words, percent)
+def _classes(docs: DataFrame, words: int, percent: int, digests: bool = False) -> tuple[_Join, DataFrame]:
+    """The join over ``docs`` (doc_id, text), and (set_id, least_id, class) of its sets."""
+    job = _Join(docs, words, percent, digests)
     sets = job.sets
     sizes = {r["n"]: r["count"] for r in sets.groupBy("n").count().collect()}  # one row per size of set
     light = boundary(sizes, percent)
@@ -495,7 +502,14 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
     rows = job.mixed(lists.where("c = 0"), classed, "mixed-first")
     classed = merged(classed, job.verified(job.lead_pairs(rows, light), "leads"), job.scratch, "second")
     rows = job.reclassed(rows, classed, "mixed-last")
-    told = merged(classed, job.verified(job.class_pairs(rows, light), "classes"), job.scratch, "last")
+    return job, merged(classed, job.verified(job.class_pairs(rows, light), "classes"), job.scratch, "last")
+
+
+def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id",
+                    text_col: str = "text") -> DataFrame:
+    """(doc_id, n_shingles, component_id) of every row of ``docs``."""
+    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    job, told = _classes(docs, words, percent)
     told = told.withColumnRenamed("class", "root")
     least_of = told.groupBy("root").agg(F.min("least_id").alias("component_id"))
     classed = told.join(least_of, "root").select("set_id", "component_id")
@@ -506,7 +520,22 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
 
 def drop_near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id",
                          text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay: of each class those with the smallest id, and all rows without an id."""
-    told = near_duplicates(docs, words, percent, id_col, text_col)
-    gone = told.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("__gone_id")).distinct()
-    return docs.join(gone, F.col(id_col).cast("long") == F.col("__gone_id"), "left_anti")
+    """The rows of ``docs`` that stay: of each class one, that with the smallest id (null ids last, equal ids by digest
+    of the text), and all rows without a word."""
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    job, told = _classes(rows, words, percent, digests=True)
+    named = job.narrow.where("n > 0").join(told, "set_id").groupBy("class", "doc_id", "digest").agg(F.count("*").alias("times"))
+    named = job.scratch.keep(named, "named")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "digest", "times")).alias("first")
+    stay = named.groupBy("class").agg(first).select(
+        F.col("first.doc_id").alias("__id"), F.col("first.digest").alias("__digest"), F.col("first.times").alias("__times"))
+    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("digest") == F.col("__digest"))
+    gone = named.join(stay, same, "left_anti").select(F.col("doc_id").alias("__id"), F.col("digest").alias("__digest"))
+    row = (F.col(id_col).cast("long").eqNullSafe(F.col("__id"))
+           & (F.unhex(F.sha2(F.coalesce(F.col(text_col).cast("string"), F.lit("")), 256)) == F.col("__digest")))
+    stays = docs.join(gone, row, "left_anti")
+    twins = job.scratch.keep(stay.where("__times > 1"), "twins")  # rows that repeat id and text: one of them stays
+    if twins.isEmpty():
+        return stays
+    return (stays.join(twins, row, "left_anti")
+            .unionByName(stays.join(twins, row, "left_semi").dropDuplicates([id_col, text_col])))

@@ -198,17 +198,23 @@ def has_letter(text: str | None) -> bool:
     return bool(text) and (m := _LETTER.search(text)) is not None and (m[0].isalpha() or any(map(str.isalpha, text)))
 
 
+def _languages(model: LanguageModel | None, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Language and score of each text."""
+    known = np.array([model is not None and has_letter(t) for t in texts.to_pylist()], bool)
+    names, scores = np.full(len(texts), UNKNOWN, object), np.zeros(len(texts))
+    if known.any():
+        p = model.documents(texts.filter(pa.array(known)))
+        best = p.argmax(axis=1)
+        names[known] = np.array(model.languages, object)[best]
+        scores[known] = np.clip(p[np.arange(len(p)), best], 0.0, 1.0)
+    return names, scores
+
+
 def _predict(model: LanguageModel | None):
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row, texts in text_slices(batch.column(2)):
-                known = np.array([model is not None and has_letter(t) for t in texts.to_pylist()], bool)
-                names, scores = np.full(len(texts), UNKNOWN, object), np.zeros(len(texts))
-                if known.any():
-                    p = model.documents(texts.filter(pa.array(known)))
-                    best = p.argmax(axis=1)
-                    names[known] = np.array(model.languages, object)[best]
-                    scores[known] = np.clip(p[np.arange(len(p)), best], 0.0, 1.0)
+                names, scores = _languages(model, texts)
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0).slice(row, len(texts)), batch.column(1).slice(row, len(texts)),
                     pa.array(names, pa.string()), pa.array(scores, pa.float64())],
@@ -227,3 +233,19 @@ def predict_language(docs: DataFrame, model: LanguageModel | None, id_col: str =
     key = F.col(id_col).cast("long")
     rows = docs.select(key.alias("doc_id"), held_out(key).alias("held_out"), F.col(text_col).cast("string").alias("text"))
     return rows.mapInArrow(_predict(model), "doc_id long, held_out boolean, lang_pred string, score double")
+
+
+def _told(model: LanguageModel | None):
+    def told(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            last = batch.num_columns - 1
+            for row, texts in text_slices(batch.column(last)):
+                keep = _languages(model, texts)[0] != UNKNOWN
+                yield batch.slice(row, len(texts)).select(list(range(last))).filter(pa.array(keep, pa.bool_()))
+    return told
+
+
+def keep_told(docs: DataFrame, model: LanguageModel | None, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, with all their columns, in whose own text a language is told."""
+    importable_in_workers(docs.sparkSession)
+    return docs.withColumn("__text", F.col(text_col).cast("string")).mapInArrow(_told(model), docs.schema)

@@ -326,3 +326,25 @@ def test_pipeline(spark, docs, tmp_path):
     stays = {i for i in ids if group[i] == i}
     assert {r.doc_id for r in out} - {None} == stays
     assert [name for name, _ in corpus_pipeline.STAGES] == ["language_id", "exact_dedup", "ngram_jaccard", "best_fit_packing"]
+
+
+def test_pipeline_decides_by_row(spark):
+    rng = random.Random(4)
+    long = [" ".join(rng.choice(WORDS) + str(rng.randint(0, 99)) for _ in range(60)) for _ in range(6)]
+    near = [t + " and one more" for t in long]
+    rows = [(None, long[0]), (None, "12 ..."), (None, None), (7, long[1]), (7, ""), (7, "!"),  # und rows share ids with clean ones
+            (None, near[0]),  # near copies without ids
+            (7, near[1]),  # near copies that share the least id
+            (20, long[2]), (21, near[2]), (21, long[3]),  # a dropped id on an unrelated text
+            (30, long[4]), (None, near[4]), (40, "alone words here"), (None, long[5]), (None, "another lonely text")]
+    docs = spark.createDataFrame([(i, t, ("en", "de")[k % 2]) for k, (i, t) in enumerate(rows)], "doc_id long, text string, lang string")
+    told = corpus_pipeline.language(spark, docs, "")
+    clean = Counter((i, t) for i, t in rows if t and any(map(str.isalpha, t)))
+    assert told.columns == docs.columns and Counter((r.doc_id, r.text) for r in told.collect()) == clean
+    stays = [(r.doc_id, r.text) for r in corpus_pipeline.near_copies(spark, told, "").collect()]
+    for pair in ([(None, long[0]), (None, near[0])], [(7, long[1]), (7, near[1])]):
+        assert sum(r in pair for r in stays) == 1
+    assert Counter(r for r in stays if r[1] not in (long[0], near[0], long[1], near[1])) == Counter(
+        [(20, long[2]), (21, long[3]), (30, long[4]), (40, "alone words here"), (None, long[5]), (None, "another lonely text")])
+    twice = told.where("text = 'alone words here'")
+    assert jaccard.drop_near_duplicates(twice.union(twice).union(twice)).collect() == twice.collect()
