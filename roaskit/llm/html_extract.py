@@ -27,10 +27,13 @@ from pyspark.sql import functions as F
 from roaskit.llm.common import importable_in_workers, text_slices
 
 # --- fixed values: elements of HTML, and words that name parts of a page ------------------------------------
-NO_TEXT = "script|style|noscript|template|title|svg|math|iframe|object|select|textarea|button"
+NO_TEXT = "script|style|title|textarea"  # what they hold is no markup, up to their end tag
+BESIDE = set("noscript template svg iframe select button".split())  # never part of the text they stand in
+FOREIGN = set("svg math".split())  # their elements are no HTML; a block of HTML ends them
+BLOCKS = set("p div h1 h2 h3 h4 h5 h6 ul ol li dl table blockquote pre hr article section main header footer nav body".split())
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = set("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small "
-             "span strike strong sub sup time tt u var".split())
+             "span strike strong sub sup time tt u var math object".split())
 ASIDE_TAGS = set("nav footer aside form menu dialog head".split())
 MAIN_TAGS = set("article main".split())
 HEADINGS = set("h1 h2 h3 h4 h5 h6".split())
@@ -48,7 +51,7 @@ MOST_WORDS = 40
 EDGE, SIBLING_EDGE = 1.2, 0.8
 
 _TAG = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<({NO_TEXT})\b[^>]*>.*?(?:</\1\s*>|\Z)|<[!?][^>]*>"
+    rf"<!--.*?(?:-->|\Z)|<({NO_TEXT})(?=[\s/>])[^>]*>.*?(?:</\1(?=[\s/>])[^>]*>|\Z)|<[!?][^>]*>"
     r"|<(/?)([a-z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+|[^>]*+)>", re.S | re.I)
 _NAMES = re.compile(r"\b(class|id|role|itemprop)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
 _HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
@@ -67,6 +70,8 @@ class Element:
     header: bool
     item: bool
     link: bool
+    beside: bool
+    foreign: bool
 
 
 @dataclass(slots=True)
@@ -83,12 +88,13 @@ def _open(tag: str, attributes: str, parent: Element | None) -> Element:
         for _, value in _NAMES.findall(attributes):
             words.update(_WORD.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", value).lower()))
         hidden = bool(_HIDDEN.search(attributes))
-    over = parent or Element("", None, 0, False, False, False, False, False, False, False)
+    over = parent or Element("", None, 0, *[False] * 9)
     main = tag in MAIN_TAGS or "main" in words and tag != "body"
     aside_name = hidden or (bool(words & ASIDE_WORDS) and tag not in ("html", "body") and not main)
-    return Element(tag, parent, over.depth + 1, over.main or main, over.aside or tag in ASIDE_TAGS,
+    return Element(tag, parent, over.depth + 1, over.main or main, over.aside or tag in ASIDE_TAGS or tag in BESIDE,
                    over.main_name or bool(words & MAIN_WORDS), over.aside_name or aside_name,
-                   over.header or tag == "header" and not over.main, over.item or tag in ("li", "dt", "dd", "td", "th"), over.link or tag == "a")
+                   over.header or tag == "header" and not over.main, over.item or tag in ("li", "dt", "dd", "td", "th"), over.link or tag == "a",
+                   over.beside or tag in BESIDE, over.foreign or tag in FOREIGN)
 
 
 def blocks(html: str) -> list[Block]:
@@ -112,15 +118,26 @@ def blocks(html: str) -> list[Block]:
         if not raw:
             return
         text = unescape(raw) if "&" in raw else raw
+        if here.beside:  # a block of its own; the text around it goes on
+            if text := " ".join(text.split()):
+                out.append(Block(text, len(text) if here.link else 0, here))
+            return
         if not own:
             block = here
-            while block.tag in INLINE and block.parent is not None:
+            while (block.tag in INLINE or block.foreign) and block.parent is not None:
                 block = block.parent
             block_parent = block
         own.append(text)
         if here.link:
             linked += len(text.strip())
 
+    ends_at: dict[str, int] = {}
+
+    def last_end(name: str) -> int:
+        if name not in ends_at:
+            ends_at[name] = max((x.start() for x in re.finditer(rf"</{name}(?=[\s/>])", html, re.I)), default=-1)
+        return ends_at[name]
+
     at = 0
     for m in _TAG.finditer(html):
         said(html[at:m.start()])
@@ -134,17 +151,31 @@ def blocks(html: str) -> list[Block]:
             while e.parent is not None and e.tag != name:
                 e = e.parent
             if e.parent is not None:
-                if name not in INLINE:
+                if name not in INLINE and name not in BESIDE and not e.foreign:
                     close()
                 here = e.parent
             continue
+        if here.foreign and name in BLOCKS:
+            while here.foreign:
+                here = here.parent
+        if name in BESIDE or name in FOREIGN:
+            # one that closes itself, or that nothing closes, holds nothing
+            if name in FOREIGN and m[4].endswith("/") or last_end(name) < at:
+                continue
+            e = here
+            while name in ("button", "select") and e.parent is not None:  # these end one of their name
+                if e.tag == name:
+                    here = e.parent
+                e = e.parent
+            here = _open(name, m[4], here)
+            continue
         if name in VOID:
             if name == "hr":
                 close()
             else:
                 own.append(" ") if own else None
             continue
-        if name in INLINE:
+        if name in INLINE or here.foreign:
             if not m[4].endswith("/"):
                 here = _open(name, m[4], here)
             continue

@@ -183,6 +183,27 @@ def test_main_text_of_a_page(end):
         "A heading & more\n\nFirst bold paragraph, long enough to count as text.\n\nTo.\n\nOne item of the list.")
 
 
+SAID = "The first sentence is long enough to be kept,"
+REST = "and the second sentence is long enough to be kept too."
+
+
+@pytest.mark.parametrize("tag", ['<svg class="i"/>', "<math/>", "<svg><path d='x'/></svg>", "<button>", "<select>", "<object>", "<template>",
+                                 "<svg>", "<button>Share</button>", "<svg><title>Icon</title></svg>", "<noscript>Turn on</noscript>"])
+def test_nothing_after_an_odd_element_is_lost(tag):
+    page = f"<article><p>{SAID} {tag} {REST}</p><p>{SAID}</p></article>"
+    assert html_extract.main_text(page) == f"{SAID} {REST}\n\n{SAID}"
+
+
+@pytest.mark.parametrize("tag", ["button-group", "title-bar", "script-box", "select-list"])
+def test_custom_elements_are_elements(tag):
+    assert html_extract.main_text(f"<article><p>{SAID}</p><{tag}><p>{REST}</p></{tag}><p>{SAID}</p></article>") == f"{SAID}\n\n{REST}\n\n{SAID}"
+
+
+def test_text_of_math_and_object_is_kept():
+    page = f"<article><p>{SAID} <math><mi>x</mi><mo>+</mo><mn>1</mn></math> <object data='f'>a chart</object> {REST}</p></article>"
+    assert html_extract.main_text(page) == f"{SAID} x+1 a chart {REST}"
+
+
 @pytest.mark.parametrize("html", [None, "", "   ", "<", "<" * 2000, "<p " + "x='" * 3000, "</p></div>", "<script>only"])
 def test_pages_without_text(html):
     assert html_extract.main_text(html) == ""
