@@ -240,12 +240,13 @@ def _told(model: LanguageModel | None):
         for batch in batches:
             last = batch.num_columns - 1
             for row, texts in text_slices(batch.column(last)):
-                keep = _languages(model, texts)[0] != UNKNOWN
+                keep = (_languages(model, texts)[0] != UNKNOWN if model is not None
+                        else np.array([has_letter(t) for t in texts.to_pylist()], bool))
                 yield batch.slice(row, len(texts)).select(list(range(last))).filter(pa.array(keep, pa.bool_()))
     return told
 
 
 def keep_told(docs: DataFrame, model: LanguageModel | None, text_col: str = "text") -> DataFrame:
-    """The rows of ``docs``, with all their columns, in whose own text a language is told."""
+    """The rows of ``docs``, with all their columns, in whose own text a language is told; without a model, those with a letter."""
     importable_in_workers(docs.sparkSession)
     return docs.withColumn("__text", F.col(text_col).cast("string")).mapInArrow(_told(model), docs.schema)

@@ -348,3 +348,10 @@ def test_pipeline_decides_by_row(spark):
         [(20, long[2]), (21, long[3]), (30, long[4]), (40, "alone words here"), (None, long[5]), (None, "another lonely text")])
     twice = told.where("text = 'alone words here'")
     assert jaccard.drop_near_duplicates(twice.union(twice).union(twice)).collect() == twice.collect()
+
+
+def test_language_stage_without_labels(spark):
+    rows = [(1, "a clean text", None), (2, "12 ...", None), (None, "one more", None), (None, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert {r.doc_id for r in corpus_pipeline.language(spark, docs, "").collect()} == {1, None}
+    assert corpus_pipeline.language(spark, docs, "").count() == 2
