@@ -956,6 +956,29 @@ def q_session_features(spark, sf):
     return f.withColumn("spend", r4("spend"))
 
 
+def _long_features_sql() -> str:
+    """Rows (session_id, feature, value): numbers, each categorical's levels in the data, and its NULL indicator."""
+    numbers = {"hour_of_day": "hour(session_start)", "day_of_week": "isodow(session_start) - 1", "month": "month(session_start)",
+               "spend": "round(coalesce(spend, 0.0), 4)"}
+    parts = [f"SELECT session_id, '{n}' AS feature, CAST({x} AS DOUBLE) AS value FROM d_enriched" for n, x in numbers.items()]
+    for c in ml.CATEGORICALS:
+        parts += [f"SELECT session_id, '{c}_' || l, CASE WHEN {c} = l THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END FROM d_enriched "
+                  f"CROSS JOIN (SELECT DISTINCT {c} AS l FROM d_enriched WHERE {c} IS NOT NULL)",
+                  f"SELECT session_id, '{c}_nan', CASE WHEN {c} IS NULL THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END FROM d_enriched"]
+    return "\nUNION ALL ".join(parts)
+
+
+@register("session_features_long", _long_features_sql())
+def q_session_features_long(spark, sf):
+    """M1 over all of the models' categoricals, with the levels that occur, as one row per session and feature."""
+    from roaskit.operators.reshape import discover_levels
+    e = _enriched(spark, sf)
+    f, feats = ml.build_features(e, discover_levels(e, ml.CATEGORICALS), keep=["session_id"])
+    f = f.withColumn("spend", r4("spend"))
+    pairs = F.array(*[F.struct(F.lit(n).alias("feature"), F.col(f"`{n}`").cast("double").alias("value")) for n in feats])
+    return f.select("session_id", F.inline(pairs))
+
+
 @register("one_hot_features", """
 SELECT session_id, CASE WHEN utm_medium = 'cpc' THEN 1 ELSE 0 END AS utm_medium_cpc,
   CASE WHEN utm_medium = 'social_paid' THEN 1 ELSE 0 END AS utm_medium_social_paid,
