@@ -89,6 +89,34 @@ def split_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
     return coded.indices.to_numpy().astype(np.int64), offsets, coded.dictionary
 
 
+def sorted_runs(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.RecordBatch]:
+    """The runs of rows that are equal in their first ``keys`` columns (integers without nulls), of sorted batches.
+
+    Holds one run and one batch at a time.
+    """
+    held: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        if not len(batch):
+            continue
+        columns = [batch.column(k).to_numpy(zero_copy_only=False) for k in range(keys)]
+        cuts = np.flatnonzero(np.logical_or.reduce([c[1:] != c[:-1] for c in columns])) + 1
+        edges = [0, *cuts.tolist(), len(batch)]
+        for a, b in zip(edges[:-1], edges[1:]):
+            key = tuple(c[a] for c in columns)
+            if held and key != last:
+                yield _joined(held)
+                held = []
+            held.append(batch.slice(a, b - a))
+            last = key
+    if held:
+        yield _joined(held)
+
+
+def _joined(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+    return parts[0] if len(parts) == 1 else pa.Table.from_batches(parts).combine_chunks().to_batches()[0]
+
+
 def spread(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Positions start, start+1, ... for each (start, length), one after another."""
     total = int(lengths.sum())

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roaskit.llm import bpe, chat, exact_dedup, html_extract, jaccard, langid, lm, packing, token_shards, topk
+from roaskit.llm import bpe, chat, exact_dedup, html_extract, jaccard, langid, lm, minhash, packing, token_shards, topk
 from roaskit.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -116,3 +116,8 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"),
                           public_tokenizers.PATTERN)
+
+
+@register("op12_minhash_dedup")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), words=5, percent=85)
