@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roaskit.llm import bpe, chat, exact_dedup, html_extract, jaccard, langid, lm, minhash, packing, token_shards, topk
+from roaskit.llm import bpe, chat, exact_dedup, html_extract, jaccard, langid, lexical, lm, minhash, packing, token_shards, topk
 from roaskit.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -118,6 +118,32 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
                           public_tokenizers.PATTERN)
 
 
+@register("op11_lexical_search", r"""
+with d as (
+    select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') as terms
+    from documents),
+k as (select count(*)::bigint as docs, sum(len(terms))::bigint as total from d where len(terms) > 0),
+tf as (select doc_id, len(terms)::bigint as n, unnest(terms) as term from d),
+f as (select doc_id, n, term, count(*)::bigint as tf from tf group by all),
+w as (
+    select term, floor(1000 * ln((2 * docs + 2)::double / (2 * count(*) + 1)::double))::bigint as w
+    from f, k group by term, docs),
+i as (
+    select distinct item_id, unnest(regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+    from benchmark),
+s as (
+    select item_id, doc_id,
+           sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * docs) // total))))::bigint as score
+    from i join f using (term) join w using (term), k group by item_id, doc_id),
+r as (select *, row_number() over (partition by item_id order by score desc, doc_id)::integer as rank from s where score > 0)
+select item_id, rank, doc_id, score from r where rank <= 50""")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=50)
+
+
 @register("op12_minhash_dedup")
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), words=5, percent=85)
