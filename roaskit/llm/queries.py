@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roaskit.llm import bpe, chat, exact_dedup, html_extract, jaccard, langid, lexical, lm, minhash, packing, token_shards, topk
+from roaskit.llm import bpe, chat, exact_dedup, html_extract, jaccard, langid, lexical, lm, minhash, packing, repair, token_shards, topk
 from roaskit.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -147,3 +147,76 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op12_minhash_dedup")
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), words=5, percent=85)
+
+
+def _repair_sql() -> str:
+    """Damage, faults, and the cheapest edits row by row: the best (cost, audit) of each state of the pattern."""
+    def plus(cell: str, cost: str, edit: str) -> str:
+        return f"{{'c': {cell}.c + {cost}, 'a': {cell}.a || '{edit}'}}"
+
+    def least(*cells: str) -> str:
+        return f"list_min([{', '.join(cells)}])"
+
+    crc = ("list_reduce([4294967295::bigint] || list_transform(string_split(key, ''), lambda x: ord(x)::bigint), lambda c, b: "
+           "list_reduce([xor(c, b)] || range(8), lambda x, i: xor(x >> 1, 3988292384 * (x & 1))))")
+    closed = (f"r0 as c0, r1 as c1, {least('r2', plus('r0', '2', 'I'), plus('r1', '2', 'I'), plus('r3', '2', 'I'))} as c2, "
+              f"{least('r3', plus('r2', '2', 'I'), plus('r0', '4', 'II'), plus('r1', '4', 'II'))} as c3")
+    to_u, kept, given = least("c0", "c1", "c3"), "case when not gone and initial = '{}' then cut else 1000000 end", "case when gone then 1000000 else 2 + cut end"
+    raw = (f"{plus('c0', '3', 'D')} as r0, {least(plus('c1', '3', 'D'), plus('c0', kept.format('s'), 'K'))} as r1, "
+           f"{least(plus('c2', '3', 'D'), plus(to_u, kept.format('u'), 'K'), plus(to_u, given, 'R'))} as r2, "
+           f"{least(plus('c3', '3', 'D'), plus('c2', kept.format('a'), 'K'), plus('c2', given, 'R'))} as r3")
+    return rf"""
+with recursive
+h as (
+    select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text,
+           coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' ') as key from conversations),
+k as (select *, xor({crc}, 4294967295) % 20 as harm from h),
+d as (
+    select conv_id, turn, case when harm = 4 then 'user' else role end as role,
+           case harm when 1 then '' when 2 then regexp_replace(text, '[.!?]', '', 'g') else text end as text,
+           unnest(range(case when harm = 3 then 2 else 1 end)) as copy
+    from k where harm <> 0),
+p as (select *, row_number() over (partition by conv_id order by turn nulls first, role, sha256(text), copy) as pos from d),
+f as (
+    select *, not regexp_matches(text, '[^ 	-]') as blank,
+           row_number() over (partition by conv_id, role, text order by pos) > 1 as again,
+           not regexp_matches(text, '[.!?][ 	-]*\z') as open,
+           left(role, 1) as initial, lag(left(role, 1)) over (partition by conv_id order by pos) as before from p),
+r as (select *, blank or again as gone, case when open and not blank and not again then 1 else 0 end as cut from f),
+dp as (
+    select conv_id, 0::bigint as pos, {closed}
+    from (select distinct conv_id, {{'c': 0::bigint, 'a': ''}} as r0, {{'c': 1000000::bigint, 'a': ''}} as r1,
+                 {{'c': 1000000::bigint, 'a': ''}} as r2, {{'c': 1000000::bigint, 'a': ''}} as r3 from conversations)
+    union all
+    select conv_id, pos, {closed}
+    from (select r.conv_id, r.pos, {raw} from dp join r on r.conv_id is not distinct from dp.conv_id and r.pos = dp.pos + 1)),
+n as (
+    select conv_id, count(*) as rows, max(turn) - min(turn) + 1 - count(distinct turn) as gaps,
+           count(*) filter (blank) as blank, count(*) filter (again and not blank) as duplicate,
+           count(*) filter (cut = 1) as truncated,
+           count(*) filter (before is not null and before || initial not in ('su', 'ua', 'au')) as illegal
+    from r group by conv_id),
+b as (
+    select dp.conv_id, least(c0, c3) as best, n.* exclude (conv_id)
+    from dp left join n on n.conv_id is not distinct from dp.conv_id where dp.pos = coalesce(n.rows, 0)),
+e as (
+    select conv_id, i, best.a[i] as edit, length(replace(left(best.a, i), 'I', '')) as pos
+    from (select conv_id, best, unnest(range(1, length(best.a) + 1)) as i from b)),
+l as (
+    select e.conv_id, e.i, e.edit, r.role, r.text, r.initial, row_number() over w as j,
+           (first_value(r.initial) over w = 's' and first_value(e.edit) over w = 'K')::int as led
+    from e left join r on r.conv_id is not distinct from e.conv_id and r.pos = e.pos and e.edit <> 'I'
+    where e.edit <> 'D' window w as (partition by e.conv_id order by e.i)),
+t as (
+    select conv_id, string_agg(case when edit = 'K' then role else case when (j - coalesce(led, 0)) % 2 = 1 then 'user' else 'assistant' end end
+                               || ':' || case when edit = 'I' then '' else text end, chr(10) order by i) as repaired
+    from l group by conv_id)
+select b.conv_id, coalesce(gaps, 0) as gaps, coalesce(blank, 0) as blank, coalesce(duplicate, 0) as duplicate,
+       coalesce(truncated, 0) as truncated, coalesce(illegal, 0) as illegal, best.c as cost, best.a as audit,
+       sha256(coalesce(repaired, '')) as repaired_sha256
+from b left join t on t.conv_id is not distinct from b.conv_id"""
+
+
+@register("op13_structure_repair", _repair_sql())
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repair_conversations(table(spark, sf_dir, "conversations"))
