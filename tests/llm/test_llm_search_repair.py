@@ -219,14 +219,14 @@ def test_bounds_are_never_below_the_score(terms, m):
 def _cheapest(kinds):
     """Least (cost, audit) by a search over all edits, with at most two inserts between rows."""
     done = re.compile(r"(s?(ua)+)?\Z")
-    best = None
+    best = 3 * len(kinds), "D" * len(kinds)
 
     def go(at, roles, cost, audit, free):
         nonlocal best
-        if best is not None and cost > best[0] or not re.match(r"(s?(ua)*u?)?\Z", roles):
+        if cost > best[0] or not re.match(r"(s?(ua)*u?)?\Z", roles):
             return
         if at == len(kinds) and done.match(roles):
-            best = min(best, (cost, audit)) if best else (cost, audit)
+            best = min(best, (cost, audit))
         if free:
             for role in "ua":
                 go(at, roles + role, cost + 2, audit + "I", free - 1)
