@@ -278,7 +278,7 @@ def _repaired(rows):
             faults[fault] += 1
             known = role[:1] if role[:1] in ("s", "u", "a") else "-"
             kinds += "x" if fault in ("blank", "duplicate") else known if fault is None else "+" if known == "-" else known.upper()
-        cost, audit = _cheapest(kinds) if len(kinds) <= 5 else repair.best(repair.parse(kinds))
+        cost, audit = _cheapest(kinds) if len(kinds) <= 5 else repair.best(repair.joined_pieces([repair.parse(k) for k in kinds]))
         turns = [r[0] for r in own if r[0] is not None]
         lines, rest, before = [], iter(own), ""
         for edit in audit:
