@@ -7,66 +7,33 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from roaskit.functions.scalars import micros
+from roaskit.operators.scan import RANGE, SLOT, carried, in_order
 
 
 def _cols(x) -> list[str]:
     return [x] if isinstance(x, str) else list(x)
 
 
-#: Widths in seconds of the nested time buckets of an as-of join; each divides the next.
-ASOF_WIDTHS = (1, 3600)
-
-
-def _carried(probes: DataFrame, known: DataFrame, by: list[str], widths: list[int]) -> DataFrame:
-    """(by, _bkt, _carry): for each probed bucket of the first width the last right row of an *earlier* bucket.
-
-    ``known`` holds the last right row per bucket (``_bp`` and its place ``_at``).  Within the next wider bucket
-    a window carries it on; what lies before that comes from the same step on the wider buckets.  A window so
-    holds at most one row per narrow bucket of one wide bucket (of a key, for the widest).
-    """
-    rows = (known.unionByName(probes, allowMissingColumns=True)
-            .groupBy(*by, "_bkt").agg(F.min_by("_bp", "_at").alias("_bp"), F.min("_at").alias("_at"),
-                                      F.max("_probe").alias("_probe")))
-    wide = F.floor(F.col("_bkt") / F.lit(widths[1] // widths[0])) if len(widths) > 1 else None
-    if wide is not None:
-        rows = rows.withColumn("_wide", wide)
-    within = [*by, "_wide"] if wide is not None else by
-    earlier = Window.partitionBy(*within).orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
-    told = rows.withColumn("_carry", F.last("_bp", ignorenulls=True).over(earlier)).where(F.col("_probe"))
-    if wide is None:
-        return told.select(*by, "_bkt", "_carry")
-    up = known.withColumn("_bkt", wide).groupBy(*by, "_bkt").agg(F.min_by("_bp", "_at").alias("_bp"), F.min("_at").alias("_at"))
-    asked = probes.withColumn("_bkt", wide).distinct()
-    before = _carried(asked, up, by, widths[1:]).select(*by, F.col("_bkt").alias("_wide"), F.col("_carry").alias("_before"))
-    return told.join(before, [*by, "_wide"], "left").select(*by, "_bkt", F.coalesce("_carry", "_before").alias("_carry"))
-
-
 def asof_join(left: DataFrame, right: DataFrame, by, left_ts: str, right_ts: str,
               right_cols: list[str], tie_col: str, how: str = "left",
-              widths: tuple[int, ...] = ASOF_WIDTHS) -> DataFrame:
+              partitions: int | None = None) -> DataFrame:
     """For each left row, the latest right row with the same ``by`` key and
     ``right_ts <= left_ts``; equal time stamps are "at or before".  Ties on
     ``right_ts`` go to the smallest ``tie_col``.
 
-    No row explosion and no single hot task: time is cut into nested buckets
-    of ``widths`` seconds, the same for every size of data, so neither a key
-    holding a third of all rows nor a burst within one hour is one task.
+    Each side is read once and their union shuffled once, into ranges of (key,
+    time) that are cut by rows (``scan.in_order``): neither a key that holds a
+    third of all rows nor a burst within one instant is one task.
 
-    1. the union of both sides is shuffled once on (key, narrow bucket); inside
-       each partition, rows ordered by time (right before left on a tie) and
+    1. inside each range, rows ordered by time (right before left on a tie),
        ``last(ignorenulls)`` carries the latest right row forward;
-    2. the last right row of every bucket is a map-side-combined aggregate of
-       the right side alone;
-    3. per wide bucket, and then per key over its wide buckets, a window over
-       these small tables finds the last right row of any *earlier* bucket;
-    4. each left row takes its in-bucket match, else the carried one.
+    2. one summary row per range tells the last right row of its last key, and
+       an associative scan over these rows what each range starts with;
+    3. each left row takes its match in the range, else the carried one.
 
-    The plan is lazy: no job runs before the result is read.
+    The ranges are written when this is called.
     """
-    by, widths = _cols(by), list(widths)
-    if any(b % a for a, b in zip(widths, widths[1:])):
-        raise ValueError(f"each width must divide the next: {widths}")
-    bucket_us = int(widths[0]) * 1_000_000
+    by = _cols(by)
     payload_fields = [right_ts] + [c for c in right_cols if c != right_ts]
     if tie_col not in payload_fields:
         payload_fields.append(tie_col)
@@ -75,33 +42,29 @@ def asof_join(left: DataFrame, right: DataFrame, by, left_ts: str, right_ts: str
     r = r.where(F.col(right_ts).isNotNull() & F.col(tie_col).isNotNull())
     for k in by:
         r = r.where(F.col(k).isNotNull())
-    r = r.select(*by, F.floor(micros(right_ts) / bucket_us).alias("_bkt"),
-                 micros(right_ts).alias("_t"), F.lit(0).alias("_kind"), F.col(tie_col).alias("_tie"),
-                 F.struct(*payload_fields).alias("_p"))
-    p_type = r.schema["_p"].dataType
+    r = r.select(*by, micros(right_ts).alias("_t"), F.lit(0).alias("_kind"), F.col(tie_col).alias("_tie"),
+                 F.lit(0).cast("long").alias("_apart"), F.struct(*payload_fields).alias("_p"))
 
     lcols = left.columns
-    l_side = left.select(*[F.col(k) for k in by], micros(left_ts).alias("_t"),
-                         F.struct(*[F.col(c) for c in lcols]).alias("_l"))
-    l_side = l_side.select(*by, F.floor(F.col("_t") / bucket_us).alias("_bkt"), "_t", F.lit(1).alias("_kind"),
-                           F.lit(None).cast(r.schema["_tie"].dataType).alias("_tie"),
-                           F.lit(None).cast(p_type).alias("_p"), "_l")
-    r_side = r.withColumn("_l", F.lit(None).cast(l_side.schema["_l"].dataType))
-
-    # 1: one shuffle on (key, bucket); running last right row
-    w_in = (Window.partitionBy(*by, "_bkt").orderBy(F.col("_t"), F.col("_kind"), F.col("_tie").desc_nulls_last())
-            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    win = r_side.unionByName(l_side).withColumn("_m", F.last("_p", ignorenulls=True).over(w_in))
-
-    # 2 + 3: last right row per bucket, carried across earlier buckets
-    place = F.struct((-F.col("_t")).alias("t"), F.col("_tie").alias("tie"))
-    known = r.groupBy(*by, "_bkt").agg(F.min_by("_p", place).alias("_bp"), F.min(place).alias("_at"))
-    probes = l_side.where(F.col("_bkt").isNotNull()).select(*by, "_bkt").distinct().withColumn("_probe", F.lit(True))
-    carry = _carried(probes, known, by, widths)
-
-    # 4: the in-bucket match, else the carried one
-    matched = win.where(F.col("_kind") == 1).select(*by, "_bkt", "_l", "_m")
-    out = matched.join(carry, by + ["_bkt"], "left").withColumn("_best", F.coalesce("_m", "_carry"))
+    l_side = left.select(*[F.col(k) for k in by], micros(left_ts).alias("_t"), F.lit(1).alias("_kind"),
+                         F.xxhash64(*lcols).alias("_apart"), F.struct(*[F.col(c) for c in lcols]).alias("_l"))
+    order = [*map(F.col, by), F.col("_t"), F.col("_kind"), F.col("_tie").desc_nulls_last(), F.col("_apart")]
+    rows = in_order(r.unionByName(l_side, allowMissingColumns=True), order, partitions)
+
+    # 1: running last right row inside the range
+    w_in = Window.partitionBy(SLOT, *by).orderBy(*order[len(by):]).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    win = rows.withColumn("_m", F.last("_p", ignorenulls=True).over(w_in))
+
+    # 2: the last right row of each range's last key, carried on
+    key, place = F.struct(*by), F.struct((-F.col("_t")).alias("t"), F.col("_tie").alias("tie"))
+    known = (rows.where("_kind = 0").groupBy(RANGE, SLOT, key.alias("_key")).agg(F.min_by("_p", place).alias("_carry"))
+             .groupBy(RANGE, SLOT).agg(F.max_by("_carry", "_key").alias("_carry"), F.max("_key").alias("_key")))
+    probes = rows.where("_kind = 1").groupBy(RANGE, SLOT).agg(F.min(key).alias("_key"))
+    before = carried(probes, known.drop(SLOT), {"_carry": "last"})
+
+    # 3: the match in the range, else the carried one
+    out = win.where("_kind = 1").select(SLOT, key.alias("_by"), "_l", "_m").join(F.broadcast(before), SLOT, "left")
+    out = out.withColumn("_best", F.coalesce("_m", F.when(F.col("_by").eqNullSafe(F.col("_key")), F.col("_carry"))))
     if how == "inner":
         out = out.where(F.col("_best").isNotNull())
     extra = [F.col("_best").getField(c).alias(c) for c in payload_fields if c in right_cols or c == right_ts]

@@ -9,7 +9,8 @@
    each partition its offset, applied as one array literal.
 
 All steps are built-in expressions, so other columns pass through untouched.
-Global rank (W3 / M2), chronological splits, folds, AUC and ROC all use it.
+Global rank (W3 / M2), chronological splits and folds use it; running totals,
+AUC and ROC the scan over written ranges of ``operators/scan.py``.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from roaskit.operators.scan import RANGE, SLOT, carried, in_order
 from roaskit.session import ensure_checkpoint_dir
 
 #: ``monotonically_increasing_id`` holds the partition above these bits and the row's place below them.
@@ -51,45 +53,36 @@ def _per_partition(values: list, kind: str) -> Column:
 def running_totals(df: DataFrame, order_cols, value_cols: list[str], prefix: str = "cum_",
                    partitions: int | None = None, group_cols: list[str] | None = None) -> tuple[DataFrame, dict]:
     """Exact inclusive prefix sums of ``value_cols`` in ``order_cols`` order,
-    restarting at every new value of ``group_cols`` when given; NULL counts as 0.
-
-    The range partitioning is on ``group_cols + order_cols``, so one group that
-    holds a third of all rows is split over many tasks; runs that cross a
-    partition border are stitched with offsets computed from one summary row
-    per partition.  ``order_cols`` should end with a unique key when ties
-    matter.  Returns the frame with ``prefix + col`` columns and the grand
-    totals (a dict of Python numbers).
+    restarting at every new value of ``group_cols`` when given; NULL counts as
+    0, and NaN and infinities add up as doubles do.
+
+    One shuffle: the table is written once in ranges of ``group_cols + order_cols``
+    (``scan.in_order``), so one group that holds a third of all rows is split over
+    many tasks; windows sum inside the ranges, and runs that cross a border take
+    over the sums of the ranges before.  ``order_cols`` should end with a unique
+    key when ties matter.  Returns the frame with ``prefix + col`` columns and,
+    without groups, the grand totals (a dict of Python numbers).
     """
-    group_cols = list(group_cols or [])
+    group_cols, order = list(group_cols or []), _order_exprs(order_cols)
     groups = [F.col(g) for g in group_cols]
-    placed, parts = _in_order(df, groups + _order_exprs(order_cols), partitions)
-    names = {c: f"_loc_{c}" for c in value_cols}
+    placed = in_order(df, groups + order, partitions)
     key = F.struct(*groups) if groups else F.struct(F.lit(0).alias("_k"))
-    in_part = Window.partitionBy("_pid").orderBy("_at")
-    in_run = Window.partitionBy("_pid", *group_cols).orderBy("_at").rowsBetween(Window.unboundedPreceding, 0)
-    local = placed.withColumn("_pid", _pid())
-    local = local.withColumn("_opens", F.first(key).over(in_part) if groups else key).withColumns(
-        {n: F.sum(F.coalesce(F.col(c).cast("double"), F.lit(0.0))).over(in_run) for c, n in names.items()})
-
-    # Groups are sorted, so a partition's offset is the sum of the trailing runs of
-    # the earlier partitions whose last key equals its first key.
-    rows = local.groupBy("_pid").agg(
-        F.min_by(key, "_at").alias("_first_key"), F.max_by(key, "_at").alias("_last_key"),
-        *[F.max_by(n, "_at").alias(n) for n in names.values()]).collect()
-    by_pid = {r["_pid"]: r for r in rows}
-    out, grand = local, {}
-    for c, n in names.items():
-        run_sum: dict = {}
-        offs = [0.0] * parts
-        for p in sorted(by_pid):
-            r = by_pid[p]
-            offs[p] = run_sum.get(r["_first_key"], 0.0)
-            run_sum[r["_last_key"]] = run_sum.get(r["_last_key"], 0.0) + r[n]
-        if not groups:
-            grand[c] = sum(r[n] for r in rows)
-        offset = F.when(F.col("_opens").eqNullSafe(key), _per_partition(offs, "D")).otherwise(F.lit(0.0))
-        out = out.withColumn(prefix + c, F.col(n) + offset)
-    return out.drop("_at", "_pid", "_opens", *names.values()), grand
+    value = {c: F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in value_cols}
+    in_run = Window.partitionBy(SLOT, *group_cols).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    local = placed.withColumns({f"_loc_{c}": F.sum(v).over(in_run) for c, v in value.items()})
+
+    # one row per range: its first and last group, and the sums of the last
+    sums = placed.groupBy(RANGE, SLOT, key.alias("_key")).agg(*[F.sum(v).alias(f"_off_{c}") for c, v in value.items()])
+    offsets = [f"_off_{c}" for c in value_cols]
+    ends = sums.groupBy(RANGE, SLOT).agg(F.min("_key").alias("_first"), F.max(F.struct("_key", *offsets)).alias("_last"))
+    known = ends.select(RANGE, F.col("_last._key").alias("_key"), *[F.col(f"_last.{c}").alias(c) for c in offsets])
+    before = carried(ends.select(RANGE, SLOT, F.col("_first").alias("_key")), known, dict.fromkeys(offsets, "sum"))
+    out = local.join(F.broadcast(before), SLOT, "left")
+    for c in value_cols:
+        offset = F.when(F.col("_key").eqNullSafe(key), F.coalesce(f"_off_{c}", F.lit(0.0))).otherwise(F.lit(0.0))
+        out = out.withColumn(prefix + c, F.col(f"_loc_{c}") + offset)
+    grand = {} if groups else placed.agg(*[F.coalesce(F.sum(v), F.lit(0.0)).alias(c) for c, v in value.items()]).first().asDict()
+    return out.drop(RANGE, SLOT, "_key", *offsets, *[f"_loc_{c}" for c in value_cols]), grand
 
 
 def global_rank(df: DataFrame, order_cols, name: str = "rank", partitions: int | None = None) -> tuple[DataFrame, int]:

@@ -7,17 +7,17 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from roaskit.functions.scalars import clip, exact_sum, safe_ratio, whole_days_between
-from roaskit.operators.joins import ASOF_WIDTHS, asof_join
+from roaskit.operators.joins import asof_join
 from roaskit.operators.ordering import running_totals
 
 
-def attribute_last_touch(orders: DataFrame, sessions: DataFrame, widths: tuple[int, ...] = ASOF_WIDTHS) -> DataFrame:
+def attribute_last_touch(orders: DataFrame, sessions: DataFrame, partitions: int | None = None) -> DataFrame:
     """Each order goes to the same user's latest session starting at or
     before the order; orders with no such session are dropped (one row per order)."""
     return asof_join(orders, sessions.select("user_id", "session_id", "session_start"),
                      by="user_id", left_ts="order_datetime", right_ts="session_start",
                      right_cols=["session_id", "session_start"], tie_col="session_id",
-                     how="inner", widths=widths)
+                     how="inner", partitions=partitions)
 
 
 def session_revenue(attributed: DataFrame) -> DataFrame:
@@ -86,9 +86,10 @@ def creative_rollup(enriched: DataFrame) -> DataFrame:
         F.grouping_id().alias("level"))
     r = r.withColumn("level", F.when(F.col("level") == 0, 0).when(F.col("level") == 1, 1).otherwise(2))
     # parent of a leaf = its theme subtotal (a window per theme over the roll-up output);
-    # parent of a theme subtotal = the grand total (a scalar)
+    # parent of a theme subtotal = the roll-up's own grand total (a window over the subtotals alone; leaves stay apart)
     parent_rev = F.sum(F.when(F.col("level") == 1, F.col("total_revenue"))).over(Window.partitionBy("creative_theme"))
-    total_rev = leaves.agg(exact_sum("total_revenue")).scalar()
+    apart = F.when(F.col("level") == 0, F.xxhash64("creative_theme", "creative_format"))
+    total_rev = F.sum(F.when(F.col("level") == 2, F.col("total_revenue"))).over(Window.partitionBy(apart))
     r = r.withColumns({
         "weighted_roas": F.when(F.col("total_revenue") > 0, F.col("_wr") / F.col("total_revenue")),
         "share_of_parent": F.when(F.col("level") == 0, safe_ratio(F.col("total_revenue"), parent_rev))

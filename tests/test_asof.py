@@ -2,11 +2,11 @@ import bisect
 import datetime as dt
 import random
 
-import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from roaskit.operators.joins import asof_join
+from roaskit.operators.scan import SLOT, in_order
 from roaskit.plans.creative import attribute_last_touch
 
 T0 = dt.datetime(2024, 1, 1)
@@ -39,7 +39,7 @@ def test_fixture_cases(spark):
         (15, "u9", T0 + dt.timedelta(hours=5), 3.0),           # user without session -> dropped
         (16, "u3", T0 + dt.timedelta(days=9), 4.0),            # carried across many buckets -> 5
     ], "order_id long, user_id string, order_datetime timestamp_ntz, gross_revenue double")
-    got = rows(attribute_last_touch(o, s, widths=(3600,)))
+    got = rows(attribute_last_touch(o, s, partitions=3))
     assert got == [(11, 1), (12, 2), (13, 4), (14, 4), (16, 5)]
     assert got == rows(brute(o, s))
 
@@ -56,10 +56,8 @@ def test_random_against_brute_force_with_hot_user(spark):
     s = spark.createDataFrame(sess, "session_id long, user_id string, session_start timestamp_ntz")
     o = spark.createDataFrame(orders, "order_id long, user_id string, order_datetime timestamp_ntz, gross_revenue double")
     expect = rows(brute(o, s))
-    for widths in ((600,), (86400,), (10 ** 7,), (1, 3600), (60, 3600, 86400)):
-        assert rows(attribute_last_touch(o, s, widths=widths)) == expect
-    with pytest.raises(ValueError):
-        attribute_last_touch(o, s, widths=(7, 60))
+    for partitions in (1, 2, 5, 40):
+        assert rows(attribute_last_touch(o, s, partitions=partitions)) == expect
 
 
 def test_a_burst_of_one_user_spreads_over_tasks(spark):
@@ -74,9 +72,26 @@ def test_a_burst_of_one_user_spreads_over_tasks(spark):
     at = sorted((t, -i) for i, _, t in sess)
     expect = sorted((i, -at[bisect.bisect_right(at, (t, 1)) - 1][1]) for i, _, t, _ in orders)
     assert rows(out) == expect
-    buckets = o.unionByName(s, allowMissingColumns=True).select(
-        F.date_trunc("second", F.coalesce("order_datetime", "session_start")).alias("b")).groupBy("b").count()
-    assert buckets.agg(F.max("count")).first()[0] < 1500  # 5,000 rows: no window holds a third of the burst
+    ranges = in_order(o.select("user_id", F.col("order_datetime").alias("at")), [F.col("user_id"), F.col("at")], 10)
+    assert ranges.groupBy(SLOT).count().agg(F.max("count")).first()[0] < 600  # 2,000 rows in ten ranges
+
+
+def test_rows_of_one_instant_spread_by_rows(spark):
+    """One key and one time stamp: the ranges are still cut by rows, and every left row finds the last right row."""
+    s = spark.createDataFrame([(i, "bot", T0) for i in range(500)], "session_id long, user_id string, session_start timestamp_ntz")
+    o = spark.createDataFrame([(i, "bot", T0) for i in range(3000)], "order_id long, user_id string, order_datetime timestamp_ntz")
+    assert rows(attribute_last_touch(o, s, partitions=8)) == [(i, 0) for i in range(3000)]
+
+
+def test_asof_plan_reads_and_shuffles_each_side_once(spark, tmp_path):
+    for name, ids in (("o", "order_id long, user_id string, order_datetime timestamp_ntz"), ("s", "session_id long, user_id string, session_start timestamp_ntz")):
+        spark.createDataFrame([(i, f"u{i % 7}", T0 + dt.timedelta(hours=i)) for i in range(50)], ids).write.parquet(str(tmp_path / name))
+    out = attribute_last_touch(spark.read.parquet(str(tmp_path / "o")), spark.read.parquet(str(tmp_path / "s")))
+    assert len(rows(out)) == len(rows(brute(spark.read.parquet(str(tmp_path / "o")), spark.read.parquet(str(tmp_path / "s"))))) > 0
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    scanned = [f for f in out.inputFiles() if f.endswith(".parquet") and "roaskit_scan_" not in f]
+    assert not scanned  # what is read again are the written ranges
+    assert plan.count("Exchange hashpartitioning") <= 1 and "rangepartitioning" not in plan  # the one is over a row per range
 
 
 def test_left_keeps_unmatched(spark):

@@ -1,7 +1,9 @@
 import datetime as dt
+import math
 import random
 
 import pandas as pd
+from pyspark.sql import functions as F
 
 from roaskit.operators.ordering import global_rank, running_totals, seeded_sample
 
@@ -69,3 +71,23 @@ def test_order_of_an_empty_table_and_null_groups(spark):
     df = spark.createDataFrame([(None, 1, 1.0), (None, 2, 2.0), ("a", 3, 5.0), ("a", 4, None)], "g string, id long, v double")
     out, _ = running_totals(df, ["id"], ["v"], partitions=4, group_cols=["g"])
     assert sorted((r.id, r.cum_v) for r in out.collect()) == [(1, 1.0), (2, 3.0), (3, 5.0), (4, 5.0)]
+
+
+def test_running_totals_keep_odd_numbers_and_names(spark):
+    """NaN and infinities add up as doubles do; any column name passes; a group split over ranges is stitched."""
+    data = [("g" if i < 90 else "h", i, float("nan") if i == 95 else float("inf") if i == 97 else float(i)) for i in range(100)]
+    df = spark.createDataFrame(data, "`a group` string, `id,x` long, `Value (1)` double")
+    out, _ = running_totals(df, [F.col("`id,x`")], ["Value (1)"], prefix="c_", partitions=6, group_cols=["a group"])
+    assert out.columns == ["a group", "id,x", "Value (1)", "c_Value (1)"]
+    got = {r[1]: r[3] for r in out.collect()}
+    assert all(got[i] == i * (i + 1) / 2 for i in range(90)) and got[94] == 90 + 91 + 92 + 93 + 94
+    assert all(math.isnan(got[i]) for i in range(95, 100))
+    total = running_totals(df, [F.col("`id,x`")], ["Value (1)"], partitions=6)[1]["Value (1)"]
+    assert math.isnan(total)
+
+
+def test_running_totals_shuffle_once(spark):
+    out, _ = running_totals(spark.range(1000).withColumn("g", F.col("id") % 3), ["id"], ["id"], partitions=4, group_cols=["g"])
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") <= 1  # over one row per range
+    assert out.agg(F.max("cum_id")).first()[0] == sum(range(0, 1000, 3))
