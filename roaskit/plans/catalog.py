@@ -1098,15 +1098,16 @@ def q_ingest_stream_result(spark, sf):
     master table read back; it must equal the batch validation.  No key
     dedup here: (order, line number) repeats in the driver data, so a key
     anti join would drop distinct rows; replays are made safe by the
-    per-batch overwrite instead."""
+    commit log instead."""
     import uuid
     from roaskit.session import ensure_checkpoint_dir
+    from roaskit.sources.master import read_committed
     from roaskit.streaming.ingest import run_available
     root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/ingest/{uuid.uuid4().hex}"
     ad.order_lines(spark, sf).write.option("header", True).csv(f"{root}/inbox")
     run_available(spark, f"{root}/inbox", order_line_contract(MIN_QTY, MAX_DISCOUNT), f"{root}/master",
                   f"{root}/quarantine", f"{root}/_checkpoint", archive=f"{root}/archive")
-    m = spark.read.parquet(f"{root}/master")
+    m = read_committed(spark, f"{root}/master")
     return m.select("order_id", "customer_id", "order_datetime", "sku", "qty",
                     r4("unit_price").alias("unit_price"), r4("discount").alias("discount"))
 
@@ -1124,6 +1125,7 @@ UNION ALL SELECT 'unrouted', c_custkey || ',' || c_mktsegment, NULL, NULL, 'unkn
 def q_ingest_mixed_inbox(spark, sf):
     """S8 + T1 + Q1: order lines under two header orders (one with an alias), web sessions, and files of a third kind,
     all in one inbox; every row comes back from the table it was sent to."""
+    from roaskit.sources.master import log_of, read_committed
     from roaskit.streaming.ingest import run_available
     root = _inbox(spark)
     lines = ad.order_lines(spark, sf, extra=["l_returnflag"])
@@ -1137,7 +1139,7 @@ def q_ingest_mixed_inbox(spark, sf):
                   f"{root}/master", f"{root}/quarantine", f"{root}/_checkpoint")
     none, number = F.array().cast("array<string>"), F.lit(None).cast("bigint")
     def rows(table, kind, key, errors, lines=False):
-        return spark.read.parquet(f"{root}/{table}").select(
+        return read_committed(spark, f"{root}/{table}", log_of(f"{root}/master")).select(
             F.lit(kind).alias("kind"), F.col(key).alias("id"), (F.col("qty") if lines else number).alias("qty"),
             (r4("unit_price") if lines else F.lit(None).cast("double")).alias("unit_price"), F.concat_ws(";", errors).alias("errors"))
     out = rows("master/order_lines", "order_lines", "order_id", none, True)
@@ -1155,14 +1157,15 @@ SELECT split_part(order_id, '-', 1) AS order_id, sku, qty, CASE WHEN row_number(
   THEN 'duplicate_key' ELSE '' END AS errors FROM chk WHERE errors = ''""")
 def q_ingest_dedup(spark, sf):
     """S6 + Q7: order lines under one key per order; the first line stays and the others are in quarantine."""
+    from roaskit.sources.master import log_of, read_committed
     from roaskit.streaming.ingest import run_available
     root = _inbox(spark)
     lines = ad.order_lines(spark, sf).withColumn("order_id", F.substring_index("order_id", "-", 1))
     lines.write.option("header", True).csv(f"{root}/inbox")
     run_available(spark, f"{root}/inbox", order_line_contract(MIN_QTY, MAX_DISCOUNT), f"{root}/master", f"{root}/quarantine",
                   f"{root}/_checkpoint", dedup_key=["order_id"])
-    kept = spark.read.parquet(f"{root}/master").select("order_id", "sku", "qty", F.lit("").alias("errors"))
-    twice = spark.read.parquet(f"{root}/quarantine").where(F.array_contains("errors", "duplicate_key"))
+    kept = read_committed(spark, f"{root}/master").select("order_id", "sku", "qty", F.lit("").alias("errors"))
+    twice = read_committed(spark, f"{root}/quarantine", log_of(f"{root}/master")).where(F.array_contains("errors", "duplicate_key"))
     return kept.unionByName(twice.select("order_id", "sku", "qty", F.concat_ws(";", "errors").alias("errors")))
 
 

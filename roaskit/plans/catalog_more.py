@@ -61,7 +61,8 @@ def q_drop_folder_to_master(spark, sf):
     told = scan.select("order_id", "status", F.col("source_file").endswith(".csv").alias("from_csv"))
     for _ in range(2):
         files.append_to_master(spark, told, f"{root}/master", key=["order_id"], duplicates=f"{root}/again")
-    return rs.tag_union({name: spark.read.parquet(f"{root}/{name}") for name in ("master", "again")})
+    return rs.tag_union({"master": files.read_master(spark, f"{root}/master"),
+                         "again": files.read_master(spark, f"{root}/again", of=f"{root}/master")})
 
 
 # --- filters, joins and reshapes --------------------------------------------------------

@@ -11,9 +11,10 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 from pyspark.sql.types import StringType, StructField, StructType
 
+from roaskit.sources.master import BUCKETS, KeyedMaster, log_of, read_committed
+
 BOM = "﻿"
 
 
@@ -89,26 +90,23 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 def append_to_master(spark: SparkSession, df: DataFrame, path: str, key: list[str] | None = None,
-                     fmt: str = "parquet", duplicates: str | None = None) -> None:
+                     fmt: str = "parquet", duplicates: str | None = None, buckets: int = BUCKETS) -> None:
     """Append rows to a master table, creating it when missing.
 
-    With ``key`` the append is idempotent: rows whose key already exists in the
-    master are left out, and of rows that share a key the first in the order of
-    all columns wins, so one file delivered twice does not double the table.
-    The rows left out are appended to the table ``duplicates``, when given.
+    With ``key`` the master is laid out in ``buckets`` of its key (``master.KeyedMaster``) and the append is
+    idempotent: rows whose key already exists in the master are left out, for which only the buckets that the
+    rows' keys fall in are read, and of rows that share a key the first in the order of all columns wins, so one
+    file delivered twice does not double the table.  The rows left out are appended to the table ``duplicates``,
+    when given.  Both show at once, when the append is committed; read them with ``read_master``.
     """
-    new = df
-    if key:
-        nth = F.row_number().over(Window.partitionBy(*key).orderBy(*[F.col(c) for c in df.columns]))
-        told = df.withColumn("_nth", nth).withColumn("_known", F.lit(False))
-        if path_exists(spark, path):
-            earlier = spark.read.format(fmt).load(path).select(*key).distinct().withColumn("_seen", F.lit(True))
-            told = told.drop("_known").join(earlier, key, "left").withColumn("_known", F.coalesce("_seen", F.lit(False)))
-        told = told.persist() if duplicates else told
-        out = (F.col("_nth") > 1) | F.col("_known")
-        if duplicates:
-            told.where(out).select(*df.columns).write.mode("append").format(fmt).save(duplicates)
-        new = told.where(~out).select(*df.columns)
-    new.write.mode("append").format(fmt).save(path)
-    if key and duplicates:
-        told.unpersist()
+    if not key:
+        df.write.mode("append").format(fmt).save(path)
+        return
+    if fmt != "parquet":
+        raise ValueError("a keyed master is parquet")
+    KeyedMaster(spark, path, key, buckets).append(df, duplicates=duplicates)
+
+
+def read_master(spark: SparkSession, path: str, of: str | None = None) -> DataFrame | None:
+    """The committed rows of a keyed master, or of the table of rows that appends to the master ``of`` left out."""
+    return read_committed(spark, path, log_of(of) if of else None)

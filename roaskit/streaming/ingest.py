@@ -9,11 +9,19 @@ others to the quarantine with their reasons and their raw text.  Rows with too
 few or too many fields are rejected as ``malformed_row``, rows of files that
 no contract takes as ``unknown_header``.
 
+Quoted line breaks belong to their field: files with a line that leaves a
+quote open are read whole, one task a file, the others in splits.  Only a
+file's first line is its header; a later line that equals it is data.  Files
+without a byte are nothing to Spark's file source.
+
 Exactly-once output: every micro-batch writes to ``<table>/batch_id=<id>``
-with overwrite.  ``foreachBatch`` is at-least-once -- a batch replayed after a
-crash has the same id and the same files, so it replaces its own earlier
-output instead of appending a second copy.  ``cleanSource=archive`` moves a
-file out of the inbox once a later batch has committed.
+with overwrite, and its master, quarantine and counts become visible together
+when its commit (``<master>/_commits/<id>.json``) is written, last of all;
+``read_committed`` reads committed batches only.  ``foreachBatch`` is
+at-least-once -- a batch replayed after a crash has the same id and the same
+files, so it replaces its own earlier output, and a committed one is not run
+again.  ``cleanSource=archive`` moves a file out of the inbox once a later
+batch has committed.
 """
 
 from __future__ import annotations
@@ -22,15 +30,15 @@ import csv
 import re
 from collections import defaultdict
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
-from pyspark.sql.window import Window
 
 from roaskit.functions.scalars import sha256_id
 from roaskit.operators.quality import Contract, validation_counts, with_errors
-from roaskit.sources.files import path_exists
+from roaskit.sources.master import BUCKETS, CommitLog, KeyedMaster, log_of, write_batch
 
 #: Columns that ingestion adds to the contract's own.
 SOURCE, RAW, MALFORMED = "source_file", "raw", "_malformed"
@@ -73,12 +81,25 @@ def _literal(path: str) -> str:
     return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
 
 
-def _cells(spark: SparkSession, names: list[str], paths: list[str], contract: Contract) -> DataFrame:
+def _with_breaks(spark: SparkSession, paths: list[str]) -> set[str]:
+    """The names of the files in which a line leaves a quote open (at most the files of a micro-batch)."""
+    rows = spark.read.text([_literal(p) for p in paths]).select(F.col("_metadata.file_path").alias("path"), "value")
+    quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit('"')))
+    return {r["path"] for r in rows.where(quotes % 2 == 1).select("path").distinct().collect()}
+
+
+def _same_file(listed: str, told: set[str]) -> bool:
+    """Whether a listed file is among the paths that a scan told, which escape some characters."""
+    tails = {unquote(p).split(":", 1)[-1].lstrip("/") for p in told}
+    return unquote(listed).split(":", 1)[-1].lstrip("/") in tails or listed.split(":", 1)[-1].lstrip("/") in tails
+
+
+def _cells(spark: SparkSession, names: list[str], paths: list[str], contract: Contract, breaks: bool) -> DataFrame:
     """The contract's columns as text, with source file, raw row and malformed line, of files with one header."""
     fields = [f"_c{i}" for i in range(len(names))]
     schema = StructType([StructField(c, StringType()) for c in [*fields, MALFORMED]])
     rows = (spark.read.schema(schema).option("header", True).option("enforceSchema", True).option("mode", "PERMISSIVE")
-            .option("columnNameOfCorruptRecord", MALFORMED).csv([_literal(p) for p in paths]))
+            .option("multiLine", breaks).option("columnNameOfCorruptRecord", MALFORMED).csv([_literal(p) for p in paths]))
     told = columns_by_name(names, contract)
     whole = F.to_json(F.struct(*[F.col(c).alias(f"{n}#{i}" if names.count(n) > 1 else n) for i, (c, n) in enumerate(zip(fields, names))]),
                       {"ignoreNullFields": "false"})
@@ -86,19 +107,18 @@ def _cells(spark: SparkSession, names: list[str], paths: list[str], contract: Co
                        F.col("_metadata.file_name").alias(SOURCE), F.coalesce(MALFORMED, whole).alias(RAW), MALFORMED)
 
 
-def _lines(spark: SparkSession, line: str, paths: list[str]) -> DataFrame:
-    """The lines below the header, of files that no contract takes."""
-    rows = spark.read.text([_literal(p) for p in paths]).select(F.col("_metadata.file_name").alias(SOURCE), F.col("value").alias(RAW))
-    return rows.where(F.col(RAW) != line).withColumn("errors", F.array(F.lit("unknown_header")))
-
-
-def _write_batch(frame: DataFrame, table: str, batch_id: int) -> None:
-    frame.write.mode("overwrite").parquet(f"{table.rstrip('/')}/batch_id={batch_id}")
+def _lines(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """The lines below the header, of files that no contract takes: one field, no quotes, the first line skipped."""
+    rows = (spark.read.schema(f"{RAW} string").option("header", True).option("enforceSchema", True).option("sep", "\u0001")
+            .option("quote", "").option("escape", "\u0002").csv([_literal(p) for p in paths]))
+    return rows.select(F.col("_metadata.file_name").alias(SOURCE), RAW, F.array(F.lit("unknown_header")).alias("errors"))
 
 
 def _store(spark: SparkSession, cells: DataFrame | None, strangers: DataFrame | None, contract: Contract, master: str,
-           quarantine: str, dedup_key: list[str] | None, counts: str | None, batch_id: int) -> None:
-    """Check one contract's rows of a batch and write its tables; ``strangers`` go to the quarantine as they are."""
+           quarantine: str, dedup_key: list[str] | None, counts: str | None, batch_id: int, log: CommitLog, buckets: int) -> dict:
+    """Check one contract's rows of a batch and write its tables; ``strangers`` go to the quarantine as they are.
+
+    Returns what the batch's commit tells about the tables."""
     if cells is None:
         cells = spark.createDataFrame([], ", ".join(f"`{c}` string" for c in [*contract.types, SOURCE, RAW, MALFORMED]))
     checked = with_errors(cells, contract)
@@ -106,70 +126,68 @@ def _store(spark: SparkSession, cells: DataFrame | None, strangers: DataFrame |
     checked = checked.withColumn("errors", F.concat(broken, "errors")).drop(MALFORMED)
     if contract.hashed:  # in rejected rows too, and their raw text with them
         checked = checked.withColumns({c: sha256_id(c) for c in [*contract.hashed, RAW]})
-    checked = checked.persist()
-    good = checked.where(F.size("errors") == 0).drop("errors")
-    bad = checked.where(F.size("errors") > 0)
-    if dedup_key:
-        # the first row in order of the contract's columns, then file and text, wins; the others are kept in quarantine
-        order = Window.partitionBy(*dedup_key).orderBy(*contract.types, SOURCE, RAW)
-        good = good.withColumn("_nth", F.row_number().over(order))
-        twice = good.where("_nth > 1").drop("_nth")
-        good = good.where("_nth = 1").drop("_nth")
-        if path_exists(spark, master):
-            earlier = spark.read.parquet(master)
-            if "batch_id" in earlier.columns:  # a replayed batch replaces its own rows
-                earlier = earlier.where(F.col("batch_id").isNull() | (F.col("batch_id") != batch_id))
-            earlier = earlier.select(*dedup_key).distinct()
-            twice = twice.unionByName(good.join(earlier, dedup_key, "left_semi"))
-            good = good.join(earlier, dedup_key, "left_anti")
-        bad = bad.unionByName(twice.withColumn("errors", F.array(F.lit("duplicate_key"))))
-    if strangers is not None:
-        bad = bad.unionByName(strangers, allowMissingColumns=True)
-    if counts:  # Q8: accepted / rejected per file, one small table per batch
-        every = checked.select(SOURCE, "errors")
+    checked, wrote = checked.persist(), {}
+    try:
+        good = checked.where(F.size("errors") == 0).drop("errors")
+        bad = checked.where(F.size("errors") > 0)
+        if dedup_key:
+            # the first row in order of the contract's columns, then file and text, wins; the others are kept in quarantine
+            keyed = KeyedMaster(spark, master, dedup_key, buckets, log.path)
+            good, twice = keyed.split(good, [*contract.types, SOURCE, RAW], skip=(str(batch_id),))
+            bad = bad.unionByName(twice.withColumn("errors", F.array(F.lit("duplicate_key"))))
         if strangers is not None:
-            every = every.unionByName(strangers.select(SOURCE, "errors"))
-        _write_batch(validation_counts(every, [SOURCE]), counts, batch_id)
-    _write_batch(good.drop(RAW), master, batch_id)
-    _write_batch(bad, quarantine, batch_id)
-    checked.unpersist()
+            bad = bad.unionByName(strangers, allowMissingColumns=True)
+        if counts:  # Q8: accepted / rejected per file, one small table per batch
+            every = checked.select(SOURCE, "errors")
+            if strangers is not None:
+                every = every.unionByName(strangers.select(SOURCE, "errors"))
+            wrote[counts] = write_batch(validation_counts(every, [SOURCE]), counts, batch_id)
+        wrote[master] = keyed.write(good.drop(RAW), batch_id) if dedup_key else write_batch(good.drop(RAW), master, batch_id)
+        wrote[quarantine] = write_batch(bad, quarantine, batch_id)
+    finally:
+        checked.unpersist()
+    return wrote
 
 
 def _batch_writer(spark: SparkSession, contracts: list[Contract], several: bool, master: str, quarantine: str,
-                  dedup_key: list[str] | None, counts: str | None):
+                  dedup_key: list[str] | None, counts: str | None, buckets: int):
+    log = CommitLog(spark, log_of(master))
+
     def process(batch: DataFrame, batch_id: int) -> None:
+        if log.has(batch_id):  # the crash came after the commit
+            return
         # at most max_files_per_trigger names; the source tells some twice when a name holds a pattern character
         files = sorted({r["path"] for r in batch.select("path").collect()})
         by_header = defaultdict(list)
         for path in files:
-            line = header_line(spark, path)
-            if line is not None:
-                by_header[line].append(path)
-        cells, strangers = defaultdict(list), []
+            by_header[header_line(spark, path) or ""].append(path)
+        cells, strangers, breaks = defaultdict(list), [], _with_breaks(spark, files) if files else set()
         for line, paths in by_header.items():
             names = header_names(line)
             contract = route(names, contracts)
             if contract is None:
-                strangers.append(_lines(spark, line, paths))
-            else:
-                cells[contract.name].append(_cells(spark, names, paths, contract))
+                strangers.append(_lines(spark, paths))
+                continue
+            split = {b: [p for p in paths if _same_file(p, breaks) == b] for b in (False, True)}
+            cells[contract.name] += [_cells(spark, names, own, contract, b) for b, own in split.items() if own]
         union = lambda frames: reduce(DataFrame.unionByName, frames) if frames else None
-        odd = union(strangers)
+        odd, wrote = union(strangers), {}
         for contract in contracts:
             mine = f"/{contract.name}" if several else ""
             rows = union(cells[contract.name])
             if rows is not None or not several:
-                _store(spark, rows, None if several else odd, contract, f"{master.rstrip('/')}{mine}", f"{quarantine.rstrip('/')}{mine}",
-                       dedup_key, f"{counts.rstrip('/')}{mine}" if counts else None, batch_id)
+                wrote |= _store(spark, rows, None if several else odd, contract, f"{master}{mine}", f"{quarantine}{mine}",
+                                dedup_key, f"{counts}{mine}" if counts else None, batch_id, log, buckets)
         if several and odd is not None:
-            _write_batch(odd, f"{quarantine.rstrip('/')}/{UNROUTED}", batch_id)
+            wrote[f"{quarantine}/{UNROUTED}"] = write_batch(odd, f"{quarantine}/{UNROUTED}", batch_id)
+        log.commit(batch_id, wrote)
     return process
 
 
 def ingest_stream(spark: SparkSession, inbox: str, contract: Contract | list[Contract], master: str, quarantine: str,
                   checkpoint: str, archive: str | None = None, glob: str = "*.csv",
                   dedup_key: list[str] | None = None, available_now: bool = True,
-                  max_files_per_trigger: int = 1000, counts: str | None = None):
+                  max_files_per_trigger: int = 1000, counts: str | None = None, buckets: int = BUCKETS):
     """Start the ingestion stream; with ``available_now`` it processes what
     is in the inbox and stops (call again later, or run continuously with
     ``available_now=False``).  With a list of contracts each has its own tables
@@ -178,7 +196,8 @@ def ingest_stream(spark: SparkSession, inbox: str, contract: Contract | list[Con
     ``max_files_per_trigger`` bounds each micro-batch (its file names and header
     lines are read on the driver, and its rows are persisted while they are
     checked and written); ``available_now`` still drains the whole inbox, batch
-    by batch.  Returns the ``StreamingQuery``."""
+    by batch.  With ``dedup_key`` a master is laid out in ``buckets`` of the key,
+    and a batch reads the keys of the buckets that its own fall in.  Returns the ``StreamingQuery``."""
     several = not isinstance(contract, Contract)
     # only the names are selected, so the contents are not read here
     reader = (spark.readStream.format("binaryFile").option("pathGlobFilter", glob)
@@ -186,7 +205,8 @@ def ingest_stream(spark: SparkSession, inbox: str, contract: Contract | list[Con
               .option("maxFilesPerTrigger", max_files_per_trigger))
     if archive:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
-    write = _batch_writer(spark, list(contract) if several else [contract], several, master, quarantine, dedup_key, counts)
+    write = _batch_writer(spark, list(contract) if several else [contract], several, master.rstrip("/"), quarantine.rstrip("/"),
+                          dedup_key, counts.rstrip("/") if counts else None, buckets)
     writer = reader.load(inbox).select("path").writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()
