@@ -112,7 +112,7 @@ def _typed(df: DataFrame, contract: Contract) -> DataFrame:
             typed = F.coalesce(raw.cast("string").try_cast(t), whole)
         elif t in ("double", "float"):  # NaN and infinities are no values
             number = raw.cast("string").try_cast(t)
-            typed = F.when(~F.isnan(number) & (F.abs(number) < float("inf")), number)
+            typed = F.when(F.abs(number) < float("inf"), number)  # NaN is larger
         else:
             typed = raw.cast("string").try_cast(t) if t != "string" else raw.cast("string")
         exprs[c] = typed
@@ -181,35 +181,87 @@ def assert_valid(checked: DataFrame) -> None:
         raise ValueError("contract violated: " + ", ".join(f"{r['rule']}={r['count']}" for r in fails))
 
 
-def profile(df: DataFrame, cols: list[str] | None = None, exact_distinct: bool = True,
+#: Size of the distinct sketch (2 ** bits cells: a standard error of 1.04 / sqrt(cells)) and of the quantile sketch
+#: (about 1.3 / k of the ranks).
+DISTINCT_BITS, QUANTILE_K = 12, 800
+
+
+def _kind(dtype: str) -> str:
+    if dtype in ("int", "bigint", "double", "float", "smallint", "tinyint") or dtype.startswith("decimal"):
+        return "number"
+    return "time" if dtype in ("date", "timestamp", "timestamp_ntz") else "other"
+
+
+def profile_parts(df: DataFrame, cols: list[str] | None = None, by: list[str] | None = None, future_after=None) -> DataFrame:
+    """Q10: the mergeable state of a profile, one row per column (and per group of ``by``, e.g. a source file).
+
+    One aggregate pass with a bounded state per column: counts, extremes, moments, a distinct sketch and a quantile
+    sketch.  Parts of several inputs can be stored and added to; ``merge_profiles`` makes a profile of any of them.
+    """
+    cols, types, by = cols or df.columns, dict(df.dtypes), by or []
+    parts = []
+    for c in cols:
+        col, kind = F.col(f"`{c}`"), _kind(types[c])
+        number, time = col.cast("double"), col.cast("timestamp_ntz") if kind == "time" else None
+        counted = col if types[c] in ("int", "bigint", "string", "binary") else col.cast("string")
+        n = F.count(col)
+        parts.append(F.struct(
+            F.lit(c).alias("column"), F.lit(types[c]).alias("dtype"),
+            n.alias("non_null"), F.count_if(col.isNull()).alias("nulls"),
+            F.hll_sketch_agg(counted, F.lit(DISTINCT_BITS)).alias("distinct_sketch"),
+            *[(agg if kind == "number" else F.lit(None)).cast(t).alias(name) for name, t, agg in (
+                ("min_value", "double", F.min(col) if kind == "number" else None),
+                ("max_value", "double", F.max(col) if kind == "number" else None),
+                ("mean", "double", F.avg(col) if kind == "number" else None),
+                ("spread", "double", F.var_pop(number) * n if kind == "number" else None),
+                ("negatives", "bigint", F.count_if(col < 0) if kind == "number" else None),
+                ("quantile_sketch", "binary", F.kll_sketch_agg_double(number, F.lit(QUANTILE_K)) if kind == "number" else None))],
+            *[(agg if kind == "time" else F.lit(None)).cast(t).alias(name) for name, t, agg in (
+                ("min_time", "timestamp_ntz", F.min(time) if kind == "time" else None),
+                ("max_time", "timestamp_ntz", F.max(time) if kind == "time" else None),
+                ("future", "bigint", F.count_if(time > F.to_timestamp_ntz(F.lit(str(future_after))))
+                 if kind == "time" and future_after is not None else F.lit(None)))]))
+    one = df.groupBy(*by).agg(*[p.alias(f"_s{i}") for i, p in enumerate(parts)])
+    return one.select(*by, F.explode(F.array(*[F.col(f"_s{i}") for i in range(len(cols))])).alias("s")).select(*by, "s.*")
+
+
+def merge_profiles(parts: DataFrame, by: list[str] | None = None, quartiles: bool = False) -> DataFrame:
+    """Q10: the profile of all inputs whose parts are given, one row per column (and group of ``by``): non-null and
+    null counts, distinct count (sketched), numeric min / max / mean / stddev, negatives, time range and values after
+    the parts' ``future_after``; ``quartiles`` adds the sketched 25/50/75 % points."""
+    by = by or []
+    n, mean = F.col("non_null"), F.col("mean")
+    merged = parts.groupBy(*by, "column", "dtype").agg(
+        F.sum("non_null").alias("non_null"), F.sum("nulls").alias("nulls"),
+        F.hll_union_agg("distinct_sketch").alias("distinct_sketch"),
+        F.min("min_value").alias("min_value"), F.max("max_value").alias("max_value"),
+        F.sum(mean * n).alias("_sum"), F.sum("spread").alias("_within"), F.sum(mean * mean * n).alias("_squares"),
+        F.sum("negatives").alias("negatives"), F.min("min_time").alias("min_time"), F.max("max_time").alias("max_time"),
+        F.sum("future").alias("future"), F.kll_merge_agg_double("quantile_sketch").alias("quantile_sketch"))
+    total = F.try_divide("_sum", "non_null")
+    spread = F.col("_within") + F.greatest(F.col("_squares") - F.col("_sum") * total, F.lit(0.0))
+    points = F.array(*[F.lit(q) for q in (0.25, 0.5, 0.75)])
+    return merged.select(
+        *by, "column", "dtype", "non_null", "nulls", F.hll_sketch_estimate("distinct_sketch").alias("distinct"), "min_value",
+        "max_value", total.alias("mean"), F.when(F.col("non_null") > 1, F.sqrt(spread / (F.col("non_null") - 1))).alias("stddev"),
+        "negatives", "min_time", "max_time", "future",
+        *([F.when(F.col("negatives").isNotNull() & (F.col("non_null") > 0), F.kll_sketch_get_quantile_double("quantile_sketch", points))
+           .alias("quartiles")] if quartiles else []))
+
+
+def profile(df: DataFrame, cols: list[str] | None = None, exact_distinct: bool | list[str] = False,
             future_after=None, quartiles: bool = False) -> DataFrame:
-    """Q10: one aggregate pass -> one row per column: non-null and null counts,
-    distinct count, numeric min / max / mean / stddev, negatives, time range,
-    and -- for time columns -- values after ``future_after`` (future dates).
-    ``quartiles`` adds approximate 25/50/75 % points (bounded memory at any
-    size); ``exact_distinct=False`` switches to HyperLogLog distinct counts."""
+    """Q10: the profile of one table in one scan (``profile_parts`` and ``merge_profiles``).
+
+    Columns named in ``exact_distinct`` (all, if True) have their distinct values counted exactly, each by a scan and
+    an aggregation of its own, so no row is expanded by columns."""
     cols = cols or df.columns
-    types = dict(df.dtypes)
-    aggs = []
-    for i, c in enumerate(cols):
-        numeric = types[c] in ("int", "bigint", "double", "float", "smallint", "tinyint") or types[c].startswith("decimal")
-        temporal = types[c] in ("date", "timestamp", "timestamp_ntz")
-        col = F.col(c)
-        dist = F.count_distinct(col) if exact_distinct else F.approx_count_distinct(col)
-        aggs.append(F.struct(
-            F.lit(c).alias("column"), F.lit(types[c]).alias("dtype"),
-            F.count(col).alias("non_null"), F.count_if(col.isNull()).alias("nulls"), dist.alias("distinct"),
-            (F.min(col).cast("double") if numeric else F.lit(None).cast("double")).alias("min_value"),
-            (F.max(col).cast("double") if numeric else F.lit(None).cast("double")).alias("max_value"),
-            (F.avg(col) if numeric else F.lit(None).cast("double")).alias("mean"),
-            (F.stddev(col) if numeric else F.lit(None).cast("double")).alias("stddev"),
-            (F.count_if(col < 0) if numeric else F.lit(None).cast("bigint")).alias("negatives"),
-            (F.min(col).cast("timestamp_ntz") if temporal else F.lit(None).cast("timestamp_ntz")).alias("min_time"),
-            (F.max(col).cast("timestamp_ntz") if temporal else F.lit(None).cast("timestamp_ntz")).alias("max_time"),
-            (F.count_if(col.cast("timestamp_ntz") > F.to_timestamp_ntz(F.lit(str(future_after))))
-             if temporal and future_after is not None else F.lit(None).cast("bigint")).alias("future"),
-            *([(F.percentile_approx(col.cast("double"), [0.25, 0.5, 0.75], 10000) if numeric
-                else F.lit(None).cast("array<double>")).alias("quartiles")] if quartiles else []),
-        ).alias(f"_s{i}"))
-    one = df.agg(*aggs)
-    return one.select(F.explode(F.array(*[F.col(f"_s{i}") for i in range(len(cols))])).alias("s")).select("s.*")
+    out = merge_profiles(profile_parts(df, cols, future_after=future_after), quartiles=quartiles)
+    exact = cols if exact_distinct is True else exact_distinct or []
+    if exact:
+        count = None
+        for c in exact:
+            own = df.agg(F.count_distinct(F.col(f"`{c}`"))).scalar()
+            count = (F if count is None else count).when(F.col("column") == c, own)
+        out = out.withColumn("distinct", count.otherwise(F.col("distinct")))
+    return out

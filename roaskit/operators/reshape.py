@@ -70,14 +70,21 @@ def one_hot(df: DataFrame, levels: dict[str, list], null_indicator: bool = True,
     """``<col>_<value>`` 0/1 columns for the given levels plus ``<col>_nan``.
 
     Levels are explicit (a model's feature list), so the expression is static
-    and needs no distinct pass over the data.
+    and needs no distinct pass over the data.  Where two indicators would share
+    a name (a level ``nan`` beside the NULL indicator, or ``a_b`` of two
+    columns), the later one gets underscores at its end.
     """
     new = {}
+
+    def add(name: str, is_level) -> None:
+        while name in new:
+            name += "_"
+        new[name] = F.when(is_level, 1).otherwise(0)
     for col, vals in levels.items():
         for v in vals:
-            new[f"{col}_{v}"] = F.when(F.col(col) == F.lit(v), 1).otherwise(0)
+            add(f"{col}_{v}", F.col(col) == F.lit(v))
         if null_indicator:
-            new[f"{col}_nan"] = F.when(F.col(col).isNull(), 1).otherwise(0)
+            add(f"{col}_nan", F.col(col).isNull())
     out = df.withColumns(new)
     return out.drop(*levels.keys()) if drop else out
 

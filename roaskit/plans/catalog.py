@@ -730,10 +730,32 @@ def _profile_sql():
 
 @register("table_profile", _profile_sql())
 def q_table_profile(spark, sf):
-    p = qa.profile(load(spark, sf, "orders"), [c for c, _ in PROFILE_COLS], future_after=PROFILE_FUTURE)
+    p = qa.profile(load(spark, sf, "orders"), [c for c, _ in PROFILE_COLS], exact_distinct=True, future_after=PROFILE_FUTURE)
     return p.withColumns({"mean": r4("mean"), "stddev": r4("stddev")})
 
 
+@register("table_profile_merged", f"""
+WITH p AS ({_profile_sql()})
+SELECT "column", non_null, nulls, min_value, max_value, mean, stddev, TRUE AS distinct_within, TRUE AS median_within FROM p""")
+def q_table_profile_merged(spark, sf):
+    """Q10: a profile kept per order status and merged from the stored parts; the sketched distinct counts lie within
+    three standard errors (5 %) of the exact ones, the sketched medians within 1 % of the ranks."""
+    from roaskit.sources.files import write_table
+    orders, cols = load(spark, sf, "orders"), [c for c, _ in PROFILE_COLS]
+    at = f"{_inbox(spark)}/parts"
+    write_table(qa.profile_parts(orders, cols, by=["o_orderstatus"], future_after=PROFILE_FUTURE), at)
+    p = qa.merge_profiles(spark.read.parquet(at), quartiles=True)
+    exact, ranks = F.lit(0), F.lit(None).cast("array<double>")
+    for c, t in PROFILE_COLS:
+        exact = F.when(F.col("column") == c, orders.agg(F.count_distinct(c)).scalar()).otherwise(exact)
+        if t in ("bigint", "double"):
+            ranks = F.when(F.col("column") == c, orders.agg(F.percentile_approx(F.col(c).cast("double"), [0.49, 0.51], 100_000)).scalar()).otherwise(ranks)
+    median = F.col("quartiles")[1]
+    return p.select("column", "non_null", "nulls", "min_value", "max_value", r4("mean").alias("mean"), r4("stddev").alias("stddev"),
+                    (F.abs(F.col("distinct") - exact) <= 0.05 * exact).alias("distinct_within"),
+                    F.coalesce(median.between(ranks[0], ranks[1]), median.isNull()).alias("median_within"))
+
+
 @register("web_sessions_hashed", """
 SELECT CAST(session_id AS VARCHAR) AS session_id, sha256(CAST(user_id AS VARCHAR)) AS user_id,
   CAST(date_trunc('second', session_start) AS TIMESTAMP) AS session_start

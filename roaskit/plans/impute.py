@@ -2,8 +2,11 @@
 
 ``impute_mean`` fills gaps with the column mean (a scalar subquery).
 ``impute_iterative`` is chained-equation imputation: start from the means,
-then, round robin, regress each column that has gaps on the others using the
-rows where it is observed, and refill its gaps from the fit.  One aggregate
+then, round robin, regress each column that has gaps on
+the others using the rows where it is observed, and refill its gaps from the
+fit.  The regressions are Bayesian ridge, the column with the fewest gaps
+first: both precisions (of the noise and of the weights) are found by
+maximising the evidence.  One aggregate
 pass gathers a moment matrix per pattern of gaps; all rounds run on these
 small matrices, because a gap's value stays an affine function of the row's
 observed values.  One projection then fills the gaps.
@@ -31,20 +34,29 @@ def impute_mean(df: DataFrame, cols: list[str], flag: str | None = "imputed_bool
     return out
 
 
-def impute_iterative(df: DataFrame, cols: list[str], max_iter: int = 10, ridge: float = 1e-6,
+#: Weak priors of both precisions, rounds of evidence maximisation and the change of weights that ends them.
+PRIOR, EVIDENCE_ROUNDS, EVIDENCE_TOL = 1e-6, 300, 1e-3
+
+
+def impute_iterative(df: DataFrame, cols: list[str], max_iter: int = 10, ridge: float | None = None,
                      tol: float = 1e-3, flag: str | None = "imputed_bool") -> DataFrame:
     """Chained regressions over ``cols`` (numeric).  Flags gaps before filling.
 
-    Values are matched with a Bayesian-ridge imputer only within tolerance:
-    the regression here is ridge with a tiny fixed penalty.  A column without
-    any value stays NULL and takes no part in the regressions.
+    The regressions are Bayesian ridge, or ridge with the fixed penalty
+    ``ridge`` when given (0: least squares).  NULL, NaN and infinite values
+    are gaps.  A column without any value stays NULL and takes no part in the
+    regressions.
     """
+    floats = [c for c, t in df.dtypes if c in cols and t in ("double", "float")]
+    df = df.withColumns({c: F.when(F.abs(F.col(c)) < float("inf"), F.col(c)) for c in floats})  # NaN is larger
     flagged = df.withColumn(flag, any_null(cols)) if flag else df
     gaps, tables = _gap_moments(df, cols)
     n = sum(m[0, 0] for m in tables.values())
     seen = {c: sum(m[0, 0] for g, m in tables.items() if g[i] == "0") for i, c in enumerate(cols)}
     used = [i for i, c in enumerate(cols) if seen[c]]
     targets = [i for i in used if seen[cols[i]] < n]
+    if ridge is None:
+        targets.sort(key=lambda i: -seen[cols[i]])
     if not targets:
         return flagged
     d = len(cols) + 1
@@ -64,7 +76,8 @@ def impute_iterative(df: DataFrame, cols: list[str], max_iter: int = 10, ridge:
         for t in targets:
             xs = [0, *(i + 1 for i in used if i != t)]
             full = sum(fill[g] @ m @ fill[g].T for g, m in tables.items() if g[t] == "0")
-            beta = _solved(full[np.ix_(xs, xs)] + ridge * np.eye(len(xs)), full[xs, t + 1])
+            beta = _bayesian_ridge(full, xs, t + 1) if ridge is None else _solved(
+                full[np.ix_(xs, xs)] + ridge * np.eye(len(xs)), full[xs, t + 1])
             betas.append(beta)
             for g in tables:
                 if g[t] == "1":
@@ -88,6 +101,34 @@ def impute_iterative(df: DataFrame, cols: list[str], max_iter: int = 10, ridge:
     return out.withColumns({cols[i]: filled(i) for i in targets}).select(*flagged.columns)
 
 
+def _bayesian_ridge(m: np.ndarray, xs: list[int], y: int) -> np.ndarray:
+    """Intercept and weights of column y on ``xs`` (0, the constant, first) from sums of products ``m``.
+
+    Evidence maximisation: with the eigenvalues e of the centred products, ``g = sum(a e / (l + a e))`` weights are
+    well determined; the precision of the weights becomes g over their squares, that of the noise the rest of the
+    rows over the squared residuals, until the weights settle.
+    """
+    n, at = m[0, 0], xs[1:]
+    mean_x, mean_y = m[0, at] / n, m[0, y] / n
+    products = m[np.ix_(at, at)] - n * np.outer(mean_x, mean_x)
+    with_y, squares = m[at, y] - n * mean_x * mean_y, max(m[y, y] - n * mean_y * mean_y, 0.0)
+    eigen, basis = np.linalg.eigh(products)
+    eigen, turned = np.maximum(eigen, 0.0), basis.T @ with_y
+    noise, weight = 1.0 / (squares / n + np.finfo(float).eps), 1.0
+    before = None
+    for _ in range(EVIDENCE_ROUNDS):
+        beta = basis @ (turned / (eigen + weight / noise))
+        residual = max(squares - 2 * beta @ with_y + beta @ products @ beta, 0.0)
+        determined = np.sum(noise * eigen / (weight + noise * eigen))
+        weight = (determined + 2 * PRIOR) / (beta @ beta + 2 * PRIOR)
+        noise = (n - determined + 2 * PRIOR) / (residual + 2 * PRIOR)
+        if before is not None and np.sum(np.abs(before - beta)) < EVIDENCE_TOL:
+            break
+        before = beta
+    beta = basis @ (turned / (eigen + weight / noise))
+    return np.concatenate(([mean_y - mean_x @ beta], beta))
+
+
 def _solved(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """The solution of a symmetric system whose columns have very different units: scaled to a unit diagonal first."""
     scale = 1 / np.sqrt(np.maximum(np.diag(a), np.finfo(float).tiny))

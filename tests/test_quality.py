@@ -79,6 +79,35 @@ def test_profile_and_duplicates(spark):
     assert (d.total_rows, d.distinct_rows, d.duplicate_rows) == (3, 2, 1)
 
 
+def test_profile_parts_merge_to_the_profile_of_all(spark):
+    df = spark.range(20_000).select(F.pmod("id", F.lit(3)).alias("file"), F.when(F.col("id") % 7 > 0, F.col("id") * 1.5 - 900).alias("v"),
+                                    (F.col("id") % 5000).cast("string").alias("the key"), F.lit(None).cast("double").alias("none"))
+    cols = ["v", "the key", "none"]
+    parts = qa.profile_parts(df, cols, by=["file"]).persist()
+    assert parts.count() == 9
+    merged = {r.column: r for r in qa.merge_profiles(parts, quartiles=True).collect()}
+    whole = {r.column: r for r in qa.profile(df, cols, exact_distinct=["the key"], quartiles=True).collect()}
+    told = df.agg(F.stddev("v").alias("s"), F.avg("v").alias("m"), F.count_distinct("v").alias("d")).first()
+    for got in (merged, whole):
+        assert abs(got["v"].stddev - told.s) < 1e-6 and abs(got["v"].mean - told.m) < 1e-6
+        assert abs(got["v"].distinct - told.d) < 0.05 * told.d and abs(got["v"].quartiles[1] - told.m) < 0.02 * 30_000
+        assert got["none"].non_null == 0 and got["none"].distinct == 0 and got["none"].mean is None and got["none"].quartiles is None
+    assert whole["the key"].distinct == 5000 and abs(merged["the key"].distinct - 5000) < 250
+    assert merged["v"].non_null + merged["v"].nulls == 20_000
+    one_file = {(r.file, r.column): r.non_null for r in qa.merge_profiles(parts, by=["file"]).collect()}
+    assert sum(one_file[f, "v"] for f in range(3)) == merged["v"].non_null
+    plan = qa.profile(df, cols)._jdf.queryExecution().executedPlan().toString()
+    assert "Expand" not in plan
+
+
+def test_one_hot_keeps_a_level_that_is_called_nan(spark):
+    from roaskit.operators.reshape import one_hot
+    df = spark.createDataFrame([("nan",), (None,), ("x",)], "c string")
+    got = one_hot(df, {"c": ["nan", "x"]})
+    assert got.columns == ["c_nan", "c_x", "c_nan_"]
+    assert sorted(map(tuple, got.collect())) == [(0, 0, 1), (0, 1, 0), (1, 0, 0)]
+
+
 def test_unpivot_months_drops_total_and_bad_year(spark):
     df = spark.createDataFrame([("Email", "2024", "1,252", None, "9", "1,261"), ("Email", "TOTAL", "1", "2", "3", "6")],
                                "channel string, year string, january string, february string, march string, total string")

@@ -63,7 +63,7 @@ def test_imputation_flags_before_fill(spark):
 
 def test_imputation_leaves_a_column_without_values_null(spark):
     df = spark.createDataFrame([(1.0, 2.0, None), (2.0, None, None), (3.0, 6.0, None)], "a double, b double, c double")
-    got = sorted((r.a, r.b, r.c) for r in impute_iterative(df, ["a", "b", "c"]).collect())
+    got = sorted((r.a, r.b, r.c) for r in impute_iterative(df, ["a", "b", "c"], ridge=1e-6).collect())
     assert [r[2] for r in got] == [None] * 3 and abs(got[1][1] - 4.0) < 0.01
 
 
@@ -83,12 +83,51 @@ def test_imputation_equals_the_loop_over_rows(spark):
             o = ~gap[:, t]
             beta = np.linalg.solve(z[o].T @ z[o] + 1e-6 * np.eye(4), z[o].T @ full[o, t])
             full[gap[:, t], t] = z[gap[:, t]] @ beta
-    out = impute_iterative(df, names, max_iter=6, tol=0.0)
+    out = impute_iterative(df, names, max_iter=6, tol=0.0, ridge=1e-6)
     got = out.orderBy("id").toPandas()
     assert np.allclose(got[names].to_numpy(), full, atol=1e-8)
     assert got.imputed_bool.tolist() == gap.any(axis=1).tolist()
 
 
+def _fit_rows(z, y):
+    """Bayesian ridge on rows: evidence maximisation by singular values, as published."""
+    mean, level = z.mean(0), y.mean()
+    x, t = z - mean, y - level
+    u, s, v = np.linalg.svd(x, full_matrices=False)
+    noise, weight, before = 1 / (t.var() + np.finfo(float).eps), 1.0, None
+    for _ in range(300):
+        beta = v.T @ (s * (u.T @ t) / (s ** 2 + weight / noise))
+        known = np.sum(noise * s ** 2 / (weight + noise * s ** 2))
+        weight = (known + 2e-6) / (np.sum(beta ** 2) + 2e-6)
+        noise = (len(y) - known + 2e-6) / (np.sum((t - x @ beta) ** 2) + 2e-6)
+        if before is not None and np.sum(np.abs(before - beta)) < 1e-3:
+            break
+        before = beta
+    beta = v.T @ (s * (u.T @ t) / (s ** 2 + weight / noise))
+    return lambda new: level + (new - mean) @ beta
+
+
+def test_bayesian_imputation_equals_the_loop_over_rows(spark):
+    """Several gapped columns; NaN and infinities are gaps like NULL."""
+    rng = np.random.default_rng(8)
+    base = rng.normal(size=(250, 1))
+    x = np.hstack([base * k + rng.normal(size=(250, 1)) * 0.4 + 3 * k for k in (1, 2, -3, 40)])
+    for t, share in enumerate((0.2, 0.05, 0.1, 0.0)):
+        x[rng.random(250) < share, t] = np.nan
+    names, odd = ["a", "b", "c", "d"], [None, float("nan"), float("inf")]
+    rows = [(i, *[odd[i % 3] if np.isnan(v) else float(v) for v in r]) for i, r in enumerate(x)]
+    df = spark.createDataFrame(rows, "id long, a double, b double, c double, d double").repartition(5)
+    gap = np.isnan(x)
+    full = np.where(gap, np.nanmean(x, axis=0), x)
+    for _ in range(5):
+        for t in sorted((t for t in range(4) if gap[:, t].any()), key=lambda t: gap[:, t].sum()):
+            z, o = np.delete(full, t, axis=1), ~gap[:, t]
+            full[~o, t] = _fit_rows(z[o], full[o, t])(z[~o])
+    got = impute_iterative(df, names, max_iter=5, tol=0.0).orderBy("id").toPandas()
+    assert np.allclose(got[names].to_numpy(), full, atol=1e-6)
+    assert got.imputed_bool.tolist() == gap.any(axis=1).tolist()
+
+
 def test_bootstrap_does_not_depend_on_partitions(spark):
     df = spark.range(2000).select("id", (F.col("id") % 37).cast("double").alias("v"))
     a, b = (st.bootstrap_ci(df.repartition(k), "v", "id", 200).first() for k in (1, 7))
