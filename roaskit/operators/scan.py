@@ -10,19 +10,17 @@ number of ranges, whatever the data.
 
 from __future__ import annotations
 
-import atexit
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from roaskit.session import ensure_checkpoint_dir
+from roaskit.session import delete_at_exit, ensure_checkpoint_dir
 
 #: The range's place in the order, and the bucket that holds it.
 RANGE, SLOT = "_range", "_slot"
 
-_WRITTEN: list[tuple[SparkSession, str]] = []
 _SLOTS: dict[int, list[int]] = {}
 
 
@@ -39,16 +37,6 @@ def _slots(spark: SparkSession, n: int) -> list[int]:
     return _SLOTS[n]
 
 
-@atexit.register
-def _delete_written() -> None:
-    """The written ranges go with the session, as its frames can no longer be read."""
-    for spark, path in _WRITTEN:
-        context = spark.sparkContext
-        if context._jsc is not None and not context._jsc.sc().isStopped():
-            at = context._jvm.org.apache.hadoop.fs.Path(path)
-            at.getFileSystem(context._jsc.hadoopConfiguration()).delete(at, True)
-
-
 def in_order(df: DataFrame, order: list[Column], partitions: int | None = None) -> DataFrame:
     """``df`` in ranges of ``order``, written once, with the columns ``RANGE`` and ``SLOT``.
 
@@ -61,7 +49,7 @@ def in_order(df: DataFrame, order: list[Column], partitions: int | None = None)
     names = [f"c{k}" for k in range(len(df.columns))]  # any column name may be stored
     table = f"roaskit_scan_{uuid.uuid4().hex}"
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{table}"
-    _WRITTEN.append((spark, path))
+    delete_at_exit(spark, path)
     placed.toDF(*names, RANGE, SLOT).write.format("parquet").bucketBy(n, SLOT).option("path", path).saveAsTable(table)
     stored = spark.table(table).toDF(*df.columns, RANGE, SLOT)
     spark.sql(f"drop table {table}")  # the entry only; the frame goes on reading its files

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 
@@ -71,3 +72,21 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         configured = tempfile.mkdtemp(prefix="roaskit-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
+
+
+_AT_EXIT: list[tuple[SparkSession, str]] = []
+
+
+def delete_at_exit(spark: SparkSession, path: str) -> None:
+    """Delete a folder of intermediate tables when the process ends, as the frames that read it end with it."""
+    if not _AT_EXIT:
+        atexit.register(_delete_all)
+    _AT_EXIT.append((spark, path))
+
+
+def _delete_all() -> None:
+    for spark, path in _AT_EXIT:
+        context = spark.sparkContext
+        if context._jsc is not None and not context._jsc.sc().isStopped():
+            at = context._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(context._jsc.hadoopConfiguration()).delete(at, True)
