@@ -10,8 +10,9 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from roaskit.session import ensure_checkpoint_dir
+from roaskit.session import delete_at_exit, ensure_checkpoint_dir
 
 #: Bytes of text handled at once inside a task; bounds a worker's memory whatever the batch size.
 SLICE_BYTES = 4 << 20
@@ -42,6 +43,7 @@ class Scratch:
         importable_in_workers(spark)
         self.spark = spark
         self.base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm-{uuid.uuid4().hex}"
+        delete_at_exit(spark, self.base)
 
     def path(self, name: str) -> str:
         return f"{self.base}/{name}"
@@ -58,6 +60,45 @@ class Scratch:
         path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+#: Bits of a key filter.
+FILTER_BITS = 1 << 24
+
+
+def key_filter(rows: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
+    """The rows whose ``key`` (a long that spreads evenly, as a hash does) may be among the wanted ones.
+
+    A cheap step before a join by that key, for rows that are costly to shuffle: wanted keys set bits of a filter
+    of fixed size, which is broadcast.  Some other rows pass too, more of them the more keys are wanted.
+    """
+    name = wanted.columns[0]
+    bit = F.expr(f"shiftleft(1L, cast(pmod(`{name}`, 64) as int))")
+    slots = wanted.select(F.expr(f"cast(pmod(`{name}`, {FILTER_BITS}) div 64 as int)").alias("word"), bit.alias("bit"))
+    held = slots.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()  # at most FILTER_BITS / 64 rows
+    words = np.zeros(FILTER_BITS // 64, np.uint64)
+    words[held["word"].to_numpy()] = held["bits"].to_numpy().view(np.uint64)
+    sent, at = rows.sparkSession.sparkContext.broadcast(words), rows.columns.index(key)
+
+    def passing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        filled = sent.value
+        for batch in batches:
+            slot = batch.column(at).to_numpy(zero_copy_only=False) % FILTER_BITS
+            keep = filled[slot // 64] >> (slot % 64).astype(np.uint64) & np.uint64(1)
+            if keep.any():
+                yield batch.filter(pa.array(keep.astype(bool)))
+    return rows.mapInArrow(passing, rows.schema)
+
+
+def fresh(columns: list[str], *names: str) -> list[str]:
+    """Names like these that no column has (Spark does not tell case apart)."""
+    taken, out = {c.lower() for c in columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def text_slices(texts: pa.Array) -> Iterator[tuple[int, pa.Array]]:
     """(first row, slice) pieces of at most ``SLICE_BYTES`` of text, or of lists of 32-bit ids; one longer row stands alone."""
     listed = pa.types.is_list(texts.type) or pa.types.is_large_list(texts.type)

@@ -42,7 +42,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from roaskit.llm.common import Scratch, split_words, text_slices
+from roaskit.llm.common import Scratch, fresh, key_filter, split_words, text_slices
 
 #: Counters of the frequency sketch (fixed size, so its broadcast is bounded), and the blocks they travel in.
 SKETCH, SKETCH_BLOCKS = 1 << 18, 32
@@ -390,7 +390,9 @@ class _Join:
         pairs = self.scratch.keep(pairs, f"{name}-pairs")
         asked = pairs.select(F.col("a").alias("set_id")).union(pairs.select("b")).distinct()
         wanted = self.sets.join(asked, "set_id", "left_semi").select(F.col("least_id").alias("__least")).distinct()
-        texts = self.docs.join(wanted, F.col("doc_id").eqNullSafe(F.col("__least")), "left_semi")
+        keyed = self.docs.withColumn("key", F.xxhash64("doc_id"))
+        texts = key_filter(keyed, "key", wanted.select(F.xxhash64("__least").alias("key"))).drop("key")
+        texts = texts.join(wanted, F.col("doc_id").eqNullSafe(F.col("__least")), "left_semi")
         made = texts.mapInArrow(_contents(self.words, self.seed), "set_id long, shingles binary")
         contents = self.scratch.keep(made.join(asked, "set_id", "left_semi"), f"{name}-contents")
         salt = F.pmod(F.xxhash64("a"), F.lit(SALTS)).cast("int")
@@ -403,6 +405,7 @@ class _Join:
         links = met.select("pivot", "kind", "set_id", "shingles").mapInArrow(_verify(self.percent), "a long, b long")
         links = self.scratch.keep(links.distinct(), f"{name}-links")
         self.scratch.drop(f"{name}-contents")
+        self.scratch.drop(f"{name}-pairs")
         return links
 
     def mixed(self, lists: DataFrame, classed: DataFrame, name: str) -> DataFrame:
@@ -465,6 +468,7 @@ def components(links: DataFrame, scratch: Scratch, name: str) -> DataFrame:
         scratch.drop(f"{name}-{k - 1}")
         roots = after.select("node", "root")
         if after.where("root <> old").isEmpty():
+            scratch.drop(f"{name}-edges")
             return roots
     raise RuntimeError(f"classes still change after {MOST_ROUNDS} rounds")
 
@@ -499,10 +503,17 @@ def _classes(docs: DataFrame, words: int, percent: int, digests: bool = False) -
     classed = sets.select("set_id", "least_id").join(classes, F.col("set_id") == F.col("node"), "left").select(
         "set_id", "least_id", F.coalesce("root", "set_id").alias("class"))
     # most classes that belong together are joined through leads, before any two classes meet in full
+    classed = job.scratch.keep(classed, "first-classes")
     rows = job.mixed(lists.where("c = 0"), classed, "mixed-first")
+    job.scratch.drop("lists")  # a table goes as soon as the one made of it is written
     classed = merged(classed, job.verified(job.lead_pairs(rows, light), "leads"), job.scratch, "second")
     rows = job.reclassed(rows, classed, "mixed-last")
-    return job, merged(classed, job.verified(job.class_pairs(rows, light), "classes"), job.scratch, "last")
+    job.scratch.drop("mixed-first")
+    pairs = job.scratch.keep(job.class_pairs(rows, light), "class-pairs")
+    job.scratch.drop("mixed-last")
+    told = merged(classed, job.verified(pairs, "classes"), job.scratch, "last")
+    job.scratch.drop("class-pairs")
+    return job, told
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id",
@@ -527,14 +538,15 @@ def drop_near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_
     named = job.narrow.where("n > 0").join(told, "set_id").groupBy("class", "doc_id", "digest").agg(F.count("*").alias("times"))
     named = job.scratch.keep(named, "named")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "digest", "times")).alias("first")
+    own_id, own_digest = fresh([*docs.columns, *named.columns], "gone_id", "gone_digest")
     stay = named.groupBy("class").agg(first).select(
-        F.col("first.doc_id").alias("__id"), F.col("first.digest").alias("__digest"), F.col("first.times").alias("__times"))
-    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("digest") == F.col("__digest"))
-    gone = named.join(stay, same, "left_anti").select(F.col("doc_id").alias("__id"), F.col("digest").alias("__digest"))
-    row = (F.col(id_col).cast("long").eqNullSafe(F.col("__id"))
-           & (F.unhex(F.sha2(F.coalesce(F.col(text_col).cast("string"), F.lit("")), 256)) == F.col("__digest")))
+        F.col("first.doc_id").alias(own_id), F.col("first.digest").alias(own_digest), F.col("first.times").alias("own_times"))
+    same = F.col("doc_id").eqNullSafe(F.col(own_id)) & (F.col("digest") == F.col(own_digest))
+    gone = named.join(stay, same, "left_anti").select(F.col("doc_id").alias(own_id), F.col("digest").alias(own_digest))
+    row = (F.col(id_col).cast("long").eqNullSafe(F.col(own_id))
+           & (F.unhex(F.sha2(F.coalesce(F.col(text_col).cast("string"), F.lit("")), 256)) == F.col(own_digest)))
     stays = docs.join(gone, row, "left_anti")
-    twins = job.scratch.keep(stay.where("__times > 1"), "twins")  # rows that repeat id and text: one of them stays
+    twins = job.scratch.keep(stay.where("own_times > 1").drop("own_times"), "twins")  # rows that repeat id and text: one of them stays
     if twins.isEmpty():
         return stays
     return (stays.join(twins, row, "left_anti")

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from roaskit.llm.common import Scratch, sorted_runs, text_slices
+from roaskit.llm.common import Scratch, key_filter, sorted_runs, text_slices
 from roaskit.llm.jaccard import shingle_sets
 
 #: Universal hashes; their minima are kept in 16 bits each.
@@ -42,8 +42,6 @@ BANDS, BAND_ROWS = 32, 5
 HASHED_AT_ONCE = 1 << 15
 #: Rows of a bucket that one task holds against each other, or against as many others.
 BLOCK = 1024
-#: Bits of the filter that texts pass before they are shuffled; its size is fixed, so beyond it only more texts pass.
-FILTER_BITS = 1 << 24
 #: Standard deviations that a linked pair's agreement may fall below its mean.
 DEVIATIONS = 5.0
 #: Large-star and small-star need a number of rounds that grows with the logarithm; beyond this it is an error.
@@ -123,28 +121,6 @@ def _shingles(words: int) -> Callable:
     return run
 
 
-def _filter_words(wanted: DataFrame) -> np.ndarray:
-    """The filter with the bits of the wanted texts' hashes, at most ``FILTER_BITS / 64`` rows of the driver."""
-    slot = F.pmod("text_a", F.lit(FILTER_BITS))
-    bits = wanted.select(F.floor(slot / 64).alias("word"), F.expr(f"shiftleft(1L, cast(pmod(text_a, {FILTER_BITS}) % 64 as int))").alias("bit"))
-    rows = bits.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
-    out = np.zeros(FILTER_BITS // 64, np.uint64)
-    out[rows["word"].to_numpy()] = rows["bits"].to_numpy().view(np.uint64)
-    return out
-
-
-def _passing(words) -> Callable:
-    """(both hashes of a text, text) of the texts whose bit is set in the broadcast filter."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = words.value
-        for batch in batches:
-            slot = batch.column(0).to_numpy(zero_copy_only=False) % FILTER_BITS
-            keep = held[slot // 64] >> (slot % 64).astype(np.uint64) & np.uint64(1)
-            if keep.any():
-                yield batch.filter(pa.array(keep.astype(bool)))
-    return run
-
-
 def bucket_keys(minima: Column) -> Column:
     """One key a band: a hash of the band's number and its minima."""
     width = BAND_ROWS * MINIMUM_BYTES
@@ -317,9 +293,8 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
     near = lists.select(F.col("set_no").alias("row")).distinct()
     minima = scratch.keep(signed.join(near, "row", "left_semi").select(F.col("row").alias("set_no"), "n", "minima", "text_a", "text_b"), "minima")
     wanted = minima.select("text_a", "text_b", "set_no")
-    bits = docs.sparkSession.sparkContext.broadcast(_filter_words(wanted))
-    passing = texts.select("text_a", "text_b", "text").mapInArrow(_passing(bits), "text_a long, text_b long, text string")
-    once = (passing.join(wanted.drop("set_no"), ["text_a", "text_b"], "left_semi")
+    near_texts = key_filter(texts.select("text_a", "text_b", "text"), "text_a", wanted.select("text_a"))
+    once = (near_texts.join(wanted.drop("set_no"), ["text_a", "text_b"], "left_semi")
             .groupBy("text_a", "text_b").agg(F.first("text").alias("text")))
     items = once.mapInArrow(_shingles(words), "text_a long, text_b long, items array<long>")
     items = scratch.keep(items.join(wanted, ["text_a", "text_b"]).select("set_no", "items"), "items")
