@@ -17,6 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -27,8 +28,8 @@ CAPACITY = 2048
 END_ID = 0
 #: Pieces ranked together in one task.
 RANK_ROWS = 100_000
-#: Words whose ids a Python worker remembers, and words that go through the tokenizer together.
-CACHE_WORDS, WORDS_TOGETHER = 800_000, 50
+#: Bytes of words and ids that a Python worker remembers, and words that go through the tokenizer together.
+CACHE_BYTES, WORDS_TOGETHER = 32 << 20, 100
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -103,66 +104,96 @@ class WordIds:
     """Token ids of texts, each distinct word between ASCII white space encoded once.
 
     The tokenizer drops white space and handles the words between it apart from each other, so the
-    ids of a text are the ids of its words in order.  New words go through it many at a time, told
-    apart by a control character between them.
+    ids of a text are the ids of its words in order.  New words go through it many at a time: words of
+    plain letters are one run of the vocabulary's pieces each, whose last ends a word; between other
+    words stands a control character.  What is remembered are two Arrow and numpy buffers of at most
+    ``CACHE_BYTES`` (beyond that they start anew), so a worker's memory is bounded whatever the words.
+
+    Strings of special tokens become their ids, as the tokenizer does by itself; with ``literal`` they
+    are ordinary text.
     """
 
-    MARK = "\x01"
+    MARK, WORD_END = "\x01", "</w>"
+    PLAIN = "^[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+$"
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, literal: bool = False):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        self.known: dict[str, bytes] = {}  # little-endian unsigned 32-bit ids
+        self.tokenizer.encode_special_tokens = literal
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith(self.WORD_END)]] = True
         mark = self._ids(self.MARK)
         self.mark = mark[0] if len(mark) == 1 else None
+        self._forget()
+
+    def _forget(self) -> None:
+        self.words, self.ids = pa.array([], pa.string()), np.empty(0, np.uint32)
+        self.lengths = np.empty(0, np.int64)
 
     def _ids(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
-
-    def _learn(self, words: list[str]) -> None:
-        known = self.known
-        plain = [w for w in words if self.mark is not None and self.MARK not in w]
-        for at in range(0, len(plain), WORDS_TOGETHER):
-            part = plain[at:at + WORDS_TOGETHER]
-            ids = self._ids(f" {self.MARK} ".join(part) + f" {self.MARK}")
-            cuts = np.flatnonzero(ids == self.mark).tolist()
-            data, start = ids.tobytes(), 0
-            for w, cut in zip(part, cuts):
-                known[w] = data[4 * start:4 * cut]
-                start = cut + 1
-        for w in words:
-            if w not in known:
-                known[w] = self._ids(w).tobytes()
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
+
+    def _together(self, words: list[str], marked: bool) -> tuple[np.ndarray, np.ndarray]:
+        """(ids one after another, ids of each) of a few words that go through the tokenizer together."""
+        if marked:
+            ids = self._ids(f" {self.MARK} ".join(words) + f" {self.MARK}")
+            is_mark = ids == self.mark
+            lengths, ids = np.diff(np.flatnonzero(is_mark), prepend=-1) - 1, ids[~is_mark]
+        else:
+            ids = self._ids(" ".join(words))
+            lengths = np.diff(np.flatnonzero(self.ends[ids]), prepend=-1)
+        if len(lengths) == len(words):
+            return ids, lengths
+        parts = [self._ids(w) for w in words]
+        return np.concatenate(parts), np.array([len(p) for p in parts])
+
+    def _learn(self, words: pa.Array) -> None:
+        plain = pc.match_substring_regex(words, self.PLAIN)
+        odd = pc.match_substring(words, self.MARK) if self.mark is not None else pa.array([True] * len(words))
+        groups = [(pc.and_not(plain, odd), False, WORDS_TOGETHER), (pc.and_not(pc.invert(plain), odd), True, WORDS_TOGETHER), (odd, False, 1)]
+        for mask, marked, step in groups:
+            own = words.filter(mask)
+            listed = own.to_pylist()
+            parts = [self._together(listed[k:k + step], marked) if step > 1 else self._alone(listed[k]) for k in range(0, len(listed), step)]
+            self.words = pa.concat_arrays([self.words, own.cast(pa.string())])
+            self.ids = np.concatenate([self.ids, *(ids for ids, _ in parts)])
+            self.lengths = np.concatenate([self.lengths, *(lengths for _, lengths in parts)])
+
+    def _alone(self, word: str) -> tuple[np.ndarray, np.ndarray]:
+        ids = self._ids(word)
+        return ids, np.array([len(ids)])
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts one after another, offsets per text)."""
         index, offsets, words = split_words(texts)
-        words = words.to_pylist()
-        if not words:
+        if not len(words):
             return np.empty(0, np.uint32), np.zeros(len(offsets), np.int64)
-        if len(self.known) > CACHE_WORDS:
-            self.known = {w: self.known[w] for w in words if w in self.known}
-        self._learn([w for w in words if w not in self.known])
-        ids = [self.known[w] for w in words]
-        lengths = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
-        flat, starts = np.frombuffer(b"".join(ids), "<u4"), np.cumsum(lengths) - lengths
-        per_word = lengths[index]
+        if self.words.nbytes + self.ids.nbytes + self.lengths.nbytes > CACHE_BYTES:
+            self._forget()
+        place = pc.index_in(words, value_set=self.words.cast(words.type))
+        if place.null_count:
+            self._learn(words.filter(place.is_null()))
+            place = pc.index_in(words, value_set=self.words.cast(words.type))
+        place = place.to_numpy().astype(np.int64)
+        starts = np.cumsum(self.lengths) - self.lengths
+        place = place[index]
+        per_word = self.lengths[place]
         ends = np.concatenate(([0], np.cumsum(per_word)))
-        return flat[spread(starts[index], per_word)], ends[offsets]
+        return self.ids[spread(starts[place], per_word)], ends[offsets]
 
 
-_ENCODERS: dict[str, WordIds] = {}
+_ENCODERS: dict[tuple[str, bool], WordIds] = {}
 
 
-def word_ids(path: str) -> WordIds:
+def word_ids(path: str, literal: bool = False) -> WordIds:
     """The worker's encoder for a vocabulary file; read once in each Python process."""
     import os
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    if path not in _ENCODERS:
-        _ENCODERS[path] = WordIds(path)
-    return _ENCODERS[path]
+    if (path, literal) not in _ENCODERS:
+        _ENCODERS[path, literal] = WordIds(path, literal)
+    return _ENCODERS[path, literal]
 
 
 def _pieces(path: str, capacity: int):

@@ -104,6 +104,18 @@ def _given_ids(lists: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return flat.to_numpy(zero_copy_only=False), np.concatenate(([0], np.cumsum(sizes, dtype=np.int64)))
 
 
+def _with_ends(held: np.ndarray, flat: np.ndarray, offsets: np.ndarray, end_id: int) -> np.ndarray:
+    """``held``, then the ids of each document and an end id, in one copy."""
+    out = np.empty(len(held) + len(flat) + len(offsets) - 1, held.dtype)
+    out[:len(held)] = held
+    rest = out[len(held):]
+    ends = offsets[1:] + np.arange(len(offsets) - 1)
+    own = np.ones(len(rest), bool)
+    own[ends] = False
+    rest[own], rest[ends] = flat, end_id
+    return out
+
+
 def _sequences(encoder: Callable[[], Callable], end_id: int, vocabulary: int, stride: int):
     """Rows of texts or lists of ids -> sequences of the partition's stream, numbered in their order."""
     kind = id_type(vocabulary)
@@ -126,7 +138,7 @@ def _sequences(encoder: Callable[[], Callable], end_id: int, vocabulary: int, st
                 flat, offsets = encode(some)
                 if len(flat) and (flat.min() < 0 or flat.max() >= vocabulary):
                     raise ValueError(f"ids from {flat.min()} to {flat.max()} do not fit a vocabulary of {vocabulary}")
-                held = np.concatenate((held, np.insert(flat.astype(kind), offsets[1:], end_id)))
+                held = _with_ends(held, flat, offsets, end_id)
                 whole = len(held) // stride * stride
                 for at in range(0, whole, TOGETHER * stride):
                     ids = held[at:min(whole, at + TOGETHER * stride)]
@@ -276,7 +288,7 @@ def write_shards(docs: DataFrame, key: int = 20, stride: int = STRIDE, per_shard
         rows, encoder = docs.select(F.col(ids_col).cast("array<long>").alias("ids")), lambda: _given_ids
     else:
         rows = docs.select(F.col(text_col).cast("string").alias("text"))
-        encoder = (lambda: word_ids(tokenizer_path).encode) if tokenizer_path else lambda: _byte_ids
+        encoder = (lambda: word_ids(tokenizer_path, literal=True).encode) if tokenizer_path else lambda: _byte_ids
     cut = scratch.keep(rows.mapInArrow(_sequences(encoder, end_id, vocabulary, stride), CUT), "sequences")
     sizes = cut.groupBy("part").agg(F.count("*").alias("n"), F.min("used").alias("used")).collect()  # a row per partition
     first_of, short, total = {}, {}, 0

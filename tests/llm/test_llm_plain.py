@@ -12,6 +12,7 @@ import pyarrow as pa
 import public_tokenizers
 import pytest
 import tiktoken
+from tokenizers import Tokenizer
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -45,12 +46,22 @@ def test_bpe_on_long_runs(encoder, reference):
         assert encoder.encode(text) == reference.encode_ordinary(text)
 
 
-def test_word_ids_equal_the_tokenizer():
-    words = packing.WordIds(public_tokenizers.path("word_bpe_49k.json"))
-    texts = ["The thing, isn't it?", "", None, "  ", "a\x01b \x01 c", "<|endoftext|> x", "É́ ﬁ 日本 🙂", "x y z 12a3"]
-    ids, offsets = words.encode(pa.array(texts, pa.string()))
-    for text, a, b in zip(texts, offsets[:-1], offsets[1:]):
-        assert ids[a:b].tolist() == words.tokenizer.encode(text or "", add_special_tokens=False).ids
+@pytest.mark.parametrize("literal", [False, True])
+def test_word_ids_equal_the_tokenizer(monkeypatch, literal):
+    """An untouched tokenizer, and one for which strings of special tokens are ordinary text."""
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    if literal:
+        tokenizer.encode_special_tokens = True
+    texts = ["The thing, isn't it?", "", None, "  ", "a\x01b \x01 c", "<|endoftext|> x<|startoftext|>y", "\xc9\u0301 \ufb01 \u65e5\u672c \U0001f642",
+             "x y z 12a3", "\u0130stanbul \u01c5 \xf1and\xfa's don't \xd7 \xf7", "plain words only", "na\xefve caf\xe9 Stra\xdfe"]
+    for most in (packing.CACHE_BYTES, 0):  # remembered, and forgotten before each slice
+        monkeypatch.setattr(packing, "CACHE_BYTES", most)
+        words = packing.WordIds(public_tokenizers.path("word_bpe_49k.json"), literal)
+        for _ in range(2):
+            ids, offsets = words.encode(pa.array(texts, pa.string()))
+            for text, a, b in zip(texts, offsets[:-1], offsets[1:]):
+                assert ids[a:b].tolist() == tokenizer.encode(text or "", add_special_tokens=False).ids
+    assert (49407 in words.encode(pa.array(["<|endoftext|>"]))[0].tolist()) is not literal
 
 
 def _best_fit_decreasing(lengths, capacity):
@@ -119,16 +130,42 @@ def test_approximation_file_is_exact(scale):
         assert [(-s, i) for k, i, s in got if k == q] == within[:5]
 
 
-def test_bloom_levels_never_fall_below_the_counts():
+@pytest.mark.parametrize("mapped", [True, False])
+def test_bloom_levels_never_fall_below_the_counts(tmp_path, monkeypatch, mapped):
+    monkeypatch.setattr(lm, "HELD_BYTES", 5000)
     rng = np.random.default_rng(3)
     grams = np.unique(rng.integers(0, 1 << 63, 3000, dtype=np.uint64) * np.uint64(2))
     counts = rng.integers(1, 2000, len(grams))
-    parts = lm.part_of(grams, 3)
-    data = [lm.build_segment(grams[parts == p] & np.uint64(0xFFFFFFFF), counts[parts == p]).tobytes() for p in range(3)]
-    levels = lm.LogFrequencyFilter(data, 0, 3).levels(grams)
-    assert (levels >= lm.levels_of(counts)).all() and (levels == lm.levels_of(counts)).mean() > 0.9
-    other = rng.integers(0, 1 << 63, 5000, dtype=np.uint64)
-    assert (lm.LogFrequencyFilter(data, 0, 3).levels(other) > 0).mean() < 0.05
+    parts, shared = lm.part_of(grams, 3), lm.SharedRanges(f"file://{tmp_path}/ranges")
+    shared.mapped = mapped
+    for p in (0, 2, 2):  # one range without a file, one written by two attempts
+        shared.put(lm.GRAM, p, lm.build_segment(grams[parts == p] & np.uint64(0xFFFFFFFF), counts[parts == p]).tobytes())
+    mine = parts != 1
+    for _ in range(2):
+        levels = shared.looked_up(lm.GRAM, 3, grams, lm.levels_in)
+        assert (levels[mine] >= lm.levels_of(counts[mine])).all() and (levels[mine] == lm.levels_of(counts[mine])).mean() > 0.9
+        assert not levels[~mine].any()
+    other = np.sort(rng.integers(0, 1 << 63, 5000, dtype=np.uint64) * np.uint64(2))
+    assert (shared.looked_up(lm.GRAM, 3, other, lm.levels_in) > 0).mean() < 0.05
+    assert mapped or len(shared.held) < 3
+
+
+def test_token_counts_of_ranges(tmp_path):
+    shared, keys = lm.SharedRanges(f"file://{tmp_path}/ranges"), np.arange(1, 60, dtype=np.uint64) << np.uint64(58)
+    parts = lm.part_of(keys, 4)
+    for p in range(4):
+        shared.put(lm.TOKEN, p, keys[parts == p].tobytes() + np.arange(1, 60)[parts == p].tobytes())
+    asked = np.sort(np.concatenate([keys, keys + np.uint64(1), np.zeros(1, np.uint64)]))
+    got = dict(zip(asked.tolist(), shared.looked_up(lm.TOKEN, 4, asked, lm.counts_in).tolist()))
+    assert got == {k: 0 for k in asked.tolist()} | dict(zip(keys.tolist(), range(1, 60)))
+
+
+def test_shares_after_a_token_sum_to_at_most_one():
+    """Five successors of count 2 after a token of count 10, and random ones: a level stands for the least of its counts."""
+    rng = np.random.default_rng(4)
+    for counts in (np.full(5, 2), rng.integers(1, 50, 40), np.array([1, 3, 7, 15, 31])):
+        assert lm.counts_of(lm.levels_of(counts)).sum() <= counts.sum()
+    assert lm.counts_of(np.array([0, 1, 2, 3])).tolist() == [0, 1, 2, 4]
 
 
 def test_subsets_and_prefixes_miss_no_linked_pair():
