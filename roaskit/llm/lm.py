@@ -4,14 +4,15 @@ Training counts every token and every bigram of the training documents.  Token c
 counts are quantised on a logarithmic scale, and a bigram of level q is stored in a Bloom filter as the q
 elements (bigram, 1) ... (bigram, q).  A reader probes (bigram, 1), (bigram, 2), ... until one is missing; false
 positives can only raise a count, and each further step is as unlikely again.  Executors build the filter by
-hash range, and it is broadcast to the workers within a proven bound: filters larger than ``FILTER_BYTES``
-are broadcast slice by slice, with one pass over the documents for each (a bigram belongs to one slice, so
-the passes' sums add up).  Token counts are broadcast up to ``TOKEN_BYTES``; beyond that every document
-fetches the counts of its own tokens by a join.
+hash range and write each range, as the sorted token counts of each range, to a file in the shared folder.
+From there it reaches all workers: where the folder is mounted they map the files, so the pages are shared and
+no worker holds them; elsewhere they read the ranges that they need and keep at most ``HELD_BYTES``.  Nothing
+of a size that grows with the corpus passes the driver, and the documents are scored in one pass.
 
 The score of a text is the sum over its tokens of log10 p, with p an interpolation, by a fixed weight, of the
 share c(previous, token) / c(previous), at most 1, with the add-one probability (c(token) + 1) / (N + V + 1); the
-latter alone stands for a text's first token and after a token that training has not seen.
+latter alone stands for a text's first token and after a token that training has not seen.  A level stands for
+the least of its counts, so the shares of the tokens that training saw after a token sum to at most 1.
 
 Tokens: words ``[^\\x20\\x09-\\x0D]+`` after lower-casing A-Z, then one end of text, counted as a token; they
 are told apart by 64 bits of hash.  Learned from: documents whose ``crc32(id as text) mod 7`` is not 2.  Defined
@@ -22,12 +23,12 @@ result; other columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import uuid
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,8 +36,8 @@ from roaskit.llm.common import Scratch, split_words, text_slices
 
 #: The end of a text; no word holds a space.
 END = b" "
-#: Bytes of one broadcast slice of the filter, and of broadcast token counts, at most.
-FILTER_BYTES, TOKEN_BYTES = 64 << 20, 128 << 20
+#: Bytes of the filter and of token counts that a worker keeps where it cannot map them.
+HELD_BYTES = 64 << 20
 #: Bits per stored element, probes per element, and levels: counts are kept as 1 + floor(log2(count)).
 ELEMENT_BITS, PROBES, MOST_LEVELS = 8, 4, 48
 #: Weight of the bigram share.
@@ -48,8 +49,8 @@ BUFFER_KEYS = 1 << 21
 
 TOKEN, GRAM = 0, 1
 PARTS = "kind int, part long, keys binary, counts binary"
-MERGED = "kind int, part long, size long, total long, keys binary, counts binary"
-SCORES = "doc_id long, held_out boolean, row_key long, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+MERGED = "kind int, part long, size long, total long"
+SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -146,8 +147,8 @@ def levels_of(counts: np.ndarray) -> np.ndarray:
 
 
 def counts_of(levels: np.ndarray) -> np.ndarray:
-    """The middle, on the logarithmic scale, of the counts a level stands for; 0 and 1 stay."""
-    return np.where(levels <= 1, levels, 2.0 ** (levels - 0.5))
+    """The least of the counts that a level stands for."""
+    return np.where(levels == 0, 0.0, 2.0 ** (levels - 1))
 
 
 def _place(grams: np.ndarray, level: int, probe: int, bits) -> np.ndarray:
@@ -169,167 +170,136 @@ def build_segment(grams: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return np.packbits(flags, bitorder="little")
 
 
-class LogFrequencyFilter:
-    """One slice of the filter: segments ``first`` ... of ``segments``, one after another in ``data``."""
-
-    def __init__(self, parts: list[bytes], first: int, segments: int):
-        self.first, self.segments, self.n = first, segments, len(parts)
-        self.bits = np.array([8 * len(p) for p in parts], np.uint64)
-        self.start = np.concatenate(([0], np.cumsum([len(p) for p in parts])[:-1])).astype(np.int64) if parts else np.empty(0, np.int64)
-        self.data = np.frombuffer(b"".join(parts), np.uint8)
-
-    def mine(self, grams: np.ndarray) -> np.ndarray:
-        part = part_of(grams, self.segments)
-        return (part >= self.first) & (part < self.first + self.n)
-
-    def levels(self, grams: np.ndarray) -> np.ndarray:
-        """The level of each gram of this slice, by membership probes until one fails."""
-        part = part_of(grams, self.segments) - self.first
-        low = grams & np.uint64(0xFFFFFFFF)
-        out = np.zeros(len(grams), np.int64)
-        rows = np.flatnonzero(self.bits[part] > 0)
-        for level in range(1, MOST_LEVELS + 1):
-            for probe in range(PROBES):
-                own = part[rows]
-                place = _place(low[rows], level, probe, self.bits[own])
-                byte = self.data[self.start[own] + (place >> np.uint64(3)).astype(np.int64)]
-                rows = rows[(byte >> (place & np.uint64(7)).astype(np.uint8) & 1).astype(bool)]
-            out[rows] = level
-            if not len(rows):
-                break
+def levels_in(segment: np.ndarray, grams: np.ndarray) -> np.ndarray:
+    """The level of each gram of one hash range, by membership probes in its segment until one fails."""
+    low, bits = grams & np.uint64(0xFFFFFFFF), np.uint64(8 * len(segment))
+    out, rows = np.zeros(len(grams), np.int64), np.arange(len(grams) if len(segment) else 0)
+    for level in range(1, MOST_LEVELS + 1):
+        for probe in range(PROBES):
+            place = _place(low[rows], level, probe, bits)
+            byte = segment[(place >> np.uint64(3)).astype(np.int64)]
+            rows = rows[(byte >> (place & np.uint64(7)).astype(np.uint8) & 1).astype(bool)]
+        out[rows] = level
+        if not len(rows):
+            break
+    return out
+
+
+def counts_in(table: np.ndarray, tokens: np.ndarray) -> np.ndarray:
+    """The counts of tokens by one hash range's table: sorted keys, then as many counts."""
+    keys, counts = np.split(table.view(np.uint64), 2)
+    if not len(keys):
+        return np.zeros(len(tokens), np.int64)
+    at = np.minimum(np.searchsorted(keys, tokens), len(keys) - 1)
+    return np.where(keys[at] == tokens, counts[at], 0).astype(np.int64)
+
+
+class SharedRanges:
+    """Files of hash ranges in the shared folder, written by tasks and read by workers."""
+
+    def __init__(self, base: str):
+        from pyarrow import fs
+
+        self.files, self.root = fs.FileSystem.from_uri(base)
+        self.mapped, self.held, self.size = isinstance(self.files, fs.LocalFileSystem), {}, 0
+
+    def put(self, kind: int, part: int, data: bytes) -> None:
+        """Written apart and then moved; another attempt has written the same bytes."""
+        from pyarrow import fs
+
+        self.files.create_dir(self.root)
+        draft, name = f"{self.root}/_draft-{uuid.uuid4().hex}", f"{self.root}/{kind}-{part:010d}"
+        with self.files.open_output_stream(draft) as out:
+            out.write(data)
+        if self.files.get_file_info(name).type == fs.FileType.NotFound:
+            self.files.move(draft, name)
+        else:
+            self.files.delete_file(draft)
+
+    def of(self, kind: int, part: int) -> np.ndarray:
+        """The bytes of a range; none if training has met no key in it."""
+        if (kind, part) not in self.held:
+            name = f"{self.root}/{kind}-{part:010d}"
+            try:
+                if self.mapped:
+                    with pa.memory_map(name) as file:
+                        data = np.frombuffer(file.read_buffer(), np.uint8)
+                else:
+                    with self.files.open_input_file(name) as file:
+                        data = np.frombuffer(file.read_buffer(), np.uint8)
+            except FileNotFoundError:
+                data = np.empty(0, np.uint8)
+            if not self.mapped:
+                self.size += len(data)
+                while self.held and self.size > HELD_BYTES:  # the one kept longest goes
+                    self.size -= len(self.held.pop(next(iter(self.held))))
+            self.held[kind, part] = data
+        return self.held[kind, part]
+
+    def looked_up(self, kind: int, parts: int, keys: np.ndarray, look: Callable) -> np.ndarray:
+        """``look(range's bytes, its keys)`` for sorted keys, range by range."""
+        out, part = np.zeros(len(keys), np.int64), part_of(keys, parts)
+        cuts = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1], [True]))) if len(keys) else []
+        for a, b in zip(cuts[:-1], cuts[1:]):
+            out[a:b] = look(self.of(kind, int(part[a])), keys[a:b])
         return out
 
 
-def _merge(group: pa.Table) -> pa.Table:
-    kind, part = group["kind"][0].as_py(), group["part"][0].as_py()
-    key_type = np.uint32 if kind == GRAM else np.uint64
-    keys, counts = summed(np.concatenate([np.frombuffer(k, key_type) for k in group["keys"].to_pylist()]),
-                          np.concatenate([np.frombuffer(c, np.uint32) for c in group["counts"].to_pylist()]).astype(np.int64))
-    data = (build_segment(keys, counts).tobytes(), b"") if kind == GRAM else (keys.tobytes(), counts.tobytes())
-    size = len(data[0]) if kind == GRAM else len(keys)
-    return pa.table({"kind": pa.array([kind], pa.int32()), "part": pa.array([part], pa.int64()), "size": pa.array([size], pa.int64()),
-                     "total": pa.array([int(counts.sum())], pa.int64()), "keys": pa.array([data[0]], pa.binary()),
-                     "counts": pa.array([data[1]], pa.binary())})
+def _merge(base: str):
+    def merge(group: pa.Table) -> pa.Table:
+        kind, part = group["kind"][0].as_py(), group["part"][0].as_py()
+        key_type = np.uint32 if kind == GRAM else np.uint64
+        keys, counts = summed(np.concatenate([np.frombuffer(k, key_type) for k in group["keys"].to_pylist()]),
+                              np.concatenate([np.frombuffer(c, np.uint32) for c in group["counts"].to_pylist()]).astype(np.int64))
+        data = build_segment(keys, counts).tobytes() if kind == GRAM else keys.tobytes() + counts.tobytes()
+        SharedRanges(base).put(kind, part, data)
+        return pa.table({"kind": pa.array([kind], pa.int32()), "part": pa.array([part], pa.int64()),
+                         "size": pa.array([len(keys)], pa.int64()), "total": pa.array([int(counts.sum())], pa.int64())})
+    return merge
 
 
 def held_out(id_column) -> F.Column:
     return F.coalesce(F.pmod(F.crc32(id_column.cast("string").cast("binary")), F.lit(7)) == 2, F.lit(False))
 
 
-class TokenCounts:
-    """Sorted token hashes with their counts."""
-
-    def __init__(self, keys: np.ndarray, counts: np.ndarray):
-        self.keys, self.counts = keys, counts
-
-    def of(self, tokens: np.ndarray) -> np.ndarray:
-        if not len(self.keys):
-            return np.zeros(len(tokens), np.int64)
-        at = np.minimum(np.searchsorted(self.keys, tokens), len(self.keys) - 1)
-        return np.where(self.keys[at] == tokens, self.counts[at], 0)
-
-
-def _score(known: Broadcast | None, filter_slice: Broadcast, n_train: int, v_train: int, first_slice: bool):
-    """Rows (doc_id, held_out, row_key, text[, keys, counts of its own tokens]); sums of this slice's bigrams."""
+def _score(base: str, segments: int, ranges: int, n_train: int, v_train: int):
+    """Rows (doc_id, held_out, text) to their scores."""
     whole = n_train + v_train + 1
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bloom = filter_slice.value
+        shared = SharedRanges(base)
         for batch in batches:
-            for row, texts in text_slices(batch.column(3)):
+            for row, texts in text_slices(batch.column(2)):
                 tokens, offsets = token_hashes(texts)
-                if known is not None:
-                    different, place = np.unique(tokens, return_inverse=True)
-                    c = known.value.of(different)[place]
-                else:
-                    c = np.concatenate([TokenCounts(np.array(k or [], np.int64).view(np.uint64), np.array(n or [], np.int64)).of(tokens[a:b])
-                                        for a, b, k, n in zip(offsets[:-1], offsets[1:], *(
-                                            batch.column(i).slice(row, len(texts)).to_pylist() for i in (4, 5)))])
+                different, place = np.unique(tokens, return_inverse=True)
+                c = shared.looked_up(TOKEN, ranges, different, counts_in)[place]
                 one = (c + 1) / whole
                 at, grams = bigrams(tokens, offsets)
-                mine = bloom.mine(grams)
-                p = np.ones(len(tokens))
-                if first_slice:  # tokens without a bigram are told once
-                    p[offsets[:-1]] = one[offsets[:-1]]
-                at, grams = at[mine], grams[mine]
-                before = c[at - 1]
-                share = np.minimum(counts_of(bloom.levels(grams)) / np.maximum(before, 1), 1.0)
+                different, place = np.unique(grams, return_inverse=True)
+                levels = shared.looked_up(GRAM, segments, different, levels_in)[place]
+                before, p = c[at - 1], one.copy()
+                share = np.minimum(counts_of(levels) / np.maximum(before, 1), 1.0)
                 p[at] = np.where(before > 0, WEIGHT * share + (1 - WEIGHT) * one[at], one[at])
                 sums = [np.add.reduceat(x, offsets[:-1]) for x in ((c > 0).astype(np.int64), np.log10(one), np.log10(p))]
                 yield pa.RecordBatch.from_arrays([
-                    *(batch.column(i).slice(row, len(texts)) for i in range(3)), pa.array(np.diff(offsets)), pa.array(sums[0]),
+                    *(batch.column(i).slice(row, len(texts)) for i in range(2)), pa.array(np.diff(offsets)), pa.array(sums[0]),
                     pa.array(np.full(len(texts), n_train, np.int64)), pa.array(sums[1]), pa.array(sums[2])],
                     names=[f.split()[0] for f in SCORES.split(", ")])
     return score
 
 
-def _own_counts(rows: DataFrame, merged: DataFrame) -> DataFrame:
-    """``rows`` with the sorted hashes of each document's tokens and their counts, by a join on the token."""
-    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row, texts in text_slices(batch.column(1)):
-                tokens, offsets = token_hashes(texts)
-                own = [np.unique(tokens[a:b]) for a, b in zip(offsets[:-1], offsets[1:])]
-                keys = np.repeat(batch.column(0).slice(row, len(texts)).to_numpy(), [len(k) for k in own])
-                yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(np.concatenate(own).view(np.int64))], names=["row_key", "token"])
-
-    def told(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for keys, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(keys, np.int64)), pa.array(np.frombuffer(counts, np.int64))],
-                                                 names=["token", "n"])
-    asked = rows.select("row_key", "text").mapInArrow(ask, "row_key long, token long")
-    counts = merged.where(F.col("kind") == TOKEN).select("keys", "counts").mapInArrow(told, "token long, n long")
-    # unsigned order, as the lookup's keys are unsigned
-    pairs = F.sort_array(F.collect_list(F.struct(F.col("token").bitwiseXOR(F.lit(-(1 << 63))).alias("order"), "token", "n")))
-    own = asked.join(counts, "token").groupBy("row_key").agg(pairs.alias("own"))
-    return rows.join(own, "row_key", "left").select("doc_id", "held_out", "row_key", "text", "own.token", "own.n")
-
-
 def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every row."""
-    spark, scratch = docs.sparkSession, Scratch(docs.sparkSession)
+    scratch = Scratch(docs.sparkSession)
     key = F.col(id_col).cast("long")
     rows = docs.select(key.alias("doc_id"), held_out(key).alias("held_out"), F.col(text_col).cast("string").alias("text"))
     train = rows.where(~F.col("held_out")).select("text")
     n_bytes = train.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     segments = n_bytes // SEGMENT_BYTES + 1
     ranges = segments // SEGMENTS_PER_RANGE + 1
-    merged = scratch.keep(train.mapInArrow(_count(segments, ranges), PARTS).groupBy("kind", "part").applyInArrow(_merge, MERGED), "counts")
-    sizes = merged.select("kind", "part", "size", "total").collect()  # one row per hash range
-    v_train = sum(r["size"] for r in sizes if r["kind"] == TOKEN)
-    n_train = sum(r["total"] for r in sizes if r["kind"] == TOKEN)
-    slices: list[list[int]] = [[0, 0, 0]]  # first segment, end, bytes
-    of = {r["part"]: r["size"] for r in sizes if r["kind"] == GRAM}
-    for part in range(segments):
-        if slices[-1][2] and slices[-1][2] + of.get(part, 0) > FILTER_BYTES:
-            slices.append([part, part, 0])
-        slices[-1][1], slices[-1][2] = part + 1, slices[-1][2] + of.get(part, 0)
-    rows = rows.select("doc_id", "held_out", F.monotonically_increasing_id().alias("row_key"), "text")
-    by_join = 16 * v_train > TOKEN_BYTES
-    if by_join or len(slices) > 1:  # rows are told apart by a written key
-        rows = scratch.keep(rows, "rows")
-    known = None
-    if by_join:
-        rows = _own_counts(rows, merged)
-    else:
-        parts = merged.where(F.col("kind") == TOKEN).select("part", "keys", "counts").orderBy("part").collect()  # within TOKEN_BYTES
-        known = spark.sparkContext.broadcast(TokenCounts(np.frombuffer(b"".join(bytes(r["keys"]) for r in parts), np.uint64),
-                                                         np.frombuffer(b"".join(bytes(r["counts"]) for r in parts), np.int64)))
-    passes = []
-    for k, (first, end, _) in enumerate(slices):
-        own = merged.where((F.col("kind") == GRAM) & F.col("part").between(first, end - 1)).select("part", "keys")
-        data = {r["part"]: bytes(r["keys"]) for r in own.collect()}  # within FILTER_BYTES
-        bloom = spark.sparkContext.broadcast(LogFrequencyFilter([data.get(p, b"") for p in range(first, end)], first, segments))
-        told = rows.mapInArrow(_score(known, bloom, n_train, v_train, k == 0), SCORES)
-        if len(slices) > 1:  # one slice in memory at a time
-            told = scratch.keep(told, f"slice-{k}")
-            bloom.unpersist()
-        passes.append(told)
-    names = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score"]
-    if len(passes) == 1:
-        return passes[0].select(*names, "score")
-    whole = passes[0]
-    for told in passes[1:]:
-        whole = whole.unionByName(told)
-    return whole.groupBy("row_key").agg(*[F.first(c).alias(c) for c in names], F.sum("score").alias("score")).select(*names, "score")
+    base = scratch.path("ranges")
+    base = base if "://" in base or base.startswith("file:") else f"file://{base}"
+    counted = train.mapInArrow(_count(segments, ranges), PARTS).groupBy("kind", "part").applyInArrow(_merge(base), MERGED)
+    tokens = counted.groupBy("kind").agg(F.sum("size").alias("size"), F.sum("total").alias("total")).where(F.col("kind") == TOKEN).first()
+    n_train, v_train = (tokens["total"], tokens["size"]) if tokens else (0, 0)
+    return rows.mapInArrow(_score(base, segments, ranges, n_train, v_train), SCORES)
