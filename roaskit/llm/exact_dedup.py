@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from roaskit.llm.common import Scratch
+from roaskit.llm.common import fresh, Scratch
 
 #: Quotient bits within a block of the filter, and fingerprints a block holds on average.
 QUOTIENT_BITS = 12
@@ -145,12 +145,12 @@ def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     """The rows of ``docs`` that stay, with all their columns."""
     told = Scratch(docs.sparkSession).keep(exact_copies(docs, id_col, text_col).where(~F.col("kept")), "gone")
     twin = F.col("doc_id").eqNullSafe(F.col("keep_id"))  # repeats id and text of a row that stays
-    gone = told.select(F.col("doc_id").alias("__gone_id"), F.col("text_sha256").alias("__gone_sha"),
-                       twin.alias("__gone_twin")).distinct()
-    same = (F.col(id_col).cast("long").eqNullSafe(F.col("__gone_id"))
-            & (F.sha2(F.coalesce(F.col(text_col).cast("string"), F.lit("")), 256) == F.col("__gone_sha")))
-    stays = docs.join(gone.where(~F.col("__gone_twin")), same, "left_anti")
-    twins = gone.where("__gone_twin")
+    gone_id, sha, is_twin = fresh(docs.columns, "gone_id", "gone_sha", "gone_twin")
+    gone = told.select(F.col("doc_id").alias(gone_id), F.col("text_sha256").alias(sha), twin.alias(is_twin)).distinct()
+    same = (F.col(id_col).cast("long").eqNullSafe(F.col(gone_id))
+            & (F.sha2(F.coalesce(F.col(text_col).cast("string"), F.lit("")), 256) == F.col(sha)))
+    stays = docs.join(gone.where(~F.col(is_twin)), same, "left_anti")
+    twins = gone.where(is_twin)
     if twins.isEmpty():
         return stays
     return (stays.join(twins, same, "left_anti")

@@ -24,7 +24,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roaskit.llm.common import importable_in_workers, spread, text_slices
+from roaskit.llm.common import fresh, importable_in_workers, spread, text_slices
 
 UNKNOWN = "und"
 #: Bytes per window and the symbol that stands for "no byte" after a text's end.
@@ -249,4 +249,5 @@ def _told(model: LanguageModel | None):
 def keep_told(docs: DataFrame, model: LanguageModel | None, text_col: str = "text") -> DataFrame:
     """The rows of ``docs``, with all their columns, in whose own text a language is told; without a model, those with a letter."""
     importable_in_workers(docs.sparkSession)
-    return docs.withColumn("__text", F.col(text_col).cast("string")).mapInArrow(_told(model), docs.schema)
+    name, = fresh(docs.columns, "own_text")
+    return docs.withColumn(name, F.col(text_col).cast("string")).mapInArrow(_told(model), docs.schema)

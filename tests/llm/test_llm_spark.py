@@ -131,7 +131,7 @@ def _score(rows):
             c.update(w)
             g.update(zip(w, w[1:]))
     n, v = sum(c.values()), len(c)
-    quantised = lambda k: 0 if not k else 1 if k == 1 else 2 ** (math.floor(math.log2(k)) + 0.5)
+    quantised = lambda k: 0 if not k else 2 ** math.floor(math.log2(k))
     for r in rows:
         w = [*_tokens(r[1]), b" "]
         one = [math.log10((c[x] + 1) / (n + v + 1)) for x in w]
@@ -143,10 +143,9 @@ def _score(rows):
 
 @pytest.mark.parametrize("sliced", [False, True])
 def test_lm_scores(docs, monkeypatch, sliced):
-    if sliced:  # the filter in several slices, and token counts by the join
-        monkeypatch.setattr(lm, "FILTER_BYTES", 3000)
-        monkeypatch.setattr(lm, "SEGMENT_BYTES", 30_000)
-        monkeypatch.setattr(lm, "TOKEN_BYTES", 0)
+    if sliced:  # the filter and the token counts in many hash ranges
+        monkeypatch.setattr(lm, "SEGMENT_BYTES", 3_000)
+        monkeypatch.setattr(lm, "SEGMENTS_PER_RANGE", 3)
     got = sorted(map(tuple, lm.score_documents(docs).collect()), key=lambda r: (str(r[0]), r[2]))
     want = sorted(_score(ROWS), key=lambda r: (str(r[0]), r[2]))
     for a, b in zip(got, want, strict=True):
@@ -154,8 +153,11 @@ def test_lm_scores(docs, monkeypatch, sliced):
         assert b[6] - 1e-9 <= a[6] <= b[6] + 0.15 * a[2]  # false positives only raise a score
 
 
-def test_lm_of_nothing(empty):
+def test_lm_of_nothing(empty, spark):
     assert lm.score_documents(empty).count() == 0
+    out = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 7 == 2)
+    got = lm.score_documents(spark.createDataFrame([(out, "all held out")], "doc_id long, text string")).first()
+    assert (got.n_tokens, got.n_known, got.train_tokens, got.score) == (4, 0, 0, 0.0)
 
 
 def test_language_id(docs, empty, spark):
@@ -212,7 +214,7 @@ def test_token_shards_of_empty_texts(spark):
 def test_token_shards_of_a_tokenizer(spark, docs, vocabulary, size):
     from pathlib import Path
     path, end = public_tokenizers.path("word_bpe_49k.json"), vocabulary - 1
-    words, rows = packing.WordIds(path), docs.coalesce(1)
+    words, rows = packing.WordIds(path, literal=True), docs.coalesce(1)
     texts = [r.text for r in rows.collect()]
     own = [words.tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts]
     want = Counter(map(tuple, own))
@@ -355,3 +357,16 @@ def test_language_stage_without_labels(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     assert {r.doc_id for r in corpus_pipeline.language(spark, docs, "").collect()} == {1, None}
     assert corpus_pipeline.language(spark, docs, "").count() == 2
+
+
+def test_pipeline_stages_take_any_column_names(spark):
+    odd = ["own_text", "gone_id", "gone_sha", "gone_twin", "gone_digest", "own_times", "__text", "__gone_id", "__id", "KEY", "n", "class", "digest"]
+    rows = [(i, t, "en", *range(len(odd))) for i, t in enumerate(["some clean words here", "some clean words here", "12 ...", None, "others"])]
+    docs = spark.createDataFrame([*rows, rows[0]], "doc_id long, text string, lang string, " + ", ".join(f"`{c}` int" for c in odd))
+    told = corpus_pipeline.language(spark, docs, "")
+    assert told.columns == docs.columns and sorted(r.doc_id for r in told.collect()) == [0, 0, 1, 4]
+    once = corpus_pipeline.exact_copies(spark, told, "")
+    assert once.columns == docs.columns and sorted(r.doc_id for r in once.collect()) == [1, 4]
+    near = corpus_pipeline.near_copies(spark, told, "")
+    assert near.columns == docs.columns and sorted(r.doc_id for r in near.collect()) == [0, 4]
+    assert corpus_pipeline.pack(spark, near, "").count() == 2
