@@ -425,9 +425,12 @@ class _Join:
         rows (the parity rows last: they cost most to compare)."""
         one, two = (rows.select("key", *[F.col(c).alias(f"{c}_{side}") for c in ROW]) for rows, side in ((one, "a"), (two, "b")))
         n, m, p = F.col("n_a"), F.col("n_b"), self.percent
-        differ = sum((F.bit_count(F.col(f"s{k}_a").bitwiseXOR(F.col(f"s{k}_b"))) for k in range(SIGN_LONGS)), F.lit(0))
+        most = n + m - 2 * F.ceil((n + m) * p / F.lit(100 + p))
+
+        def differ(longs: int) -> Column:  # the first longs alone tell most pairs apart
+            return sum((F.bit_count(F.col(f"s{k}_a").bitwiseXOR(F.col(f"s{k}_b"))) for k in range(longs)), F.lit(0))
         return one.join(two, "key").where(roles & (F.col("class_a") != F.col("class_b")) & (F.greatest(n, m) > light)
-                                          & linkable(n, m, p) & (differ <= n + m - 2 * F.ceil((n + m) * p / F.lit(100 + p))))
+                                          & linkable(n, m, p) & (differ(SIGN_LONGS // 4) <= most) & (differ(SIGN_LONGS) <= most))
 
     def lead_pairs(self, told: DataFrame, light: int) -> DataFrame:
         """For each set a few leads of other classes that it may link with: a list has LEADS leads, so that the
