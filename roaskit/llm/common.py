@@ -48,9 +48,9 @@ class Scratch:
     def path(self, name: str) -> str:
         return f"{self.base}/{name}"
 
-    def keep(self, df: DataFrame, name: str) -> DataFrame:
+    def keep(self, df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
         """Write ``df`` and read it again."""
-        df.write.parquet(self.path(name))
+        df.write.option("compression", compression).parquet(self.path(name))
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
     def drop(self, name: str) -> None:

@@ -289,7 +289,7 @@ def write_shards(docs: DataFrame, key: int = 20, stride: int = STRIDE, per_shard
     else:
         rows = docs.select(F.col(text_col).cast("string").alias("text"))
         encoder = (lambda: word_ids(tokenizer_path, literal=True).encode) if tokenizer_path else lambda: _byte_ids
-    cut = scratch.keep(rows.mapInArrow(_sequences(encoder, end_id, vocabulary, stride), CUT), "sequences")
+    cut = scratch.keep(rows.mapInArrow(_sequences(encoder, end_id, vocabulary, stride), CUT), "sequences", "zstd")
     sizes = cut.groupBy("part").agg(F.count("*").alias("n"), F.min("used").alias("used")).collect()  # a row per partition
     first_of, short, total = {}, {}, 0
     for r in sorted(sizes, key=lambda r: r["part"]):
