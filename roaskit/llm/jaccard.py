@@ -52,10 +52,10 @@ MOST_SUBSETS = 400
 LIST_COST = 4.0
 #: Bits of a set's parity row at most.
 PARITY_BITS = 1 << 16
-#: Longs of the short parity row that goes with a set into its lists.
-SIGN_LONGS = 32
-#: The columns of a row of an inverted list, beside its key, once classes are known.
-ROW = ["set_id", "n", "short", "class", *(f"s{k}" for k in range(SIGN_LONGS))]
+#: Longs of the short parity row that a set brings into a join of its lists.
+SIGN_LONGS = 16
+#: The columns of a row of an inverted list, beside its key, once classes are known; its parity row joins it in time.
+ROW = ["set_id", "n", "short", "class"]
 #: Sets drawn from each list that its other sets meet before classes meet in full.
 LEADS = 3
 #: Tasks among which the members of one pivot are spread.
@@ -409,21 +409,17 @@ class _Join:
         return links
 
     def mixed(self, lists: DataFrame, classed: DataFrame, name: str) -> DataFrame:
-        """The rows of the inverted lists that hold more than one class, each with its class and short parity row."""
+        """The rows of the inverted lists that hold more than one class, each with its class."""
         told = lists.select("key", "set_id", "n", "short").join(classed.select("set_id", "class"), "set_id")
-        signs = [F.col("sign")[k].alias(f"s{k}") for k in range(SIGN_LONGS)]
         several = told.groupBy("key").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low <> high")
-        told = told.join(several.select("key"), "key", "left_semi").join(self.sets.select("set_id", *signs), "set_id")
-        return self.scratch.keep(told.select("key", *ROW), name)
-
-    def reclassed(self, told: DataFrame, classed: DataFrame, name: str) -> DataFrame:
-        """The rows of ``mixed`` with the classes as they are now (written by set, so that a long list is spread)."""
-        return self.scratch.keep(told.drop("class").join(classed.select("set_id", "class"), "set_id").select("key", *ROW), name)
+        return self.scratch.keep(told.join(several.select("key"), "key", "left_semi").select("key", *ROW), name)
 
     def _met(self, one: DataFrame, two: DataFrame, light: int, roles: Column) -> DataFrame:
         """Rows of the same list and of different classes, in these roles, that may link by their sizes and parity
         rows (the parity rows last: they cost most to compare)."""
-        one, two = (rows.select("key", *[F.col(c).alias(f"{c}_{side}") for c in ROW]) for rows, side in ((one, "a"), (two, "b")))
+        signs = self.sets.select("set_id", *[F.col("sign")[k].alias(f"s{k}") for k in range(SIGN_LONGS)])
+        one, two = (rows.join(signs, "set_id").select("key", *[F.col(c).alias(f"{c}_{side}") for c in (*ROW, *signs.columns[1:])])
+                    for rows, side in ((one, "a"), (two, "b")))
         n, m, p = F.col("n_a"), F.col("n_b"), self.percent
         most = n + m - 2 * F.ceil((n + m) * p / F.lit(100 + p))
 
@@ -510,7 +506,7 @@ def _classes(docs: DataFrame, words: int, percent: int, digests: bool = False) -
     rows = job.mixed(lists.where("c = 0"), classed, "mixed-first")
     job.scratch.drop("lists")  # a table goes as soon as the one made of it is written
     classed = merged(classed, job.verified(job.lead_pairs(rows, light), "leads"), job.scratch, "second")
-    rows = job.reclassed(rows, classed, "mixed-last")
+    rows = job.mixed(rows, classed, "mixed-last")
     job.scratch.drop("mixed-first")
     pairs = job.scratch.keep(job.class_pairs(rows, light), "class-pairs")
     job.scratch.drop("mixed-last")
