@@ -235,19 +235,22 @@ def predict_language(docs: DataFrame, model: LanguageModel | None, id_col: str =
     return rows.mapInArrow(_predict(model), "doc_id long, held_out boolean, lang_pred string, score double")
 
 
-def _told(model: LanguageModel | None):
+def _told(model: LanguageModel | None, at: int, columns: int):
+    """The rows, cut to their first columns, in whose text (column ``at``) a language is told."""
     def told(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            last = batch.num_columns - 1
-            for row, texts in text_slices(batch.column(last)):
+            for row, texts in text_slices(batch.column(at)):
                 keep = (_languages(model, texts)[0] != UNKNOWN if model is not None
                         else np.array([has_letter(t) for t in texts.to_pylist()], bool))
-                yield batch.slice(row, len(texts)).select(list(range(last))).filter(pa.array(keep, pa.bool_()))
+                yield batch.slice(row, len(texts)).select(list(range(columns))).filter(pa.array(keep, pa.bool_()))
     return told
 
 
 def keep_told(docs: DataFrame, model: LanguageModel | None, text_col: str = "text") -> DataFrame:
     """The rows of ``docs``, with all their columns, in whose own text a language is told; without a model, those with a letter."""
     importable_in_workers(docs.sparkSession)
+    n = len(docs.columns)
+    if (text_col, "string") in docs.dtypes:  # a second copy of the texts would double what a task holds
+        return docs.mapInArrow(_told(model, docs.columns.index(text_col), n), docs.schema)
     name, = fresh(docs.columns, "own_text")
-    return docs.withColumn(name, F.col(text_col).cast("string")).mapInArrow(_told(model), docs.schema)
+    return docs.withColumn(name, F.col(text_col).cast("string")).mapInArrow(_told(model, n, n), docs.schema)
