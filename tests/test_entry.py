@@ -59,3 +59,15 @@ def test_query_matches_oracle(spark, duck, name):
 @pytest.mark.parametrize("name", sorted(set(entry_mod.queries()) - set(entry_mod.oracle_sql()) - MODEL_QUERIES))
 def test_rows_only_queries_run(spark, name):
     assert entry_mod.queries()[name](spark, SF).count() > 0
+
+
+def test_queries_without_a_library_of_the_training_data_operators(monkeypatch):
+    """A missing tokenizer package takes those queries away and no other."""
+    import sys
+
+    import __spark_entry__ as entry
+    from roaskit.plans.catalog import QUERIES
+    for name in [m for m in sys.modules if m == "corpus_pipeline" or m.startswith("roaskit.llm")]:
+        monkeypatch.delitem(sys.modules, name)
+    monkeypatch.setitem(sys.modules, "public_tokenizers", None)
+    assert set(entry.queries()) == set(QUERIES)
