@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import uuid
 from collections.abc import Iterator
@@ -99,6 +100,14 @@ def fresh(columns: list[str], *names: str) -> list[str]:
     return out
 
 
+def give_back_memory() -> None:
+    """Hand memory that Arrow's pool and the allocator keep back to the system: workers live through many stages."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim is not None:
+        trim(0)
+
+
 def text_slices(texts: pa.Array) -> Iterator[tuple[int, pa.Array]]:
     """(first row, slice) pieces of at most ``SLICE_BYTES`` of text, or of lists of 32-bit ids; one longer row stands alone."""
     listed = pa.types.is_list(texts.type) or pa.types.is_large_list(texts.type)
@@ -111,6 +120,7 @@ def text_slices(texts: pa.Array) -> Iterator[tuple[int, pa.Array]]:
         held += n
     if len(sizes) > start:
         yield start, texts.slice(start)
+    give_back_memory()
 
 
 def split_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
