@@ -65,28 +65,42 @@ class Scratch:
 FILTER_BITS = 1 << 24
 
 
-def key_filter(rows: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
-    """The rows whose ``key`` (a long that spreads evenly, as a hash does) may be among the wanted ones.
-
-    A cheap step before a join by that key, for rows that are costly to shuffle: wanted keys set bits of a filter
-    of fixed size, which is broadcast.  Some other rows pass too, more of them the more keys are wanted.
-    """
+def _filter_words(wanted: DataFrame) -> np.ndarray:
+    """The bits of the wanted keys, at most ``FILTER_BITS / 64`` rows of the driver."""
     name = wanted.columns[0]
     bit = F.expr(f"shiftleft(1L, cast(pmod(`{name}`, 64) as int))")
     slots = wanted.select(F.expr(f"cast(pmod(`{name}`, {FILTER_BITS}) div 64 as int)").alias("word"), bit.alias("bit"))
-    held = slots.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()  # at most FILTER_BITS / 64 rows
+    held = slots.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
     words = np.zeros(FILTER_BITS // 64, np.uint64)
     words[held["word"].to_numpy()] = held["bits"].to_numpy().view(np.uint64)
-    sent, at = rows.sparkSession.sparkContext.broadcast(words), rows.columns.index(key)
+    return words
+
 
+def _passing(sent, at: int, wanted: bool):
     def passing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         filled = sent.value
         for batch in batches:
             slot = batch.column(at).to_numpy(zero_copy_only=False) % FILTER_BITS
-            keep = filled[slot // 64] >> (slot % 64).astype(np.uint64) & np.uint64(1)
+            keep = (filled[slot // 64] >> (slot % 64).astype(np.uint64) & np.uint64(1)).astype(bool) == wanted
             if keep.any():
-                yield batch.filter(pa.array(keep.astype(bool)))
-    return rows.mapInArrow(passing, rows.schema)
+                yield batch if keep.all() else batch.filter(pa.array(keep))
+    return passing
+
+
+def key_filter(rows: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
+    """The rows whose ``key`` (a long that spreads evenly, as a hash does) may be among the wanted ones.
+
+    A cheap step before a join by that key, for rows that are costly to shuffle: wanted keys set bits of a filter
+    of fixed size, which is broadcast.  Some other rows pass too, more of them the more keys are wanted.
+    """
+    return key_split(rows, key, wanted)[0]
+
+
+def key_split(rows: DataFrame, key: str, wanted: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows whose ``key`` may be among the wanted ones, and those whose key surely is not."""
+    sent, at = rows.sparkSession.sparkContext.broadcast(_filter_words(wanted)), rows.columns.index(key)
+    may, sure = (rows.mapInArrow(_passing(sent, at, w), rows.schema) for w in (True, False))
+    return may, sure
 
 
 def fresh(columns: list[str], *names: str) -> list[str]:

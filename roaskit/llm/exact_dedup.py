@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from roaskit.llm.common import fresh, Scratch
+from roaskit.llm.common import Scratch, fresh, key_split
 
 #: Quotient bits within a block of the filter, and fingerprints a block holds on average.
 QUOTIENT_BITS = 12
@@ -149,7 +149,11 @@ def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     gone = told.select(F.col("doc_id").alias(gone_id), F.col("text_sha256").alias(sha), twin.alias(is_twin)).distinct()
     same = (F.col(id_col).cast("long").eqNullSafe(F.col(gone_id))
             & (F.sha2(F.coalesce(F.col(text_col).cast("string"), F.lit("")), 256) == F.col(sha)))
-    stays = docs.join(gone.where(~F.col(is_twin)), same, "left_anti")
+    # only rows whose id may be among the gone ones are shuffled
+    key, = fresh(docs.columns, "gone_key")
+    keyed = docs.withColumn(key, F.xxhash64(F.col(id_col).cast("long")))
+    may, sure = key_split(keyed, key, gone.where(~F.col(is_twin)).select(F.xxhash64(gone_id).alias(key)))
+    stays = sure.drop(key).unionByName(may.drop(key).join(gone.where(~F.col(is_twin)), same, "left_anti"))
     twins = gone.where(is_twin)
     if twins.isEmpty():
         return stays

@@ -42,7 +42,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from roaskit.llm.common import Scratch, fresh, key_filter, split_words, text_slices
+from roaskit.llm.common import Scratch, fresh, key_filter, key_split, split_words, text_slices
 
 #: Counters of the frequency sketch (fixed size, so its broadcast is bounded), and the blocks they travel in.
 SKETCH, SKETCH_BLOCKS = 1 << 18, 32
@@ -528,6 +528,14 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
             .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")))
 
 
+def _without(docs: DataFrame, gone: DataFrame, row: Column, id_col: str, gone_id: str) -> DataFrame:
+    """``docs`` without the rows that match ``gone``; only rows whose id may be among the gone ones are shuffled."""
+    key, = fresh(docs.columns, "gone_key")
+    keyed = docs.withColumn(key, F.xxhash64(F.col(id_col).cast("long")))
+    may, sure = key_split(keyed, key, gone.select(F.xxhash64(gone_id).alias(key)))
+    return sure.drop(key).unionByName(may.drop(key).join(gone, row, "left_anti"))
+
+
 def drop_near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id",
                          text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay: of each class one, that with the smallest id (null ids last, equal ids by digest
@@ -541,10 +549,11 @@ def drop_near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_
     stay = named.groupBy("class").agg(first).select(
         F.col("first.doc_id").alias(own_id), F.col("first.digest").alias(own_digest), F.col("first.times").alias("own_times"))
     same = F.col("doc_id").eqNullSafe(F.col(own_id)) & (F.col("digest") == F.col(own_digest))
-    gone = named.join(stay, same, "left_anti").select(F.col("doc_id").alias(own_id), F.col("digest").alias(own_digest))
+    gone = job.scratch.keep(named.join(stay, same, "left_anti").select(
+        F.col("doc_id").alias(own_id), F.col("digest").alias(own_digest)), "gone")
     row = (F.col(id_col).cast("long").eqNullSafe(F.col(own_id))
            & (F.unhex(F.sha2(F.coalesce(F.col(text_col).cast("string"), F.lit("")), 256)) == F.col(own_digest)))
-    stays = docs.join(gone, row, "left_anti")
+    stays = _without(docs, gone, row, id_col, own_id)
     twins = job.scratch.keep(stay.where("own_times > 1").drop("own_times"), "twins")  # rows that repeat id and text: one of them stays
     if twins.isEmpty():
         return stays
