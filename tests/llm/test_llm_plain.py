@@ -5,6 +5,7 @@ from __future__ import annotations
 import base64
 import itertools
 import random
+import time
 import zlib
 
 import numpy as np
@@ -246,6 +247,63 @@ def test_pages_without_text(html):
     assert html_extract.main_text(html) == ""
 
 
+TOLD = "The council met on Tuesday evening and agreed to build a bridge over the river."
+
+
+@pytest.mark.parametrize("page", [
+    '<div class="has-sidebar"><article><p>{0}</p></article></div>', '<div class="right-side"><article><p>{0}</p></article></div>',
+    "<form action=x><input><article><p>{0}</p></article></form>", '<nav><a href="/">Home</a></nav><p>{0}</p><nav><a href="/m">More</a></nav>',
+    '<ul class="menu"><li><a href="/">Home</a><li><a href="/n">News</a></ul><p>{0}</p><div id="footer">Copyright 2020 by us.</div>',
+    '<article><p>{0}</p></article><div class="comments"><article><p>A comment. {0}</p></article></div>',
+    '<article class="comment"><p>A comment. {0}</p></article><main><p>{0}</p><form><p>Sign up here to get our letters every week.</p></form></main>'])
+def test_the_nearest_section_decides(page):
+    assert html_extract.main_text(page.format(TOLD)) == TOLD
+
+
+def test_a_form_around_the_page_is_no_form():
+    page = "<form action=x>" + f"<p>{TOLD}</p>" * 8 + "</form>"
+    assert html_extract.main_text(page).split("\n\n") == [TOLD] * 8
+
+
+def test_whole_pages_against_all_labellings():
+    rng = random.Random(8)
+    parts = ["<p>{}</p>", "<h2>{}</h2>", "<ul><li>{}<li><a href=/>{}</a></ul>", "<nav><a href=/>{}</a></nav>", "<article><p>{}</p><p>{}</p></article>",
+             "<div class=sidebar>{}</div>", "<div><p>{}</p><div>{}</div></div>", "<header><p>{}</p></header>", "<form>{}</form>"]
+    for _ in range(80):
+        page = "".join(rng.choice(parts) for _ in range(rng.randint(1, 6)))
+        page = page.format(*(" ".join(f"w{k}" for k in range(rng.randint(1, 12))) + rng.choice(("", ".")) + f"#{i}" for i in range(page.count("{}"))))
+        found = html_extract.blocks(page)
+        costs, edges = [html_extract.score(b) for b in found], html_extract.smoothness(found)
+        def cost(keep):
+            return (sum(max(-c, 0) if k else max(c, 0) for c, k in zip(costs, keep))
+                    + sum(w for (i, j), w in edges.items() if keep[i] != keep[j]))
+        best = min(map(cost, itertools.product((False, True), repeat=len(found))))
+        said = html_extract.main_text(page).split("\n\n")
+        assert cost([b.text in said for b in found]) == pytest.approx(best)
+
+
+def test_fitted_weights():
+    assert (html_extract.fit_weights({}) == html_extract.PRIOR).all() and (html_extract.fit_weights({(3, True): 9}) == html_extract.PRIOR).all()
+    linked, paragraph = (html_extract.shape(html_extract.blocks(p)[0]) for p in ("<li><a href=/>Home</a>", f"<p>{TOLD}"))
+    weights = html_extract.fit_weights({(linked, False): 500, (paragraph, True): 80})
+    x, mass = html_extract._features(), 50.0  # the slope of the loss vanishes
+    share = 1 / (1 + np.exp(-(x @ weights)))
+    slope = mass * share[linked] * x[linked] - mass * (1 - share[paragraph]) * x[paragraph]
+    slope += np.array([1, 400, 1, 1, 1, 1, 1, 1]) * (weights - html_extract.PRIOR)
+    assert np.abs(slope).max() < 1e-6
+    scores = html_extract.shape_scores(weights)
+    assert scores[paragraph] > 2 and scores[linked] < -2
+
+
+@pytest.mark.parametrize("page", [
+    "<article>" + f"<p>{TOLD}</p><ul><li><a href=/>a link</a></li></ul>" * 4000 + "</article>", f"<p>{TOLD}</p><ul><li><a href=/>a link</a></li></ul>" * 4000,
+    "<div>" * 8000 + "</b></i></section>" * 8000 + TOLD, "<div><span>" * 8000 + TOLD + "<div>x</div>" * 8000])
+def test_time_of_a_long_page(page):
+    start = time.process_time()
+    html_extract.main_text(page)
+    assert time.process_time() - start < 3  # about 0.3 s; the square of the blocks would be 30 s
+
+
 def test_split_words_is_ascii_white_space_only():
     texts = [" a\tb\x0b\x0cc\r\n", "x y \x1c z", "", None, "one"]
     index, offsets, words = common.split_words(pa.array(texts, pa.string()))

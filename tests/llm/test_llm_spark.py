@@ -306,6 +306,21 @@ def test_html_extraction(spark):
     assert got == sorted([(1, "u", "A text that is long enough to be kept here.", 43), (2, None, "", 0), (2, None, "", 0), (None, "v", "", 0)], key=str)
 
 
+def test_html_weights_are_fitted_on_the_pages(spark):
+    page = "<nav><a href=/>Home</a><a href=/n>News</a></nav><article><h1>News today</h1><p>A text that is long enough to be kept here.</article>"
+    rows = [(i, None if i % 3 else f"u{i}", None if i % 5 == 0 else page) for i in range(40)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    counts = {}
+    for _, _, html in rows:
+        for b in html_extract.blocks(html or ""):
+            key = html_extract.shape(b), html_extract.section(b) == html_extract.MAIN
+            counts[key] = counts.get(key, 0) + 1
+    assert np.allclose(html_extract.fit(pages), html_extract.fit_weights(counts))
+    assert not np.allclose(html_extract.fit(pages, 5), html_extract.PRIOR)
+    assert (html_extract.fit(pages.limit(0)) == html_extract.PRIOR).all()
+    assert html_extract.extract_pages(pages.limit(0)).count() == 0
+
+
 def test_pipeline(spark, docs, tmp_path):
     docs.write.parquet(str(tmp_path / "documents.parquet"))
     out = corpus_pipeline.run(spark, str(tmp_path)).collect()
