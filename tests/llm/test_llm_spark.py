@@ -8,6 +8,7 @@ import random
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import public_tokenizers
 import pytest
 
