@@ -10,10 +10,11 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
-from roaskit.llm import bpe, chat, exact_dedup, html_extract, jaccard, langid, lm, packing, token_shards, topk
+from roaskit.llm import bpe, chat, common, exact_dedup, html_extract, jaccard, langid, lm, packing, token_shards, topk
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, gone_id long, piece int, fingerprint string"
 WORDS = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron pi rho sigma tau upsilon".split()
@@ -322,6 +323,20 @@ def test_html_weights_are_fitted_on_the_pages(spark):
     assert html_extract.extract_pages(pages.limit(0)).count() == 0
 
 
+def test_batches_of_texts_are_bounded(spark):
+    name, rows = "spark.sql.execution.arrow.maxBytesPerBatch", spark.range(3000, numPartitions=1).selectExpr("id", "repeat('x', 5000) as text")
+    before = spark.conf.get(name)
+    try:
+        common.texts_in_slices(spark)
+        sizes = [r.n for r in rows.mapInArrow(lambda bs: (pa.RecordBatch.from_pydict({"n": [b.nbytes]}) for b in bs), "n long").collect()]
+        assert len(sizes) > 3 and max(sizes) < 1.1 * common.SLICE_BYTES
+        spark.conf.set(name, 1 << 20)
+        common.texts_in_slices(spark)
+        assert spark.conf.get(name) in ("1048576", "1048576b")
+    finally:
+        spark.conf.set(name, before)
+
+
 def test_pipeline(spark, docs, tmp_path):
     docs.write.parquet(str(tmp_path / "documents.parquet"))
     out = corpus_pipeline.run(spark, str(tmp_path)).collect()
