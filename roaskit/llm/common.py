@@ -38,7 +38,7 @@ def texts_in_slices(spark: SparkSession) -> None:
     """Let no Arrow batch of this session pass ``SLICE_BYTES`` (but for one longer row): 10,000 texts in one, Spark's own
     bound in rows, take hundreds of MB of an executor in both processes.  A smaller setting stays."""
     name = "spark.sql.execution.arrow.maxBytesPerBatch"
-    now = re.fullmatch(r"(-?\d+)b?", spark.conf.get(name, "-1"))
+    now = re.fullmatch(r"(-?\d+)b?", spark.conf.get(name))
     if now is None or not 0 < int(now[1]) <= SLICE_BYTES:
         spark.conf.set(name, SLICE_BYTES)
 
