@@ -152,6 +152,42 @@ def q_creative_summary_filtered(spark, sf):
     return _creative_out(creative.creative_summary(e))
 
 
+_RUNS_SQL = f"""
+WITH runs AS (
+  SELECT campaign_id, CAST(max(session_start) AS DATE) AS last_day FROM d_sessions WHERE campaign_id IS NOT NULL GROUP BY campaign_id),
+f AS (
+  SELECT e.* REPLACE (e.spend * CASE WHEN e.start_date IS NULL THEN 1.0 ELSE
+      greatest(date_diff('day', greatest(e.start_date, DATE '{FILTER_LO}'),
+                         least(greatest(e.start_date, r.last_day), DATE '{FILTER_HI}')) + 1, 0)::DOUBLE
+      / (date_diff('day', e.start_date, greatest(e.start_date, r.last_day)) + 1)::DOUBLE END AS spend)
+  FROM d_enriched e LEFT JOIN runs r ON e.campaign_id = r.campaign_id
+  WHERE e.session_start >= TIMESTAMP '{FILTER_LO}' AND e.session_start < TIMESTAMP '{FILTER_HI}' + INTERVAL 1 DAY) """
+
+
+def _enriched_in_range(spark, sf):
+    """Sessions of the filtered days, with the days that their campaigns run."""
+    sessions = ad.sessions(spark, sf)
+    e = creative.enrich_sessions(sessions, creative.campaign_runs(ad.campaigns(spark, sf), sessions), ad.orders(spark, sf))
+    return flt.filter_dates(e, "session_start", FILTER_LO, FILTER_HI)
+
+
+@register("campaign_summary_prorated", _RUNS_SQL + """
+SELECT campaign_id, round(any_value(spend), 4) AS spend, creative_format, creative_theme,
+  round(CAST(sum(CAST(gross_revenue AS DECIMAL(38,6))) AS DOUBLE), 4) AS total_revenue, CAST(sum(converted) AS BIGINT) AS total_conversions
+FROM f WHERE campaign_id IS NOT NULL GROUP BY campaign_id, creative_format, creative_theme""")
+def q_campaign_summary_prorated(spark, sf):
+    """D3 over a part of the range: a campaign's spend goes evenly to its days, and those in the range count."""
+    c = creative.campaign_summary(_enriched_in_range(spark, sf), prorate=(FILTER_LO, FILTER_HI))
+    return c.select("campaign_id", r4("spend").alias("spend"), "creative_format", "creative_theme",
+                    r4("total_revenue").alias("total_revenue"), "total_conversions")
+
+
+@register("creative_summary_prorated", _RUNS_SQL + _CREATIVE_SQL.replace("WITH cs", ", cs", 1))
+def q_creative_summary_prorated(spark, sf):
+    """D4 with the spend of the filtered days only."""
+    return _creative_out(creative.creative_summary(_enriched_in_range(spark, sf), prorate=(FILTER_LO, FILTER_HI)))
+
+
 @register("creative_rollup", """
 WITH f AS (SELECT * FROM d_enriched), cs AS (
   SELECT c.campaign_id, c.spend, c.creative_format, c.creative_theme, p.total_revenue, p.total_conversions
@@ -1016,7 +1052,7 @@ def q_one_hot_features(spark, sf):
     return align_features(s, feats, keep=["session_id"])
 
 
-# Chosen parameters of the published study (the column share becomes a
+# --- fixed values: chosen parameters of the published study (the column share becomes a
 # featureSubsetStrategy fraction; the split penalty gamma has no GBT twin).
 GBT_PARAMS = {"maxIter": 184, "maxDepth": 6, "stepSize": 0.1842, "subsamplingRate": 0.7886,
               "featureSubsetStrategy": "0.8096"}

@@ -43,22 +43,50 @@ def enrich_sessions(sessions: DataFrame, campaigns: DataFrame, orders: DataFrame
     }).drop("orders")
 
 
-def campaign_summary(enriched: DataFrame) -> DataFrame:
+def campaign_runs(campaigns: DataFrame, sessions: DataFrame) -> DataFrame:
+    """``campaigns`` with ``end_date``, the day of a campaign's last session, but not before its start (its start, if
+    it has no session).  ``sessions`` are all of them, not those of a filtered range."""
+    last = (sessions.where(F.col("campaign_id").isNotNull()).groupBy("campaign_id")
+            .agg(F.max("session_start").cast("date").alias("_last")))
+    return (campaigns.join(last, "campaign_id", "left")
+            .withColumn("end_date", F.greatest("start_date", "_last")).drop("_last"))
+
+
+def spend_share(start, end, lo=None, hi=None) -> F.Column:
+    """The share of a campaign's days (start to end, both included) that lie in ``lo`` to ``hi`` (both included; None:
+    unbounded).  A day counts as much as any other; with no start, no end or an end before the start it is 1."""
+    start, end = F.col(start), F.col(end)
+    first = start if lo is None else F.greatest(start, F.lit(str(lo)[:10]).cast("date"))
+    last = end if hi is None else F.least(end, F.lit(str(hi)[:10]).cast("date"))
+    known = start.isNotNull() & end.isNotNull() & (start <= end)
+    inside = F.greatest(F.date_diff(last, first) + 1, F.lit(0))
+    return F.when(known, inside / (F.date_diff(end, start) + 1)).otherwise(F.lit(1.0))
+
+
+def campaign_summary(enriched: DataFrame, prorate: tuple | None = None) -> DataFrame:
     """D3: revenue and conversions per campaign; spend counted once per campaign
     that has a session in ``enriched`` (already filtered by the caller).
 
     Spend, format and theme come from the campaign dimension (one row per
     campaign id), so grouping by them together with the id equals "distinct
     campaigns joined to per-campaign sums" -- in one shuffle instead of three.
-    """
-    return (enriched.where(F.col("campaign_id").isNotNull())
-            .groupBy("campaign_id", "spend", "creative_format", "creative_theme")
-            .agg(exact_sum("gross_revenue").alias("total_revenue"), F.sum("converted").alias("total_conversions")))
-
 
-def creative_summary(enriched: DataFrame) -> DataFrame:
-    """Spend, revenue, conversions per (format, theme); roas, cac, roas_display."""
-    c = campaign_summary(enriched)
+    With ``prorate=(lo, hi)``, the range of days that the caller filtered by, a
+    campaign's spend is allocated evenly to its days and only those in the range
+    count; ``enriched`` then holds ``start_date`` and ``end_date`` (``campaign_runs``).
+    """
+    keys = ["campaign_id", "spend", "creative_format", "creative_theme"]
+    days = [] if prorate is None else ["start_date", "end_date"]
+    out = (enriched.where(F.col("campaign_id").isNotNull()).groupBy(*keys, *days)
+           .agg(exact_sum("gross_revenue").alias("total_revenue"), F.sum("converted").alias("total_conversions")))
+    if prorate is None:
+        return out
+    return out.withColumn("spend", F.col("spend") * spend_share(*days, *prorate)).drop(*days)
+
+
+def creative_summary(enriched: DataFrame, prorate: tuple | None = None) -> DataFrame:
+    """Spend, revenue, conversions per (format, theme); roas, cac, roas_display.  ``prorate`` as in ``campaign_summary``."""
+    c = campaign_summary(enriched, prorate)
     g = (c.where(F.col("creative_format").isNotNull() & F.col("creative_theme").isNotNull())
          .groupBy("creative_format", "creative_theme")
          .agg(exact_sum("spend").alias("total_spend"), exact_sum("total_revenue").alias("total_revenue"),
