@@ -52,8 +52,11 @@ MOST_SUBSETS = 400
 LIST_COST = 4.0
 #: Bits of a set's parity row at most.
 PARITY_BITS = 1 << 16
-#: Longs of the short parity row that a set brings into a join of its lists.
-SIGN_LONGS = 16
+#: Longs of the short parity row that a set brings into a join of its lists, and of the one that larger sets bring
+#: as well: 256 bits tell sets apart that differ in less than about 100 shingles, more than small linked sets do.
+SIGN_LONGS, WIDE_LONGS = 4, 16
+#: The largest set without the wider row.
+SMALL = 384
 #: The columns of a row of an inverted list, beside its key, once classes are known; its parity row joins it in time.
 ROW = ["set_id", "n", "short", "class"]
 #: Sets drawn from each list that its other sets meet before classes meet in full.
@@ -186,9 +189,13 @@ def parity(shingles: np.ndarray) -> bytes:
 
 
 def sign(shingles: np.ndarray) -> list[int]:
-    """A parity row of a fixed width, as longs, for a bound inside a join's condition."""
-    odd = np.bincount((shingles >> np.uint64(40) & np.uint64(64 * SIGN_LONGS - 1)).astype(np.int64), minlength=64 * SIGN_LONGS) & 1
-    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64).tolist()
+    """Parity rows of fixed widths, as longs, for a bound inside a join's condition: the short one (the wide one folded
+    onto itself), and after it the wide one if the set is not small."""
+    bits = 64 * WIDE_LONGS
+    odd = np.bincount((shingles >> np.uint64(40) & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    wide = np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
+    short = np.bitwise_xor.reduce(wide.reshape(-1, SIGN_LONGS), axis=0).tolist()
+    return short if len(shingles) <= SMALL else short + wide.tolist()
 
 
 def least_difference(one: bytes, two: bytes) -> int:
@@ -383,7 +390,8 @@ class _Join:
         return self.scratch.keep(met, "lists")
 
     def verified(self, pairs: DataFrame, name: str) -> DataFrame:
-        """Of the pairs (a, b) those whose whole sets link; b's set is sent once to each task that needs it."""
+        """Of the pairs (a, b) those whose whole sets link; b's set is sent once to each task that needs it.
+        Pairs should be a written table: Spark then knows its size before it plans the joins of parity rows."""
         one, two = (self.sets.select(F.col("set_id").alias(x), F.col("n").alias(f"n_{x}"), F.col("parity").alias(f"parity_{x}")) for x in "ab")
         pairs = (pairs.join(one, "a").join(two, "b").select("a", "b", "n_a", "n_b", "parity_a", "parity_b")
                  .mapInArrow(_possible(self.percent), "a long, b long"))
@@ -417,16 +425,19 @@ class _Join:
     def _met(self, one: DataFrame, two: DataFrame, light: int, roles: Column) -> DataFrame:
         """Rows of the same list and of different classes, in these roles, that may link by their sizes and parity
         rows (the parity rows last: they cost most to compare)."""
-        signs = self.sets.select("set_id", *[F.col("sign")[k].alias(f"s{k}") for k in range(SIGN_LONGS)])
+        wide = F.when(F.size("sign") > SIGN_LONGS, F.slice("sign", SIGN_LONGS + 1, WIDE_LONGS))
+        signs = self.sets.select("set_id", *[F.col("sign")[k].alias(f"s{k}") for k in range(SIGN_LONGS)], wide.alias("wide"))
         one, two = (rows.join(signs, "set_id").select("key", *[F.col(c).alias(f"{c}_{side}") for c in (*ROW, *signs.columns[1:])])
                     for rows, side in ((one, "a"), (two, "b")))
         n, m, p = F.col("n_a"), F.col("n_b"), self.percent
         most = n + m - 2 * F.ceil((n + m) * p / F.lit(100 + p))
 
-        def differ(longs: int) -> Column:  # the first longs alone tell most pairs apart
-            return sum((F.bit_count(F.col(f"s{k}_a").bitwiseXOR(F.col(f"s{k}_b"))) for k in range(longs)), F.lit(0))
+        def differ(a: list[Column], b: list[Column]) -> Column:
+            return sum((F.bit_count(x.bitwiseXOR(y)) for x, y in zip(a, b)), F.lit(0))
+        short = differ(*([F.col(f"s{k}_{side}") for k in range(SIGN_LONGS)] for side in "ab"))
+        whole = differ(*([F.get(f"wide_{side}", F.lit(k)) for k in range(WIDE_LONGS)] for side in "ab"))  # null: one is small
         return one.join(two, "key").where(roles & (F.col("class_a") != F.col("class_b")) & (F.greatest(n, m) > light)
-                                          & linkable(n, m, p) & (differ(SIGN_LONGS // 4) <= most) & (differ(SIGN_LONGS) <= most))
+                                          & linkable(n, m, p) & (short <= most) & F.coalesce(whole <= most, F.lit(True)))
 
     def lead_pairs(self, told: DataFrame, light: int) -> DataFrame:
         """For each set a few leads of other classes that it may link with: a list has LEADS leads, so that the
@@ -496,8 +507,9 @@ def _classes(docs: DataFrame, words: int, percent: int, digests: bool = False) -
     # to gather classes it is enough that each set meets a few pivots of its lists
     met = members.where((F.col("c") == 0) & (F.greatest(n, m) > light) & linkable(n, m, percent)).groupBy(a, b).count()
     met = met.groupBy("a").agg(F.min("b").alias("least"), F.max("b").alias("last"), F.max_by("b", F.struct("count", "b")).alias("frequent"))
-    pairs = met.select("a", F.explode(F.array_distinct(F.array("least", "last", "frequent"))).alias("b"))
+    pairs = job.scratch.keep(met.select("a", F.explode(F.array_distinct(F.array("least", "last", "frequent"))).alias("b")), "pivots-met")
     links = proven.unionByName(job.verified(pairs, "pivots"))
+    job.scratch.drop("pivots-met")
     classes = components(links, job.scratch, "first")
     classed = sets.select("set_id", "least_id").join(classes, F.col("set_id") == F.col("node"), "left").select(
         "set_id", "least_id", F.coalesce("root", "set_id").alias("class"))
@@ -505,7 +517,9 @@ def _classes(docs: DataFrame, words: int, percent: int, digests: bool = False) -
     classed = job.scratch.keep(classed, "first-classes")
     rows = job.mixed(lists.where("c = 0"), classed, "mixed-first")
     job.scratch.drop("lists")  # a table goes as soon as the one made of it is written
-    classed = merged(classed, job.verified(job.lead_pairs(rows, light), "leads"), job.scratch, "second")
+    pairs = job.scratch.keep(job.lead_pairs(rows, light), "leads-met")
+    classed = merged(classed, job.verified(pairs, "leads"), job.scratch, "second")
+    job.scratch.drop("leads-met")
     rows = job.mixed(rows, classed, "mixed-last")
     job.scratch.drop("mixed-first")
     pairs = job.scratch.keep(job.class_pairs(rows, light), "class-pairs")
