@@ -52,11 +52,8 @@ MOST_SUBSETS = 400
 LIST_COST = 4.0
 #: Bits of a set's parity row at most.
 PARITY_BITS = 1 << 16
-#: Longs of the short parity row that a set brings into a join of its lists, and of the one that larger sets bring
-#: as well: 256 bits tell sets apart that differ in less than about 100 shingles, more than small linked sets do.
-SIGN_LONGS, WIDE_LONGS = 4, 16
-#: The largest set without the wider row.
-SMALL = 384
+#: Longs of the short parity row that a set brings into a join of its lists.
+SIGN_LONGS = 16
 #: The columns of a row of an inverted list, beside its key, once classes are known; its parity row joins it in time.
 ROW = ["set_id", "n", "short", "class"]
 #: Sets drawn from each list that its other sets meet before classes meet in full.
@@ -189,13 +186,9 @@ def parity(shingles: np.ndarray) -> bytes:
 
 
 def sign(shingles: np.ndarray) -> list[int]:
-    """Parity rows of fixed widths, as longs, for a bound inside a join's condition: the short one (the wide one folded
-    onto itself), and after it the wide one if the set is not small."""
-    bits = 64 * WIDE_LONGS
-    odd = np.bincount((shingles >> np.uint64(40) & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
-    wide = np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
-    short = np.bitwise_xor.reduce(wide.reshape(-1, SIGN_LONGS), axis=0).tolist()
-    return short if len(shingles) <= SMALL else short + wide.tolist()
+    """A parity row of a fixed width, as longs, for a bound inside a join's condition."""
+    odd = np.bincount((shingles >> np.uint64(40) & np.uint64(64 * SIGN_LONGS - 1)).astype(np.int64), minlength=64 * SIGN_LONGS) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64).tolist()
 
 
 def least_difference(one: bytes, two: bytes) -> int:
@@ -390,9 +383,10 @@ class _Join:
         return self.scratch.keep(met, "lists")
 
     def verified(self, pairs: DataFrame, name: str) -> DataFrame:
-        """Of the pairs (a, b) those whose whole sets link; b's set is sent once to each task that needs it.
-        Pairs should be a written table: Spark then knows its size before it plans the joins of parity rows."""
-        one, two = (self.sets.select(F.col("set_id").alias(x), F.col("n").alias(f"n_{x}"), F.col("parity").alias(f"parity_{x}")) for x in "ab")
+        """Of the pairs (a, b), a written table, those whose whole sets link; b's set is sent once to each task that needs it."""
+        asked = pairs.select(F.col("a").alias("set_id")).union(pairs.select("b")).distinct()
+        some = self.sets.join(asked, "set_id", "left_semi")  # parity rows of no other set are shuffled
+        one, two = (some.select(F.col("set_id").alias(x), F.col("n").alias(f"n_{x}"), F.col("parity").alias(f"parity_{x}")) for x in "ab")
         pairs = (pairs.join(one, "a").join(two, "b").select("a", "b", "n_a", "n_b", "parity_a", "parity_b")
                  .mapInArrow(_possible(self.percent), "a long, b long"))
         pairs = self.scratch.keep(pairs, f"{name}-pairs")
@@ -422,31 +416,41 @@ class _Join:
         several = told.groupBy("key").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low <> high")
         return self.scratch.keep(told.join(several.select("key"), "key", "left_semi").select("key", *ROW), name)
 
-    def _met(self, one: DataFrame, two: DataFrame, light: int, roles: Column) -> DataFrame:
-        """Rows of the same list and of different classes, in these roles, that may link by their sizes and parity
-        rows (the parity rows last: they cost most to compare)."""
-        wide = F.when(F.size("sign") > SIGN_LONGS, F.slice("sign", SIGN_LONGS + 1, WIDE_LONGS))
-        signs = self.sets.select("set_id", *[F.col("sign")[k].alias(f"s{k}") for k in range(SIGN_LONGS)], wide.alias("wide"))
-        one, two = (rows.join(signs, "set_id").select("key", *[F.col(c).alias(f"{c}_{side}") for c in (*ROW, *signs.columns[1:])])
-                    for rows, side in ((one, "a"), (two, "b")))
+    def _signs(self) -> DataFrame:
+        """The short parity row of each set."""
+        return self.sets.select("set_id", *[F.col("sign")[k].alias(f"s{k}") for k in range(SIGN_LONGS)])
+
+    def _apart(self, light: int) -> Column:
+        """Whether rows a and b are of different classes and may link by their sizes."""
+        n, m = F.col("n_a"), F.col("n_b")
+        return (F.col("class_a") != F.col("class_b")) & (F.greatest(n, m) > light) & linkable(n, m, self.percent)
+
+    def _near(self) -> Column:
+        """Whether rows a and b may link by their parity rows (the first longs alone tell most pairs apart)."""
         n, m, p = F.col("n_a"), F.col("n_b"), self.percent
         most = n + m - 2 * F.ceil((n + m) * p / F.lit(100 + p))
 
-        def differ(a: list[Column], b: list[Column]) -> Column:
-            return sum((F.bit_count(x.bitwiseXOR(y)) for x, y in zip(a, b)), F.lit(0))
-        short = differ(*([F.col(f"s{k}_{side}") for k in range(SIGN_LONGS)] for side in "ab"))
-        whole = differ(*([F.get(f"wide_{side}", F.lit(k)) for k in range(WIDE_LONGS)] for side in "ab"))  # null: one is small
-        return one.join(two, "key").where(roles & (F.col("class_a") != F.col("class_b")) & (F.greatest(n, m) > light)
-                                          & linkable(n, m, p) & (short <= most) & F.coalesce(whole <= most, F.lit(True)))
+        def differ(longs: int) -> Column:
+            return sum((F.bit_count(F.col(f"s{k}_a").bitwiseXOR(F.col(f"s{k}_b"))) for k in range(longs)), F.lit(0))
+        return (differ(SIGN_LONGS // 4) <= most) & (differ(SIGN_LONGS) <= most)
+
+    @staticmethod
+    def _side(rows: DataFrame, side: str) -> DataFrame:
+        return rows.select(*[F.col(c).alias(c if c == "key" else f"{c}_{side}") for c in rows.columns])
 
     def lead_pairs(self, told: DataFrame, light: int) -> DataFrame:
         """For each set a few leads of other classes that it may link with: a list has LEADS leads, so that the
         pairs met grow with the rows.  A lead drawn from a list is most often of its largest class."""
         drawn = told.groupBy("key").agg(*[F.min_by("set_id", F.xxhash64("set_id", F.lit(k))).alias(f"d{k}") for k in range(LEADS)])
         drawn = drawn.select("key", F.explode(F.array_distinct(F.array(*[f"d{k}" for k in range(LEADS)]))).alias("set_id"))
-        met = self._met(told, told.join(drawn, ["key", "set_id"], "left_semi"), light, F.lit(True))
+        leads = self._side(told.join(drawn, ["key", "set_id"], "left_semi"), "b")
+        met = self._side(told, "a").join(leads, "key").where(self._apart(light))
+        # sets that meet do so in several lists: parity rows join each pair once
+        pairs = met.groupBy("set_id_a", "set_id_b", "n_a", "n_b").count()
+        for side in "ab":
+            pairs = pairs.join(self._side(self._signs(), side), f"set_id_{side}")
         a, b = F.col("set_id_a").alias("a"), F.col("set_id_b").alias("b")
-        met = met.groupBy(a, b).count().groupBy("a").agg(
+        met = pairs.where(self._near()).select(a, b, "count").groupBy("a").agg(
             F.max_by("b", F.struct("count", "b")).alias("frequent"), F.min_by("b", F.xxhash64("a", "b")).alias("any"))
         return met.select("a", F.explode(F.array_distinct(F.array("frequent", "any"))).alias("b"))
 
@@ -455,7 +459,9 @@ class _Join:
         n, m = F.col("n_a"), F.col("n_b")
         # the smaller set is in its short prefix, of equal sets both are
         roles = ((n > m) | (F.col("short_a") == 1)) & ((m > n) | (F.col("short_b") == 1))
-        met = self._met(told, told, light, (F.col("set_id_a") < F.col("set_id_b")) & roles)
+        signed = told.join(self._signs(), "set_id")
+        met = self._side(signed, "a").join(self._side(signed, "b"), "key").where(
+            (F.col("set_id_a") < F.col("set_id_b")) & roles & self._apart(light) & self._near())
         return met.select(F.col("set_id_a").alias("a"), F.col("set_id_b").alias("b")).distinct()
 
 
