@@ -13,10 +13,10 @@ from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, LogisticRegression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from roaskit.functions.scalars import weekday_mon0
@@ -154,11 +154,126 @@ def search_params_cv(folds: DataFrame, features: list[str], trials: int = CV_TRI
     return folds.sparkSession.createDataFrame(rows, f"{TRIAL}, folds int, mean_auc double")
 
 
-def best_params(searched: DataFrame, score: str = "auc") -> dict:
-    """The parameters of the best trial of a search (the earliest of equals), for ``gbt_pipeline``."""
+def _block_of_trees(spark: SparkSession, gbt: GBTClassificationModel, start: int, stop: int) -> GBTClassificationModel:
+    """The model of the trees from ``start`` up to ``stop`` alone."""
+    gateway = spark.sparkContext._gateway
+    ml, n = gateway.jvm.org.apache.spark.ml, stop - start
+    whole = gbt._java_obj
+    trees, weights = whole.trees(), whole.treeWeights()
+    some, scales = gateway.new_array(ml.regression.DecisionTreeRegressionModel, n), gateway.new_array(gateway.jvm.double, n)
+    for i in range(n):
+        some[i], scales[i] = trees[start + i], weights[start + i]
+    return GBTClassificationModel(ml.classification.GBTClassificationModel(whole.uid(), some, scales))
+
+
+def staged_aucs(model: PipelineModel, df: DataFrame, counts: list[int], label: str = "converted") -> dict[int, float | None]:
+    """AUC on ``df`` of the first k trees of a fitted model, for each k of ``counts``.
+
+    Boosting adds trees one after another, so the first k trees of a fit are the fit of k trees (same seed): one
+    fit at the largest count stands for all smaller ones.  Each tree scores a row once: the margin of k trees is
+    the sum of the margins of the blocks of trees between counts.  Counts beyond the model's are left out."""
+    assembler, gbt = model.stages
+    counts = sorted({k for k in counts if 0 < k <= gbt.getNumTrees})
+    scored, margin, start = assembler.transform(df).select(label, gbt.getFeaturesCol()), F.lit(0.0), 0
+    for k in counts:
+        block = _block_of_trees(df.sparkSession, gbt, start, k).setFeaturesCol(gbt.getFeaturesCol())
+        block = block.setRawPredictionCol(f"block_{k}").setProbabilityCol("").setPredictionCol("")
+        scored, margin, start = block.transform(scored), margin + vector_to_array(f"block_{k}")[1], k
+        scored = scored.withColumn(f"margin_{k}", margin)
+    scored = scored.select(label, *[f"margin_{k}" for k in counts]).persist()
+    try:
+        return {k: auc_exact(scored, f"margin_{k}", label).first()["auc"] for k in counts}
+    finally:
+        scored.unpersist()
+
+
+#: Successive halving keeps one trial of so many in each round, and scores a fit at so many tree counts.
+ETA, STAGES = 3, 4
+
+
+def halving_budgets(trials: int, most: int, eta: int = ETA) -> list[int]:
+    """The tree counts of the rounds: the last fits ``most`` trees, each earlier one a part of eta of the next."""
+    rounds = 0
+    while eta ** (rounds + 1) <= trials:
+        rounds += 1
+    return [max(1, -(-most // eta ** r)) for r in range(rounds, -1, -1)]
+
+
+def _best_stage(scores: dict[int, float]) -> tuple[float, int]:
+    """(AUC, tree count) of the best stage, of equals that of the fewest trees."""
+    return max(((auc, k) for k, auc in scores.items()), key=lambda s: (s[0], -s[1]), default=(-math.inf, 0))
+
+
+def search_params_halving(parts: list[tuple[DataFrame, DataFrame]], features: list[str], trials: int = TRIALS,
+                          label: str = "converted", seed: int = 42, space: dict | None = None, eta: int = ETA,
+                          parallelism: int = PARALLELISM) -> DataFrame:
+    """M5 in stages: the draws of ``search_params``, but only promising ones are fitted whole.
+
+    ``parts`` are (train, test) pairs: one for a hold-out search, one per fold for a cross-validated one.  In the first
+    round every trial gets a small part of the largest tree count; each later round fits the best of ``eta`` with
+    ``eta`` times as many trees, up to what the trial drew.  A fit is scored at several tree counts (``staged_aucs``)
+    by the mean AUC of the parts, and a trial counts by its best.
+
+    One row per trial: ``max_iter`` is the best tree count found (so ``best_params`` takes it), ``drawn_iter`` the
+    count drawn, ``fitted_iter`` the trees of the longest fit, ``rounds`` the rounds it took part in, and ``auc`` (null
+    if no part has both labels)."""
+    rng = random.Random(seed)
+    drawn = [sample_params(rng, space) for _ in range(trials)]
+    parts = [(train.persist(), test.persist()) for train, test in parts]
+    scores: list[dict[int, float]] = [{} for _ in drawn]
+    fitted, rounds, alive = [0] * trials, [0] * trials, list(range(trials))
+
+    def fit(item) -> dict[int, float | None]:
+        trial, trees, (train, test) = item
+        model = gbt_pipeline(features, label, seed=seed, **{**drawn[trial], "maxIter": trees}).fit(train)
+        return staged_aucs(model, test, [-(-trees * j // STAGES) for j in range(1, STAGES + 1)], label)
+
+    try:
+        spark = parts[0][0].sparkSession
+        for budget in halving_budgets(trials, max(p["maxIter"] for p in drawn), eta):
+            todo = [(t, min(budget, drawn[t]["maxIter"])) for t in alive]
+            todo = [(t, trees) for t, trees in todo if trees > fitted[t]]
+            told = _side_by_side(spark, fit, [(t, trees, part) for t, trees in todo for part in parts], parallelism)
+            for at, (t, trees) in enumerate(todo):
+                found = told[at * len(parts):(at + 1) * len(parts)]
+                for k in found[0]:
+                    valid = [f[k] for f in found if f[k] is not None]
+                    if valid:
+                        scores[t][k] = sum(valid) / len(valid)
+                fitted[t] = trees
+            for t in alive:
+                rounds[t] += 1
+            alive = sorted(alive, key=lambda t: (-_best_stage(scores[t])[0], t))[:-(-len(alive) // eta)]
+    finally:
+        for train, test in parts:
+            train.unpersist()
+            test.unpersist()
+    rows = []
+    for t, p in enumerate(drawn):
+        auc, trees = _best_stage(scores[t])
+        rows.append((*_trial_row(t, {**p, "maxIter": trees or p["maxIter"]}), p["maxIter"], fitted[t], rounds[t],
+                     auc if scores[t] else None))
+    return spark.createDataFrame(rows, f"{TRIAL}, drawn_iter int, fitted_iter int, rounds int, auc double")
+
+
+def fold_parts(folds: DataFrame) -> list[tuple[DataFrame, DataFrame]]:
+    """The (train, test) pairs of ``stats.time_series_folds``."""
+    ids = sorted(r[0] for r in folds.select("fold").distinct().collect())  # k values
+    by_role = lambda f, role: folds.where((F.col("fold") == f) & (F.col("role") == role))
+    return [(by_role(f, "train"), by_role(f, "test")) for f in ids]
+
+
+def best_trial(searched: DataFrame, score: str = "auc") -> Row:
+    """The row of the best trial of a search (the earliest of equals)."""
     best = searched.where(F.col(score).isNotNull()).orderBy(F.col(score).desc(), "trial").first()
     if best is None:
         raise ValueError("no trial could be scored")
+    return best
+
+
+def best_params(searched: DataFrame, score: str = "auc") -> dict:
+    """The parameters of the best trial of a search, for ``gbt_pipeline``."""
+    best = best_trial(searched, score)
     return {"maxIter": best["max_iter"], "stepSize": best["step_size"], "maxDepth": best["max_depth"],
             "subsamplingRate": best["subsampling_rate"], "featureSubsetStrategy": f"{best['feature_share']:.4f}"}
 

@@ -64,6 +64,45 @@ def test_search_runs_its_trials_and_feeds_the_best(spark):
     assert len(cv) == 2 and all(r.folds == 2 and r.mean_auc > 0.7 for r in cv)
 
 
+def test_the_first_trees_of_a_fit_are_the_fit_of_fewer_trees(spark):
+    levels = {"utm_source": ["click", "view"], "effectiveness_tier": ["Low", "High"]}
+    df, feats = ml.build_features(sessions(spark), levels, keep=["session_id", "converted"])
+    df = df.repartition(3).persist()
+    params = {"maxDepth": 3, "stepSize": 0.2, "subsamplingRate": 0.7, "featureSubsetStrategy": "0.7"}
+    staged = ml.staged_aucs(ml.gbt_pipeline(feats, seed=5, maxIter=7, **params).fit(df), df, [1, 4, 7, 9])
+    assert sorted(staged) == [1, 4, 7]
+    for k, auc in staged.items():
+        whole = ml.model_auc(ml.gbt_pipeline(feats, seed=5, maxIter=k, **params).fit(df), df)
+        assert abs(auc - whole) < 1e-9
+
+
+def test_budgets_of_successive_halving():
+    assert ml.halving_budgets(25, 900) == [100, 300, 900]
+    assert ml.halving_budgets(1, 50) == [50] and ml.halving_budgets(50, 10, 3) == [1, 2, 4, 10]
+
+
+def test_halving_keeps_the_best_and_reports_every_trial(spark):
+    levels = {"utm_source": ["click", "view"], "effectiveness_tier": ["Low", "High"]}
+    df, feats = ml.build_features(sessions(spark, 900), levels, keep=["session_id", "session_start", "converted"])
+    folds = time_series_folds(df, ["session_start", "session_id"], 2).persist()
+    small = {"maxIter": (6, 9), "maxDepth": (2, 4)}
+    rows = sorted(ml.search_params_halving(ml.fold_parts(folds), feats, trials=4, space=small).collect())
+    rng = random.Random(42)
+    drawn = [ml.sample_params(rng, small) for _ in range(4)]
+    assert [(r.trial, r.drawn_iter, r.max_depth) for r in rows] == [(t, p["maxIter"], p["maxDepth"]) for t, p in enumerate(drawn)]
+    assert sorted(r.rounds for r in rows) == [1, 1, 2, 2]
+    assert all(r.fitted_iter == (r.drawn_iter if r.rounds == 2 else 3) and 0 < r.max_iter <= r.fitted_iter for r in rows)
+    best = max(rows, key=lambda r: r.auc)
+    assert best.rounds == 2 and best.auc > 0.8
+
+
+def test_a_search_without_both_labels_has_no_score(spark):
+    levels = {"utm_source": ["click", "view"], "effectiveness_tier": ["Low", "High"]}
+    df, feats = ml.build_features(sessions(spark, 200), levels, keep=["session_id", "converted"])
+    rows = ml.search_params_halving([(df, df.where("converted = 0"))], feats, trials=2, space={"maxIter": (2, 3), "maxDepth": (2, 2)})
+    assert [r.auc for r in rows.collect()] == [None, None]
+
+
 def test_levels_are_found_in_one_pass_without_nulls(spark):
     assert discover_levels(sessions(spark), ["utm_source", "effectiveness_tier"]) == {
         "utm_source": ["click", "view"], "effectiveness_tier": ["High", "Low"]}
