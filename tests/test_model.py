@@ -6,7 +6,7 @@ import tempfile
 
 from roaskit.plans import model as ml
 from roaskit.operators.reshape import discover_levels
-from roaskit.plans.stats import auc_exact, chronological_split, time_series_folds
+from roaskit.plans.stats import auc_by, auc_exact, chronological_split, time_series_folds
 
 T0 = dt.datetime(2024, 1, 1)
 
@@ -106,3 +106,52 @@ def test_a_search_without_both_labels_has_no_score(spark):
 def test_levels_are_found_in_one_pass_without_nulls(spark):
     assert discover_levels(sessions(spark), ["utm_source", "effectiveness_tier"]) == {
         "utm_source": ["click", "view"], "effectiveness_tier": ["High", "Low"]}
+
+
+def _tasks_of_jobs(spark, run):
+    """The task counts of all stages that ``run`` starts, of most trees' levels the most frequent one."""
+    sc, group = spark.sparkContext, f"tasks-{random.random()}"
+    sc.setJobGroup(group, group)
+    run()
+    sc.setLocalProperty("spark.jobGroup.id", None)
+    tracker = sc.statusTracker()
+    stages = [s for j in tracker.getJobIdsForGroup(group) for s in tracker.getJobInfo(j).stageIds]
+    return [i.numTasks for i in map(tracker.getStageInfo, stages) if i is not None]
+
+
+def test_a_fit_has_as_many_tasks_as_its_rows_need(spark):
+    levels = {"utm_source": ["click", "view"], "effectiveness_tier": ["Low", "High"]}
+    df, feats = ml.build_features(sessions(spark, 900), levels, keep=["session_id", "session_start", "converted"])
+    models, small = [], {"maxIter": (2, 3), "maxDepth": (2, 2)}
+    for shuffles in ("32", "3"):
+        old = spark.conf.get("spark.sql.shuffle.partitions")
+        spark.conf.set("spark.sql.shuffle.partitions", shuffles)
+        try:
+            split = chronological_split(df, ["session_start", "session_id"])
+            train, tune = split.where("split = 'train'"), split.where("split = 'tune'")
+            told = _tasks_of_jobs(spark, lambda: models.append(ml.search_params(train, tune, feats, trials=2, space=small).collect()))
+            assert sum(n >= 32 for n in told) <= len(told) // 4
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert models[0] == models[1]  # the rows alone make the model
+
+
+def test_dealt_rows_are_all_there_and_balanced(spark, monkeypatch):
+    monkeypatch.setattr(ml, "TASK_ROWS", 100)
+    df = sessions(spark, 950)
+    ranked = chronological_split(df, ["session_start", "session_id"])
+    part = ml.dealt(ranked.where("row_rank <= 400"))
+    assert ml.fit_tasks(df) == 10 and ml.fit_tasks(df.where("false")) == 1
+    sizes = [len(rows) for rows in part.rdd.glom().collect()]
+    assert len(sizes) == 4 and sum(sizes) == 400 and max(sizes) < 150
+    assert sorted(r.session_id for r in ml.dealt(df.union(df)).collect()) == sorted(2 * list(range(950)))
+
+
+def test_auc_by_group_is_the_auc_of_each_group(spark):
+    rng = random.Random(1)
+    rows = [(g, rng.choice([0.1, 0.2, 0.4, 0.7, None]), rng.choice([0, 1, None]) if g < 3 else 1) for g in range(4) for _ in range(60)]
+    df = spark.createDataFrame(rows, "g int, score double, label int").persist()
+    found = {r.g: (r.auc, r.positives, r.negatives) for r in auc_by(df, "score", "label", "g").collect()}
+    assert sorted(found) == [0, 1, 2, 3] and found[3][0] is None
+    for g, told in found.items():
+        assert told == tuple(auc_exact(df.where(f"g = {g}"), "score", "label").first())
