@@ -144,22 +144,31 @@ class KeyedMaster:
         rows = read_committed(self.spark, self.path, self.log.path, buckets, skip)
         return None if rows is None else rows.select(*self.key).distinct()
 
-    def split(self, rows: DataFrame, order: list[str], skip: tuple = ()) -> tuple[DataFrame, DataFrame]:
+    def split(self, rows: DataFrame, order: list[str], skip: tuple = (), apart: Column | None = None) -> tuple[DataFrame, DataFrame]:
         """``rows`` whose key is new, the first in ``order`` of each key; and the others.
 
-        ``rows`` is read several times: persist it first.  A null key is a value like any other.
+        ``rows`` is read by each of the two, and once more if the master holds rows.  A null key is a value like any
+        other.  Rows for which ``apart`` is true take no part: they are among the others, whatever their key, and as
+        each is a group of its own, many of one key are no large group.
         """
-        nth = F.row_number().over(Window.partitionBy(*self.key).orderBy(*[F.col(f"`{c}`") for c in order]))
-        told = rows.withColumn("_nth", nth)
-        known, names = self.keys(self.touched(rows), skip), [F.col(f"`{c}`") for c in rows.columns]
-        if known is None:
-            told = told.withColumn("_known", F.lit(False))
-        else:
-            known = known.select(*[F.col(f"`{k}`").alias(f"_k{i}") for i, k in enumerate(self.key)], F.lit(True).alias("_seen"))
-            same = [F.col(f"`{k}`").eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(self.key)]
-            told = told.join(known, same, "left").withColumn("_known", F.coalesce("_seen", F.lit(False)))
-        new = (F.col("_nth") == 1) & ~F.col("_known")
-        return told.where(new).select(*names), told.where(~new).select(*names)
+        names, lone = [F.col(f"`{c}`") for c in rows.columns], F.lit(None).cast("bigint")
+        held = any(self.path in e["tables"] and b not in skip for b, e in self.log.commits().items())
+        sure = rows if apart is None else rows.where(~apart)
+        known = self.keys(self.touched(sure), skip) if held else None
+        if known is not None:
+            known = known.select(*[F.col(f"`{k}`").alias(f"_k{i}") for i, k in enumerate(self.key)], lone.alias("_l"), F.lit(True).alias("_seen"))
+
+        def told(some: DataFrame) -> DataFrame:
+            nth = F.row_number().over(Window.partitionBy(*self.key, "_lone").orderBy(*[F.col(f"`{c}`") for c in order]))
+            some = some.withColumn("_nth", nth)
+            if known is None:
+                return some.withColumn("_known", F.lit(False))
+            same = [F.col(f"`{k}`").eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(self.key)] + [F.col("_lone").eqNullSafe(F.col("_l"))]
+            return some.join(known, same, "left").withColumn("_known", F.coalesce("_seen", F.lit(False)))
+
+        new = (F.col("_nth") == 1) & ~F.col("_known") & F.col("_lone").isNull()
+        marked = rows.withColumn("_lone", lone if apart is None else F.when(apart, F.monotonically_increasing_id()))
+        return told(sure.withColumn("_lone", lone)).where(new).select(*names), told(marked).where(~new).select(*names)
 
     def write(self, rows: DataFrame, batch) -> dict:
         """Write a batch's rows in buckets; what its commit has to tell about it."""

@@ -126,26 +126,24 @@ def _store(spark: SparkSession, cells: DataFrame | None, strangers: DataFrame |
     checked = checked.withColumn("errors", F.concat(broken, "errors")).drop(MALFORMED)
     if contract.hashed:  # in rejected rows too, and their raw text with them
         checked = checked.withColumns({c: sha256_id(c) for c in [*contract.hashed, RAW]})
-    checked, wrote = checked.persist(), {}
-    try:
-        good = checked.where(F.size("errors") == 0).drop("errors")
-        bad = checked.where(F.size("errors") > 0)
-        if dedup_key:
-            # the first row in order of the contract's columns, then file and text, wins; the others are kept in quarantine
-            keyed = KeyedMaster(spark, master, dedup_key, buckets, log.path)
-            good, twice = keyed.split(good, [*contract.types, SOURCE, RAW], skip=(str(batch_id),))
-            bad = bad.unionByName(twice.withColumn("errors", F.array(F.lit("duplicate_key"))))
+    # each table's write reads the files of the batch again: less work than to keep all rows, and a task reads no more than its split
+    rejected, wrote = F.size("errors") > 0, {}
+    if dedup_key:
+        # the first row in order of the contract's columns, then file and text, wins; the others are kept in quarantine
+        keyed = KeyedMaster(spark, master, dedup_key, buckets, log.path)
+        good, bad = keyed.split(checked, [*contract.types, SOURCE, RAW], skip=(str(batch_id),), apart=rejected)
+        good, bad = good.drop("errors"), bad.withColumn("errors", F.when(rejected, F.col("errors")).otherwise(F.array(F.lit("duplicate_key"))))
+    else:
+        good, bad = checked.where(~rejected).drop("errors"), checked.where(rejected)
+    if strangers is not None:
+        bad = bad.unionByName(strangers, allowMissingColumns=True)
+    if counts:  # Q8: accepted / rejected per file, one small table per batch
+        every = checked.select(SOURCE, "errors")
         if strangers is not None:
-            bad = bad.unionByName(strangers, allowMissingColumns=True)
-        if counts:  # Q8: accepted / rejected per file, one small table per batch
-            every = checked.select(SOURCE, "errors")
-            if strangers is not None:
-                every = every.unionByName(strangers.select(SOURCE, "errors"))
-            wrote[counts] = write_batch(validation_counts(every, [SOURCE]), counts, batch_id)
-        wrote[master] = keyed.write(good.drop(RAW), batch_id) if dedup_key else write_batch(good.drop(RAW), master, batch_id)
-        wrote[quarantine] = write_batch(bad, quarantine, batch_id)
-    finally:
-        checked.unpersist()
+            every = every.unionByName(strangers.select(SOURCE, "errors"))
+        wrote[counts] = write_batch(validation_counts(every, [SOURCE]), counts, batch_id)
+    wrote[master] = keyed.write(good.drop(RAW), batch_id) if dedup_key else write_batch(good.drop(RAW), master, batch_id)
+    wrote[quarantine] = write_batch(bad, quarantine, batch_id)
     return wrote
 
 
@@ -194,8 +192,8 @@ def ingest_stream(spark: SparkSession, inbox: str, contract: Contract | list[Con
     ``<master>/<contract name>`` and ``<quarantine>/<contract name>``, and rows
     of files that none takes go to ``<quarantine>/unrouted``.
     ``max_files_per_trigger`` bounds each micro-batch (its file names and header
-    lines are read on the driver, and its rows are persisted while they are
-    checked and written); ``available_now`` still drains the whole inbox, batch
+    lines are read on the driver, and its files are read again for each table
+    that is written); ``available_now`` still drains the whole inbox, batch
     by batch.  With ``dedup_key`` a master is laid out in ``buckets`` of the key,
     and a batch reads the keys of the buckets that its own fall in.  Returns the ``StreamingQuery``."""
     several = not isinstance(contract, Contract)

@@ -88,3 +88,19 @@ def test_repeated_keys_go_to_quarantine_across_batches(spark):
     append_to_master(spark, df.where("k = 2"), f"{root}/table", ["k"], duplicates=f"{root}/twice")
     assert sorted((r.k, r.v) for r in spark.read.parquet(f"{root}/table").collect()) == [(1, "a"), (2, "c")]
     assert sorted((r.k, r.v) for r in spark.read.parquet(f"{root}/twice").collect()) == [(1, "b"), (2, "c")]
+
+
+def test_an_ingest_keeps_no_copy_of_its_rows(spark, monkeypatch):
+    """A task reads its split of the files, not a wider copy of all rows."""
+    root = tempfile.mkdtemp(prefix="roaskit-stream-")
+    os.makedirs(f"{root}/inbox")
+    write(f"{root}/inbox/a.csv", [("1", "c1", "2025-07-02 10:00:00", "S1", "2", "10.0", "0.1"),
+                                  ("2", "c2", "2025-07-02 11:00:00", "S2", "x", "15.0", "0.0")])
+    kept, persist = [], type(spark.range(1)).persist
+    monkeypatch.setattr(type(spark.range(1)), "persist", lambda self, *a: (kept.append(self.columns), persist(self, *a))[1])
+    run_available(spark, f"{root}/inbox", order_line_contract(), f"{root}/master", f"{root}/quarantine", f"{root}/ckpt",
+                  counts=f"{root}/counts")
+    assert spark.read.parquet(f"{root}/master").first().order_id == "1"
+    bad = spark.read.parquet(f"{root}/quarantine").first()
+    assert bad.order_id == "2" and bad.errors and '"x"' in bad.raw
+    assert kept == []
