@@ -144,22 +144,36 @@ class KeyedMaster:
         rows = read_committed(self.spark, self.path, self.log.path, buckets, skip)
         return None if rows is None else rows.select(*self.key).distinct()
 
-    def split(self, rows: DataFrame, order: list[str], skip: tuple = (), apart: Column | None = None) -> tuple[DataFrame, DataFrame]:
+    def split(self, rows: DataFrame, order: list[str], skip: tuple = (), apart: Column | None = None,
+              kept: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
         """``rows`` whose key is new, the first in ``order`` of each key; and the others.
 
         ``rows`` is read by each of the two, and once more if the master holds rows.  A null key is a value like any
         other.  Rows for which ``apart`` is true take no part: they are among the others, whatever their key, and as
         each is a group of its own, many of one key are no large group.
+
+        ``kept``, the columns that ``order`` begins with, are all that the new rows have: the first row is found by them
+        alone, as rows that tie in them are the same without the rest, and the rest is not read or moved for it.
         """
         names, lone = [F.col(f"`{c}`") for c in rows.columns], F.lit(None).cast("bigint")
+        by = [F.col(f"`{c}`") for c in order]
+        first, own = by, names
+        if kept is not None:
+            if order[:len(kept)] != list(kept):
+                raise ValueError(f"the order {order} does not begin with {kept}")
+            own = [F.col(f"`{c}`") for c in rows.columns if c in kept]
+            # 0.0 and -0.0 tie in an order but are not the same
+            signs = [F.when(F.col(f"`{c}`") == 0, F.col(f"`{c}`").cast("string")) for c, kind in rows.dtypes
+                     if c in kept and kind in ("double", "float")]
+            first, by = by[:len(kept)] + signs, by[:len(kept)] + signs + by[len(kept):]
         held = any(self.path in e["tables"] and b not in skip for b, e in self.log.commits().items())
         sure = rows if apart is None else rows.where(~apart)
         known = self.keys(self.touched(sure), skip) if held else None
         if known is not None:
             known = known.select(*[F.col(f"`{k}`").alias(f"_k{i}") for i, k in enumerate(self.key)], lone.alias("_l"), F.lit(True).alias("_seen"))
 
-        def told(some: DataFrame) -> DataFrame:
-            nth = F.row_number().over(Window.partitionBy(*self.key, "_lone").orderBy(*[F.col(f"`{c}`") for c in order]))
+        def told(some: DataFrame, by: list[Column]) -> DataFrame:
+            nth = F.row_number().over(Window.partitionBy(*self.key, "_lone").orderBy(*by))
             some = some.withColumn("_nth", nth)
             if known is None:
                 return some.withColumn("_known", F.lit(False))
@@ -168,7 +182,8 @@ class KeyedMaster:
 
         new = (F.col("_nth") == 1) & ~F.col("_known") & F.col("_lone").isNull()
         marked = rows.withColumn("_lone", lone if apart is None else F.when(apart, F.monotonically_increasing_id()))
-        return told(sure.withColumn("_lone", lone)).where(new).select(*names), told(marked).where(~new).select(*names)
+        sure = sure.select(*own).withColumn("_lone", lone)
+        return told(sure, first).where(new).select(*own), told(marked, by).where(~new).select(*names)
 
     def write(self, rows: DataFrame, batch) -> dict:
         """Write a batch's rows in buckets; what its commit has to tell about it."""

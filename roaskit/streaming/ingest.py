@@ -131,8 +131,9 @@ def _store(spark: SparkSession, cells: DataFrame | None, strangers: DataFrame |
     if dedup_key:
         # the first row in order of the contract's columns, then file and text, wins; the others are kept in quarantine
         keyed = KeyedMaster(spark, master, dedup_key, buckets, log.path)
-        good, bad = keyed.split(checked, [*contract.types, SOURCE, RAW], skip=(str(batch_id),), apart=rejected)
-        good, bad = good.drop("errors"), bad.withColumn("errors", F.when(rejected, F.col("errors")).otherwise(F.array(F.lit("duplicate_key"))))
+        stays = [*contract.types, SOURCE]
+        good, bad = keyed.split(checked, [*stays, RAW], skip=(str(batch_id),), apart=rejected, kept=stays)
+        bad = bad.withColumn("errors", F.when(rejected, F.col("errors")).otherwise(F.array(F.lit("duplicate_key"))))
     else:
         good, bad = checked.where(~rejected).drop("errors"), checked.where(rejected)
     if strangers is not None:
@@ -142,7 +143,7 @@ def _store(spark: SparkSession, cells: DataFrame | None, strangers: DataFrame |
         if strangers is not None:
             every = every.unionByName(strangers.select(SOURCE, "errors"))
         wrote[counts] = write_batch(validation_counts(every, [SOURCE]), counts, batch_id)
-    wrote[master] = keyed.write(good.drop(RAW), batch_id) if dedup_key else write_batch(good.drop(RAW), master, batch_id)
+    wrote[master] = keyed.write(good, batch_id) if dedup_key else write_batch(good.drop(RAW), master, batch_id)
     wrote[quarantine] = write_batch(bad, quarantine, batch_id)
     return wrote
 
