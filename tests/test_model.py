@@ -3,7 +3,9 @@ import os
 import random
 import tempfile
 
+from pyspark.sql import functions as F
 
+from roaskit.plans import catalog
 from roaskit.plans import model as ml
 from roaskit.operators.reshape import discover_levels
 from roaskit.plans.stats import auc_by, auc_exact, chronological_split, time_series_folds
@@ -155,3 +157,48 @@ def test_auc_by_group_is_the_auc_of_each_group(spark):
     assert sorted(found) == [0, 1, 2, 3] and found[3][0] is None
     for g, told in found.items():
         assert told == tuple(auc_exact(df.where(f"g = {g}"), "score", "label").first())
+
+
+def test_a_search_makes_one_pass_for_the_aucs_of_all_fits(spark, monkeypatch):
+    levels = {"utm_source": ["click", "view"], "effectiveness_tier": ["Low", "High"]}
+    df, feats = ml.build_features(sessions(spark, 900), levels, keep=["session_id", "session_start", "converted"])
+    folds = time_series_folds(df, ["session_start", "session_id"], 2).persist()
+    one_label = folds.withColumn("converted", F.when((F.col("fold") == 1) & (F.col("role") == "test"), 0).otherwise(F.col("converted")))
+    small, rng = {"maxIter": (2, 4), "maxDepth": (2, 3)}, random.Random(42)
+    drawn = [ml.sample_params(rng, small) for _ in range(3)]
+    (train, test), _ = ml.fold_parts(folds)
+    alone = [ml.model_auc(ml.gbt_pipeline(feats, seed=42, **p).fit(ml.dealt(train)), test) for p in drawn]
+    passes = []
+    for name in ("auc_by", "auc_exact"):
+        monkeypatch.setattr(ml, name, lambda *a, _made=getattr(ml, name), **k: passes.append(a) or _made(*a, **k))
+    found = ml.search_params(train, test, feats, trials=3, space=small).orderBy("trial").collect()
+    assert len(passes) == 1 and all(abs(r.auc - a) < 1e-12 for r, a in zip(found, alone))
+    cv = ml.search_params_cv(one_label, feats, trials=3, space=small).orderBy("trial").collect()
+    assert len(passes) == 2 and all(r.folds == 2 and abs(r.mean_auc - a) < 1e-12 for r, a in zip(cv, alone))
+    none = ml.search_params(train, test.where("false"), feats, trials=2, space=small).collect()
+    assert [r.auc for r in none] == [None, None]
+
+
+def test_model_frames_are_cut_by_rows_and_whole(spark):
+    folder = tempfile.mkdtemp(prefix="roaskit-tables-")
+    kinds = ["click", "view", "signup", "purchase"]
+    events = [(i, T0 + dt.timedelta(minutes=i), i % 37, kinds[i % 4], 1.5 * i, f'{{"k": {i % 11}}}') for i in range(400)]
+    spark.createDataFrame(events, "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
+                          ).write.parquet(f"{folder}/events.parquet")
+    parts = [(k, f"p{k}", f"b{k % 3}", f"t{k % 2}", 5 * k, 900.0 + k) for k in range(9)]
+    spark.createDataFrame(parts, "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double"
+                          ).write.parquet(f"{folder}/part.parquet")
+    whole = {r.session_id: r for r in catalog._enriched(spark, folder).collect()}
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "32")
+    try:
+        split, feats = catalog._model_frames(spark, folder)
+        assert split.rdd.getNumPartitions() == 1
+        rows = split.orderBy("row_rank").collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert [r.session_id for r in rows] == sorted(whole) and [r.row_rank for r in rows] == list(range(1, 301))
+    assert [r.split for r in rows] == ["train"] * 210 + ["tune"] * 45 + ["test"] * 45
+    assert all((r.converted, r.spend) == (whole[r.session_id].converted, whole[r.session_id].spend or 0.0) for r in rows)
+    assert {"creative_theme_b2", "creative_format_t1", "utm_source_nan"} < set(feats)
+    assert ml.frame_tasks(spark, 0) == 1 and ml.frame_tasks(spark, 10 ** 9) == int(old)
