@@ -202,3 +202,34 @@ def test_model_frames_are_cut_by_rows_and_whole(spark):
     assert all((r.converted, r.spend) == (whole[r.session_id].converted, whole[r.session_id].spend or 0.0) for r in rows)
     assert {"creative_theme_b2", "creative_format_t1", "utm_source_nan"} < set(feats)
     assert ml.frame_tasks(spark, 0) == 1 and ml.frame_tasks(spark, 10 ** 9) == int(old)
+
+
+def test_rows_are_put_in_order_before_features_widen_them(spark, monkeypatch):
+    ranked = []
+    real = catalog.st.chronological_split
+    monkeypatch.setattr(catalog.st, "chronological_split", lambda df, *a, **k: ranked.append(df.columns) or real(df, *a, **k))
+    e = sessions(spark, 200).withColumns({c: F.lit(None).cast("string") for c in ("utm_medium", "creative_format", "creative_theme")})
+    monkeypatch.setattr(catalog, "_enriched_once", lambda spark, sf: (e, 2))
+    split, feats = catalog._model_frames(spark, "unread")
+    assert ranked == [e.columns] and {"row_rank", "split", *feats} < set(split.columns) and split.count() == 200
+    model_rows = ml._vectors(split, ml.gbt_pipeline(feats).getStages()[0], "converted")
+    assert model_rows.columns == ["converted", "features"] and model_rows.count() == 200
+    # the same rows in the same order as when the columns are dealt
+    wide = ml.gbt_pipeline(feats).getStages()[0].transform(ml.dealt(split)).select("converted", "features")
+    assert model_rows.collect() == wide.collect()
+
+
+def test_fits_of_few_tasks_fill_the_cores_and_the_longest_start_first(spark, monkeypatch):
+    cores = spark.sparkContext.defaultParallelism
+    assert ml.fits_at_once(spark, 1) == ml.TASKS_PER_CORE * cores and ml.fits_at_once(spark, 1000) == ml.PARALLELISM
+    levels = {"utm_source": ["click", "view"], "effectiveness_tier": ["Low", "High"]}
+    df, feats = ml.build_features(sessions(spark, 300), levels, keep=["session_id", "converted"])
+    started, real = [], ml._side_by_side
+    monkeypatch.setattr(ml, "_side_by_side", lambda spark, task, items, n: started.append((items, n)) or real(spark, task, items, n))
+    small = {"maxIter": (2, 6), "maxDepth": (2, 3)}
+    found = sorted(ml.search_params(df, df, feats, trials=4, space=small).collect())
+    assert found == sorted(ml.search_params(df, df, feats, trials=4, space=small, parallelism=1).collect())
+    (items, n), (_, one) = started
+    assert n == ml.TASKS_PER_CORE * cores and one == 1 and [r.trial for r in found] == [0, 1, 2, 3]
+    lengths = [p["maxIter"] * p["maxDepth"] for _, p, _ in items]
+    assert lengths == sorted(lengths, reverse=True) and sorted(at for at, _, _ in items) == [0, 1, 2, 3]
