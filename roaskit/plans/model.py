@@ -379,12 +379,21 @@ def lift_forecast(model: PipelineModel, features_df: DataFrame, orders: DataFram
     sum(p1 - p0) = sum(p1) - sum(p0), so no row pairing or join is needed;
     revenue = that x mean order value over all orders (a scalar subquery).
     Trees may give a negative lift; it is not clipped."""
+    assembler, learner = model.stages
+    inputs, rest = assembler.getInputCols(), []
+    for k, cols in enumerate((inputs[:inputs.index("spend")], inputs[inputs.index("spend") + 1:])):
+        if cols:  # what does not change with the spend is assembled once per row, not once per pct
+            part = VectorAssembler(inputCols=cols, outputCol=f"_rest_{k}", handleInvalid=assembler.getHandleInvalid())
+            features_df, rest = part.transform(features_df), [*rest, (k, f"_rest_{k}")]
+    whole = assembler.copy().setInputCols([c for k, c in rest if k == 0] + ["spend"] + [c for k, c in rest if k == 1])
     pct = F.explode(F.array(*[F.lit(int(p)) for p in [0] + list(steps)])).alias("pct")
-    ex = features_df.select("*", pct).withColumn("spend", F.col("spend") * (1 + F.col("pct") / 100.0))
-    sums = (positive_probability(model.transform(ex))
-            .groupBy("pct").agg(F.sum("p_convert").alias("_s"), F.count(F.lit(1)).alias("sessions"))
-            .persist())  # a handful of rows; scored once, read by both uses below
-    s0 = sums.where(F.col("pct") == 0).select("_s").scalar()
+    ex = features_df.select("spend", *[c for _, c in rest], pct).withColumn("spend", F.col("spend") * (1 + F.col("pct") / 100.0))
+    sums = (positive_probability(learner.transform(whole.transform(ex)))
+            .groupBy("pct").agg(F.sum("p_convert").alias("_s"), F.count(F.lit(1)).alias("sessions")))
+    # one row per pct: gathered in one, the base of all is found without a second scoring
+    told = sums.agg(F.collect_list(F.struct("pct", "_s", "sessions")).alias("_all"))
+    s0 = F.filter("_all", lambda r: r["pct"] == 0)[0]["_s"]
+    told = told.select(s0.alias("_s0"), F.inline("_all")).where(F.col("pct") > 0)
     aov = orders.agg(F.avg("gross_revenue")).scalar()
-    out = sums.where(F.col("pct") > 0).withColumn("lift_conversions", F.col("_s") - s0)
+    out = told.withColumn("lift_conversions", F.col("_s") - F.col("_s0"))
     return out.select("pct", "sessions", "lift_conversions", (F.col("lift_conversions") * aov).alias("lift_revenue"))

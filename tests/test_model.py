@@ -204,6 +204,26 @@ def test_model_frames_are_cut_by_rows_and_whole(spark):
     assert ml.frame_tasks(spark, 0) == 1 and ml.frame_tasks(spark, 10 ** 9) == int(old)
 
 
+def test_lift_assembles_a_session_once_and_scores_in_one_pass(spark):
+    levels = {"utm_source": ["click", "view"], "effectiveness_tier": ["Low", "High"]}
+    df, feats = ml.build_features(sessions(spark), levels, keep=["session_id", "converted"])
+    whole, df = df.persist(), df.withColumn("spend", F.when(F.col("session_id") % 50 > 0, F.col("spend")))  # some without spend
+    orders = spark.createDataFrame([(1, 10.0), (2, 30.0)], "order_id long, gross_revenue double")
+    for inputs in (feats, feats[1:3] + feats[:1] + feats[3:], feats[1:] + feats[:1], feats[:1]):
+        model = ml.gbt_pipeline(inputs, maxIter=5, maxDepth=3).fit(whole)
+        told = ml.lift_forecast(model, df, orders, steps=[40, 100, -20])
+        found = {r.pct: (r.sessions, r.lift_conversions, r.lift_revenue) for r in told.collect()}
+        p = {k: ml.positive_probability(model.transform(df.withColumn("spend", F.col("spend") * (1 + F.lit(k) / 100.0)))).agg(
+            F.sum("p_convert")).first()[0] for k in (0, 40, 100)}
+        assert sorted(found) == [40, 100]
+        for k, (n, lift, revenue) in found.items():
+            assert n == 600 and abs(lift - (p[k] - p[0])) < 1e-9 and abs(revenue - 20 * lift) < 1e-9
+        # the vector of what the spend does not change lies below the rows of every pct
+        plan = told._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("Generate explode") == 1 and (len(inputs) == 1 or "_rest_" in plan.split("Generate explode")[1])
+    assert ml.lift_forecast(model, df.where("false"), orders).collect() == []
+
+
 def test_rows_are_put_in_order_before_features_widen_them(spark, monkeypatch):
     ranked = []
     real = catalog.st.chronological_split
