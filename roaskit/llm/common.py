@@ -14,7 +14,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roaskit.session import delete_at_exit, ensure_checkpoint_dir
+from roaskit.session import delete_at_exit, ensure_checkpoint_dir, importable_in_workers
 
 #: Bytes of text handled at once inside a task; bounds a worker's memory whatever the batch size.
 SLICE_BYTES = 4 << 20
@@ -25,15 +25,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def importable_in_workers(spark: SparkSession) -> None:
-    """Let local Python workers import this package; on a cluster it is shipped with ``--py-files``."""
-    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-    env = spark.sparkContext.environment
-    have = env.get("PYTHONPATH", "").split(os.pathsep)
-    if root not in have:
-        env["PYTHONPATH"] = os.pathsep.join([root, *filter(None, have)])
-
-
 def texts_in_slices(spark: SparkSession) -> None:
     """Let no Arrow batch of this session pass ``SLICE_BYTES`` (but for one longer row): 10,000 texts in one, Spark's own
     bound in rows, take hundreds of MB of an executor in both processes.  A smaller setting stays."""

@@ -87,10 +87,11 @@ def exact_quantiles(df: DataFrame, col: str, probs, tie_cols: list[str] | None =
     return j.select("p", (F.col("_xl") + F.col("frac") * (F.col("_xh") - F.col("_xl"))).alias("value"))
 
 
-def _score_counts(df: DataFrame, score: str, label: str, by: list[str] | None = None) -> DataFrame:
+def _score_counts(df: DataFrame, score: str, label: str, by: list[str] | None = None, rows: str | None = None) -> DataFrame:
     s = df.where(F.col(score).isNotNull() & F.col(label).isNotNull())
-    return s.groupBy(*(by or []), score).agg(F.sum(F.col(label).cast("double")).alias("pos"),
-                                               F.sum(1.0 - F.col(label).cast("double")).alias("neg"))
+    n = F.col(rows).cast("double") if rows else F.lit(1.0)
+    return s.groupBy(*(by or []), score).agg(F.sum(F.col(label).cast("double") * n).alias("pos"),
+                                               F.sum((1.0 - F.col(label).cast("double")) * n).alias("neg"))
 
 
 def auc_exact(df: DataFrame, score: str, label: str, partitions: int | None = None) -> DataFrame:
@@ -109,9 +110,10 @@ def auc_exact(df: DataFrame, score: str, label: str, partitions: int | None = No
                       F.lit(int(p)).cast("long").alias("positives"), F.lit(int(n)).cast("long").alias("negatives"))
 
 
-def auc_by(df: DataFrame, score: str, label: str, by: str, partitions: int | None = None) -> DataFrame:
-    """M6: ``auc_exact`` of every value of ``by`` in one scan, one row each (null where a label is missing)."""
-    g = _score_counts(df, score, label, [by])
+def auc_by(df: DataFrame, score: str, label: str, by: str, partitions: int | None = None, rows: str | None = None) -> DataFrame:
+    """M6: ``auc_exact`` of every value of ``by`` in one scan, one row each (null where a label is missing).  ``rows`` is a
+    column with the rows that a row stands for."""
+    g = _score_counts(df, score, label, [by], rows)
     cum, _ = running_totals(g, [score], ["neg"], prefix="cum_", partitions=partitions, group_cols=[by])
     below, pairs = F.col("cum_neg") - F.col("neg"), F.col("positives") * F.col("negatives")
     told = cum.groupBy(by).agg(F.sum(F.col("pos") * (below + 0.5 * F.col("neg"))).alias("num"),

@@ -74,6 +74,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+def importable_in_workers(spark: SparkSession) -> None:
+    """Let local Python workers import this package; on a cluster it is shipped with ``--py-files``."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = spark.sparkContext.environment
+    have = env.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in have:
+        env["PYTHONPATH"] = os.pathsep.join([root, *filter(None, have)])
+
+
 _AT_EXIT: list[tuple[SparkSession, str]] = []
 
 
