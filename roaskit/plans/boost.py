@@ -12,6 +12,7 @@ rows by itself).  A frame of more than ``MOST_UNITS`` units is left to Spark ML,
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Callable, Iterator
 
@@ -209,7 +210,7 @@ class Sums:
         self.starts = np.concatenate([[0], np.cumsum(self.sizes)])
         self.width, self.in_order = int(self.starts[-1]), in_order
         if not in_order:
-            self.groups = [self._group(bins, *found) for found in self._grouped(bins)]
+            self.groups = [(code, sizes, [self._spread(bins, *g) for g in members]) for code, sizes, members in self._grouped(bins)]
         elif bins.size <= BLOCK:
             self.codes = (bins + self.starts[:-1]).astype(np.int64)
         else:
@@ -223,8 +224,9 @@ class Sums:
                 real = np.arange(most) < self.sizes[some, None]
                 self.blocks.append((some, np.where(real, self.starts[some, None] + np.arange(most), self.width), real[:, 1:]))
 
-    def _grouped(self, bins: np.ndarray) -> list[tuple[list[int], np.ndarray, int]]:
-        """Groups (features, joint value of every unit, their count): a feature joins those that it depends on most."""
+    def _grouped(self, bins: np.ndarray) -> list[tuple[np.ndarray, list[int], list]]:
+        """Groups (features, joint value of every unit, their count): a feature joins those that it depends on most.  Small
+        groups are then summed together: (joint code, the groups' counts, the groups)."""
         def joined(one, two):
             joint = one[1] * two[2] + two[1]
             found = np.flatnonzero(np.bincount(joint, minlength=1))
@@ -242,30 +244,36 @@ class Sums:
                 groups[g] = best
             else:
                 groups.append(alone)
-        while len(groups) > 1:
-            groups.sort(key=lambda g: g[2])
-            if groups[0][2] * groups[1][2] > GROUP_CODES:
-                break
-            groups[:2] = [joined(*groups[:2])]
-        return groups
-
-    def _group(self, bins, members, code, many):
+        told = []
+        for group in sorted(groups, key=lambda g: g[2]):
+            if told and math.prod(told[-1][1]) * group[2] <= GROUP_CODES:
+                code, sizes, members = told[-1]
+                told[-1] = code * group[2] + group[1], [*sizes, group[2]], [*members, group]
+            else:
+                told.append((group[1], [group[2]], [group]))
+        return told
+
+    def _spread(self, bins: np.ndarray, features: list[int], code: np.ndarray, many: int):
+        """Which bins of the features a joint value is in, and the places of those bins."""
         first = np.zeros(many, np.int64)
         first[code[::-1]] = np.arange(len(code))[::-1]
-        spread, at = np.zeros((many, int(self.sizes[members].sum()))), 0
-        for f in members:
+        spread, at = np.zeros((many, int(self.sizes[features].sum()))), 0
+        for f in features:
             spread[np.arange(many), at + bins[first, f].astype(np.int64)] = 1.0
             at += self.sizes[f]
-        return code, many, spread, np.concatenate([np.arange(self.starts[f], self.starts[f + 1]) for f in members])
+        return spread, np.concatenate([np.arange(self.starts[f], self.starts[f + 1]) for f in features])
 
     def of(self, some: np.ndarray | None, node: np.ndarray, nodes: int, stats: np.ndarray) -> np.ndarray:
         """(3, nodes, width + 1): of the units ``some`` at ``node``; the last column stays 0, units of node ``nodes`` are left out."""
         out = np.zeros((3, nodes, self.width + 1))
         if not self.in_order:
-            for code, many, spread, places in self.groups:
+            for code, sizes, members in self.groups:
+                many = math.prod(sizes)
                 flat = node * many + code
-                sums = np.stack([np.bincount(flat, w, (nodes + 1) * many)[:nodes * many] for w in stats])
-                out[:, :, places] = (sums.reshape(-1, many) @ spread).reshape(3, nodes, -1)
+                sums = np.stack([np.bincount(flat, w, (nodes + 1) * many)[:nodes * many] for w in stats]).reshape(3, nodes, *sizes)
+                for k, (spread, places) in enumerate(members):
+                    other = tuple(2 + j for j in range(len(sizes)) if j != k)
+                    out[:, :, places] = (sums.sum(axis=other) if other else sums) @ spread
             return out
         if hasattr(self, "codes"):
             features = self.codes.shape[1]
@@ -285,8 +293,12 @@ class Sums:
         nodes, made = hist.shape[1], []
         gains, cuts = np.full((nodes, len(self.sizes)), -np.inf), np.zeros((nodes, len(self.sizes)), np.int64)
         for some, place, real in self.blocks:
-            cum = np.cumsum(hist[:, :, place], axis=3)
-            made.append((cum[..., :-1], cum[..., -1:] - cum[..., :-1]))
+            if place.shape[1] == 2:
+                left, right = hist[:, :, place[:, 0]], hist[:, :, place[:, 1]]
+                made.append((left[..., None], (right + left - left)[..., None]))
+            else:
+                cum = np.cumsum(hist[:, :, place], axis=3)
+                made.append((cum[..., :-1], cum[..., -1:] - cum[..., :-1]))
         if impurity is None:  # the root's stats are both sides of the first split looked at
             first = next((f for f in order[0].tolist() if self.sizes[f] > 1), None)
             impurity = np.zeros(nodes)

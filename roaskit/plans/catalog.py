@@ -1108,7 +1108,7 @@ def q_param_search(spark, sf):
     """M5: seeded random search, hold-out AUC per trial (rows-only)."""
     split, feats = _model_frames(spark, sf)
     return ml.search_params(split.where(F.col("split") == "train"), split.where(F.col("split") == "tune"),
-                            feats, space=QUERY_SPACE)
+                            feats)
 
 
 @register("param_search_cv")

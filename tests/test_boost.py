@@ -1,6 +1,7 @@
 """The trees that a task grows: Spark ML's own on a frame of one task, and the same law on a larger one."""
 
 import datetime as dt
+import inspect
 import random
 
 import numpy as np
@@ -122,3 +123,25 @@ def test_the_auc_of_counts_is_that_of_the_rows():
     rows = [(k, y) for k in range(3) for y in [1] * int(pos[k]) + [0] * int(neg[k])]
     pairs = [(a > b) + 0.5 * (a == b) for a, y in rows if y for b, z in rows if not z]
     assert abs(boost.auc_of(pos, neg) - sum(pairs) / len(pairs)) < 1e-12 and boost.auc_of(pos, pos * 0) is None
+
+
+@pytest.mark.parametrize("name, search, trials", [
+    ("param_search", "search_params", 25),
+])
+def test_a_registered_search_runs_all_trials_over_the_published_ranges(spark, monkeypatch, name, search, trials):
+    rows = [(i, T0 + dt.timedelta(minutes=i), 1.0 * i, i % 2) for i in range(60)]
+    e = spark.createDataFrame(rows, "session_id long, session_start timestamp_ntz, spend double, converted int")
+    e = e.withColumns({c: F.lit(None).cast("string") for c in ml.CATEGORICALS})
+    monkeypatch.setattr(catalog, "_enriched_once", lambda spark, sf: (e, 2))
+    monkeypatch.setattr(ml, "fitted_auc", lambda *a, **k: 0.5)
+    called, real = [], inspect.signature(getattr(ml, search))
+
+    def searched(*a, **k):
+        called.append(real.bind(*a, **k))
+        called[0].apply_defaults()
+        return spark.createDataFrame([(*ml._trial_row(0, ml.sample_params(random.Random(1))), 0.5)], f"{ml.TRIAL}, auc double")
+
+    monkeypatch.setattr(ml, search, searched)
+    assert catalog.QUERIES[name](spark, "unread").count() == 1
+    assert called[0].arguments["trials"] == trials and called[0].arguments["space"] is None
+    assert ml.SPACE["maxIter"] == (100, 1000) and ml.SPACE["maxDepth"] == (3, 10)
