@@ -1115,20 +1115,15 @@ def q_param_search_cv(spark, sf):
     return ml.search_params_cv(folds, feats)
 
 
-# Tree counts of the staged search: a cut for run time; all other ranges are the published ones.
-HALVING_SPACE = {"maxIter": (9, 27)}
-
-
 @register("param_search_halving")
 def q_param_search_halving(spark, sf):
     """M5 + M4 + M6: successive halving over all trials, each fit scored at several tree counts; the best trial's
     parameters are fitted on train + tune, and its row holds the exact AUC on test (rows-only)."""
     split, feats = _model_frames(spark, sf)
     parts = [(split.where(F.col("split") == "train"), split.where(F.col("split") == "tune"))]
-    found = ml.search_params_halving(parts, feats, space=HALVING_SPACE)
+    found = ml.search_params_halving(parts, feats)
     best = ml.best_trial(found)
-    model = ml.fit_dealt(ml.gbt_pipeline(feats, **ml.best_params(found)), split.where(F.col("split") != "test"))
-    auc = ml.model_auc(model, split.where(F.col("split") == "test"))
+    auc = ml.fitted_auc(split.where(F.col("split") != "test"), split.where(F.col("split") == "test"), feats, ml.best_params(found))
     return found.withColumn("test_auc", F.when(F.col("trial") == best["trial"], F.lit(auc).cast("double")))
 
 

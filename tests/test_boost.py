@@ -128,6 +128,7 @@ def test_the_auc_of_counts_is_that_of_the_rows():
 @pytest.mark.parametrize("name, search, trials", [
     ("param_search", "search_params", 25),
     ("param_search_cv", "search_params_cv", 50),
+    ("param_search_halving", "search_params_halving", 25),
 ])
 def test_a_registered_search_runs_all_trials_over_the_published_ranges(spark, monkeypatch, name, search, trials):
     rows = [(i, T0 + dt.timedelta(minutes=i), 1.0 * i, i % 2) for i in range(60)]
