@@ -6,7 +6,8 @@ one *unit* with a count per label.  The units are made in one distributed pass,
 them, with Spark ML's own split points, feature draws, losses, gains and stopping rules.  Fits run side by side.
 
 A frame of one task keeps each row as a unit, in order, with Spark ML's own subsampling draws and sums in the same
-order, so its trees are Spark ML's.  In a larger frame a unit's drawn rows are binomial (the law of drawing each of its
+order: its trees are Spark ML's, but for the last bit of an exponential, which may decide between equal splits in a long
+fit.  In a larger frame a unit's drawn rows are binomial (the law of drawing each of its
 rows by itself).  A frame of more than ``MOST_UNITS`` units is left to Spark ML, whose tasks share the rows.
 """
 
@@ -447,8 +448,8 @@ def _binned(splits: list[np.ndarray], in_order: bool, train: bool) -> Callable:
             bins = np.empty((len(label), len(splits)), np.uint8)
             for f, t in enumerate(splits):
                 values = batch.column(f + 1).to_numpy(zero_copy_only=False)
-                if train and np.isnan(values).any():
-                    raise ValueError(f"feature {f} of a row to fit is null or NaN")
+                if train and not np.isfinite(values).all():
+                    raise ValueError(f"feature {f} of a row to fit is null, NaN or infinite")
                 bins[:, f] = ~(values <= t[0]) if len(t) == 1 else np.searchsorted(t, values, side="left")
             if not in_order and len(bins):
                 keys, unit = np.unique(bins.view(f"V{len(splits)}").ravel(), return_inverse=True)

@@ -47,12 +47,19 @@ def jobs_of(spark, run):
         spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
-def test_a_fit_is_sparks_in_a_few_jobs(spark):
+def grown(pipeline, df):
+    assembler, learner = pipeline.getStages()
+    told, splits, in_order = ml._units(df, assembler, learner)
+    made = told.coalesce(1).mapInArrow(boost.nodes(splits, boost.params_of(learner), in_order), boost.NODE).collect()
+    return PipelineModel([assembler, boost.spark_model(df.sparkSession, made, splits, learner)])
+
+
+def test_trees_of_a_frame_of_one_task_are_sparks_in_a_few_jobs(spark):
     df, feats = frame(spark)
     df = df.persist()
     for params in ({"subsamplingRate": 0.7886, "featureSubsetStrategy": "0.6"}, {}):
         pipeline = ml.gbt_pipeline(feats, maxIter=12, maxDepth=5, stepSize=0.2, **params)
-        model, jobs = jobs_of(spark, lambda: ml.fit_dealt(pipeline, df))
+        model, jobs = jobs_of(spark, lambda: grown(pipeline, df))
         assert jobs < 30  # Spark ML takes a job for every level of every tree, 60 and more
         old = by_spark(pipeline, df)
         one, two = chances(model, df), chances(old, df)
@@ -77,7 +84,9 @@ def test_a_large_frame_is_fitted_from_its_units(spark, monkeypatch):
     assert sum(abs(p - old[k]) < 1e-9 for k, p in new.items()) > 890
     drawn = ml.gbt_pipeline(feats, maxIter=20, maxDepth=3, stepSize=0.1, subsamplingRate=0.7, featureSubsetStrategy="0.8")
     assert abs(ml.model_auc(ml.fit_dealt(drawn, df), df) - ml.model_auc(by_spark(drawn, df), df)) < 0.02
-    again = [chances(ml.fit_dealt(drawn, x), df) for x in (df, df.repartition(7))]
+    model, jobs = jobs_of(spark, lambda: ml.fit_dealt(drawn, df))
+    assert jobs < 40  # Spark ML takes a job for every level of every tree, 60 and more
+    again = [chances(m, df) for m in (model, ml.fit_dealt(drawn, df.repartition(7)))]
     assert again[0] == again[1]  # the rows alone make the model
 
 
